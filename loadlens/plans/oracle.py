@@ -34,6 +34,11 @@ LOGS = """logs AS (
          'Mozilla/5.0' AS user_agent
   FROM events)"""
 
+# logs plus the event's ``k`` property, which picks the rendered line shape
+LOGS_K = LOGS.replace("logs AS (", "logs_k AS (").replace(
+    "'Mozilla/5.0' AS user_agent",
+    "'Mozilla/5.0' AS user_agent,\n         TRY_CAST(regexp_extract(props, '\"k\": *(-?[0-9]+)', 1) AS INTEGER) AS k")
+
 METRICS_EV = """metrics_ev AS (
   SELECT ts AS "timestamp", event_type AS server_id, value AS cpu_usage,
          TRY_CAST(NULLIF(regexp_extract(props, '"k": *(-?[0-9.]+)', 1), '') AS DOUBLE) AS memory_usage,
@@ -357,3 +362,25 @@ def _():
   FROM logs WHERE client_ip IS NOT NULL GROUP BY client_ip)
 SELECT client_ip, requests, distinct_endpoints, errors, {r('errors / requests', 4)} AS error_share
 FROM s WHERE requests >= 1 AND (distinct_endpoints >= 7 OR {r('errors / requests', 4)} >= 0.25)"""
+
+
+# ---------------------------------------------------------------- log parsing
+PARSED = f"""SELECT date_trunc('second', "timestamp") AS "timestamp", client_ip, request_method, endpoint,
+  response_code, response_size, {r('response_time_ms', 2)} AS response_time_ms, referer, user_agent"""
+
+
+@oracle("parse_access_log")
+def _():
+    return with_(LOGS_K) + PARSED + " FROM logs_k WHERE k NOT IN (0, 1, 2, 3, 4, 5)"
+
+
+@oracle("parse_errors")
+def _():
+    return with_(LOGS_K) + """SELECT CASE WHEN k = 1 THEN 'bad_timestamp' ELSE 'no_match' END AS reason,
+  count(*) AS lines FROM logs_k WHERE k IN (0, 1, 2, 3, 4) GROUP BY 1"""
+
+
+@oracle("parse_nginx_rt")
+def _():
+    return (with_(LOGS_K) + PARSED + ", CAST(NULL AS VARCHAR) AS remote_user, "
+            "CAST(NULL AS VARCHAR) AS x_forwarded_for FROM logs_k WHERE k = 4")

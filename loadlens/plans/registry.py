@@ -11,10 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadlens.operators import aggregations as A
 from loadlens.operators import filters as P
-from loadlens.sources.views import logs_view, metrics_ev_view, metrics_view
+from loadlens.functions import logparse as LP
+from loadlens.sources.views import access_log_lines_view, logs_view, metrics_ev_view, metrics_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,3 +69,9 @@ query("kde_curve")(lambda s, d: A.kde_curve(E(s, d)))
 query("heavy_endpoints")(lambda s, d: A.heavy_endpoints(L(s, d)))
 query("status_class_share")(lambda s, d: A.status_class_share(L(s, d)))
 query("suspicious_clients")(lambda s, d: A.suspicious_clients(L(s, d), min_endpoints=7, min_error_share=0.25))
+
+# ---------------------------------------------------------------- log parsing
+query("parse_access_log")(lambda s, d: LP.parse_access_log(access_log_lines_view(s, d)))
+query("parse_errors")(lambda s, d: LP.parse_errors(access_log_lines_view(s, d))
+                      .groupBy("reason").agg(F.count(F.lit(1)).alias("lines")))
+query("parse_nginx_rt")(lambda s, d: LP.parse_access_log(access_log_lines_view(s, d), "nginx_rt"))

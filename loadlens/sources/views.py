@@ -33,9 +33,14 @@ def metrics_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def logs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _props_k() -> F.Column:
+    return F.nullif(F.regexp_extract(F.col("props"), r'"k": *(-?[0-9]+)', 1), F.lit("")).try_cast("int")
+
+
+def logs_view(spark: SparkSession, sf_dir: str, with_k: bool = False) -> DataFrame:
     """``access_logs`` from ``events``: one user = one client address."""
     ev = table(spark, sf_dir, "events")
+    extra = [_props_k().alias("k")] if with_k else []
     return ev.select(
         F.col("ts").alias("timestamp"),
         F.concat(F.lit("10.0."), F.floor(F.col("user_id") / 256).cast("string"),
@@ -52,9 +57,34 @@ def logs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") * 10).alias("response_time_ms"),
         F.lit("https://example.com").alias("referer"),
         F.lit("Mozilla/5.0").alias("user_agent"),
+        *extra,
     )
 
 
+def access_log_lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw access-log text rendered from the ``logs`` stand-in, one line per
+    event (column ``value``), for the parser queries.  The event's ``k``
+    property picks the line shape: 0 a named user instead of ``- -``, 1 an
+    impossible date (31 Feb), 2 size ``-``, 3 a time without a decimal
+    point, 4 the web server's own ``rt=`` layout, 5 a blank line; every
+    other event gives a well-formed line of the parser's layout."""
+    lg = logs_view(spark, sf_dir, with_k=True)
+    k = F.col("k")
+    day = F.date_format("timestamp", "dd/MMM/yyyy")
+    clock = F.date_format("timestamp", "HH:mm:ss")
+    when = F.concat(F.when(k == 1, F.lit("31/Feb/2024")).otherwise(day), F.lit(":"), clock, F.lit(" +0000"))
+    ident = F.when(k == 0, F.lit("- alice")).otherwise(F.lit("- -"))
+    size = F.when(k == 2, F.lit("-")).otherwise(F.col("response_size").cast("string"))
+    secs = F.when(k == 3, F.floor(F.col("response_time_ms") / 1000).cast("string"))\
+        .otherwise(F.format_string("%.4f", F.col("response_time_ms") / 1000))
+    tail = F.when(k == 4, F.concat(F.lit('"-" rt='), secs)).otherwise(secs)
+    line = F.concat(F.col("client_ip"), F.lit(" "), ident, F.lit(" ["), when, F.lit('] "'),
+                    F.col("request_method"), F.lit(" "), F.col("endpoint"), F.lit(' HTTP/1.1" '),
+                    F.col("response_code").cast("string"), F.lit(" "), size, F.lit(' "'),
+                    F.col("referer"), F.lit('" "'), F.col("user_agent"), F.lit('" '), tail)
+    return lg.select(F.when(k == 5, F.lit("")).otherwise(line).alias("value"))
+
+
 def metrics_ev_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second metrics stand-in from ``events`` with five large groups
     (``event_type`` as the server) and a long-tailed ``cpu_usage``; used by
