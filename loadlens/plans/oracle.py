@@ -384,3 +384,181 @@ def _():
 def _():
     return (with_(LOGS_K) + PARSED + ", CAST(NULL AS VARCHAR) AS remote_user, "
             "CAST(NULL AS VARCHAR) AS x_forwarded_for FROM logs_k WHERE k = 4")
+
+
+# ---------------------------------------------------------------- time series
+HOURLY_EV = """h AS (SELECT date_trunc('hour', "timestamp") AS hour, avg(cpu_usage) AS m
+      FROM metrics_ev WHERE "timestamp" IS NOT NULL GROUP BY 1)"""
+
+
+@oracle("hourly_resample")
+def _():
+    return with_(METRICS_EV, HOURLY_EV) + f""", s AS (
+  SELECT unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM h)
+SELECT s.hour, {r('h.m', 6)} AS cpu_usage_mean FROM s LEFT JOIN h USING (hour)"""
+
+
+@oracle("forecast_load")
+def _():
+    return with_(METRICS_EV, HOURLY_EV) + f""",
+b AS (SELECT min(hour) AS lo, max(hour) AS hi FROM h),
+s AS (SELECT unnest(generate_series(greatest(lo, hi - INTERVAL 7 HOUR), hi, INTERVAL 1 HOUR)) AS hour FROM b),
+j AS (SELECT s.hour, h.m FROM s LEFT JOIN h USING (hour)),
+w AS (SELECT hour, count(m) OVER (ORDER BY hour ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS c,
+             avg(m) OVER (ORDER BY hour ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS a,
+             row_number() OVER (ORDER BY hour DESC) AS pos FROM j)
+SELECT hour, CASE WHEN c = 3 THEN {r('a', 6)} END AS forecast FROM w WHERE pos <= 6"""
+
+
+def _intervals(src: str, key: str | None) -> str:
+    k = f"{key}, " if key else ""
+    part = f"PARTITION BY {key} " if key else ""
+    notnull = f" AND {key} IS NOT NULL" if key else ""
+    grp = f"GROUP BY {key}" if key else ""
+    join_on = f"USING ({key})" if key else "ON TRUE"
+    return f"""d AS (SELECT {k}"timestamp" AS t, lag("timestamp") OVER ({part}ORDER BY "timestamp") AS p
+      FROM {src} WHERE "timestamp" IS NOT NULL{notnull}),
+c AS (SELECT {k}epoch_us(t) - epoch_us(p) AS diff_us, count(*) AS cnt FROM d WHERE p IS NOT NULL
+      GROUP BY {k}epoch_us(t) - epoch_us(p)),
+m AS (SELECT {k}diff_us AS mode_us FROM (
+        SELECT {k}diff_us, row_number() OVER ({part}ORDER BY cnt DESC, diff_us ASC) AS rn FROM c) WHERE rn = 1),
+st AS (SELECT {k}count(*) AS n, min(t) AS f, max(t) AS l FROM d {grp}),
+sm AS (SELECT st.*, m.mode_us FROM st LEFT JOIN m {join_on}),
+e AS (SELECT {k}n, CAST(CASE WHEN n < 2 THEN n WHEN mode_us IS NULL OR mode_us <= 0 THEN n
+                  ELSE floor((epoch_us(l) - epoch_us(f)) / mode_us + 1) END AS BIGINT) AS expected FROM sm)"""
+
+
+@oracle("modal_interval")
+def _():
+    return with_(METRICS, _intervals("metrics", "server_id")) + \
+        "SELECT server_id, mode_us / 1000000 AS mode_seconds FROM sm"
+
+
+def _completeness_sql(key):
+    k = f"{key}, " if key else ""
+    return f"""SELECT {k}expected, n AS actual,
+  CASE WHEN expected > 0 THEN {r('n / expected * 100', 2)} ELSE 0.0 END AS completeness_pct FROM e"""
+
+
+@oracle("completeness_by_server")
+def _():
+    return with_(METRICS, _intervals("metrics", "server_id")) + _completeness_sql("server_id")
+
+
+@oracle("completeness_total")
+def _():
+    return with_(METRICS, _intervals("metrics", None)) + _completeness_sql(None)
+
+
+@oracle("client_completeness")
+def _():
+    return with_(LOGS, _intervals("logs", "client_ip")) + _completeness_sql("client_ip")
+
+
+# ---------------------------------------------------------------- anomalies
+EV_COLS = ["cpu_usage", "memory_usage", "response_time_ms", "error_rate"]
+
+
+@oracle("anomalies_zscore")
+def _():
+    stats = ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS s{i}" for i, c in enumerate(EV_COLS))
+    hit = " OR ".join(f"coalesce(CASE WHEN s{i} <> 0 THEN abs(({c} - m{i}) / s{i}) END > 3, false)"
+                      for i, c in enumerate(EV_COLS))
+    return with_(METRICS_EV) + f""", s AS (SELECT {stats} FROM metrics_ev)
+SELECT DISTINCT metrics_ev.* FROM metrics_ev, s WHERE {hit}"""
+
+
+def _quartiles():
+    return ", ".join(f"quantile_cont({c}, 0.25) AS q1_{i}, quantile_cont({c}, 0.75) AS q3_{i}"
+                     for i, c in enumerate(EV_COLS))
+
+
+@oracle("anomalies_iqr")
+def _():
+    hit = " OR ".join(
+        f"coalesce({c} < q1_{i} - 1.5 * (q3_{i} - q1_{i}) OR {c} > q3_{i} + 1.5 * (q3_{i} - q1_{i}), false)"
+        for i, c in enumerate(EV_COLS))
+    return with_(METRICS_EV) + f""", q AS (SELECT {_quartiles()} FROM metrics_ev)
+SELECT DISTINCT metrics_ev.* FROM metrics_ev, q WHERE {hit}"""
+
+
+@oracle("iqr_fences")
+def _():
+    parts = [f"""SELECT '{c}' AS "column", q1_{i} AS q1, q3_{i} AS q3, q3_{i} - q1_{i} AS iqr,
+  q1_{i} - 1.5 * (q3_{i} - q1_{i}) AS lower, q3_{i} + 1.5 * (q3_{i} - q1_{i}) AS upper FROM q"""
+             for i, c in enumerate(EV_COLS)]
+    return with_(METRICS_EV) + f", q AS (SELECT {_quartiles()} FROM metrics_ev)\n" + "\nUNION ALL\n".join(parts)
+
+
+# ---------------------------------------------------------------- inference
+@oracle("anova")
+def _():
+    # F(4, d2) survival function in closed form (k = 5 groups):
+    #   x = d2 / (d2 + 4F), a = d2 / 2, sf = x^a (1 + a (1 - x))
+    return with_(METRICS_EV) + f""", g AS (
+  SELECT server_id, count(*) AS n, avg(cpu_usage) AS m, var_samp(cpu_usage) AS v
+  FROM metrics_ev WHERE server_id IS NOT NULL AND cpu_usage IS NOT NULL GROUP BY 1),
+t AS (SELECT count(*) AS k, sum(n) AS N, sum(n * m) / sum(n) AS gm FROM g),
+f AS (SELECT k, N, (SELECT sum(n * (m - gm) * (m - gm)) FROM g) / (k - 1)
+                 / ((SELECT sum((n - 1) * v) FROM g) / (N - k)) AS fs FROM t),
+x AS (SELECT *, (N - k) / ((N - k) + 4 * fs) AS xx, (N - k) / 2.0 AS a FROM f)
+SELECT {r('fs', 4)} AS f_statistic, {r('pow(xx, a) * (1 + a * (1 - xx))', 4)} AS p_value,
+  pow(xx, a) * (1 + a * (1 - xx)) > 0.05 AS homogeneous,
+  CAST(k - 1 AS BIGINT) AS df_between, CAST(N - k AS BIGINT) AS df_within FROM x WHERE k = 5"""
+
+
+@oracle("kruskal_wallis")
+def _():
+    # chi-square(4) survival function in closed form: exp(-h/2) (1 + h/2)
+    return with_(METRICS_EV) + f""", d AS (
+  SELECT server_id, cpu_usage AS v FROM metrics_ev WHERE server_id IS NOT NULL AND cpu_usage IS NOT NULL),
+rk AS (SELECT server_id, v, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rnk FROM d),
+g AS (SELECT server_id, sum(rnk) AS R, count(*) AS n FROM rk GROUP BY 1),
+ties AS (SELECT sum(pow(c, 3) - c) AS tt FROM (SELECT count(*) AS c FROM d GROUP BY v)),
+tot AS (SELECT CAST(count(*) AS DOUBLE) AS N FROM d),
+h AS (SELECT (12.0 / (N * (N + 1)) * (SELECT sum(R * R / n) FROM g) - 3 * (N + 1))
+             / (1 - (SELECT tt FROM ties) / (N * N * N - N)) AS h,
+             (SELECT count(*) FROM g) AS k FROM tot)
+SELECT {r('h', 4)} AS h_statistic, {r('exp(-h / 2) * (1 + h / 2)', 4)} AS p_value,
+  exp(-h / 2) * (1 + h / 2) > 0.05 AS homogeneous, CAST(k - 1 AS BIGINT) AS df FROM h WHERE k = 5"""
+
+
+@oracle("confidence_intervals")
+def _():
+    # Student-t 0.975 quantile by the Cornish-Fisher expansion around the
+    # normal quantile z (accurate to ~1e-10 for the ~1e4 degrees of freedom here)
+    z = "CAST(1.959963984540054 AS DOUBLE)"
+    t = (f"({z} + ({z}^3 + {z}) / (4 * nu) + (5 * {z}^5 + 16 * {z}^3 + 3 * {z}) / (96 * nu^2)"
+         f" + (3 * {z}^7 + 19 * {z}^5 + 17 * {z}^3 - 15 * {z}) / (384 * nu^3)"
+         f" + (79 * {z}^9 + 776 * {z}^7 + 1482 * {z}^5 - 1920 * {z}^3 - 945 * {z}) / (92160 * nu^4))")
+    parts = [f"SELECT '{c}' AS metric, count({c}) AS n, avg({c}) AS m, stddev_samp({c}) AS s FROM metrics_ev"
+             for c in EV_COLS]
+    return with_(METRICS_EV) + f""", a AS ({" UNION ALL ".join(parts)}),
+b AS (SELECT *, CAST(n - 1 AS DOUBLE) AS nu FROM a WHERE n >= 2),
+c AS (SELECT *, {t} AS t, s / sqrt(n) AS se FROM b),
+d AS (SELECT *, t * se AS moe FROM c)
+SELECT metric, {r('m', 4)} AS mean, {r('s', 4)} AS std_dev, CAST(n AS BIGINT) AS sample_size,
+  0.95 AS confidence_level, {r('t', 4)} AS t_critical, {r('se', 4)} AS standard_error,
+  {r('moe', 4)} AS margin_of_error, {r('m - moe', 4)} AS ci_lower, {r('m + moe', 4)} AS ci_upper,
+  {r('CASE WHEN m <> 0 THEN moe / m * 100 ELSE 0.0 END', 2)} AS relative_error_percent FROM d"""
+
+
+PAIRS = """pairs AS (
+  SELECT o.o_orderkey AS seq, l.p / 1000 AS predicted, o.o_totalprice / 1000 AS actual
+  FROM orders o LEFT JOIN (
+    SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS p
+    FROM lineitem GROUP BY l_orderkey) l ON o.o_orderkey = l.l_orderkey)"""
+
+
+@oracle("error_metrics")
+def _():
+    return with_(PAIRS) + f""", e AS (
+  SELECT seq, predicted - actual AS e, actual AS a FROM pairs
+  WHERE predicted IS NOT NULL AND actual IS NOT NULL AND NOT isnan(predicted) AND NOT isnan(actual)),
+l AS (SELECT *, lag(e) OVER (ORDER BY seq) AS pe FROM e)
+SELECT count(*) AS n, {r('avg(abs(e))', 4)} AS mae, {r('avg(e * e)', 4)} AS mse,
+  {r('sqrt(avg(e * e))', 4)} AS rmse,
+  {r('avg(CASE WHEN a <> 0 THEN abs(e / a) END) * 100', 4)} AS mape,
+  {r('CASE WHEN var_pop(a) * count(a) <> 0 THEN 1 - sum(e * e) / (var_pop(a) * count(a)) END', 4)} AS r_squared,
+  {r('CASE WHEN count(*) > 1 AND sum(e * e) <> 0 THEN sum((e - pe) * (e - pe)) / sum(e * e) END', 4)} AS durbin_watson
+FROM l HAVING count(*) > 0"""

@@ -14,9 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.operators import aggregations as A
+from loadlens.operators import anomalies as T
+from loadlens.operators import clustering as K
 from loadlens.operators import filters as P
+from loadlens.operators import inference as I
+from loadlens.operators import timeseries as W
 from loadlens.functions import logparse as LP
-from loadlens.sources.views import access_log_lines_view, logs_view, metrics_ev_view, metrics_view
+from loadlens.sources.views import access_log_lines_view, forecast_pairs_view, logs_view, metrics_ev_view, metrics_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,3 +79,24 @@ query("parse_access_log")(lambda s, d: LP.parse_access_log(access_log_lines_view
 query("parse_errors")(lambda s, d: LP.parse_errors(access_log_lines_view(s, d))
                       .groupBy("reason").agg(F.count(F.lit(1)).alias("lines")))
 query("parse_nginx_rt")(lambda s, d: LP.parse_access_log(access_log_lines_view(s, d), "nginx_rt"))
+
+# ---------------------------------------------------------------- time series
+query("hourly_resample")(lambda s, d: W.hourly_resample(E(s, d)))
+query("forecast_load")(lambda s, d: W.forecast_load(E(s, d), hours=6))
+query("modal_interval")(lambda s, d: W.modal_interval(M(s, d)))
+query("completeness_by_server")(lambda s, d: W.completeness_by_server(M(s, d)))
+query("completeness_total")(lambda s, d: W.completeness_total(M(s, d)))
+query("client_completeness")(lambda s, d: W.completeness_by_server(L(s, d), key="client_ip"))
+
+# ---------------------------------------------------------------- anomalies
+query("anomalies_zscore")(lambda s, d: T.anomalies_zscore(E(s, d), 3.0))
+query("anomalies_iqr")(lambda s, d: T.anomalies_iqr(E(s, d)))
+query("iqr_fences")(lambda s, d: T.iqr_fences(E(s, d)))
+
+# ---------------------------------------------------------------- inference
+query("normality_test")(lambda s, d: I.normality_test(E(s, d)))
+query("anova")(lambda s, d: I.anova(E(s, d)))
+query("kruskal_wallis")(lambda s, d: I.kruskal_wallis(E(s, d)))
+query("confidence_intervals")(lambda s, d: I.confidence_intervals(E(s, d)))
+query("error_metrics")(lambda s, d: I.error_metrics(forecast_pairs_view(s, d)))
+query("cluster_servers")(lambda s, d: K.cluster_servers(M(s, d)))

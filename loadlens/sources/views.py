@@ -100,3 +100,17 @@ def metrics_ev_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("user_id") % 10) / 2).cast("double").alias("error_rate"),
         F.col("event_id").alias("seq"),
     )
+
+
+def forecast_pairs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted vs actual pairs, in thousands: an order's total price
+    predicted from its line items (price x (1 - discount) x (1 + tax)) vs
+    the recorded total.  Orders without lines have no prediction (NULL)."""
+    lines = (table(spark, sf_dir, "lineitem")
+             .groupBy("l_orderkey")
+             .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
+                  .alias("_pred")))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
+        F.col("o_orderkey").alias("seq"), (F.col("_pred") / 1000).alias("predicted"),
+        (F.col("o_totalprice") / 1000).alias("actual"))
