@@ -67,6 +67,7 @@ def interval_stats(df: DataFrame, keys: Sequence[str] = ("server_id",), ts: str
                                      F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
     zeros = (per_ts.where(F.col("_c") > 1)
                    .groupBy(*keys).agg(F.sum(F.col("_c") - 1).alias("_cnt"))
+                   .where(F.col("_cnt") > 0)          # a global agg of no rows yields one NULL row
                    .withColumn("diff_us", F.lit(0).cast("bigint")))
     steps = (with_prev(per_ts.select(*keys, ts), keys, ts, [ts])
              .where(F.col("prev_" + ts).isNotNull())

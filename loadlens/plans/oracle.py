@@ -562,3 +562,108 @@ SELECT count(*) AS n, {r('avg(abs(e))', 4)} AS mae, {r('avg(e * e)', 4)} AS mse,
   {r('CASE WHEN var_pop(a) * count(a) <> 0 THEN 1 - sum(e * e) / (var_pop(a) * count(a)) END', 4)} AS r_squared,
   {r('CASE WHEN count(*) > 1 AND sum(e * e) <> 0 THEN sum((e - pe) * (e - pe)) / sum(e * e) END', 4)} AS durbin_watson
 FROM l HAVING count(*) > 0"""
+
+
+# ---------------------------------------------------------------- composites
+def long_sql(inner: str, section: str, subject: str | None, metrics: list[str]) -> str:
+    subj = "CAST(NULL AS VARCHAR)" if subject is None else f"CAST({subject} AS VARCHAR)"
+    return "\nUNION ALL\n".join(
+        f"SELECT '{section}' AS section, {subj} AS subject, '{m}' AS metric, "
+        f"CAST(x.{m} AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM ({inner}) AS x"
+        for m in metrics)
+
+
+@oracle("basic_report")
+def _():
+    fleet = ORACLE["fleet_recommendations"]
+    return "\nUNION ALL\n".join([
+        long_sql(ORACLE["busiest_server"], "busiest_server", "server_id", ["cpu_usage_mean"]),
+        long_sql(ORACLE["peak_hour"], "peak_hour", None, ["hour", "request_count_sum"]),
+        long_sql(ORACLE["cpu_response_corr"], "correlation", None, ["cpu_response_corr"]),
+        f"SELECT 'recommendation' AS section, CAST(NULL AS VARCHAR) AS subject, rule AS metric, "
+        f"CAST(value AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM ({fleet}) AS f"])
+
+
+@oracle("stat_report")
+def _():
+    ci = ["mean", "std_dev", "sample_size", "confidence_level", "t_critical", "standard_error",
+          "margin_of_error", "ci_lower", "ci_upper", "relative_error_percent"]
+    comp = ["expected", "actual", "completeness_pct"]
+    total = with_(METRICS_EV, _intervals("metrics_ev", None)) + _completeness_sql(None)
+    by = with_(METRICS_EV, _intervals("metrics_ev", "server_id")) + _completeness_sql("server_id")
+    return "\nUNION ALL\n".join([
+        long_sql(total, "completeness", "'all'", comp),
+        long_sql(by, "completeness", "server_id", comp),
+        long_sql(ORACLE["kruskal_wallis"], "homogeneity", None, ["h_statistic", "p_value", "homogeneous"]),
+        long_sql(ORACLE["confidence_intervals"], "confidence_intervals", "metric", ci),
+        long_sql(ORACLE["error_metrics"], "error_metrics", None,
+                 ["mae", "mse", "rmse", "mape", "r_squared", "durbin_watson"])])
+
+
+# ---------------------------------------------------------------- sources and sinks
+@oracle("compact")
+def _():
+    return with_(METRICS) + "SELECT * FROM metrics"
+
+
+@oracle("load_metrics")
+def _():
+    return with_(METRICS) + "SELECT * FROM metrics"
+
+
+@oracle("load_logs")
+def _():
+    return with_(LOGS) + "SELECT * FROM logs"
+
+
+@oracle("csv_roundtrip")
+def _():
+    return with_(METRICS) + "SELECT * FROM metrics"
+
+
+@oracle("hybrid_sources")
+def _():
+    return with_(METRICS, METRICS_EV) + """SELECT 'metrics' AS source, count(*) AS "rows" FROM metrics
+UNION ALL SELECT 'metrics_ev', count(*) FROM metrics_ev"""
+
+
+@oracle("chunk_summary")
+def _():
+    return with_(METRICS) + f"""SELECT CAST(count(*) AS BIGINT) AS "rows", {r('avg(cpu_usage)', 6)} AS avg_cpu,
+  max(response_time_ms) AS max_response FROM metrics"""
+
+
+@oracle("chunk_apply")
+def _():
+    return with_(METRICS) + """SELECT *, CASE WHEN cpu_usage IS NULL THEN NULL WHEN cpu_usage <= 30 THEN 'low'
+  WHEN cpu_usage <= 70 THEN 'normal' WHEN cpu_usage <= 90 THEN 'high' ELSE 'critical' END AS load_level
+FROM metrics"""
+
+
+@oracle("logs_metrics_join")
+def _():
+    return with_(LOGS, METRICS_EV) + f""", lg AS (
+  SELECT date_trunc('hour', "timestamp") AS bucket, count(*) AS requests,
+         count(CASE WHEN response_code >= 400 THEN 1 END) AS errors,
+         {r('avg(response_time_ms)', 4)} AS response_time_ms_mean
+  FROM logs WHERE "timestamp" IS NOT NULL GROUP BY 1),
+mt AS (SELECT date_trunc('hour', "timestamp") AS bucket, {r('avg(cpu_usage)', 4)} AS cpu_usage_mean,
+              max(cpu_usage) AS cpu_usage_max FROM metrics_ev WHERE "timestamp" IS NOT NULL GROUP BY 1)
+SELECT * FROM lg JOIN mt USING (bucket)"""
+
+
+# ---------------------------------------------------------------- streaming
+@oracle("stream_alerts")
+def _():
+    return with_(METRICS_EV) + """SELECT "timestamp", server_id, 'cpu' AS rule, cpu_usage AS value FROM metrics_ev
+WHERE cpu_usage > 90
+UNION ALL SELECT "timestamp", server_id, 'error_rate', error_rate FROM metrics_ev WHERE error_rate > 5
+UNION ALL SELECT "timestamp", server_id, 'response_time', response_time_ms FROM metrics_ev
+WHERE response_time_ms > 500"""
+
+
+@oracle("stream_hourly")
+def _():
+    return with_(METRICS_EV) + f"""SELECT date_trunc('hour', "timestamp") AS hour, server_id, count(*) AS events,
+  {r('avg(cpu_usage)', 6)} AS cpu_usage_mean, max(cpu_usage) AS cpu_usage_max
+FROM metrics_ev WHERE "timestamp" IS NOT NULL GROUP BY 1, 2"""

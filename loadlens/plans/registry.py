@@ -15,12 +15,20 @@ from pyspark.sql import functions as F
 
 from loadlens.operators import aggregations as A
 from loadlens.operators import anomalies as T
+from loadlens.operators import chunks as U
 from loadlens.operators import clustering as K
+from loadlens.operators import correlate as J
 from loadlens.operators import filters as P
 from loadlens.operators import inference as I
 from loadlens.operators import timeseries as W
 from loadlens.functions import logparse as LP
-from loadlens.sources.views import access_log_lines_view, forecast_pairs_view, logs_view, metrics_ev_view, metrics_view
+from loadlens.functions.numeric import np_round
+from loadlens.plans import reports as R
+from loadlens.session import scratch_dir
+from loadlens.sources import readers as S
+from loadlens.sources import sinks as SK
+from loadlens.streaming import alerts as D
+from loadlens.sources.views import access_log_lines_view, forecast_pairs_view, metrics_ev_from, table, logs_view, metrics_ev_view, metrics_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,3 +108,61 @@ query("kruskal_wallis")(lambda s, d: I.kruskal_wallis(E(s, d)))
 query("confidence_intervals")(lambda s, d: I.confidence_intervals(E(s, d)))
 query("error_metrics")(lambda s, d: I.error_metrics(forecast_pairs_view(s, d)))
 query("cluster_servers")(lambda s, d: K.cluster_servers(M(s, d)))
+
+# ---------------------------------------------------------------- composites
+query("basic_report")(lambda s, d: R.basic_report(M(s, d)))
+query("advanced_report")(lambda s, d: R.advanced_report(E(s, d)))
+query("homogeneity")(lambda s, d: R.homogeneity(E(s, d)))
+query("stat_report")(lambda s, d: R.stat_report(E(s, d), forecast_pairs_view(s, d)))
+
+
+# ---------------------------------------------------------------- sources and sinks
+@query("compact")
+def _compact(s, d):
+    src = scratch_dir(s, "compact-src")
+    SK.write_parquet(M(s, d).repartition(8), src)           # a multi-file input
+    return SK.compact(s, src, scratch_dir(s, "compact-dest"), target_file_mb=64)
+
+
+@query("load_metrics")
+def _load_metrics(s, d):
+    path = scratch_dir(s, "server_metrics")
+    SK.load_table(M(s, d), path, "month")
+    return SK.load_table(M(s, d), path, "month")             # second load replaces the first
+
+
+@query("load_logs")
+def _load_logs(s, d):
+    path = scratch_dir(s, "access_logs")
+    SK.load_table(L(s, d), path, "day")
+    return SK.load_table(L(s, d), path, "day")
+
+
+@query("csv_roundtrip")
+def _csv_roundtrip(s, d):
+    path = scratch_dir(s, "metrics-csv")
+    SK.write_csv(M(s, d), path)
+    return S.read_metrics_csv(s, path)
+
+
+@query("storage_footprint")
+def _storage_footprint(s, d):
+    return SK.storage_footprint(M(s, d), scratch_dir(s, "footprint")).select("format", "bytes", "ratio")
+
+
+query("hybrid_sources")(lambda s, d: S.source_counts({"metrics": M(s, d), "metrics_ev": E(s, d)}))
+query("chunk_summary")(lambda s, d: U.chunk_summary(M(s, d)).select(
+    "rows", np_round("avg_cpu", 6).alias("avg_cpu"), "max_response"))
+query("chunk_apply")(lambda s, d: U.load_level(M(s, d)))
+query("logs_metrics_join")(lambda s, d: J.logs_metrics_join(L(s, d), E(s, d)))
+
+
+# ---------------------------------------------------------------- streaming
+def _event_stream(s, d):
+    schema = table(s, d, "events").schema
+    ev = s.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    return metrics_ev_from(ev)
+
+
+query("stream_alerts")(lambda s, d: D.run_alerts(s, _event_stream(s, d)))
+query("stream_hourly")(lambda s, d: D.run_hourly(s, _event_stream(s, d)))

@@ -39,7 +39,11 @@ def _props_k() -> F.Column:
 
 def logs_view(spark: SparkSession, sf_dir: str, with_k: bool = False) -> DataFrame:
     """``access_logs`` from ``events``: one user = one client address."""
-    ev = table(spark, sf_dir, "events")
+    return logs_from(table(spark, sf_dir, "events"), with_k)
+
+
+def logs_from(ev: DataFrame, with_k: bool = False) -> DataFrame:
+    """The ``logs`` projection of an ``events`` frame (batch or streaming)."""
     extra = [_props_k().alias("k")] if with_k else []
     return ev.select(
         F.col("ts").alias("timestamp"),
@@ -89,7 +93,11 @@ def metrics_ev_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second metrics stand-in from ``events`` with five large groups
     (``event_type`` as the server) and a long-tailed ``cpu_usage``; used by
     the anomaly and inference operators."""
-    ev = table(spark, sf_dir, "events")
+    return metrics_ev_from(table(spark, sf_dir, "events"))
+
+
+def metrics_ev_from(ev: DataFrame) -> DataFrame:
+    """The ``metrics_ev`` projection of an ``events`` frame (batch or streaming)."""
     k = F.regexp_extract(F.col("props"), r'"k": *(-?[0-9.]+)', 1)
     return ev.select(
         F.col("ts").alias("timestamp"),
