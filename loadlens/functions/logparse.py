@@ -36,27 +36,48 @@ _FIELDS = {
 PATTERNS = {"main": MAIN_PATTERN, "nginx_rt": NGINX_RT_PATTERN, "common": COMMON_PATTERN}
 
 
-def _strip(c: Column) -> Column:
-    # Python's str.strip(): all surrounding whitespace, not only spaces
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+# The characters Python's ``str.strip()`` removes (Unicode
+# whitespace), as a Java regex class.
+_PY_SPACE = r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0  -     　]"
+_SEP, _MARK = "\u0001", "\u0002"
 
 
-def _group(line: Column, pattern: str, idx: int) -> Column:
-    return F.regexp_extract(line, "^" + pattern, idx)
+def _ngroups(pattern: str) -> int:
+    import re
+    return re.compile(pattern).groups
 
 
 def _dash_to_null(c: Column) -> Column:
     return F.when(c != F.lit("-"), c)
 
 
+def _evaluate_once(df: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
+    """Compute ``cols`` in a Generate step.  Catalyst collapses consecutive
+    projections and would then re-evaluate an expensive expression (the line
+    regex) once per field that reads it; a Generate is never collapsed."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(k) for k, c in cols.items()]))))
+
+
 def parse_lines(lines: DataFrame, fmt: str = "main", value_col: str = "value",
                 keep_cols: tuple[str, ...] = ()) -> DataFrame:
     """Add ``_status`` ('ok', 'blank', 'no_match', 'bad_timestamp') and the
-    typed access-log columns to a frame of raw lines."""
+    typed access-log columns to a frame of raw lines.
+
+    One regex pass per line: the anchored pattern (after the leading
+    whitespace that ``strip()`` would remove; trailing text allowed) is
+    replaced by a marker plus all groups joined by a separator, which is then
+    split into an array."""
     pat, g = PATTERNS[fmt], _FIELDS[fmt]
-    line = _strip(F.col(value_col))
-    matched = line.rlike("^" + pat)
-    grp = lambda name: _group(line, pat, g[name])
+    n = _ngroups(pat)
+    repl = _MARK + _SEP.join(f"${i}" for i in range(1, n + 1))
+    raw = F.col(value_col)
+    keep = list(keep_cols) + [value_col]
+    p = _evaluate_once(lines, keep, _blank=raw.rlike("^" + _PY_SPACE + "*$"),
+                       _packed=F.regexp_replace(raw, "^" + _PY_SPACE + "*" + pat + "(?s:.*)$", repl))
+    packed = F.col("_packed")
+    p = _evaluate_once(p, keep + ["_blank"], _g=F.when(
+        F.startswith(packed, F.lit(_MARK)), F.split(F.substring(packed, 2, 1 << 30), _SEP, -1)))
+    grp = lambda name: F.col("_g")[g[name] - 1]
     # first whitespace-separated token of the bracketed time (zone dropped)
     ts_text = F.regexp_extract(grp("time"), r"^\s*(\S+)", 1)
     ts = F.try_to_timestamp(ts_text, F.lit(TIME_FORMAT)).cast("timestamp_ntz")
@@ -79,12 +100,12 @@ def parse_lines(lines: DataFrame, fmt: str = "main", value_col: str = "value",
         cols["remote_user"] = _dash_to_null(grp("remote_user"))
     if "x_forwarded_for" in g:
         cols["x_forwarded_for"] = _dash_to_null(grp("x_forwarded_for"))
-    status = (F.when(line == F.lit(""), F.lit("blank"))
-               .when(~matched, F.lit("no_match"))
-               .when(ts.isNull(), F.lit("bad_timestamp"))
+    typed = _evaluate_once(p, keep + ["_blank", "_g"], **cols)
+    status = (F.when(F.col("_blank"), F.lit("blank"))
+               .when(F.col("_g").isNull(), F.lit("no_match"))
+               .when(F.col("timestamp").isNull(), F.lit("bad_timestamp"))
                .otherwise(F.lit("ok")))
-    return lines.select(*keep_cols, F.col(value_col), status.alias("_status"),
-                        *[c.alias(n) for n, c in cols.items()])
+    return typed.withColumn("_status", status).drop("_blank", "_g")
 
 
 ACCESS_LOG_COLUMNS = ["timestamp", "client_ip", "request_method", "endpoint", "response_code",
