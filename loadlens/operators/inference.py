@@ -22,6 +22,7 @@ from loadlens.functions.distributions import (chi2_sf_col, f_sf_col, norm_ppf, n
 from loadlens.functions.numeric import np_round
 from loadlens.operators.ordered import value_counts, with_cum_count, with_prev
 from loadlens.schemas import METRIC_COLUMNS
+from loadlens.session import materialize
 
 SHAPIRO_MIN_N, SHAPIRO_MAX_N = 3, 5000
 
@@ -154,10 +155,12 @@ def kruskal_wallis(df: DataFrame, column: str = "cpu_usage", key: str = "server_
     counts from :func:`with_cum_count` (no single-partition window), then a
     rank-sum per group.  One row; none for fewer than two non-empty groups."""
     data = df.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(key, F.col(column).alias("v"))
-    totals = with_cum_count(value_counts(data, [], "v"), [], "v")
+    # (group, value, count) written once; the value totals and rank sums read it
+    per_group = materialize(value_counts(data, [key], "v"))
+    totals = with_cum_count(per_group.groupBy("v").agg(F.sum("cnt").alias("cnt")), [], "v")
     ranks = totals.select("v", (F.col("cum_before") + (F.col("cnt") + 1) / 2.0).alias("rank"),
                           F.col("cnt").alias("t"), F.col("group_n").alias("_total"))
-    per = value_counts(data, [key], "v").join(ranks, "v")
+    per = per_group.join(ranks, "v")
     groups = per.groupBy(key).agg(F.sum(F.col("cnt") * F.col("rank")).alias("R"),
                                   F.sum("cnt").alias("n"), F.first("_total").alias("_total"))
     tie = ranks.agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("_ties"))

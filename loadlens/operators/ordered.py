@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadlens.session import materialize
+
 DEFAULT_BUCKETS = 64
 
 
@@ -25,7 +27,7 @@ def _bucketed(df: DataFrame, keys: Sequence[str], order: str, buckets: int) -> D
     its group.  Equal ``order`` values always land in the same bucket."""
     fracs = [i / buckets for i in range(1, buckets)]
     bounds = (df.groupBy(*keys) if keys else df.groupBy())\
-        .agg(F.percentile_approx(order, fracs, 10_000).alias("_bounds"))
+        .agg(F.percentile_approx(order, fracs, 1_000).alias("_bounds"))
     if keys:
         tagged = df.join(bounds, list(keys), "left")
     else:
@@ -36,12 +38,15 @@ def _bucketed(df: DataFrame, keys: Sequence[str], order: str, buckets: int) -> D
 
 
 def with_cum_count(counts: DataFrame, keys: Sequence[str], order: str,
-                   count_col: str = "cnt", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   count_col: str = "cnt", buckets: int = DEFAULT_BUCKETS,
+                   checkpoint: bool = True) -> DataFrame:
     """For a table of distinct ``(keys, order)`` rows with a multiplicity
     ``count_col``, add ``cum_before`` (rows of the group strictly before this
-    value) and ``group_n`` (rows of the group)."""
+    value) and ``group_n`` (rows of the group).  The input is read by three
+    branches (boundaries, windows, bucket totals); ``checkpoint`` writes it
+    once first."""
     keys = list(keys)
-    t = _bucketed(counts, keys, order, buckets)
+    t = _bucketed(materialize(counts) if checkpoint else counts, keys, order, buckets)
     w_local = Window.partitionBy(*keys, "_bkt").orderBy(order)\
         .rowsBetween(Window.unboundedPreceding, -1)
     t = t.withColumn("_local", F.coalesce(F.sum(count_col).over(w_local), F.lit(0)))
@@ -60,12 +65,14 @@ def with_cum_count(counts: DataFrame, keys: Sequence[str], order: str,
 
 
 def with_prev(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
-              buckets: int = DEFAULT_BUCKETS, prefix: str = "prev_") -> DataFrame:
+              buckets: int = DEFAULT_BUCKETS, prefix: str = "prev_",
+              checkpoint: bool = True) -> DataFrame:
     """Add ``prev_<c>`` = value of ``c`` on the previous row of the same group
     in ``order`` (the ``lag`` of a group-wide window).  ``order`` must be
-    unique within a group (collapse duplicates first)."""
+    unique within a group (collapse duplicates first).  The input is read by
+    three branches; ``checkpoint`` writes it once first."""
     keys = list(keys)
-    t = _bucketed(df, keys, order, buckets)
+    t = _bucketed(materialize(df) if checkpoint else df, keys, order, buckets)
     w = Window.partitionBy(*keys, "_bkt").orderBy(order)
     t = t.withColumn("_rn", F.row_number().over(w))
     for c in cols:

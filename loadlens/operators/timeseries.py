@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.numeric import np_round
 from loadlens.operators.ordered import with_prev
+from loadlens.session import materialize
 
 
 def hourly_resample(df: DataFrame, column: str = "cpu_usage", ts: str = "timestamp") -> DataFrame:
@@ -62,20 +63,22 @@ def interval_stats(df: DataFrame, keys: Sequence[str] = ("server_id",), ts: str
     NULL for fewer than two rows."""
     keys = list(keys)
     d = df.where(F.col(ts).isNotNull() & (F.lit(True) if not keys else F.col(keys[0]).isNotNull()))
-    per_ts = d.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_c"))
+    # distinct times with multiplicity, written once: every branch below reads it
+    per_ts = materialize(d.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_c")))
     base = per_ts.groupBy(*keys).agg(F.sum("_c").cast("bigint").alias("n"),
-                                     F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
-    zeros = (per_ts.where(F.col("_c") > 1)
-                   .groupBy(*keys).agg(F.sum(F.col("_c") - 1).alias("_cnt"))
-                   .where(F.col("_cnt") > 0)          # a global agg of no rows yields one NULL row
-                   .withColumn("diff_us", F.lit(0).cast("bigint")))
-    steps = (with_prev(per_ts.select(*keys, ts), keys, ts, [ts])
+                                     F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
+                                     F.sum(F.col("_c") - 1).alias("_zeros"))
+    # c copies of one time are c - 1 zero differences
+    zeros = (base.where(F.col("_zeros") > 0)
+                 .select(*keys, F.lit(0).cast("bigint").alias("diff_us"), F.col("_zeros").alias("_cnt")))
+    steps = (with_prev(per_ts.select(*keys, ts), keys, ts, [ts], checkpoint=False)
              .where(F.col("prev_" + ts).isNotNull())
              .select(*keys, F.timestamp_diff("MICROSECOND", F.col("prev_" + ts), F.col(ts)).alias("diff_us"))
              .groupBy(*keys, "diff_us").agg(F.count(F.lit(1)).alias("_cnt")))
     diffs = steps.unionByName(zeros.select(*keys, "diff_us", "_cnt"))
     mode = diffs.groupBy(*keys).agg(
         F.min_by("diff_us", F.struct(-F.col("_cnt"), F.col("diff_us"))).alias("mode_us"))
+    base = base.drop("_zeros")
     return base.join(mode, keys, "left") if keys else base.crossJoin(mode)
 
 

@@ -65,3 +65,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/loadlens-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and continue from the
+    files (reliable checkpoint: cuts the lineage, survives executor loss).
+    Used for small intermediates that several branches of a plan read, so
+    the source is scanned once instead of once per branch."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
