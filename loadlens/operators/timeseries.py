@@ -65,7 +65,7 @@ def interval_stats(df: DataFrame, keys: Sequence[str] = ("server_id",), ts: str
     d = df.where(F.col(ts).isNotNull() & (F.lit(True) if not keys else F.col(keys[0]).isNotNull()))
     # distinct times with multiplicity, written once: every branch below reads it
     per_ts = materialize(d.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_c")))
-    base = per_ts.groupBy(*keys).agg(F.sum("_c").cast("bigint").alias("n"),
+    base = per_ts.groupBy(*keys).agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("n"),
                                      F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
                                      F.sum(F.col("_c") - 1).alias("_zeros"))
     # c copies of one time are c - 1 zero differences
