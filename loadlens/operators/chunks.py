@@ -44,7 +44,7 @@ def chunk_summaries(df: DataFrame) -> DataFrame:
     Chunk boundaries depend on the physical layout."""
     cols = [c for c in ("cpu_usage", "response_time_ms") if c in df.columns]
     s = chunk_apply(df.select(*cols) if cols else df.select(F.lit(1).alias("_one")), _summarise, _SUMMARY)
-    return s.select("rows", F.coalesce(F.col("cpu_sum") / F.col("cpu_count"), F.lit(0.0)).alias("avg_cpu"),
+    return s.select("rows", F.coalesce(F.try_divide(F.col("cpu_sum"), F.col("cpu_count")), F.lit(0.0)).alias("avg_cpu"),
                     F.coalesce("max_response", F.lit(0.0)).alias("max_response"),
                     "cpu_sum", "cpu_count")
 
