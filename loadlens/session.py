@@ -34,6 +34,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("LOADLENS_DRIVER_MEMORY", "16g"),
     }

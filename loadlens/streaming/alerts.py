@@ -52,19 +52,31 @@ def run_alerts(spark: SparkSession, stream: DataFrame, out: str | None = None,
 
 
 def run_hourly(spark: SparkSession, stream: DataFrame, out: str | None = None,
-               checkpoint: str | None = None) -> DataFrame:
-    """Hourly windows in ``complete`` mode (state = one row per window and
-    server); every micro-batch rewrites the result folder, so after draining
-    it holds all windows, including those the watermark has not closed."""
+               checkpoint: str | None = None, mode: str = "complete",
+               watermark: str = "2 hours") -> DataFrame:
+    """Hourly windows per server.
+
+    * ``mode="complete"`` (draining a bounded input): every micro-batch
+      rewrites the result folder, so afterwards it holds all windows,
+      including those the watermark has not closed yet.
+    * ``mode="append"`` (a continuous stream): each window is appended once,
+      when the watermark passes its end; state for closed windows is dropped.
+    """
     out = out or scratch_dir(spark, "hourly-out")
     checkpoint = checkpoint or scratch_dir(spark, "hourly-ckpt")
+    shaped = lambda df: df.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "server_id", "events",
+                                  np_round("cpu_usage_mean", 6).alias("cpu_usage_mean"), "cpu_usage_max")
+    if mode == "append":
+        q = (shaped(hourly_load(stream, watermark)).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", checkpoint).outputMode("append")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return spark.read.parquet(out)
 
     def sink(batch: DataFrame, _epoch: int) -> None:
-        (batch.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "server_id", "events",
-                      np_round("cpu_usage_mean", 6).alias("cpu_usage_mean"), "cpu_usage_max")
-              .write.mode("overwrite").parquet(out))
+        shaped(batch).write.mode("overwrite").parquet(out)
 
-    q = (hourly_load(stream).writeStream.outputMode("complete").foreachBatch(sink)
+    q = (hourly_load(stream, watermark).writeStream.outputMode("complete").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out)
