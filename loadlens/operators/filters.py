@@ -87,7 +87,7 @@ def validate(df: DataFrame, required_columns: Sequence[str] | None = None,
              check_null: bool = True) -> DataFrame:
     """Data-quality validation as rows ``(check, severity, column, value)``.
 
-    * a missing required column -> ``error`` (the frame is invalid);
+    * a missing required column -> ``error`` (the frame is invalid; value 0);
     * an empty frame -> ``warning``;
     * NULL counts for columns with at least one NULL -> ``warning`` (skipped
       on an empty frame);
@@ -102,7 +102,7 @@ def validate(df: DataFrame, required_columns: Sequence[str] | None = None,
                  for i, c in enumerate(df.columns)]
     stats = df.agg(*aggs)
     rows = [F.struct(F.lit("missing_column").alias("check"), F.lit("error").alias("severity"),
-                     F.lit(c).alias("column"), F.lit(None).cast("bigint").alias("value"))
+                     F.lit(c).alias("column"), F.lit(0).cast("bigint").alias("value"))
             for c in missing]
     rows.append(F.when(F.col("_rows") == 0, F.struct(
         F.lit("empty").alias("check"), F.lit("warning").alias("severity"),

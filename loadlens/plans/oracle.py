@@ -107,7 +107,7 @@ def _():
     cols = ["timestamp", "server_id", "cpu_usage", "memory_usage", "disk_io", "network_traffic",
             "request_count", "error_rate", "response_time_ms"]
     parts = ["SELECT 'missing_column' AS \"check\", 'error' AS severity, 'host' AS \"column\", "
-             "CAST(NULL AS BIGINT) AS value"]
+             "CAST(0 AS BIGINT) AS value"]
     for c in cols:
         parts.append(f"SELECT 'null_values', 'warning', '{c}', CAST(count(*) - count(\"{c}\") AS BIGINT) "
                      f"FROM metrics HAVING count(*) - count(\"{c}\") > 0")
