@@ -241,21 +241,24 @@ def response_histogram(df: DataFrame, column: str = "response_time_ms", bins: in
                        key: str = "server_id") -> DataFrame:
     """Per-group equal-width histogram (edges from the group's min/max, last
     bin right-closed; a constant group uses ``[x-0.5, x+0.5]``).  Returns
-    ``(key, bin, lo, hi, count)`` for non-empty bins."""
-    data = df.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(key, column)
-    rng = data.groupBy(key).agg(F.min(column).alias("_mn"), F.max(column).alias("_mx"))
+    ``(key, bin, lo, hi, count)`` for non-empty bins.  Rows are collapsed to
+    ``(key, value, count)`` first, so a hot group reaches the join as one row
+    per distinct value."""
+    vc = (df.where(F.col(key).isNotNull() & F.col(column).isNotNull())
+            .groupBy(key, column).agg(F.count(F.lit(1)).alias("_c")))
+    rng = vc.groupBy(key).agg(F.min(column).alias("_mn"), F.max(column).alias("_mx"))
     rng = rng.select(key,
                      F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5).alias("_lo"),
                      F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     b = F.least(F.floor((F.col(column) - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
-    return (data.join(rng, key)          # one small row per group; AQE picks the strategy
-                .groupBy(key, b.alias("bin"), "_lo", "_hi")
-                .agg(F.count(F.lit(1)).alias("count"))
-                .select(key, "bin",
-                        np_round(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("bin") / bins, 6).alias("lo"),
-                        np_round(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("bin") + 1) / bins, 6).alias("hi"),
-                        "count"))
+    return (vc.join(rng, key)            # one small row per group; AQE picks the strategy
+              .groupBy(key, b.alias("bin"), "_lo", "_hi")
+              .agg(F.sum("_c").alias("count"))
+              .select(key, "bin",
+                      np_round(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("bin") / bins, 6).alias("lo"),
+                      np_round(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("bin") + 1) / bins, 6).alias("hi"),
+                      "count"))
 
 
 def null_profile(df: DataFrame, by=("server_id",), columns=None) -> DataFrame:

@@ -79,3 +79,17 @@ def test_golden_confidence_intervals(golden):
         r = ci[m]
         assert (r.mean, r.margin_of_error, r.ci_lower, r.ci_upper, r.relative_error_percent) == (mean, moe, lo, hi, rel)
         assert r.t_critical == 1.9638 and r.sample_size == 613
+
+
+def test_common_log_format(spark):
+    df = lines(spark, ['127.0.0.1 - frank [10/Oct/2000:13:55:36 -0700] "GET /apache_pb.gif HTTP/1.0" 200 2326',
+                       'host.example - - [01/Jul/1995:00:00:01 -0400] "GET /history/ HTTP/1.0" 304 -'])
+    rows = LP.parse_access_log(df, "common").orderBy("timestamp").collect()
+    assert [r.endpoint for r in rows] == ["/history/", "/apache_pb.gif"]
+    assert rows[0].response_size == 0 and rows[1].remote_user == "frank" and rows[0].remote_user is None
+    assert rows[1].timestamp == dt.datetime(2000, 10, 10, 13, 55, 36)
+
+
+def test_drop_missing(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (float("nan"), 1.0), (None, 1.0), (3.0, None)], "p double, a double")
+    assert P.drop_missing(df, ["p", "a"]).count() == 1
