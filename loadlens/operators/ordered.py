@@ -19,34 +19,40 @@ from pyspark.sql import functions as F
 
 from loadlens.session import materialize
 
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = 64                 # most ranges per group
+DEFAULT_ROWS_PER_BUCKET = 1_000_000  # a group gets one range per this many rows
 
 
-def _bucketed(df: DataFrame, keys: Sequence[str], order: str, buckets: int) -> DataFrame:
+def _bucketed(df: DataFrame, keys: Sequence[str], order: str, buckets: int,
+              rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """Tag every row with ``_bkt``: the index of its ``order`` range within
-    its group.  Equal ``order`` values always land in the same bucket."""
+    its group.  A group of n rows gets ``min(buckets, ceil(n / rows_per_bucket))``
+    ranges (small groups one), cut at approximate quantiles.  The index is
+    monotone in ``order``, and equal values always share a range."""
     fracs = [i / buckets for i in range(1, buckets)]
     bounds = (df.groupBy(*keys) if keys else df.groupBy())\
-        .agg(F.percentile_approx(order, fracs, 1_000).alias("_bounds"))
+        .agg(F.percentile_approx(order, fracs, 1_000).alias("_bounds"), F.count(F.lit(1)).alias("_n"))
     if keys:
         tagged = df.join(bounds, list(keys), "left")
     else:
         # one row of (buckets - 1) boundaries: size is fixed by the parameter
         tagged = df.crossJoin(F.broadcast(bounds))
-    return tagged.withColumn(
-        "_bkt", F.expr(f"size(filter(_bounds, b -> b < `{order}`))")).drop("_bounds")
+    raw = F.expr(f"size(filter(_bounds, b -> b < `{order}`))")
+    ranges = F.least(F.lit(buckets), F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_bucket))))
+    return tagged.withColumn("_bkt", F.floor(raw * ranges / F.lit(buckets)).cast("int"))\
+        .drop("_bounds", "_n")
 
 
 def with_cum_count(counts: DataFrame, keys: Sequence[str], order: str,
                    count_col: str = "cnt", buckets: int = DEFAULT_BUCKETS,
-                   checkpoint: bool = True) -> DataFrame:
+                   checkpoint: bool = True, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """For a table of distinct ``(keys, order)`` rows with a multiplicity
     ``count_col``, add ``cum_before`` (rows of the group strictly before this
     value) and ``group_n`` (rows of the group).  The input is read by three
     branches (boundaries, windows, bucket totals); ``checkpoint`` writes it
     once first."""
     keys = list(keys)
-    t = _bucketed(materialize(counts) if checkpoint else counts, keys, order, buckets)
+    t = _bucketed(materialize(counts) if checkpoint else counts, keys, order, buckets, rows_per_bucket)
     w_local = Window.partitionBy(*keys, "_bkt").orderBy(order)\
         .rowsBetween(Window.unboundedPreceding, -1)
     t = t.withColumn("_local", F.coalesce(F.sum(count_col).over(w_local), F.lit(0)))
@@ -66,13 +72,13 @@ def with_cum_count(counts: DataFrame, keys: Sequence[str], order: str,
 
 def with_prev(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
               buckets: int = DEFAULT_BUCKETS, prefix: str = "prev_",
-              checkpoint: bool = True) -> DataFrame:
+              checkpoint: bool = True, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """Add ``prev_<c>`` = value of ``c`` on the previous row of the same group
     in ``order`` (the ``lag`` of a group-wide window).  ``order`` must be
     unique within a group (collapse duplicates first).  The input is read by
     three branches; ``checkpoint`` writes it once first."""
     keys = list(keys)
-    t = _bucketed(materialize(df) if checkpoint else df, keys, order, buckets)
+    t = _bucketed(materialize(df) if checkpoint else df, keys, order, buckets, rows_per_bucket)
     w = Window.partitionBy(*keys, "_bkt").orderBy(order)
     t = t.withColumn("_rn", F.row_number().over(w))
     for c in cols:
@@ -97,13 +103,14 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float], names: Sequence[str] | None = None,
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int = DEFAULT_BUCKETS, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas/NumPy default):
     position ``h = (n-1)p``; ``x[floor h] + (h - floor h)(x[ceil h] - x[floor h])``.
     One row per group: ``keys..., n, <names>``."""
     keys = list(keys)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    c = with_cum_count(value_counts(df, keys, value), keys, value, "cnt", buckets)
+    c = with_cum_count(value_counts(df, keys, value), keys, value, "cnt", buckets,
+                       rows_per_bucket=rows_per_bucket)
     lo_hi = []
     aggs = [F.max("group_n").alias("n")]
     for p, name in zip(probs, names):
