@@ -73,6 +73,8 @@ def access_log_lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     point, 4 the web server's own ``rt=`` layout, 5 a blank line; every
     other event gives a well-formed line of the parser's layout."""
     lg = logs_view(spark, sf_dir, with_k=True)
+    # evaluate the props regex once (read by every branch below)
+    lg = lg.select(*[c for c in lg.columns if c != "k"], F.inline(F.array(F.struct(F.col("k").alias("k")))))
     k = F.col("k")
     day = F.date_format("timestamp", "dd/MMM/yyyy")
     clock = F.date_format("timestamp", "HH:mm:ss")
