@@ -5,10 +5,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF001
+from loadlens.plans.registry import QUERIES as CORE
 from oracle_compare import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {k: v for k, v in entry.queries().items() if k in CORE}
+ORACLES = {k: v for k, v in entry.oracle_sql().items() if k in CORE}
 
 
 @pytest.fixture(scope="module")
