@@ -15,6 +15,21 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_outliers(spark, sf_dir):
+    from loadlens.llm.outliers import judge
+    return judge(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark, sf_dir):
+    from loadlens.llm.toxicity import toxicity_scores
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_paragraphs(spark, sf_dir):
+    from loadlens.llm.paragraph_dedup import repeated_paragraphs
+    return repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark, sf_dir):
     from loadlens.llm.mixing import mix_documents
     return mix_documents(table(spark, sf_dir, "documents"))
@@ -25,6 +40,16 @@ def op5_decontaminate(spark, sf_dir):
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_html(spark, sf_dir):
+    from loadlens.llm.html_text import extract_text
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op7_language(spark, sf_dir):
+    from loadlens.llm.language_id import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op8_token_ids(spark, sf_dir):
     from loadlens.llm.token_output import token_corpus
     return token_corpus(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -40,5 +65,5 @@ def op10_simhash(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op5_decontaminate, op8_token_ids, op9_quality, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_outliers, op2_toxicity, op3_paragraphs, op4_mixing, op5_decontaminate, op6_html, op7_language, op8_token_ids, op9_quality, op10_simhash)}
 ORACLE = ORACLE_SQL
