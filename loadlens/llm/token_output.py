@@ -11,11 +11,14 @@ the end, so a lost executor leaves no half shard.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +26,9 @@ from loadlens.llm.common import parts_of
 from loadlens.session import scratch_dir
 
 END_ID = 2
+STEP_ROWS = 4_000        # rows encoded together
 SAMPLE = 512            # entries between two sampled select positions
-CACHE_WORDS = 300_000   # words whose ids a worker remembers (affects time only)
+CACHE_PIECES = 400_000  # pieces whose ids a worker remembers (affects time only)
 
 
 class EliasFano:
@@ -81,55 +85,90 @@ class EliasFano:
 
 # ---- encoding -------------------------------------------------------------
 
+#: The normaliser and pieces for which words can be encoded alone.
+_STEPS = ["NFC", "Replace", "Lowercase"]
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters up to U+00FF, then ASCII signs: one piece of each.
+_SIMPLE = r"^(?P<head>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]*)(?P<tail>[!-/:-@\[-`{-~]*)$"
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level alphabet as a translation of characters up to U+00FF: a
+    character's UTF-8 bytes, printable ones as they are, the others as the
+    characters from U+0100 on in byte order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
+
+
 class WordEncoder:
-    """Whole texts to ids with the ``tokenizers`` library.  Its normaliser turns
-    white space into one space and none of its pieces cross a space, so a
-    text's ids are its words' ids in order; each distinct word is encoded once
-    and remembered.  Texts with a control character that Python counts as
-    white space and the library does not are encoded whole."""
+    """Whole texts to ids with the ``tokenizers`` library.
+
+    Its normaliser turns white space into one space and no piece crosses a
+    space, so a text's ids are its words' ids in order.  The distinct words of a
+    batch are found by Arrow.  A word of Latin letters and trailing signs is two
+    pieces, which the library's model encodes directly and the encoder
+    remembers; any other word takes the library's whole path.  Under a tokenizer
+    of another make all texts do."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.code: dict[str, int] = {}
-        self.ids, self.start, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        ids = self._ids(words)
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        for w in words:
-            self.code[w] = len(self.code)
-        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(n) - n])
-        self.length = np.concatenate([self.length, n])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in ids for i in x), np.uint32, int(n.sum()))])
+        made = json.loads(self.tokenizer.to_str())
+        steps = [x.get("type") for x in (made["normalizer"] or {}).get("normalizers", [])]
+        cuts = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.by_word = steps == _STEPS and cuts[0].get("pattern") == {"Regex": _PIECES}
+        self.letters, self.known = _byte_letters(), {"": []}
+
+    def _pieces(self, pieces: list[str]) -> list[list[int]]:
+        if len(self.known) > CACHE_PIECES:
+            self.known = {"": []}
+        known, tokenize = self.known, self.tokenizer.model.tokenize
+        out = list(map(known.get, pieces))
+        for i, ids in enumerate(out):
+            if ids is None:
+                p = pieces[i]
+                out[i] = known[p] = [t.id for t in tokenize(p if p.isascii() else p.translate(self.letters))]
+        return out
 
-    def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def _units(self, words: pa.Array) -> tuple[list[list[int]], np.ndarray]:
+        """Distinct units of ids, and the two units of each word."""
+        parts = pc.extract_regex(words, _SIMPLE)
+        head, tail = (pc.dictionary_encode(x) for x in (pc.utf8_lower(pc.struct_field(parts, "head")), pc.struct_field(parts, "tail")))
+        units = self._pieces(head.dictionary.to_pylist() + tail.dictionary.to_pylist())
+        pair = np.stack([pc.fill_null(head.indices, -1).to_numpy(), pc.fill_null(tail.indices, -1).to_numpy()], 1).astype(np.int64)
+        pair[:, 1] += len(head.dictionary)
+        rest = np.flatnonzero(pair[:, 0] < 0)
+        units.append([])
+        pair[rest] = len(units) - 1
+        pair[rest, 0] = len(units) + np.arange(len(rest))
+        units += [e.ids for e in self.tokenizer.encode_batch_fast(words.take(pa.array(rest)).to_pylist(), add_special_tokens=False)]
+        return units, pair
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with ``end_id`` after it, and their numbers."""
-        if len(self.code) > CACHE_WORDS:
-            self._forget()
-        per = [[] if not t else [t] if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        flat = [w for ws in per for w in ws]
-        new = list(dict.fromkeys(w for w in flat if w not in self.code))
-        if new:
-            self._learn(new)
-        code = np.fromiter(map(self.code.__getitem__, flat), np.int64, len(flat))
-        size = np.fromiter(map(len, per), np.int64, len(per))
-        n = self.length[code]
-        # where each word's and each end id goes
-        doc = np.repeat(np.arange(len(per)), size)
-        at = np.cumsum(n) - n + doc
-        out = np.empty(int(n.sum()) + len(per), np.uint32)
-        upto = np.concatenate([[0], np.cumsum(n)])[np.cumsum(size)]
-        ends = upto + np.arange(len(per))
-        out[ends] = end_id
-        inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        out[np.repeat(at, n) + inner] = self.ids[np.repeat(self.start[code], n) + inner]
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if self.by_word:
+            words = pc.ascii_split_whitespace(texts)
+            size = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+            distinct = pc.dictionary_encode(words.flatten())
+            units, pair = self._units(distinct.dictionary)
+            unit = pair[distinct.indices.to_numpy()].ravel()
+            size = size * 2
+        else:
+            units = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            unit, size = np.arange(len(units)), np.ones(len(units), np.int64)
+        length = np.fromiter(map(len, units), np.int64, len(units))
+        ids = np.fromiter(chain.from_iterable(units), np.uint32, int(length.sum()))
+        start, n = (np.cumsum(length) - length)[unit], length[unit]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        ends = upto[np.cumsum(size)] + np.arange(len(size))
+        out = np.full(int(upto[-1]) + len(size), end_id, np.uint32)
+        word = np.ones(len(out), bool)
+        word[ends] = False
+        out[word] = ids[np.repeat(start - upto[:-1], n) + np.arange(upto[-1])]
         return out, np.diff(np.concatenate([[-1], ends]))
 
 
@@ -174,9 +213,9 @@ def _write_shards(folder: str, tokenizer: str, end_id: int, wide: bool):
         with fs.open_output_stream(tmp + ".ids") as out:
             for b in batches:
                 encoder = encoder or WordEncoder(tokenizer)
-                for s in range(0, b.num_rows, 500):
-                    part = b.slice(s, 500)
-                    ids, n = encoder.encode(part.column(1).to_pylist(), end_id)
+                for s in range(0, b.num_rows, STEP_ROWS):
+                    part = b.slice(s, STEP_ROWS)
+                    ids, n = encoder.encode(part.column(1), end_id)
                     out.write(ids.astype(kind).tobytes())
                     lengths.append(n)
                     doc_ids.append(part.column(0))
