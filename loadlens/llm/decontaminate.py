@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +43,32 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower() if text.isascii() else text.translate(_LOWER))
 
 
+#: Bytes of UTF-8 text: A-Z lower-cased, what separates words as a space.  All
+#: separators are single bytes, so places do not move.
+_BYTES = bytes(i + 32 if 65 <= i <= 90 else i if i >= 0x80 or 48 <= i <= 57 or 97 <= i <= 122 else 32 for i in range(256))
+STEP_ROWS = 4_000   # documents cut into words together
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of a batch of texts: for each text the place of its first word (and
+    the end), for each word its code, and the distinct words by code."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "").take(pa.array(np.arange(len(texts))))
+    _, offsets, data = texts.buffers()
+    flat = pa.py_buffer(data.to_pybytes().translate(_BYTES) if data else b"")
+    words = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), len(texts), [None, offsets, flat]))
+    every = words.flatten()
+    full = pc.not_equal(every, "").to_numpy(zero_copy_only=False)  # leading and trailing separators leave empty words
+    size = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(full)])[np.cumsum(size)]
+    coded = pc.dictionary_encode(every.filter(pa.array(full)))
+    return np.concatenate([[0], ends]), coded.indices.to_numpy(), coded.dictionary
+
+
+def _steps(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for s in range(0, b.num_rows, STEP_ROWS):
+        yield b.slice(s, STEP_ROWS)
+
+
 def _block_items(block: DataFrame) -> list[tuple[str, list[str]]]:
     return [("" if r[0] is None else str(r[0]), words_of(r[1])) for r in block.collect()]
 
@@ -62,11 +89,11 @@ def word_counts(docs: DataFrame, vocabulary: list[str], text: str = "text") -> d
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, n = order.value, np.zeros(len(order.value), np.int64)
         for b in batches:
-            found = []
-            for t in b.column(0):
-                found += filter(None.__ne__, map(at.get, words_of(t.as_py())))
-            if found:
-                n += np.bincount(np.array(found), minlength=len(n))
+            for part in _steps(b):
+                _, codes, distinct = split_words(part.column(0))
+                place = np.array([at.get(w, -1) for w in distinct.to_pylist()], np.int64)
+                ours = np.flatnonzero(place >= 0)
+                n[place[ours]] += np.bincount(codes, minlength=len(place))[ours]
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], names=["w", "n"])
 
@@ -83,17 +110,29 @@ def prefix_index(windows: dict[tuple[str, ...], set[str]], counts: dict[str, int
     return dict(index)
 
 
-def find_windows(words: list[str], index: dict) -> tuple[list[tuple[int, int]], set[str]]:
-    """Places (start, length) of occurring windows, and their items."""
-    places, items, n = set(), set(), len(words)
-    for p, w in enumerate(words):
-        if w in index:
-            for offset, window, of in index[w]:
-                start = p - offset
-                if start >= 0 and start + len(window) <= n and words[start] == window[0] and words[start:start + len(window)] == window:
-                    places.add((start, len(window)))
-                    items.update(of)
-    return sorted(places), items
+def find_windows(starts: np.ndarray, codes: np.ndarray, distinct: pa.Array, index: dict) -> dict[int, tuple[list, set]]:
+    """Texts with occurring windows -> word spans [start, end) and items."""
+    words = distinct.to_pylist()
+    prefix = np.fromiter((w in index for w in words), bool, len(words))
+    places = np.flatnonzero(prefix[codes])
+    if not len(places):
+        return {}
+    code = {w: i for i, w in enumerate(words)}
+    coded: dict[int, list] = {}  # prefix word -> windows whose words all occur in this batch
+    out: dict[int, tuple[list, set]] = {}
+    docs = np.searchsorted(starts, places, side="right") - 1
+    for p, d in zip(places.tolist(), docs.tolist()):
+        c = int(codes[p])
+        if c not in coded:
+            coded[c] = [(o, np.array([code[w] for w in window]), items) for o, window, items in index[words[c]] if all(w in code for w in window)]
+        low, high = int(starts[d]), int(starts[d + 1])
+        for offset, window, items in coded[c]:
+            s = p - offset
+            if s >= low and s + len(window) <= high and np.array_equal(codes[s:s + len(window)], window):
+                spans, found = out.setdefault(d, ([], set()))
+                spans.append((s - low, s - low + len(window)))
+                found.update(items)
+    return out
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -139,20 +178,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, column: str = "fou
 def _scan(index, text: str, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = index.value
-        for b in batches:
-            place, names = b.schema.get_field_index(column), b.schema.names
-            rows = []
-            for t, old in zip(b.column(names.index(text)), b.column(place)):
-                words = words_of(t.as_py())
-                spans, items = find_windows(words, at)
-                spans = [(s, s + n) for s, n in spans]
-                if old.is_valid:
-                    was = old.as_py()
-                    spans += [tuple(x) for x in was["spans"]]
-                    items |= set(was["items"])
-                rows.append({"n_words": len(words), "spans": [list(x) for x in merged(spans)], "items": sorted(items)})
-            new = pa.array(rows, type=b.schema.field(place).type)
-            yield pa.RecordBatch.from_arrays([new if i == place else c for i, c in enumerate(b.columns)], names=names)
+        for whole in batches:
+            for b in _steps(whole):
+                place, names = b.schema.get_field_index(column), b.schema.names
+                starts, codes, distinct = split_words(b.column(names.index(text)))
+                found = find_windows(starts, codes, distinct, at)
+                rows = [{"n_words": n, "spans": [], "items": []} for n in np.diff(starts).tolist()]
+                for i, (spans, items) in found.items():
+                    rows[i] |= {"spans": [list(x) for x in merged(spans)], "items": sorted(items)}
+                old = b.column(place)
+                if old.null_count < len(old):  # an earlier block's
+                    for row, was in zip(rows, old.to_pylist()):
+                        row["spans"] = [list(x) for x in merged(row["spans"] + was["spans"])]
+                        row["items"] = sorted({*row["items"], *was["items"]})
+                new = pa.array(rows, type=b.schema.field(place).type)
+                yield pa.RecordBatch.from_arrays([new if i == place else c for i, c in enumerate(b.columns)], names=names)
     return run
 
 
