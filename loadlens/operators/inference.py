@@ -11,20 +11,18 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loadlens.functions.distributions import (chi2_sf_col, f_sf_col, norm_ppf, norm_sf,
-                                              t_ppf_col)
-from loadlens.functions.numeric import np_round
+from loadlens.functions.distributions import chi2_sf_col, f_sf_col, norm_sf_col, t_ppf_col
+from loadlens.functions.numeric import norm_ppf_col, np_round
+from loadlens.operators.filters import drop_missing
 from loadlens.operators.ordered import value_counts, with_cum_count, with_prev
 from loadlens.schemas import METRIC_COLUMNS
 from loadlens.session import materialize
 
-SHAPIRO_MIN_N, SHAPIRO_MAX_N = 3, 5000
+SHAPIRO_MIN_N, SHAPIRO_MAX_N = 3, 5000   # sizes for which AS R94 defines a p-value
+TIE_STEP = 100_000                      # ranks of one value spread out at a time
 
 # Polynomial coefficients of Royston's Shapiro-Wilk
 # approximation (Applied Statistics algorithm AS R94, 1995).
@@ -37,92 +35,77 @@ SW_C6 = [-0.4803, -0.082676, 0.0030302]
 SW_G = [-2.273, 0.459]
 
 
-def _poly(c: Sequence[float], x: float) -> float:
-    out = 0.0
+def _poly(c: Sequence[float], x: Column) -> Column:
+    out = F.lit(0.0)
     for coef in reversed(c):
-        out = out * x + coef
+        out = out * x + F.lit(float(coef))
     return out
 
 
-def shapiro_wilk(x: np.ndarray) -> tuple[float, float]:
-    """W statistic and p-value for 3 <= n <= 5000 (AS R94)."""
-    x = np.sort(np.asarray(x, dtype="float64"))
-    n = len(x)
-    if n < 3:
-        return math.nan, math.nan
-    half = n // 2
-    if n == 3:
-        a = np.array([math.sqrt(0.5)])
-    else:
-        m = np.array([norm_ppf((i - 0.375) / (n + 0.25)) for i in range(1, half + 1)])
-        summ2 = 2.0 * float(np.sum(m * m))
-        ssumm2 = math.sqrt(summ2)
-        rsn = 1.0 / math.sqrt(n)
-        a1 = _poly(SW_C1, rsn) - m[0] / ssumm2
-        a = -m.copy()
-        if n > 5:
-            a2 = -m[1] / ssumm2 + _poly(SW_C2, rsn)
-            fac = math.sqrt((summ2 - 2.0 * m[0] ** 2 - 2.0 * m[1] ** 2) / (1.0 - 2.0 * a1 ** 2 - 2.0 * a2 ** 2))
-            a = a / fac
-            a[1] = a2
-        else:
-            fac = math.sqrt((summ2 - 2.0 * m[0] ** 2) / (1.0 - 2.0 * a1 ** 2))
-            a = a / fac
-        a[0] = a1
-    rng = x[-1] - x[0]
-    if rng < 1e-19:
-        return math.nan, math.nan
-    # full antisymmetric coefficient vector; W = squared correlation with x
-    coef = np.zeros(n)
-    coef[:half] = -a
-    coef[n - half:] = a[::-1]
-    xs = x / rng
-    ca, cx = coef - coef.mean(), xs - xs.mean()
-    ssa, ssx, sax = float(ca @ ca), float(cx @ cx), float(ca @ cx)
-    root = math.sqrt(ssa * ssx)
-    w1 = (root - sax) * (root + sax) / (ssa * ssx)
-    w = 1.0 - w1
-    if n == 3:
-        p = (6.0 / math.pi) * (math.asin(math.sqrt(w)) - math.pi / 3.0)
-        return w, max(p, 0.0)
-    y = math.log(w1)
-    lnn = math.log(n)
-    if n <= 11:
-        gamma = _poly(SW_G, n)
-        if y >= gamma:
-            return w, 1e-99
-        y = -math.log(gamma - y)
-        mu, sd = _poly(SW_C3, n), math.exp(_poly(SW_C4, n))
-    else:
-        mu, sd = _poly(SW_C5, lnn), math.exp(_poly(SW_C6, lnn))
-    return w, norm_sf((y - mu) / sd)
-
-
-_SW_SCHEMA = T.StructType([T.StructField("server_id", T.StringType()),
-                           T.StructField("n", T.LongType()),
-                           T.StructField("statistic", T.DoubleType()),
-                           T.StructField("p_value", T.DoubleType())])
+def _score(rank: Column, n: Column) -> Column:
+    """Expected normal order statistic of a rank (Blom)."""
+    return norm_ppf_col((rank - 0.375) / (n + 0.25))
+
+
+def _ranked_sums(ranks: DataFrame) -> DataFrame:
+    """Per server, sums over all ranks of score * value and score^2.  A value
+    with many copies has many ranks: beyond ``TIE_STEP`` they are dealt out in
+    steps to other tasks."""
+    first, last = F.col("cum_before") + 1, F.col("cum_before") + F.col("cnt")
+    few = ranks.where(F.col("cnt") <= TIE_STEP).select("server_id", "group_n", "d", F.explode(F.sequence(first, last)).alias("i"))
+    many = ranks.where(F.col("cnt") > TIE_STEP).select("server_id", "group_n", "d", last.alias("last"),
+                                                       F.explode(F.sequence(first, last, F.lit(TIE_STEP).cast("bigint"))).alias("lo"))
+    many = many.repartition("server_id", "lo").select(
+        "server_id", "group_n", "d", F.explode(F.sequence("lo", F.least(F.col("lo") + TIE_STEP - 1, F.col("last")))).alias("i"))
+    m = _score(F.col("i"), F.col("group_n"))
+    return few.unionAll(many).select("server_id", "d", m.alias("m")).groupBy("server_id").agg(
+        F.sum(F.col("m") * F.col("d")).alias("mx"), F.sum(F.col("m") * F.col("m")).alias("mm"))
 
 
 def normality_test(df: DataFrame, column: str = "cpu_usage", key: str = "server_id") -> DataFrame:
-    """Shapiro-Wilk per group for groups of 3..5000 values (others get no
-    row, as in the reference).  Group sizes are counted first, so only
-    bounded groups (<= 5000 values) reach a Python worker."""
-    data = df.where(F.col(key).isNotNull() & F.col(column).isNotNull())\
-        .select(F.col(key).cast("string").alias("server_id"), F.col(column).cast("double").alias("v"))
-    sizes = data.groupBy("server_id").agg(F.count(F.lit(1)).alias("_n"))
-    ok = sizes.where(F.col("_n").between(SHAPIRO_MIN_N, SHAPIRO_MAX_N)).select("server_id")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_wilk(pdf["v"].to_numpy())
-        return pd.DataFrame({"server_id": [pdf["server_id"].iloc[0]], "n": [len(pdf)],
-                             "statistic": [w], "p_value": [p]})
-
-    out = data.join(ok, "server_id", "left_semi").groupBy("server_id").applyInPandas(run, _SW_SCHEMA)
-    return out.select(F.col("server_id").alias(key), "n",
-                      np_round("statistic", 4).alias("statistic"),
-                      np_round("p_value", 4).alias("p_value"),
-                      (F.col("p_value") > 0.05).alias("is_normal"))
+    """Shapiro-Wilk W for every group of three values or more, whatever its size,
+    from the table of order statistics: one row per group with ``n, statistic,
+    p_value, is_normal``, sample ``skewness`` and (excess) ``kurtosis``, the
+    Jarque-Bera ``jb_p_value`` and a ``reason`` where there is no p-value
+    ("n > 5000": AS R94 defines none; "n < 3"; "constant").  NaN values count as
+    missing."""
+    data = drop_missing(df.select(F.col(key).cast("string").alias("server_id"), F.col(column).cast("double").alias("v")), ["server_id", "v"])
+    moments = materialize(data.groupBy("server_id").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.var_pop("v").alias("var"), F.skewness("v").alias("skewness"),
+        F.kurtosis("v").alias("kurtosis")))
+    ranks = materialize(with_cum_count(value_counts(data, ["server_id"], "v"), ["server_id"], "v")
+                        .join(moments.select("server_id", "mean"), "server_id").withColumn("d", F.col("v") - F.col("mean")))
+    at = lambda r: F.max(F.when((F.col("cum_before") < r) & (r <= F.col("cum_before") + F.col("cnt")), F.col("d")))
+    ends = ranks.groupBy("server_id").agg(at(F.lit(1)).alias("x1"), at(F.lit(2)).alias("x2"), at(F.col("group_n") - 1).alias("y2"),
+                                          at(F.col("group_n")).alias("y1"))
+    s = moments.join(ends, "server_id").join(_ranked_sums(ranks), "server_id")
+    n = F.col("n").cast("double")
+    # scores of the two least ranks, and the weights of the two ends
+    s = s.withColumn("m1", _score(F.lit(1.0), n)).withColumn("m2", _score(F.lit(2.0), n)).withColumn("root", F.sqrt("mm"))
+    s = s.withColumn("a1", F.when(n > 3, _poly(SW_C1, 1 / F.sqrt(n)) - F.try_divide(F.col("m1"), F.col("root"))).otherwise(F.lit(0.5 ** 0.5)))
+    s = s.withColumn("a2", F.when(n > 5, F.try_divide(-F.col("m2"), F.col("root")) + _poly(SW_C2, 1 / F.sqrt(n))).otherwise(F.lit(0.0)))
+    two = (n > 5).cast("double")
+    left = F.col("mm") - 2 * F.col("m1") * F.col("m1") - 2 * two * F.col("m2") * F.col("m2")
+    s = s.withColumn("fac", F.sqrt(F.try_divide(left, 1 - 2 * F.col("a1") * F.col("a1") - 2 * F.col("a2") * F.col("a2"))))
+    inner = F.col("mx") - F.col("m1") * (F.col("x1") - F.col("y1")) - two * F.col("m2") * (F.col("x2") - F.col("y2"))
+    part = F.when(n > 3, F.try_divide(inner, F.col("fac"))).otherwise(F.lit(0.0))
+    fit = part + F.col("a1") * (F.col("y1") - F.col("x1")) + two * F.col("a2") * (F.col("y2") - F.col("x2"))
+    s = s.withColumn("W", F.when((F.col("n") >= SHAPIRO_MIN_N) & (F.col("var") > 0), F.least(F.try_divide(fit * fit, n * F.col("var")), F.lit(1.0))))
+    ln, y = F.log(n), F.log(F.greatest(1 - F.col("W"), F.lit(1e-300)))
+    gamma = _poly(SW_G, n)
+    small = (-F.log(F.greatest(gamma - y, F.lit(1e-300))) - _poly(SW_C3, n)) / F.exp(_poly(SW_C4, n))
+    large = (y - _poly(SW_C5, ln)) / F.exp(_poly(SW_C6, ln))
+    z = F.when(n <= 11, F.when(y < gamma, small).otherwise(F.lit(40.0))).otherwise(large)
+    three = F.greatest(F.lit(6 / math.pi) * (F.asin(F.sqrt("W")) - math.pi / 3), F.lit(0.0))
+    defined = F.col("W").isNotNull() & (F.col("n") <= SHAPIRO_MAX_N)
+    s = s.withColumn("z", F.when(defined & (n > 3), z))
+    s = s.withColumn("p", F.when(defined, F.when(n == 3, three).otherwise(norm_sf_col(F.col("z")))))
+    jb = n / 6 * (F.col("skewness") * F.col("skewness") + F.col("kurtosis") * F.col("kurtosis") / 4)
+    reason = F.when(F.col("n") < SHAPIRO_MIN_N, "n < 3").when(F.col("var") <= 0, "constant").when(F.col("n") > SHAPIRO_MAX_N, "n > 5000")
+    return s.select(F.col("server_id").alias(key), "n", np_round("W", 4).alias("statistic"), np_round("p", 4).alias("p_value"),
+                    (F.col("p") > 0.05).alias("is_normal"), np_round(F.when(F.col("var") > 0, F.col("skewness")), 4).alias("skewness"),
+                    np_round(F.when(F.col("var") > 0, F.col("kurtosis")), 4).alias("kurtosis"),
+                    np_round(F.when(F.col("var") > 0, F.exp(-jb / 2)), 4).alias("jb_p_value"), reason.alias("reason"))
 
 
 def _group_moments(df: DataFrame, column: str, key: str) -> DataFrame:
@@ -132,16 +115,18 @@ def _group_moments(df: DataFrame, column: str, key: str) -> DataFrame:
 
 
 def anova(df: DataFrame, column: str = "cpu_usage", key: str = "server_id") -> DataFrame:
-    """One-way ANOVA F test across groups (one row; none for < 2 groups)."""
-    g = _group_moments(df, column, key)
-    s = g.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"),
-              F.sum(F.col("n") * F.col("m")).alias("_sum"),
-              F.sum(F.col("n") * F.col("m") * F.col("m")).alias("_sumsq_means"),
-              F.sum(F.coalesce((F.col("n") - 1) * F.col("v"), F.lit(0.0))).alias("ssw"))
-    ssb = F.col("_sumsq_means") - F.col("_sum") * F.col("_sum") / F.col("N")
-    fstat = F.try_divide(ssb / (F.col("k") - 1), F.col("ssw") / (F.col("N") - F.col("k")))
+    """One-way ANOVA F test across groups (one row; none for < 2 groups).  The
+    squares between groups are taken about the grand mean, so values far from
+    zero keep their digits; F is NULL where the within-group part is empty."""
+    g = materialize(_group_moments(df, column, key))        # one row per group
+    mean = g.agg(F.try_divide(F.sum(F.col("n") * F.col("m")), F.sum("n")).alias("grand"))
+    off = F.col("m") - F.col("grand")
+    s = g.crossJoin(F.broadcast(mean)).agg(                  # one row
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"), F.sum(F.col("n") * off * off).alias("ssb"),
+        F.sum(F.coalesce((F.col("n") - 1) * F.col("v"), F.lit(0.0))).alias("ssw"))
+    fstat = F.try_divide(F.try_divide(F.col("ssb"), F.col("k") - 1), F.try_divide(F.col("ssw"), F.col("N") - F.col("k")))
     s = s.where(F.col("k") >= 2).select("k", "N", fstat.alias("_f"))
-    p = f_sf_col(F.col("_f"), F.col("k") - 1, F.col("N") - F.col("k"))
+    p = F.when(F.col("_f").isNotNull(), f_sf_col(F.col("_f"), F.col("k") - 1, F.col("N") - F.col("k")))
     return s.select(np_round("_f", 4).alias("f_statistic"), np_round(p, 4).alias("p_value"),
                     (p > 0.05).alias("homogeneous"),
                     (F.col("k") - 1).cast("bigint").alias("df_between"),
@@ -209,8 +194,7 @@ def error_metrics(pairs: DataFrame, predicted: str = "predicted", actual: str =
     """MAE, MSE, RMSE, MAPE (over actual != 0), R^2 and Durbin-Watson of
     ``predicted - actual`` in ``order``.  Rows with a missing side are
     dropped; absent metrics are NULL; an empty input gives no row."""
-    ok = pairs.where(F.col(predicted).isNotNull() & F.col(actual).isNotNull()
-                     & ~F.isnan(predicted) & ~F.isnan(actual))
+    ok = drop_missing(pairs, [predicted, actual])
     e = ok.select(order, (F.col(predicted) - F.col(actual)).alias("e"), F.col(actual).alias("a"))
     # successive differences of the residual series (range-bucketed lag)
     lagged = with_prev(e, [], order, ["e"])

@@ -3,88 +3,83 @@
 ``Window.orderBy(x)`` with no partition key plans ``Exchange SinglePartition``
 and Spark's exact ``percentile`` merges one value->count map per group in a
 single task; both put a whole table (or a hot group) into one task.  The
-helpers here split each group into value ranges ("buckets") whose boundaries
-come from ``percentile_approx`` over the data, run the window per
-(group, bucket), and stitch buckets together with a tiny per-bucket table
-(groups x buckets rows).  Results are exact; the approximation only decides
-where buckets start, i.e. how evenly the work is spread.
+helpers here range-partition the rows by (group, value) into as many ranges as
+the input needs, run the window per (group, range), and stitch the ranges
+together with a table of their totals.  A hot group spans many ranges, small
+groups share one; equal values always share a range, so results are exact.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.session import materialize
 
-DEFAULT_BUCKETS = 64                 # most ranges per group
-DEFAULT_ROWS_PER_BUCKET = 1_000_000  # a group gets one range per this many rows
-
-
-def _bucketed(df: DataFrame, keys: Sequence[str], order: str, buckets: int,
-              rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """Tag every row with ``_bkt``: the index of its ``order`` range within
-    its group.  A group of n rows gets ``min(buckets, ceil(n / rows_per_bucket))``
-    ranges (small groups one), cut at approximate quantiles.  The index is
-    monotone in ``order``, and equal values always share a range."""
-    fracs = [i / buckets for i in range(1, buckets)]
-    bounds = (df.groupBy(*keys) if keys else df.groupBy())\
-        .agg(F.percentile_approx(order, fracs, 1_000).alias("_bounds"), F.count(F.lit(1)).alias("_n"))
-    if keys:
-        tagged = df.join(bounds, list(keys), "left")
-    else:
-        # one row of (buckets - 1) boundaries: size is fixed by the parameter
-        tagged = df.crossJoin(F.broadcast(bounds))
-    raw = F.expr(f"size(filter(_bounds, b -> b < `{order}`))")
-    ranges = F.least(F.lit(buckets), F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_bucket))))
-    return tagged.withColumn("_bkt", F.floor(raw * ranges / F.lit(buckets)).cast("int"))\
-        .drop("_bounds", "_n")
+DEFAULT_ROWS_PER_RANGE = 1_000_000  # rows of a range; the number of ranges has no limit
+
+
+def ranged(df: DataFrame, keys: Sequence[str], order: str,
+           rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
+    """Rows with ``_bkt``, the number of their (keys, order) range, one range per
+    ``rows_per_range`` rows.  ``_bkt`` grows with ``order`` within a group.  An
+    input of one range takes no shuffle here."""
+    ranges = math.ceil(df.count() / rows_per_range)
+    if ranges <= 1:
+        return df.withColumn("_bkt", F.lit(0))
+    # the range number is the partition number, fixed by writing it
+    return materialize(df.repartitionByRange(ranges, *keys, order).withColumn("_bkt", F.spark_partition_id()))
+
+
+def _totals(t: DataFrame, keys: list[str], count_col: str) -> DataFrame:
+    """Per (group, range): rows before the range (``_boff``), rows of the range,
+    rows of the group (one row for each range of a group)."""
+    w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_bkt")
+    return t.groupBy(*keys, "_bkt").agg(F.sum(count_col).alias("_btot")).select(
+        *keys, "_bkt", "_btot",
+        F.coalesce(F.sum("_btot").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_boff"),
+        F.sum("_btot").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("group_n"))
+
+
+def _cumulated(t: DataFrame, offsets: DataFrame, keys: list[str], order: str, count_col: str) -> DataFrame:
+    local = Window.partitionBy(*keys, "_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (t.withColumn("_local", F.coalesce(F.sum(count_col).over(local), F.lit(0)))
+             .join(offsets, keys + ["_bkt"])
+             .withColumn("cum_before", (F.col("_boff") + F.col("_local")).cast("bigint"))
+             .withColumn("group_n", F.col("group_n").cast("bigint"))
+             .drop("_local", "_boff", "_btot", "_bkt"))
 
 
 def with_cum_count(counts: DataFrame, keys: Sequence[str], order: str,
-                   count_col: str = "cnt", buckets: int = DEFAULT_BUCKETS,
-                   checkpoint: bool = True, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                   count_col: str = "cnt", checkpoint: bool = True,
+                   rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
     """For a table of distinct ``(keys, order)`` rows with a multiplicity
     ``count_col``, add ``cum_before`` (rows of the group strictly before this
-    value) and ``group_n`` (rows of the group).  The input is read by three
-    branches (boundaries, windows, bucket totals); ``checkpoint`` writes it
-    once first."""
+    value) and ``group_n`` (rows of the group).  ``checkpoint`` writes the
+    input first, as several branches read it."""
     keys = list(keys)
-    t = _bucketed(materialize(counts) if checkpoint else counts, keys, order, buckets, rows_per_bucket)
-    w_local = Window.partitionBy(*keys, "_bkt").orderBy(order)\
-        .rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("_local", F.coalesce(F.sum(count_col).over(w_local), F.lit(0)))
-    tot = t.groupBy(*keys, "_bkt").agg(F.sum(count_col).alias("_btot"))
-    w_b = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_bkt")
-    offs = tot.select(
-        *keys, "_bkt",
-        F.coalesce(F.sum("_btot").over(w_b.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_boff"),
-        F.sum("_btot").over(w_b.rowsBetween(Window.unboundedPreceding,
-                                            Window.unboundedFollowing)).alias("group_n"))
-    return (t.join(offs, keys + ["_bkt"], "left")
-             .withColumn("cum_before", (F.col("_boff") + F.col("_local")).cast("bigint"))
-             .withColumn("group_n", F.col("group_n").cast("bigint"))
-             .drop("_local", "_boff", "_bkt"))
+    t = ranged(materialize(counts) if checkpoint else counts, keys, order, rows_per_range)
+    return _cumulated(t, _totals(t, keys, count_col), keys, order, count_col)
 
 
 def with_prev(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
-              buckets: int = DEFAULT_BUCKETS, prefix: str = "prev_",
-              checkpoint: bool = True, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+              prefix: str = "prev_", checkpoint: bool = True,
+              rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
     """Add ``prev_<c>`` = value of ``c`` on the previous row of the same group
-    in ``order`` (the ``lag`` of a group-wide window).  ``order`` must be
-    unique within a group (collapse duplicates first).  The input is read by
-    three branches; ``checkpoint`` writes it once first."""
+    in ``order`` (the ``lag`` of a group-wide window).  Rows of equal ``order``
+    follow each other by ``cols``, so the result does not depend on how the
+    input is partitioned."""
     keys = list(keys)
-    t = _bucketed(materialize(df) if checkpoint else df, keys, order, buckets, rows_per_bucket)
-    w = Window.partitionBy(*keys, "_bkt").orderBy(order)
+    t = ranged(materialize(df) if checkpoint else df, keys, order, rows_per_range)
+    by = [order, *[c for c in cols if c != order]]
+    w = Window.partitionBy(*keys, "_bkt").orderBy(*by)
     t = t.withColumn("_rn", F.row_number().over(w))
     for c in cols:
         t = t.withColumn(f"_lag_{c}", F.lag(c).over(w))
-    tails = t.groupBy(*keys, "_bkt").agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("_last"))
+    tails = t.groupBy(*keys, "_bkt").agg(F.max_by(F.struct(*cols), F.struct(*by)).alias("_last"))
     w_b = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_bkt")
     tails = tails.select(*keys, "_bkt", F.lag("_last").over(w_b).alias("_prev_tail"))
     out = t.join(tails, keys + ["_bkt"], "left")
@@ -103,14 +98,22 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float], names: Sequence[str] | None = None,
-                    buckets: int = DEFAULT_BUCKETS, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                    rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas/NumPy default):
     position ``h = (n-1)p``; ``x[floor h] + (h - floor h)(x[ceil h] - x[floor h])``.
-    One row per group: ``keys..., n, <names>``."""
+    One row per group: ``keys..., n, <names>``.  Only the ranges that hold a
+    wanted position are sorted."""
     keys = list(keys)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    c = with_cum_count(value_counts(df, keys, value), keys, value, "cnt", buckets,
-                       rows_per_bucket=rows_per_bucket)
+    t = ranged(materialize(value_counts(df, keys, value)), keys, value, rows_per_range)
+    offsets = _totals(t, keys, "cnt")
+    held = F.lit(False)
+    for p in probs:
+        for place in (F.floor, F.ceil):
+            at = place((F.col("group_n") - 1) * F.lit(float(p)))
+            held = held | ((F.col("_boff") <= at) & (at < F.col("_boff") + F.col("_btot")))
+    offsets = offsets.where(held)
+    c = _cumulated(t, offsets, keys, value, "cnt")
     lo_hi = []
     aggs = [F.max("group_n").alias("n")]
     for p, name in zip(probs, names):

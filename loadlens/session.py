@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -19,16 +21,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
       wall-clock values, kept as TIMESTAMP_NTZ.
     * ANSI mode stays on (Spark 4 default); operators use ``try_*`` functions
       on anything that comes from data.
-    * AQE with partition coalescing and skew-join splitting: the partition
-      count below is an upper bound that AQE shrinks at runtime.
+    * AQE with partition coalescing and skew-join splitting.
+    * ``master`` and the number of shuffle partitions are left to the cluster's
+      configuration unless given; without any configured master it is local.
     """
-    cores = int(os.environ.get("BENCH_CPUS", "8"))
     builder = SparkSession.builder.appName(app_name)
-    if master or not SparkSession.getActiveSession():
-        builder = builder.master(master or f"local[{cores}]")
+    if master or not (SparkSession.getActiveSession() or SparkConf().get("spark.master", None)):
+        builder = builder.master(master or "local[*]")
     conf = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -38,6 +39,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("LOADLENS_DRIVER_MEMORY", "16g"),
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -50,11 +53,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator must use the folder the cluster names; only when
-    the setting is absent (local tests) is a private temporary one created.
-    """
+    A private temporary folder stands in only on a local master, where driver
+    and executors are one process; on a cluster an unset folder is an error."""
     path = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="loadlens-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, path)
     if not spark.sparkContext.getCheckpointDir():
@@ -71,7 +75,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def materialize(df):
     """Write ``df`` once to the shared checkpoint folder and continue from the
     files (reliable checkpoint: cuts the lineage, survives executor loss).
-    Used for small intermediates that several branches of a plan read, so
-    the source is scanned once instead of once per branch."""
+    Used for intermediates that several branches of a plan read, so the
+    source is scanned once; at most one row per distinct value of the input."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -21,14 +21,14 @@ def skewed(spark):
 
 def test_with_prev_matches_lag(skewed):
     pdf, df = skewed
-    out = with_prev(df, ["k"], "seq", ["v"], buckets=8, rows_per_bucket=100).toPandas().sort_values(["k", "seq"])
+    out = with_prev(df, ["k"], "seq", ["v"], rows_per_range=100).toPandas().sort_values(["k", "seq"])
     ref = pdf.sort_values(["k", "seq"]).assign(prev=lambda d: d.groupby("k")["v"].shift())
     assert np.allclose(out["prev_v"].fillna(-1).to_numpy(), ref["prev"].fillna(-1).to_numpy())
 
 
 def test_with_prev_global(skewed):
     pdf, df = skewed
-    out = with_prev(df, [], "seq", ["v"], buckets=16, rows_per_bucket=100).toPandas().sort_values("seq")
+    out = with_prev(df, [], "seq", ["v"], rows_per_range=100).toPandas().sort_values("seq")
     ref = pdf.sort_values("seq")["v"].shift()
     assert out["prev_v"].isna().sum() == 1
     assert np.allclose(out["prev_v"].fillna(-1).to_numpy(), ref.fillna(-1).to_numpy())
@@ -36,7 +36,7 @@ def test_with_prev_global(skewed):
 
 def test_cum_count_ranks(skewed):
     pdf, df = skewed
-    c = with_cum_count(value_counts(df, ["k"], "v"), ["k"], "v", buckets=8, rows_per_bucket=20).toPandas()
+    c = with_cum_count(value_counts(df, ["k"], "v"), ["k"], "v", rows_per_range=20).toPandas()
     for k, g in pdf.groupby("k"):
         vals = np.sort(g["v"].to_numpy())
         sub = c[c.k == k]
@@ -48,8 +48,7 @@ def test_cum_count_ranks(skewed):
 @pytest.mark.parametrize("probs", [[0.25, 0.5, 0.75], [0.0, 0.1, 1.0]])
 def test_exact_quantiles(skewed, probs):
     pdf, df = skewed
-    q = exact_quantiles(df, ["k"], "v", probs, [f"p{i}" for i in range(len(probs))], buckets=5,
-                          rows_per_bucket=30).toPandas()
+    q = exact_quantiles(df, ["k"], "v", probs, [f"p{i}" for i in range(len(probs))], rows_per_range=30).toPandas()
     for _, row in q.iterrows():
         ref = pdf[pdf.k == row.k]["v"].quantile(probs).to_numpy()
         assert np.allclose([row[f"p{i}"] for i in range(len(probs))], ref, rtol=0, atol=1e-9)
@@ -57,14 +56,27 @@ def test_exact_quantiles(skewed, probs):
 
 def test_partitioning_does_not_change_results(skewed, spark):
     pdf, df = skewed
-    a = with_prev(df.repartition(1), ["k"], "seq", ["v"], buckets=3, rows_per_bucket=10).orderBy("k", "seq").toPandas()
-    b = with_prev(df.repartition(13, "v"), ["k"], "seq", ["v"], buckets=29, rows_per_bucket=10).orderBy("k", "seq").toPandas()
+    a = with_prev(df.repartition(1), ["k"], "seq", ["v"], rows_per_range=10).orderBy("k", "seq").toPandas()
+    b = with_prev(df.repartition(13, "v"), ["k"], "seq", ["v"], rows_per_range=10).orderBy("k", "seq").toPandas()
     pd.testing.assert_frame_equal(a.reset_index(drop=True), b.reset_index(drop=True))
 
 
-def test_small_groups_use_one_range(skewed):
-    from loadlens.operators.ordered import _bucketed
+def test_number_of_ranges_has_no_limit(spark):
+    from loadlens.operators.ordered import ranged
+    df = spark.range(400_000).select(F.lit("hot").alias("k"), F.xxhash64("id").alias("v"))
+    t = ranged(df, ["k"], "v", 1_000).groupBy("_bkt").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    rows = t.orderBy("_bkt").collect()
+    assert 395 <= len(rows) <= 400 and max(r["n"] for r in rows) < 10_000
+    assert all(a["hi"] < b["lo"] for a, b in zip(rows, rows[1:]))
+
+
+def test_small_input_takes_one_range(skewed):
+    from loadlens.operators.ordered import ranged
     pdf, df = skewed
-    t = _bucketed(df, ["k"], "seq", 16, rows_per_bucket=1500).groupBy("k").agg(F.countDistinct("_bkt").alias("r"))
-    r = {row.k: row.r for row in t.collect()}
-    assert r["hot"] == 2 and all(v == 1 for k, v in r.items() if k != "hot")   # 2000 rows vs about 1000
+    assert ranged(df, ["k"], "seq").select("_bkt").distinct().count() == 1
+
+
+def test_equal_order_is_deterministic(spark):
+    df = spark.createDataFrame([(1, float(v)) for v in (3, 1, 2, 2)] + [(2, 5.0)], "seq int, v double")
+    runs = {tuple(map(tuple, with_prev(df.repartition(n), [], "seq", ["v"]).orderBy("seq", "v").collect())) for n in (1, 3, 5)}
+    assert len(runs) == 1

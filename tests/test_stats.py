@@ -4,10 +4,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loadlens.functions import distributions as D
 from loadlens.operators import clustering as K
 from loadlens.operators import inference as I
+from shapiro_plain import shapiro_wilk
 from loadlens.sources.views import metrics_ev_view, metrics_view
 
 SF = "/root/testdata/sf0.01"
@@ -24,26 +26,75 @@ def test_distribution_values():
     assert abs(D.f_sf(f, 4, d2) - x ** a * (1 + a * (1 - x))) < 1e-12
 
 
-def test_shapiro_wilk_behaviour():
-    rng = np.random.default_rng(1)
-    w, p = I.shapiro_wilk(rng.normal(0, 1, 500))
-    assert 0.99 < w <= 1 and p > 0.01
-    w, p = I.shapiro_wilk(rng.exponential(1, 500))
-    assert w < 0.95 and p < 1e-6
-    w, p = I.shapiro_wilk(np.array([1.0, 2.0, 3.0]))       # exact n = 3 case
-    assert abs(w - 1.0) < 1e-12 and abs(p - 1.0) < 1e-6
-    assert math.isnan(I.shapiro_wilk(np.array([2.0, 2.0, 2.0]))[0])
-
-
-def test_shapiro_scale_invariant():
-    x = np.random.default_rng(3).gamma(2.0, 1.0, 200)
-    a, b = I.shapiro_wilk(x), I.shapiro_wilk(10 * x + 7)
-    assert abs(a[0] - b[0]) < 1e-12 and abs(a[1] - b[1]) < 1e-9
-
-
-def test_normality_test_group_bounds(spark):
-    rows = I.normality_test(metrics_ev_view(spark, SF)).collect()
-    assert len(rows) == 5 and all(3 <= r.n <= 5000 for r in rows)
+def test_distributions_at_large_parameters():
+    assert abs(D.chi2_sf(1e8, 1e8) - 0.49998) < 1e-5
+    assert abs(D.chi2_sf(1.0003e8, 1e8) - 0.0169) < 1e-3
+    assert abs(D.t_ppf(0.975, 1e12) - 1.959963985) < 1e-8
+    assert abs(D.t_ppf(0.975, 10_001) - D.t_ppf(0.975, 9_999)) < 1e-6
+    for k in (9e4, 1.1e5):    # the two forms agree where they meet
+        z = 1.5
+        x = k * (1 - 2 / (9 * k) + z * math.sqrt(2 / (9 * k))) ** 3
+        assert abs(D.chi2_sf(2 * x, 2 * k) - D.norm_sf(z * math.sqrt(2))) < 2e-3
+    assert abs(D.f_sf(1.3, 4, 9_999_999) - D.f_sf(1.3, 4, 10_000_001)) < 1e-7
+    assert abs(D.f_sf(1.01, 11_000, 9_999_999) - D.f_sf(1.01, 11_000, 10_000_001)) < 1e-4
+    assert abs(D.f_sf(2.0, 3, 1e12) - D.chi2_sf(6.0, 3)) < 1e-9
+
+
+def test_normal_quantile_column(spark):
+    from statistics import NormalDist
+    from loadlens.functions.numeric import norm_ppf_col
+    ps = [1e-12, 1e-6, 0.001, 0.02, 0.075, 0.3, 0.5, 0.77, 0.93, 0.999, 1 - 1e-9]
+    got = spark.createDataFrame([(p,) for p in ps], "p double").select("p", norm_ppf_col(F.col("p")).alias("z")).collect()
+    assert all(abs(r.z - NormalDist().inv_cdf(r.p)) < 1e-9 for r in got)
+
+
+SAMPLES = {"normal": lambda r: r.normal(0, 1, 500), "exponential": lambda r: r.exponential(1, 300), "three": lambda r: [1.0, 2.0, 4.0],
+           "four": lambda r: r.normal(5, 2, 4), "five": lambda r: r.gamma(1, 2, 5), "eleven": lambda r: r.normal(1e6, 2, 11),
+           "tied": lambda r: r.integers(0, 5, 400).astype(float), "shifted": lambda r: r.normal(1e8, 1e-2, 60)}
+
+
+def test_normality_against_plain(spark):
+    rows = [(k, float(v)) for k, make in SAMPLES.items() for v in make(np.random.default_rng(3))]
+    rows += [("constant", 2.0)] * 9 + [("two", 1.0), ("two", 2.0), ("two", float("nan")), (None, 1.0)]
+    got = {r.server_id: r for r in I.normality_test(spark.createDataFrame(rows, "server_id string, cpu_usage double").repartition(5)).collect()}
+    assert set(got) == {*SAMPLES, "constant", "two"}
+    for k in SAMPLES:
+        w, p = shapiro_wilk(np.array([v for g, v in rows if g == k]))
+        assert abs(got[k].statistic - w) < 2e-4 and abs(got[k].p_value - p) < 2e-3, k
+    assert got["constant"].reason == "constant" and got["constant"].statistic is None
+    assert got["two"].reason == "n < 3" and got["two"].n == 2
+
+
+def test_normality_of_large_groups(spark):
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("server_id"), F.rand(1).alias("cpu_usage"))
+    for r in I.normality_test(df).collect():
+        x = np.arange(1, r.n + 1) / (r.n + 1)
+        assert r.reason == "n > 5000" and r.p_value is None and abs(r.kurtosis + 1.2) < 0.05 and r.jb_p_value == 0.0
+        assert abs(r.statistic - shapiro_wilk(x)[0]) < 2e-3
+
+
+def test_normality_spreads_ties(spark):
+    df = spark.createDataFrame([("s", 1.0)] * 700 + [("s", 2.0)] * 300, "server_id string, cpu_usage double")
+    want = I.normality_test(df).first()
+    step, I.TIE_STEP = I.TIE_STEP, 64
+    try:
+        assert I.normality_test(df).first() == want
+    finally:
+        I.TIE_STEP = step
+
+
+def test_anova_far_from_zero_and_one_row_groups(spark):
+    rng = np.random.default_rng(0)
+    a, b = rng.integers(0, 12, 50) * 1e-3, rng.integers(4, 16, 50) * 1e-3
+    for base in (0.0, 1e8):
+        df = spark.createDataFrame([("a", base + float(x)) for x in a] + [("b", base + float(x)) for x in b], "server_id string, cpu_usage double")
+        x, y = base + a, base + b
+        grand = np.concatenate([x, y]).mean()
+        f = (50 * ((x.mean() - grand) ** 2 + (y.mean() - grand) ** 2)) / ((((x - x.mean()) ** 2).sum() + ((y - y.mean()) ** 2).sum()) / 98)
+        assert I.anova(df).first().f_statistic == pytest.approx(f, rel=1e-3)
+    one = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 4.0)], "server_id string, cpu_usage double")
+    r = I.anova(one).first()
+    assert r.f_statistic is None and r.p_value is None and (r.df_between, r.df_within) == (2, 0)
 
 
 def test_anova_against_numpy(spark):
