@@ -66,18 +66,21 @@ def parse_lines(lines: DataFrame, fmt: str = "main", value_col: str = "value",
     One regex pass per line: the anchored pattern (after the leading
     whitespace that ``strip()`` would remove; trailing text allowed) is
     replaced by a marker plus all groups joined by a separator, which is then
-    split into an array."""
+    split into an array.  A line that holds one of these two control characters
+    itself is matched and read group by group instead."""
     pat, g = PATTERNS[fmt], _FIELDS[fmt]
     n = _ngroups(pat)
     repl = _MARK + _SEP.join(f"${i}" for i in range(1, n + 1))
     raw = F.col(value_col)
     keep = list(keep_cols) + [value_col]
-    p = _evaluate_once(lines, keep, _blank=raw.rlike("^" + _PY_SPACE + "*$"),
-                       _packed=F.regexp_replace(raw, "^" + _PY_SPACE + "*" + pat + "(?s:.*)$", repl))
+    whole = "^" + _PY_SPACE + "*" + pat + "(?s:.*)$"
+    p = _evaluate_once(lines, keep, _blank=raw.rlike("^" + _PY_SPACE + "*$"), _odd=raw.rlike(f"[{_SEP}{_MARK}]"),
+                       _packed=F.regexp_replace(raw, whole, repl))
     packed = F.col("_packed")
-    p = _evaluate_once(p, keep + ["_blank"], _g=F.when(
+    each = F.when(raw.rlike(whole), F.array(*[F.regexp_extract(raw, whole, i) for i in range(1, n + 1)]))
+    p = _evaluate_once(p, keep + ["_blank"], _g=F.when(F.col("_odd"), each).when(
         F.startswith(packed, F.lit(_MARK)), F.split(F.substring(packed, 2, 1 << 30), _SEP, -1)))
-    grp = lambda name: F.col("_g")[g[name] - 1]
+    grp = lambda name: F.get("_g", F.lit(g[name] - 1))
     # first whitespace-separated token of the bracketed time (zone dropped)
     ts_text = F.regexp_extract(grp("time"), r"^\s*(\S+)", 1)
     ts = F.try_to_timestamp(ts_text, F.lit(TIME_FORMAT)).cast("timestamp_ntz")

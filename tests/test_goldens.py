@@ -51,6 +51,16 @@ def test_quarantine(spark):
     assert len(rt) == 1 and rt[0].response_time_ms == 100.0 and rt[0].x_forwarded_for is None
 
 
+def test_control_characters(spark):
+    good = SAMPLE_LOG[0]
+    poison = ["\u0002not a line", "\u0002" + good[:20], good.replace('"Mozilla/5.0"', '"Mo\u0001zilla"'), good.replace("https://example.com", "r\u0001x\u0002"),
+              "\u0001", "a \u0002 b"]
+    df = lines(spark, poison + [good])
+    got = {(r.referer, r.user_agent) for r in LP.parse_access_log(df).collect()}
+    assert got == {("https://example.com", "Mo\u0001zilla"), ("r\u0001x\u0002", "Mozilla/5.0"), ("https://example.com", "Mozilla/5.0")}
+    assert sorted(r.line for r in LP.parse_errors(df).collect()) == sorted([poison[0], poison[1], poison[4], poison[5]])
+
+
 @pytest.fixture(scope="module")
 def golden(spark):
     return spark.createDataFrame(stat_golden_rows(), STAT_SCHEMA)
