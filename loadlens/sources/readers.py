@@ -35,8 +35,8 @@ def read_access_logs_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_host_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Host-agent files (``real_metrics_<server>_<ts>.csv``), with the file
     each row came from."""
-    return (_csv(spark, path, HOST_METRICS)
-            .withColumn("source_file", F.col("_metadata.file_path")))
+    rows = _csv(spark, path, HOST_METRICS).select("*", F.col("_metadata.file_path").alias("source_file"))
+    return normalize_nans(rows)
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -56,17 +56,17 @@ def read_access_log_errors(spark: SparkSession, path: str, fmt: str = "main") ->
 def load(spark: SparkSession, path: str, fmt: str | None = None,
          schema: T.StructType | None = None) -> DataFrame:
     """Format dispatch by suffix (``.parquet`` / ``.csv``) or explicit ``fmt``;
-    anything else raises ValueError."""
+    anything else raises ValueError.  NaN cells become NULL."""
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet")
                   else "csv" if path.rstrip("/").endswith(".csv") else None)
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return normalize_nans(spark.read.parquet(path))
     if fmt == "csv":
         if schema is None:
             raise ValueError("CSV sources need an explicit schema")
-        return _csv(spark, path, schema)
+        return normalize_nans(_csv(spark, path, schema))
     if fmt == "json":
-        return spark.read.schema(schema).json(path) if schema else spark.read.json(path)
+        return normalize_nans(spark.read.schema(schema).json(path) if schema else spark.read.json(path))
     raise ValueError(f"Unsupported file format: {path}")
 
 

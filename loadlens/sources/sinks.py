@@ -30,68 +30,90 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def input_bytes(df: DataFrame) -> DataFrame:
-    """Total size of the files behind a file-source frame (one row)."""
-    return (df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-              .distinct().agg(F.coalesce(F.sum("s"), F.lit(0)).cast("bigint").alias("bytes"),
-                              F.count(F.lit(1)).alias("files")))
+def folder_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """Total size and number of the data files below ``path`` (one row), from
+    the listing alone: no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("bytes"), F.count(F.lit(1)).alias("files"))
 
 
 def compact(spark: SparkSession, src: str, dest: str, target_file_mb: int = 128,
             compression: str = "snappy") -> DataFrame:
     """Rewrite a multi-file Parquet dataset as ~``target_file_mb`` files.
-    Every row is kept; the file count comes from the input size."""
-    df = spark.read.parquet(src)
-    size = input_bytes(df).first()["bytes"]          # one aggregate row
-    parts = max(1, math.ceil(size / (target_file_mb * 1024 * 1024)))
-    write_parquet(df.repartition(parts), dest, compression)
+    Every row is kept; the file count comes from the input size.  Input splits
+    are joined to tasks without a shuffle."""
+    size = folder_bytes(spark, src).first()["bytes"]          # one aggregate row
+    files = max(1, math.ceil(size / (target_file_mb * 1024 * 1024)))
+    write_parquet(spark.read.parquet(src).coalesce(files), dest, compression)
     return spark.read.parquet(dest)
 
 
-def create_tables(spark: SparkSession, location: str, database: str | None = None) -> None:
+GRANULARITY = {"server_metrics": "month", "access_logs": "day"}
+TABLE_SCHEMAS = {"server_metrics": METRICS, "access_logs": ACCESS_LOGS}
+
+
+def create_tables(spark: SparkSession, location: str, database: str | None = None, suffix: str = "") -> dict[str, str]:
     """``server_metrics`` and ``access_logs`` as Parquet tables partitioned by
-    day (the range/equality indexes of a row store become partition pruning)."""
+    month and day (the range and equality indexes of a row store become
+    partition pruning).  Returns their full names by kind."""
     prefix = f"{database}." if database else ""
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, schema in (("server_metrics", METRICS), ("access_logs", ACCESS_LOGS)):
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({cols}, `day` date) USING parquet "
-                  f"PARTITIONED BY (`day`) LOCATION '{location.rstrip('/')}/{name}'")
-
-
-def load_table(df: DataFrame, path: str, granularity: str | None = "day") -> DataFrame:
-    """Full replace (idempotent: loading the same input twice leaves one copy),
-    partitioned by ``day`` or ``month`` of the timestamp (``None``: not
-    partitioned).  Returns the table as read back."""
-    if granularity is None:
-        write_parquet(df, path)
-        return df.sparkSession.read.parquet(path)
-    part = F.to_date(F.date_trunc(granularity, "timestamp"))
+    names = {}
+    for kind, schema in TABLE_SCHEMAS.items():
+        part = GRANULARITY[kind]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields)
+        names[kind] = f"{prefix}{kind}{suffix}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {names[kind]} ({cols}, `{part}` date) USING parquet "
+                  f"PARTITIONED BY (`{part}`) LOCATION '{location.rstrip('/')}/{kind}'")
+    return names
+
+
+def _required(df: DataFrame, schema) -> DataFrame:
+    """``df`` with the schema's columns in order; a NULL in one that must not be
+    NULL fails the load."""
+    cols = []
+    for f in schema.fields:
+        c = F.col(f.name).cast(f.dataType)
+        if not f.nullable:
+            c = F.coalesce(c, F.raise_error(F.lit(f"NULL in {f.name}")).cast(f.dataType))
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
+def load_table(df: DataFrame, name: str, kind: str) -> DataFrame:
+    """Full replace of a table made by :func:`create_tables` (idempotent: loading
+    the same input twice leaves one copy).  Partitions are registered, so
+    ``spark.table(name)`` holds the rows afterwards; it is returned without the
+    partition column."""
+    part = GRANULARITY[kind]
+    out = _required(df, TABLE_SCHEMAS[kind]).withColumn(part, F.to_date(F.date_trunc(part, "timestamp")))
     # one writer per partition value where possible; AQE's rebalance splits a
     # hot day into several tasks instead of giving it to one
-    out = df.withColumn(granularity, part).hint("rebalance", granularity)
-    write_parquet(out, path, partition_by=[granularity])
-    return df.sparkSession.read.parquet(path).drop(granularity)
+    out.hint("rebalance", part).write.mode("overwrite").insertInto(name)
+    return df.sparkSession.table(name).drop(part)
 
 
 def storage_footprint(df: DataFrame, base: str) -> DataFrame:
     """Write ``df`` as CSV, Parquet-snappy, Parquet-gzip and JSON and report
-    ``(format, bytes, size_mb, ratio)`` with ratio = CSV size / size."""
+    ``(format, rows, bytes, size_mb, ratio)``: rows read back, and the CSV size
+    over this size.  The source is read once; the other formats are written
+    from the first Parquet copy."""
     spark = df.sparkSession
-    formats = {
-        "csv": (lambda p: write_csv(df, p), lambda p: spark.read.option("header", True).csv(p)),
-        "parquet_snappy": (lambda p: write_parquet(df, p, "snappy"), spark.read.parquet),
-        "parquet_gzip": (lambda p: write_parquet(df, p, "gzip"), spark.read.parquet),
-        "json": (lambda p: write_json(df, p), spark.read.json),
-    }
+    at = lambda name: f"{base.rstrip('/')}/{name}"
+    write_parquet(df, at("parquet_snappy"), "snappy")
+    copy = spark.read.parquet(at("parquet_snappy"))
+    write_parquet(copy, at("parquet_gzip"), "gzip")
+    write_csv(copy, at("csv"))
+    write_json(copy, at("json"))
+    readers = {"csv": spark.read.schema(copy.schema).option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP).csv,
+               "parquet_snappy": spark.read.parquet, "parquet_gzip": spark.read.parquet, "json": spark.read.schema(copy.schema).json}
     sizes = None
-    for name, (write, read) in formats.items():
-        path = f"{base.rstrip('/')}/{name}"
-        write(path)
-        s = input_bytes(read(path)).select(F.lit(name).alias("format"), "bytes")
+    for name, read in readers.items():
+        rows = read(at(name)).agg(F.count(F.lit(1)).alias("rows"))
+        s = rows.crossJoin(folder_bytes(spark, at(name)).select("bytes")).select(F.lit(name).alias("format"), "rows", "bytes")  # one row each
         sizes = s if sizes is None else sizes.unionByName(s)
     csv = sizes.where(F.col("format") == "csv").select(F.col("bytes").alias("_csv"))
     return sizes.crossJoin(csv).select(
-        "format", "bytes", F.round(F.col("bytes") / (1024 * 1024), 2).alias("size_mb"),
+        "format", "rows", "bytes", F.round(F.col("bytes") / (1024 * 1024), 2).alias("size_mb"),
         F.when(F.col("bytes") > 0, F.round(F.col("_csv") / F.col("bytes"), 2)).otherwise(F.lit(0.0)).alias("ratio"))

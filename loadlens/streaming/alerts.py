@@ -52,15 +52,16 @@ def run_alerts(spark: SparkSession, stream: DataFrame, out: str | None = None,
 
 
 def run_hourly(spark: SparkSession, stream: DataFrame, out: str | None = None,
-               checkpoint: str | None = None, mode: str = "complete",
+               checkpoint: str | None = None, mode: str = "update",
                watermark: str = "2 hours") -> DataFrame:
     """Hourly windows per server.
 
-    * ``mode="complete"`` (draining a bounded input): every micro-batch
-      rewrites the result folder, so afterwards it holds all windows,
-      including those the watermark has not closed yet.
-    * ``mode="append"`` (a continuous stream): each window is appended once,
-      when the watermark passes its end; state for closed windows is dropped.
+    * ``mode="update"``: each micro-batch appends the windows it changed as its
+      own epoch; the result is the latest epoch of every window, including
+      those still open.  The watermark drops the state of closed windows, and
+      rows that come later than it allows.
+    * ``mode="append"``: each window is appended once, when the watermark passes
+      its end; windows still open at the end are not in the result.
     """
     out = out or scratch_dir(spark, "hourly-out")
     checkpoint = checkpoint or scratch_dir(spark, "hourly-ckpt")
@@ -73,10 +74,12 @@ def run_hourly(spark: SparkSession, stream: DataFrame, out: str | None = None,
         q.awaitTermination()
         return spark.read.parquet(out)
 
-    def sink(batch: DataFrame, _epoch: int) -> None:
-        shaped(batch).write.mode("overwrite").parquet(out)
+    def sink(batch: DataFrame, epoch: int) -> None:
+        shaped(batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")   # a retried epoch replaces itself
 
-    q = (hourly_load(stream, watermark).writeStream.outputMode("complete").foreachBatch(sink)
+    q = (hourly_load(stream, watermark).writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    epochs = spark.read.option("basePath", out).parquet(f"{out}/epoch=*")
+    values = ["events", "cpu_usage_mean", "cpu_usage_max"]
+    return epochs.groupBy("hour", "server_id").agg(F.max_by(F.struct(*values), "epoch").alias("v")).select("hour", "server_id", "v.*")

@@ -68,12 +68,22 @@ def test_host_metrics_files(spark, tmp):
 
 
 def test_tables_and_idempotent_load(spark, tmp):
-    SK.create_tables(spark, tmp)
-    assert {"server_metrics", "access_logs"} <= {t.name for t in spark.catalog.listTables()}
+    names = SK.create_tables(spark, tmp, suffix="_test")
     m = metrics_view(spark, SF)
-    path = os.path.join(tmp, "server_metrics_data")
-    SK.load_table(m, path, "month")
-    assert SK.load_table(m, path, "month").count() == m.count()
+    for _ in range(2):     # the second load replaces the first
+        assert SK.load_table(m, names["server_metrics"], "server_metrics").count() == m.count()
+    assert spark.table(names["server_metrics"]).count() == m.count()
+    one = spark.table(names["server_metrics"]).where("month = date'1995-03-01'")
+    assert one.count() == m.where("date_trunc('month', timestamp) = timestamp'1995-03-01'").count() > 0
+    assert "PartitionFilters: [isnotnull(month" in one._jdf.queryExecution().toString()
+
+
+def test_load_refuses_null_times(spark, tmp):
+    names = SK.create_tables(spark, tmp, suffix="_nulls")
+    m = metrics_view(spark, SF)
+    bad = m.limit(1).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    with pytest.raises(Exception, match="NULL in timestamp"):
+        SK.load_table(m.unionByName(bad), names["server_metrics"], "server_metrics")
 
 
 def test_compaction_keeps_every_row(spark, tmp):
@@ -100,3 +110,22 @@ def test_chunks(spark):
     per = U.chunk_summaries(m)
     assert per.agg(F.sum("rows")).first()[0] == ref[0]
     assert U.chunk_summaries(m.select("server_id")).first().avg_cpu == 0.0   # absent column -> 0
+    absent = U.chunk_summary(m.select("server_id")).first()
+    assert (absent.rows, absent.avg_cpu, absent.max_response) == (ref[0], 0.0, 0.0)
+    small = U.chunk_summaries(m.coalesce(1), 1000).collect()                # batches are cut and joined to the chunk size
+    assert [r.rows for r in small[:-1]] == [1000] * (len(small) - 1) and sum(r.rows for r in small) == ref[0]
+    assert U.chunk_summaries(m.coalesce(1), 100_000).count() == 1
+
+
+def test_nan_is_missing_everywhere(spark, tmp):
+    p = os.path.join(tmp, "x.parquet")
+    spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "cpu_usage double").write.parquet(p)
+    assert S.load(spark, p).where("cpu_usage is null").count() == 2
+
+
+def test_checkpoint_folder_is_required_off_local(spark):
+    from types import SimpleNamespace
+    from loadlens.session import ensure_checkpoint_dir
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(far)

@@ -21,14 +21,29 @@ def test_alerts_equal_batch(spark):
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
 
 
-def test_hourly_append_is_complete_minus_open_windows(spark):
-    complete = D.run_hourly(spark, stream(spark), mode="complete")
+def test_hourly_append_is_update_minus_open_windows(spark):
+    whole = D.run_hourly(spark, stream(spark), mode="update")
     append = D.run_hourly(spark, stream(spark), mode="append")
-    assert append.exceptAll(complete).count() == 0          # every emitted window is final and equal
+    assert append.exceptAll(whole).count() == 0          # every emitted window is final and equal
     last = metrics_ev_view(spark, SF).agg(F.max("timestamp")).first()[0]
-    missing = complete.exceptAll(append)
+    missing = whole.exceptAll(append)
     # only windows that end after the watermark (max event time - 2 h) stay open
     assert missing.where(F.col("hour") < F.lit(last) - F.expr("INTERVAL 3 HOURS")).count() == 0
     batch = (metrics_ev_view(spark, SF).groupBy(F.date_trunc("hour", "timestamp").alias("hour"), "server_id")
              .agg(F.count(F.lit(1)).alias("events")))
-    assert complete.count() == batch.count()
+    assert whole.count() == batch.count()
+
+
+def test_rows_beyond_the_watermark_are_dropped(spark):
+    folder, out, ckpt = (tempfile.mkdtemp(prefix="loadlens-late-") for _ in range(3))
+    schema = "timestamp timestamp_ntz, server_id string, cpu_usage double"
+
+    def feed(*rows):
+        spark.createDataFrame([(r,) for r in rows], "t string").selectExpr("cast(t as timestamp_ntz) timestamp", "'s' server_id", "1.0D cpu_usage")\
+            .coalesce(1).write.mode("append").parquet(folder)
+        src = spark.readStream.schema(schema).parquet(folder)
+        return {str(r["hour"]): r["events"] for r in D.run_hourly(spark, src, out, ckpt).collect()}
+    assert feed("2024-01-01 10:05:00", "2024-01-01 10:50:00") == {"2024-01-01 10:00:00": 2}
+    feed("2024-01-01 20:00:00")
+    got = feed("2024-01-01 10:55:00", "2024-01-01 19:30:00")     # ten hours late, half an hour late
+    assert got == {"2024-01-01 10:00:00": 2, "2024-01-01 20:00:00": 1, "2024-01-01 19:00:00": 1}
