@@ -19,6 +19,10 @@ from loadlens.functions.numeric import np_round, pearson
 from loadlens.operators.filters import ERROR_RATE_THRESHOLD, RESPONSE_TIME_THRESHOLD, is_error
 from loadlens.operators.ordered import exact_quantiles
 from loadlens.schemas import METRIC_COLUMNS
+from loadlens.session import materialize
+
+
+MAX_BROADCAST_GROUPS = 100_000  # groups (a key and two doubles) broadcast at most
 
 
 def _keyed(df: DataFrame, key: str) -> DataFrame:
@@ -147,9 +151,9 @@ def slowest_endpoints(logs: DataFrame, threshold: float = RESPONSE_TIME_THRESHOL
     """Among slow requests: mean response time per endpoint, top ``limit``."""
     return (_keyed(logs.where(F.col("response_time_ms") > F.lit(threshold)), "endpoint")
             .groupBy("endpoint")
-            .agg(np_round(F.avg("response_time_ms"), 2).alias("response_time_ms_mean"))
-            .orderBy(F.desc("response_time_ms_mean"), F.asc("endpoint"))
-            .limit(limit))
+            .agg(F.avg("response_time_ms").alias("_m"))
+            .orderBy(F.desc("_m"), F.asc("endpoint")).limit(limit)
+            .select("endpoint", np_round("_m", 2).alias("response_time_ms_mean")))
 
 
 def busiest_server(df: DataFrame) -> DataFrame:
@@ -241,20 +245,20 @@ def response_histogram(df: DataFrame, column: str = "response_time_ms", bins: in
                        key: str = "server_id") -> DataFrame:
     """Per-group equal-width histogram (edges from the group's min/max, last
     bin right-closed; a constant group uses ``[x-0.5, x+0.5]``).  Returns
-    ``(key, bin, lo, hi, count)`` for non-empty bins.  Rows are collapsed to
-    ``(key, value, count)`` first, so a hot group reaches the join as one row
-    per distinct value."""
-    vc = (df.where(F.col(key).isNotNull() & F.col(column).isNotNull())
-            .groupBy(key, column).agg(F.count(F.lit(1)).alias("_c")))
-    rng = vc.groupBy(key).agg(F.min(column).alias("_mn"), F.max(column).alias("_mx"))
-    rng = rng.select(key,
-                     F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5).alias("_lo"),
-                     F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5).alias("_hi"))
+    ``(key, bin, lo, hi, count)`` for non-empty bins.  Two scans: the groups'
+    edges, then the bins.  The edges (a row per group) are counted and, if
+    few, broadcast, so a row is binned before any shuffle."""
+    data = df.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(key, column)
+    rng = data.groupBy(key).agg(F.min(column).alias("_mn"), F.max(column).alias("_mx"))
+    rng = materialize(rng.select(
+        key, F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5).alias("_lo"),
+        F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5).alias("_hi")))
+    edges = F.broadcast(rng) if rng.count() <= MAX_BROADCAST_GROUPS else rng
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     b = F.least(F.floor((F.col(column) - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
-    return (vc.join(rng, key)            # one small row per group; AQE picks the strategy
+    return (data.join(edges, key)
               .groupBy(key, b.alias("bin"), "_lo", "_hi")
-              .agg(F.sum("_c").alias("count"))
+              .agg(F.count(F.lit(1)).alias("count"))
               .select(key, "bin",
                       np_round(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("bin") / bins, 6).alias("lo"),
                       np_round(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("bin") + 1) / bins, 6).alias("hi"),

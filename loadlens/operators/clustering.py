@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.operators.aggregations import server_features
+from loadlens.session import materialize
 
 FEATURES = ["cpu_usage_mean", "cpu_usage_std", "cpu_usage_max", "memory_usage_mean",
             "memory_usage_std", "response_time_ms_mean", "response_time_ms_max", "error_rate_mean"]
@@ -20,7 +21,7 @@ def cluster_servers(df: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
     ``k = min(k, servers)``.  A one-row server has NULL std -> 0.  Cluster ids
     are arbitrary in k-means, so they are renumbered by ascending mean cpu of
     the cluster (ties by the smallest server id)."""
-    feats = server_features(df).na.fill(0.0, subset=FEATURES)
+    feats = materialize(server_features(df).na.fill(0.0, subset=FEATURES))   # one row per server, read by every fit
     n = feats.count()                       # one row per server: a small action
     if n == 0:
         return feats.withColumn("cluster", F.lit(None).cast("int"))

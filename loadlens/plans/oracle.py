@@ -220,9 +220,9 @@ FROM logs GROUP BY endpoint ORDER BY request_count DESC, endpoint ASC NULLS FIRS
 
 @oracle("slowest_endpoints")
 def _():
-    return with_(LOGS) + f"""SELECT endpoint, {r('avg(response_time_ms)', 2)} AS response_time_ms_mean
-FROM logs WHERE response_time_ms > 500 AND endpoint IS NOT NULL
-GROUP BY endpoint ORDER BY 2 DESC, 1 ASC LIMIT 3"""
+    return with_(LOGS) + f"""SELECT endpoint, {r('m', 2)} AS response_time_ms_mean FROM (
+  SELECT endpoint, avg(response_time_ms) AS m FROM logs WHERE response_time_ms > 500 AND endpoint IS NOT NULL
+  GROUP BY endpoint) ORDER BY m DESC, endpoint ASC LIMIT 3"""
 
 
 @oracle("busiest_server")
@@ -667,3 +667,185 @@ def _():
     return with_(METRICS_EV) + f"""SELECT date_trunc('hour', "timestamp") AS hour, server_id, count(*) AS events,
   {r('avg(cpu_usage)', 6)} AS cpu_usage_mean, max(cpu_usage) AS cpu_usage_max
 FROM metrics_ev WHERE "timestamp" IS NOT NULL GROUP BY 1, 2"""
+
+
+# ---------------------------------------------------------------- rows that tell right from wrong
+EV_REQUESTS = "ev_r AS (SELECT *, seq % 10 AS request_count FROM metrics_ev)"
+
+
+@oracle("retention_recent")
+def _():
+    return with_(LOGS) + """SELECT * FROM logs
+WHERE "timestamp" >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY"""
+
+
+@oracle("validate_events")
+def _():
+    return with_(METRICS_EV) + "\nUNION ALL\n".join(
+        [f"SELECT 'null_values' AS \"check\", 'warning' AS severity, '{c}' AS \"column\", CAST(count(*) - count(\"{c}\") AS BIGINT) AS value "
+         f"FROM metrics_ev HAVING count(*) - count(\"{c}\") > 0" for c in ("timestamp", "server_id", "cpu_usage", "memory_usage")]
+        + ["SELECT 'is_valid', 'info', NULL, CAST(1 AS BIGINT)"])
+
+
+@oracle("hourly_stats_events")
+def _():
+    return with_(METRICS_EV, EV_REQUESTS) + f"""SELECT CAST(hour("timestamp") AS BIGINT) AS hour, {r('avg(cpu_usage)', 2)} AS cpu_usage_mean,
+  CAST(coalesce(sum(request_count), 0) AS BIGINT) AS request_count_sum,
+  {r('avg(error_rate)', 2)} AS error_rate_mean, {r('avg(response_time_ms)', 2)} AS response_time_ms_mean
+FROM ev_r GROUP BY 1"""
+
+
+@oracle("peak_hour_events")
+def _():
+    return with_(METRICS_EV, EV_REQUESTS) + """SELECT CAST(hour("timestamp") AS BIGINT) AS hour,
+  CAST(sum(request_count) AS BIGINT) AS request_count_sum FROM ev_r GROUP BY 1 ORDER BY 2 DESC, 1 ASC LIMIT 1"""
+
+
+@oracle("null_profile_hourly")
+def _():
+    return with_(METRICS_EV) + "\nUNION ALL\n".join(
+        f"SELECT server_id, CAST(hour(\"timestamp\") AS BIGINT) AS hour, '{c}' AS \"column\", count(*) - count({c}) AS nulls, count(*) AS \"rows\" "
+        f"FROM metrics_ev GROUP BY 1, 2" for c in ("cpu_usage", "memory_usage"))
+
+
+@oracle("parse_log_files")
+def _():
+    return ORACLE["parse_access_log"]
+
+
+@oracle("parse_log_file_errors")
+def _():
+    return f"SELECT reason, lines, lines AS with_file FROM ({ORACLE['parse_errors']})"
+
+
+@oracle("hybrid_union")
+def _():
+    return with_(METRICS, METRICS_EV, LOGS) + """SELECT *, 'metrics' AS source FROM metrics
+UNION ALL BY NAME SELECT *, 'metrics_ev' AS source FROM metrics_ev
+UNION ALL BY NAME SELECT *, 'access_logs' AS source FROM logs"""
+
+
+@oracle("storage_footprint")
+def _():
+    return "\nUNION ALL\n".join(f"SELECT '{f}' AS format, count(*) AS \"rows\", true AS has_bytes, {below} AS below_csv FROM lineitem"
+                               for f, below in (("csv", "false"), ("parquet_snappy", "true"), ("parquet_gzip", "true"), ("json", "false")))
+
+
+@oracle("anova_offset")
+def _():
+    return ORACLE["anova"].replace("value AS cpu_usage", "value / 1000 + 1e7 AS cpu_usage")
+
+
+@oracle("advanced_report_sections")
+def _():
+    cols = EV_COLS
+    first = f"""SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S') || ' ' || server_id AS subject, {", ".join(cols)}
+FROM ({ORACLE["anomalies_zscore"]}) ORDER BY "timestamp", server_id, {", ".join(f"{c} NULLS FIRST" for c in cols)} LIMIT 5"""
+    forecast = f"SELECT strftime(hour, '%Y-%m-%d %H:%M') AS subject, forecast FROM ({ORACLE['forecast_load']})"
+    recommended = f"""{with_(METRICS_EV)}, s AS (SELECT server_id, {r('avg(cpu_usage)', 2)} AS a_cpu, {r('max(cpu_usage)', 2)} AS m_cpu,
+  {r('avg(response_time_ms)', 2)} AS a_resp FROM metrics_ev WHERE server_id IS NOT NULL GROUP BY 1)
+SELECT server_id, CASE WHEN a_cpu > 70 THEN 'scale' ELSE 'cpu_spikes' END AS rule, CASE WHEN a_cpu > 70 THEN a_cpu ELSE m_cpu END AS value
+FROM s WHERE a_cpu > 70 OR m_cpu > 90
+UNION ALL SELECT server_id, 'slow_response', a_resp FROM s WHERE a_resp > 200"""
+    return "\nUNION ALL\n".join([
+        long_sql(f"SELECT count(*) AS anomalous_rows FROM ({ORACLE['anomalies_zscore']})", "anomalies", None, ["anomalous_rows"]),
+        long_sql(first, "anomaly_rows", "subject", cols), long_sql(forecast, "forecast", "subject", ["forecast"]),
+        f"SELECT 'recommendation' AS section, server_id AS subject, rule AS metric, CAST(value AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM ({recommended})"])
+
+
+# ---------------------------------------------------------------- normality
+def _poly_sql(c: list[float], x: str) -> str:
+    out = "0.0"
+    for v in reversed(c):
+        out = f"({out} * ({x}) + ({v!r}))"
+    return out
+
+
+# Acklam's rational approximation of the normal quantile (relative
+# error 1.2e-9; the Spark form uses another one), highest power first.
+_QA = [-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.3577518672690, -30.66479806614716, 2.506628277459239]
+_QB = [-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0]
+_QC = [-0.007784894002430293, -0.3223964580411365, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783]
+_QD = [0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416, 1.0]
+
+
+def _quantile(p: str) -> str:
+    centre = f"({p} - 0.5) * {_poly_sql(_QA[::-1], f'({p} - 0.5) * ({p} - 0.5)')} / {_poly_sql(_QB[::-1], f'({p} - 0.5) * ({p} - 0.5)')}"
+    tail = lambda q: f"{_poly_sql(_QC[::-1], f'sqrt(-2 * ln({q}))')} / {_poly_sql(_QD[::-1], f'sqrt(-2 * ln({q}))')}"
+    return f"(CASE WHEN {p} < 0.02425 THEN {tail(p)} WHEN {p} > 1 - 0.02425 THEN -({tail(f'(1 - {p})')}) ELSE {centre} END)"
+
+
+def _normal_tail(z: str) -> str:
+    """Upper tail of the normal distribution (Abramowitz and Stegun 26.2.17)."""
+    t = f"(1 / (1 + 0.2316419 * abs({z})))"
+    upper = f"exp(-({z}) * ({z}) / 2) / sqrt(2 * pi()) * {t} * {_poly_sql([0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429], t)}"
+    return f"(CASE WHEN {z} >= 0 THEN {upper} ELSE 1 - {upper} END)"
+
+
+def normality_sql(source: str) -> str:
+    """Shapiro-Wilk (AS R94, groups above 11 values) of ``source(server_id, v)``."""
+    c1, c2 = [0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056], [0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633]
+    mu, sd = [-1.5861, -0.31082, -0.083751, 0.0038915], [-0.4803, -0.082676, 0.0030302]
+    z = f"((ln(1 - w) - {_poly_sql(mu, 'ln(n)')}) / exp({_poly_sql(sd, 'ln(n)')}))"
+    return f"""n_d AS (SELECT server_id, v, row_number() OVER (PARTITION BY server_id ORDER BY v) AS i, count(*) OVER (PARTITION BY server_id) AS n
+  FROM {source} WHERE server_id IS NOT NULL AND v IS NOT NULL),
+n_m AS (SELECT *, {_quantile('((i - 0.375) / (n + 0.25))')} AS m FROM n_d),
+n_s AS (SELECT server_id, CAST(max(n) AS DOUBLE) AS n, sqrt(sum(m * m)) AS root, max(CASE WHEN i = 1 THEN m END) AS m1, max(CASE WHEN i = 2 THEN m END) AS m2,
+  sum(m * m) AS mm, var_pop(v) * max(n) AS ss, avg(v) AS mean FROM n_m GROUP BY 1 HAVING max(n) > 11),
+n_a AS (SELECT *, {_poly_sql(c1, '1 / sqrt(n)')} - m1 / root AS a1, {_poly_sql(c2, '1 / sqrt(n)')} - m2 / root AS a2 FROM n_s),
+n_f AS (SELECT *, sqrt((mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)) AS fac FROM n_a),
+n_w AS (SELECT server_id, n_f.n AS n, pow(sum((CASE WHEN i = 1 THEN -a1 WHEN i = 2 THEN -a2 WHEN i = n_m.n - 1 THEN a2 WHEN i = n_m.n THEN a1 ELSE m / fac END) * (v - mean)), 2) / any_value(ss) AS w
+  FROM n_m JOIN n_f USING (server_id) GROUP BY 1, 2),
+n_b AS (SELECT server_id, avg(v) AS mean, var_pop(v) AS var FROM n_d GROUP BY 1),
+n_k AS (SELECT server_id, avg(pow(v - mean, 3)) / pow(any_value(var), 1.5) AS sk, avg(pow(v - mean, 4)) / pow(any_value(var), 2) - 3 AS ku
+  FROM n_d JOIN n_b USING (server_id) GROUP BY 1),
+n_p AS (SELECT server_id, CAST(n AS BIGINT) AS n, w, CASE WHEN n <= 5000 THEN {_normal_tail(z)} END AS p, sk, ku,
+  exp(-n / 12 * (sk * sk + ku * ku / 4)) AS jb FROM n_w JOIN n_k USING (server_id))"""
+
+
+_NORMALITY = (f"SELECT server_id, n, {r('w', 4)} AS statistic, {r('p', 4)} AS p_value, p > 0.05 AS is_normal, {r('sk', 4)} AS skewness, "
+              f"{r('ku', 4)} AS kurtosis, {r('jb', 4)} AS jb_p_value, CASE WHEN n > 5000 THEN 'n > 5000' END AS reason FROM n_p")
+_EV_VALUES = "ev_v AS (SELECT server_id, cpu_usage AS v FROM metrics_ev)"
+
+
+@oracle("normality_test")
+def _():
+    return with_(METRICS_EV, _EV_VALUES, normality_sql("ev_v")) + _NORMALITY
+
+
+def _homogeneity(ctes: list[str], source: str, groups: int) -> str:
+    """Normality rows, ANOVA if all are normal, Kruskal-Wallis; closed forms for
+    an even number of degrees of freedom between groups."""
+    half = (groups - 1) // 2
+    f_tail = "pow(xx, a)" if half == 1 else "pow(xx, a) * (1 + a * (1 - xx))"
+    h_tail = "exp(-h / 2)" if half == 1 else "exp(-h / 2) * (1 + h / 2)"
+    base = with_(*ctes, normality_sql(source))
+    anova = f"""{base}, g AS (SELECT server_id, count(*) AS n, avg(v) AS m, var_samp(v) AS v FROM {source} WHERE v IS NOT NULL GROUP BY 1),
+t AS (SELECT count(*) AS k, sum(n) AS N, sum(n * m) / sum(n) AS gm FROM g),
+f AS (SELECT k, N, (SELECT sum(n * (m - gm) * (m - gm)) FROM g) / (k - 1) / ((SELECT sum((n - 1) * v) FROM g) / (N - k)) AS fs FROM t),
+x AS (SELECT *, (N - k) / ((N - k) + (k - 1) * fs) AS xx, (N - k) / 2.0 AS a FROM f)
+SELECT {r('fs', 4)} AS f_statistic, {r(f_tail, 4)} AS p_value, {f_tail} > 0.05 AS homogeneous FROM x
+WHERE (SELECT coalesce(bool_and(coalesce(p > 0.05, false)), false) FROM n_p)"""
+    kruskal = f"""{with_(*ctes)}, d AS (SELECT server_id, v FROM {source} WHERE server_id IS NOT NULL AND v IS NOT NULL),
+rk AS (SELECT server_id, v, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rnk FROM d),
+g AS (SELECT server_id, sum(rnk) AS R, count(*) AS n FROM rk GROUP BY 1),
+ties AS (SELECT sum(pow(c, 3) - c) AS tt FROM (SELECT count(*) AS c FROM d GROUP BY v)),
+tot AS (SELECT CAST(count(*) AS DOUBLE) AS N FROM d),
+h AS (SELECT (12.0 / (N * (N + 1)) * (SELECT sum(R * R / n) FROM g) - 3 * (N + 1)) / (1 - (SELECT tt FROM ties) / (N * N * N - N)) AS h FROM tot)
+SELECT {r('h', 4)} AS h_statistic, {r(h_tail, 4)} AS p_value, {h_tail} > 0.05 AS homogeneous FROM h"""
+    return "\nUNION ALL\n".join([
+        long_sql(base + _NORMALITY, "normality_test", "server_id", ["statistic", "p_value", "is_normal"]),
+        long_sql(anova, "anova", None, ["f_statistic", "p_value", "homogeneous"]),
+        long_sql(kruskal, "kruskal_wallis", None, ["h_statistic", "p_value", "homogeneous"])])
+
+
+@oracle("homogeneity")
+def _():
+    return _homogeneity([METRICS_EV, _EV_VALUES], "ev_v", 5)
+
+
+@oracle("homogeneity_daily")
+def _():
+    monthly = ("monthly AS (SELECT 'group_' || CAST(l_suppkey % 3 AS VARCHAR) AS server_id, avg(l_quantity) AS v "
+               "FROM lineitem GROUP BY 1, date_trunc('month', l_shipdate))")
+    return _homogeneity([monthly], "monthly", 3)

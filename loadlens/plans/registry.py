@@ -8,6 +8,7 @@ table.  Parameters are fixed here so that the DuckDB twin in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,15 @@ query("slow_requests")(lambda s, d: P.slow_requests(L(s, d)))
 query("retention")(lambda s, d: P.retention(L(s, d), "2024-01-31 00:00:00", 30))
 query("validate")(lambda s, d: P.validate(M(s, d), ["timestamp", "server_id", "cpu_usage", "host"]))
 
+query("retention_recent")(lambda s, d: P.retention(L(s, d), "2024-01-31 00:00:00", 7))
+query("validate_events")(lambda s, d: P.validate(E(s, d).select("timestamp", "server_id", "cpu_usage", "memory_usage"), ["timestamp", "memory_usage"]))
+
+
+def _requests(df):
+    """Events with a request count, as the hour-of-day operators read."""
+    return df.withColumn("request_count", F.col("seq") % 10)
+
+
 # ---------------------------------------------------------------- aggregations
 query("server_stats")(lambda s, d: A.server_stats(M(s, d)))
 query("server_mean_std")(lambda s, d: A.server_mean_std(M(s, d)))
@@ -76,6 +86,10 @@ query("correlation_matrix")(lambda s, d: A.correlation_matrix(M(s, d)))
 query("cpu_response_corr")(lambda s, d: A.cpu_response_corr(M(s, d)))
 query("response_histogram")(lambda s, d: A.response_histogram(M(s, d)))
 query("null_profile")(lambda s, d: A.null_profile(M(s, d), by=("server_id",)))
+query("hourly_stats_events")(lambda s, d: A.hourly_stats(_requests(E(s, d))))
+query("peak_hour_events")(lambda s, d: A.peak_hour(_requests(E(s, d))))
+query("null_profile_hourly")(lambda s, d: A.null_profile(
+    E(s, d).withColumn("hour", F.hour("timestamp").cast("bigint")), by=("server_id", "hour"), columns=["cpu_usage", "memory_usage"]))
 query("cpu_trend")(lambda s, d: A.cpu_trend(M(s, d)))
 query("kde_curve")(lambda s, d: A.kde_curve(E(s, d)))
 query("heavy_endpoints")(lambda s, d: A.heavy_endpoints(L(s, d)))
@@ -88,6 +102,16 @@ query("parse_errors")(lambda s, d: LP.parse_errors(access_log_lines_view(s, d))
                       .groupBy("reason").agg(F.count(F.lit(1)).alias("lines")))
 query("parse_nginx_rt")(lambda s, d: LP.parse_access_log(access_log_lines_view(s, d), "nginx_rt"))
 
+def _log_files(s, d):
+    path = scratch_dir(s, "access-log")
+    access_log_lines_view(s, d).write.text(path)
+    return path
+
+
+query("parse_log_files")(lambda s, d: S.read_access_log_text(s, _log_files(s, d)))
+query("parse_log_file_errors")(lambda s, d: S.read_access_log_errors(s, _log_files(s, d)).groupBy("reason").agg(
+    F.count(F.lit(1)).alias("lines"), F.count_if(F.col("file_path").contains("access-log")).alias("with_file")))
+
 # ---------------------------------------------------------------- time series
 query("hourly_resample")(lambda s, d: W.hourly_resample(E(s, d)))
 query("forecast_load")(lambda s, d: W.forecast_load(E(s, d), hours=6))
@@ -102,6 +126,7 @@ query("anomalies_iqr")(lambda s, d: T.anomalies_iqr(E(s, d)))
 query("iqr_fences")(lambda s, d: T.iqr_fences(E(s, d)))
 
 # ---------------------------------------------------------------- inference
+query("anova_offset")(lambda s, d: I.anova(E(s, d).withColumn("cpu_usage", F.col("cpu_usage") / 1000 + 1e7)))
 query("normality_test")(lambda s, d: I.normality_test(E(s, d)))
 query("anova")(lambda s, d: I.anova(E(s, d)))
 query("kruskal_wallis")(lambda s, d: I.kruskal_wallis(E(s, d)))
@@ -109,9 +134,21 @@ query("confidence_intervals")(lambda s, d: I.confidence_intervals(E(s, d)))
 query("error_metrics")(lambda s, d: I.error_metrics(forecast_pairs_view(s, d)))
 query("cluster_servers")(lambda s, d: K.cluster_servers(M(s, d)))
 
+
+def _daily(s, d):
+    """Mean quantity of the line items of each ship date, three suppliers' groups
+    as servers: means of many values, so close to normal."""
+    li = table(s, d, "lineitem")
+    server = F.concat(F.lit("group_"), (F.col("l_suppkey") % 3).cast("string"))
+    month = F.date_trunc("month", F.col("l_shipdate").cast("timestamp_ntz"))
+    return li.groupBy(server.alias("server_id"), month.alias("timestamp")).agg(F.avg("l_quantity").alias("cpu_usage"))
+
+
 # ---------------------------------------------------------------- composites
 query("basic_report")(lambda s, d: R.basic_report(M(s, d)))
 query("advanced_report")(lambda s, d: R.advanced_report(E(s, d)))
+query("advanced_report_sections")(lambda s, d: R.advanced_report(E(s, d), clusters=False))
+query("homogeneity_daily")(lambda s, d: R.homogeneity(_daily(s, d)))
 query("homogeneity")(lambda s, d: R.homogeneity(E(s, d)))
 query("stat_report")(lambda s, d: R.stat_report(E(s, d), forecast_pairs_view(s, d)))
 
@@ -120,22 +157,17 @@ query("stat_report")(lambda s, d: R.stat_report(E(s, d), forecast_pairs_view(s,
 @query("compact")
 def _compact(s, d):
     src = scratch_dir(s, "compact-src")
-    SK.write_parquet(M(s, d).repartition(8), src)           # a multi-file input
+    M(s, d).write.option("maxRecordsPerFile", 20_000).parquet(src)   # a multi-file input
     return SK.compact(s, src, scratch_dir(s, "compact-dest"), target_file_mb=64)
 
 
-@query("load_metrics")
-def _load_metrics(s, d):
-    path = scratch_dir(s, "server_metrics")
-    SK.load_table(M(s, d), path, "month")
-    return SK.load_table(M(s, d), path, "month")             # second load replaces the first
+def _loaded(s, df, kind):
+    names = SK.create_tables(s, scratch_dir(s, "tables"), suffix=f"_{uuid.uuid4().hex[:12]}")
+    return SK.load_table(df, names[kind], kind)
 
 
-@query("load_logs")
-def _load_logs(s, d):
-    path = scratch_dir(s, "access_logs")
-    SK.load_table(L(s, d), path, "day")
-    return SK.load_table(L(s, d), path, "day")
+query("load_metrics")(lambda s, d: _loaded(s, M(s, d), "server_metrics"))
+query("load_logs")(lambda s, d: _loaded(s, L(s, d), "access_logs"))
 
 
 @query("csv_roundtrip")
@@ -147,10 +179,12 @@ def _csv_roundtrip(s, d):
 
 @query("storage_footprint")
 def _storage_footprint(s, d):
-    return SK.storage_footprint(M(s, d), scratch_dir(s, "footprint")).select("format", "bytes", "ratio")
+    f = SK.storage_footprint(M(s, d), scratch_dir(s, "footprint"))
+    return f.select("format", "rows", (F.col("bytes") > 0).alias("has_bytes"), (F.col("ratio") > 1).alias("below_csv"))
 
 
 query("hybrid_sources")(lambda s, d: S.source_counts({"metrics": M(s, d), "metrics_ev": E(s, d)}))
+query("hybrid_union")(lambda s, d: S.union_sources({"metrics": M(s, d), "metrics_ev": E(s, d), "access_logs": L(s, d)}))
 query("chunk_summary")(lambda s, d: U.chunk_summary(M(s, d)).select(
     "rows", np_round("avg_cpu", 6).alias("avg_cpu"), "max_response"))
 query("chunk_apply")(lambda s, d: U.load_level(M(s, d)))

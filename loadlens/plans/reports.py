@@ -16,7 +16,8 @@ from loadlens.operators import anomalies as T
 from loadlens.operators import clustering as K
 from loadlens.operators import inference as I
 from loadlens.operators import timeseries as W
-from loadlens.schemas import REPORT
+from loadlens.schemas import METRIC_COLUMNS, REPORT
+from loadlens.session import materialize
 
 
 def to_long(df: DataFrame, section: str, subject: Column | str | None, metrics: Sequence[str],
@@ -52,13 +53,18 @@ def basic_report(metrics: DataFrame) -> DataFrame:
     ])
 
 
-def advanced_report(metrics: DataFrame, forecast_hours: int = 6) -> DataFrame:
-    """Anomaly count, clusters, load forecast and per-server recommendations;
-    no rows for an empty input."""
-    anomalies = T.anomalies_zscore(metrics).agg(F.count(F.lit(1)).alias("anomalous_rows"))
+def advanced_report(metrics: DataFrame, forecast_hours: int = 6, top: int = 5, clusters: bool = True) -> DataFrame:
+    """Anomaly count and the first ``top`` anomalous rows (by time, server and
+    values), clusters (optional), load forecast and per-server recommendations; no rows
+    for an empty input."""
+    hits = materialize(T.anomalies_zscore(metrics))
+    anomalies = hits.agg(F.count(F.lit(1)).alias("anomalous_rows"))
+    present = [c for c in METRIC_COLUMNS if c in metrics.columns]
+    first = hits.orderBy("timestamp", "server_id", *present).limit(top)
     return _union([
         to_long(anomalies, "anomalies", None, ["anomalous_rows"]),
-        to_long(K.cluster_servers(metrics), "clusters", "server_id", ["cluster"]),
+        to_long(first, "anomaly_rows", F.concat_ws(" ", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), F.col("server_id")), present),
+        *([to_long(K.cluster_servers(metrics), "clusters", "server_id", ["cluster"])] if clusters else []),
         to_long(W.forecast_load(metrics, forecast_hours), "forecast",
                 F.date_format("hour", "yyyy-MM-dd HH:mm"), ["forecast"]),
         A.server_recommendations(metrics).select(
@@ -71,7 +77,7 @@ def advanced_report(metrics: DataFrame, forecast_hours: int = 6) -> DataFrame:
 def homogeneity(metrics: DataFrame, column: str = "cpu_usage", key: str = "server_id") -> DataFrame:
     """Normality per server, ANOVA (only when every server passed the
     normality test) and Kruskal-Wallis, in long form."""
-    norm = I.normality_test(metrics, column, key)
+    norm = materialize(I.normality_test(metrics, column, key))
     servers = metrics.where(F.col(key).isNotNull()).select(key).distinct()
     # every server must have a normality row with is_normal = true
     gate = servers.join(norm.select(key, "is_normal"), key, "left")\
@@ -108,5 +114,5 @@ def stat_report(metrics: DataFrame, pairs: DataFrame | None = None, column: str
 
 def write_report(report: DataFrame, path: str, fmt: str = "json") -> None:
     """Persist a long-form report (JSON lines or CSV with header)."""
-    w = report.select(*[f.name for f in REPORT.fields]).coalesce(1).write.mode("overwrite")
+    w = report.select(*[f.name for f in REPORT.fields]).write.mode("overwrite")
     (w.json(path) if fmt == "json" else w.option("header", True).csv(path))

@@ -131,3 +131,9 @@ def test_histogram_counts_every_row(spark, edge):
     assert h.agg(F.sum("count")).first()[0] == edge.where("server_id is not null").count()
     one = h.where("server_id = 'api02'").first()
     assert (one.lo, one.hi, one.bin) == (89.5, 89.55, 10)  # constant group: [x-0.5, x+0.5], middle bin
+
+
+def test_slowest_endpoints_rank_on_the_raw_mean(spark):
+    rows = [("/a", 600.001), ("/b", 600.004), ("/c", 600.003), ("/d", 600.002)]
+    df = spark.createDataFrame(rows, "endpoint string, response_time_ms double")
+    assert [r.endpoint for r in A.slowest_endpoints(df).collect()] == ["/b", "/c", "/d"]
