@@ -28,8 +28,8 @@ FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 MAX_TRAIN = 20_000       # labelled rows that the model is fitted on
 MAX_LEXICON = 5_000      # lexicon entries
-MIN_DOCS = 5             # toxic documents that an entry occurs in
-MIN_ODDS = 20.0          # times more often in toxic documents
+MIN_DOCS, MIN_SHARE = 5, 0.02  # toxic documents that an entry occurs in: number and share
+MIN_ODDS = 50.0          # times more often in toxic documents
 BEGINNINGS = (4, 5)      # lengths of word beginnings
 NEAR = 5                 # words between a hit and a second-person word
 TREES, DEPTH, SEED = 20, 3, 11
@@ -64,8 +64,9 @@ def terms(word: str) -> list[str]:
 
 def learn_lexicon(rows: DataFrame, max_lexicon: int = MAX_LEXICON, min_docs: int = MIN_DOCS, min_odds: float = MIN_ODDS) -> dict[str, float]:
     """``rows(text, y)`` -> entry: log odds.  Documents with each entry are
-    counted by class in Spark; entries in under ``min_docs`` toxic documents or
-    under ``min_odds`` odds are left out."""
+    counted by class in Spark; entries in under ``min_docs`` or ``MIN_SHARE`` of the
+    toxic documents (words of one group of copies) or under ``min_odds`` odds
+    are left out."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = (Counter(), Counter())
         for b in batches:
@@ -80,9 +81,13 @@ def learn_lexicon(rows: DataFrame, max_lexicon: int = MAX_LEXICON, min_docs: int
     per = rows.select("text", "y").mapInArrow(count, "term string, y int, n bigint").groupBy("term").agg(
         F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("n1"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("n0"))
     odds = ((F.col("n1") + 0.5) / (n1 + 1)) / ((F.col("n0") + 0.5) / (n0 + 1))
-    top = per.where(F.col("n1") >= min_docs).select("term", odds.alias("odds")).where(F.col("odds") >= min_odds)\
+    top = per.where(F.col("n1") >= max(min_docs, MIN_SHARE * n1)).select("term", "n1", odds.alias("odds")).where(F.col("odds") >= min_odds)\
         .orderBy(F.desc("odds"), "term").limit(max_lexicon).collect()
-    return {r["term"]: float(np.log(r["odds"])) for r in top}
+    docs = {r["term"]: r["n1"] for r in top}
+    # a beginning that one longer entry accounts for would only add chance hits
+    spare = {short for term, n in docs.items() for k in range(min(BEGINNINGS), len(term.rstrip("*")))
+             if (short := f"{term[:k]}*") in docs and n >= 0.9 * docs[short]}
+    return {r["term"]: float(np.log(r["odds"])) for r in top if r["term"] not in spare}
 
 
 class Measure:

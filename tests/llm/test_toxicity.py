@@ -16,7 +16,8 @@ def test_plain_words():
 def test_lexicon(spark):
     rows = [(f"filler{i} badword{i % 5} other", 1) for i in range(40)] + [(f"filler{i} good other", 0) for i in range(60)]
     lex = learn_lexicon(spark.createDataFrame(rows, "text string, y int").repartition(3))
-    assert "badw*" in lex and "other" not in lex and "fill*" not in lex
+    assert "badwo*" in lex and "other" not in lex and "fill*" not in lex
+    assert "badw*" not in lex   # accounted for by the longer beginning
     m = Measure({"scum": 3.0})
     x = dict(zip(FEATURES, m("you are SCUM, s.c.u.m ok")))
     assert x["density"] == 2 / 5 and x["near_you"] == 1.0 and x["obfuscated_hits"] == 1 / 5
