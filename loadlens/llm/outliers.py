@@ -20,13 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import checkpointed, written
+from loadlens.llm.common import MAX_BROADCAST_ROWS, checkpointed, join_small, written
 
 MIN_WORDS = 50
 SUBSET = 0.75          # share of a group that the estimate rests on
 MIN_GROUP = 200        # smaller groups are judged with their language, or with all
 STEPS = 6              # most concentration steps
-MAX_BROADCAST_GROUPS = 20_000  # groups (of about 300 bytes) broadcast at most
 GRID = 16              # distance grid: steps for each doubling
 FLOOR = (0.20, 0.05, 0.04, 0.10, 0.08)  # least standard deviation of each statistic
 CUTOFF = 35.0          # squared distance; chi-square with 5 degrees of freedom exceeds it once in 660,000
@@ -104,9 +103,8 @@ def _factor(groups: DataFrame, d: int) -> DataFrame:
     for j in range(d):
         below = [F.col(f"l_{j}_{k}") * F.col(f"l_{j}_{k}") * F.col(f"p_{k}") for k in range(j)]
         g = g.withColumn(f"p_{j}", F.greatest(F.col(f"c_{j}_{j}") - sum(below, F.lit(0.0)), F.lit(1e-12)))
-        for i in range(j + 1, d):
-            s = sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") * F.col(f"p_{k}") for k in range(j)), F.lit(0.0))
-            g = g.withColumn(f"l_{i}_{j}", (F.col(f"c_{i}_{j}") - s) / F.col(f"p_{j}"))
+        g = g.withColumns({f"l_{i}_{j}": (F.col(f"c_{i}_{j}") - sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") * F.col(f"p_{k}") for k in range(j)),
+                                                                 F.lit(0.0))) / F.col(f"p_{j}") for i in range(j + 1, d)}) if j + 1 < d else g
     return g.withColumn("logdet", sum((F.log(f"p_{j}") for j in range(d)), F.lit(0.0)))
 
 
@@ -124,10 +122,7 @@ def _estimate(rows: DataFrame, keys: list[str], d: int, floor: tuple[float, ...]
     f = [F.col(c) for c in FEATURES[:d]]
     g = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.avg(f[i]).alias(f"m_{i}") for i in range(d)],
                                 *[F.covar_pop(f[i], f[j]).alias(f"c_{i}_{j}") for i in range(d) for j in range(i + 1)])
-    for i in range(d):
-        g = g.withColumn(f"c_{i}_{i}", F.col(f"c_{i}_{i}") * _CONSISTENT + F.lit(floor[i] ** 2))
-        for j in range(i):
-            g = g.withColumn(f"c_{i}_{j}", F.col(f"c_{i}_{j}") * _CONSISTENT)
+    g = g.withColumns({f"c_{i}_{j}": F.col(f"c_{i}_{j}") * _CONSISTENT + F.lit(floor[i] ** 2 if i == j else 0.0) for i in range(d) for j in range(i + 1)})
     return checkpointed(_factor(g, d))
 
 
@@ -151,16 +146,9 @@ def _medians(rows: DataFrame, values: list[Column]) -> DataFrame:
         *[(F.max(F.when(F.col("i") == i, F.col("upto"))) / 64 + 1 / 128).alias(f"v_{i}") for i in range(len(values))])
 
 
-def _join_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with their group's figures; the groups are broadcast if they are few
-    enough (counted), else joined."""
-    few = groups.count() <= MAX_BROADCAST_GROUPS
-    return rows.join(F.broadcast(groups) if few else groups, keys)
-
-
-def _with_distance(rows: DataFrame, groups: DataFrame, keys: list[str], d: int) -> DataFrame:
+def _with_distance(rows: DataFrame, groups: DataFrame, keys: list[str], d: int, few: bool) -> DataFrame:
     figures = [f"m_{i}" for i in range(d)] + [f"p_{i}" for i in range(d)] + [f"l_{i}_{j}" for i in range(d) for j in range(i)]
-    out = _join_groups(rows, groups.select(*keys, *figures), keys).withColumn("d2", _distance(d)).drop(*figures)
+    out = join_small(rows, groups.select(*keys, *figures), keys, few=few).withColumn("d2", _distance(d)).drop(*figures)
     # cells of equal ratio between 2^-10 and 2^30
     return out.withColumn("cell", F.floor(F.log2(F.greatest(F.least("d2", F.lit(2.0 ** 30)), F.lit(2.0 ** -10))) * GRID).cast("int"))
 
@@ -172,7 +160,8 @@ def minimum_covariance(rows: DataFrame, subset: float = SUBSET, steps: int = STE
     both = rows.select("grp", *FEATURES).withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     # start 0: medians and absolute deviations; start 1: all rows
     centre = checkpointed(_medians(rows, [F.col(c) for c in FEATURES]))
-    off = _join_groups(rows, centre, ["grp"])
+    few = 2 * centre.count() <= MAX_BROADCAST_ROWS
+    off = join_small(rows, centre, ["grp"], few=few)
     spread = _medians(off, [F.abs(F.col(c) - F.col(f"v_{i}")) for i, c in enumerate(FEATURES)])
     spread = spread.select("grp", *[F.col(f"v_{i}").alias(f"a_{i}") for i in range(d)])
     robust = centre.join(spread, "grp").select(
@@ -180,8 +169,8 @@ def minimum_covariance(rows: DataFrame, subset: float = SUBSET, steps: int = STE
         *[(F.lit(0.0) if i != j else F.pow(1.4826 * F.col(f"a_{i}"), F.lit(2.0)) + floor[i] ** 2).alias(f"c_{i}_{j}") for i in range(d) for j in range(i + 1)])
     groups = checkpointed(_factor(robust, d).unionByName(_estimate(both.where("start = 1"), keys, d, floor)))
     for _ in range(steps):
-        dist = _with_distance(both, groups, keys, d)
-        near = _join_groups(dist, checkpointed(_upto(dist, keys, subset)), keys).where(F.col("cell") <= F.col("upto"))
+        dist = _with_distance(both, groups, keys, d, few)
+        near = join_small(dist, _upto(dist, keys, subset), keys, few=few).where(F.col("cell") <= F.col("upto"))
         new = _estimate(near, keys, d, floor)
         moved = new.select(*keys, F.col("logdet").alias("new")).join(groups.select(*keys, "logdet"), keys)\
             .where(F.abs(F.col("new") - F.col("logdet")) > 1e-3).take(1)
@@ -218,14 +207,14 @@ def judge(docs: DataFrame, min_words: int = MIN_WORDS, cutoff: float = CUTOFF, m
     name, lang = _name(F.col("lang"), F.col("source")), _name(F.col("lang"))
     level = checkpointed(sizes.select(name.alias("name"), F.when(F.col("n") >= min_group, name)
                                       .when(F.col("n_lang") >= min_group, lang).otherwise(F.lit("all")).alias("grp")))
-    at = _join_groups(passed.withColumn("name", name), level, ["name"])
+    at = join_small(passed.withColumn("name", name), level, ["name"])
     # a level's estimate rests on all documents of that level, not on its small groups alone
     wanted = checkpointed(level.select("grp").distinct())
     pool = passed.select("lang", "source", *FEATURES).select(
         F.explode(F.array(name, lang, F.lit("all"))).alias("grp"), *FEATURES)
-    pool = written(_join_groups(pool, wanted, ["grp"]), "outliers-pool")
+    pool = written(join_small(pool, wanted, ["grp"]), "outliers-pool")
     groups = minimum_covariance(pool)
-    scored = _join_groups(at, groups.drop("n", "logdet"), ["grp"]).withColumn("distance", F.sqrt(_distance(len(FEATURES))))
+    scored = join_small(at, groups.drop("n", "logdet"), ["grp"]).withColumn("distance", F.sqrt(_distance(len(FEATURES))))
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return scored.select(*out, "distance", (F.col("distance") * F.col("distance") <= cutoff).alias("kept")).unionAll(
         rows.where("base_failed").select(*out, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept")))
