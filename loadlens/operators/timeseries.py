@@ -41,11 +41,12 @@ def forecast_load(df: DataFrame, hours: int = 6, window: int = 3, column: str =
     unless all ``window`` hours have a value.  Only the last
     ``hours + window - 1`` hours are materialised."""
     span = hours + window - 1
-    hourly = (df.where(F.col(ts).isNotNull())
-                .groupBy(F.date_trunc("hour", F.col(ts)).alias("hour"))
-                .agg(F.avg(column).alias("_m")))
-    bounds = hourly.agg(F.min("hour").alias("_lo"), F.max("hour").alias("_hi")).where(F.col("_hi").isNotNull())
+    day = F.col(ts)
+    bounds = df.agg(F.date_trunc("hour", F.min(day)).alias("_lo"), F.date_trunc("hour", F.max(day)).alias("_hi")).where(F.col("_hi").isNotNull())
     start = F.greatest(F.col("_lo"), F.col("_hi") - F.make_dt_interval(hours=F.lit(span - 1)))
+    # only the rows of the last hours are aggregated (``bounds`` is one row)
+    recent = df.where(day.isNotNull()).join(F.broadcast(bounds.select(start.alias("_start"))), day >= F.col("_start"))
+    hourly = recent.groupBy(F.date_trunc("hour", day).alias("hour")).agg(F.avg(column).alias("_m"))
     spine = bounds.select(F.explode(F.sequence(start, F.col("_hi"), F.expr("INTERVAL 1 HOUR"))).alias("hour"))
     # <= hours + window - 1 rows: a single ordered window is fine here
     w = Window.orderBy("hour").rowsBetween(-(window - 1), 0)

@@ -3,7 +3,8 @@
 No server-metric or access-log table ships with the test data, so the named
 queries map columns of ``lineitem`` and ``events`` onto the two reference
 schemas.  Each view is a pure projection: Catalyst prunes the unused source
-columns and pushes filters on the derived columns down to the Parquet scan.
+columns; filters on renamed columns (times) reach the Parquet scan, filters on
+arithmetic ones do not.
 The DuckDB twins of these projections live in ``loadlens.plans.oracle``.
 """
 
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadlens.schemas import BIGDATA
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -124,3 +127,16 @@ def forecast_pairs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
         F.col("o_orderkey").alias("seq"), (F.col("_pred") / 1000).alias("predicted"),
         (F.col("o_totalprice") / 1000).alias("actual"))
+
+
+def bigdata_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 16-column wide metrics from ``events``, in the ``BIGDATA`` schema."""
+    ev = table(spark, sf_dir, "events")
+    user, value = F.col("user_id"), F.col("value")
+    values = {
+        "timestamp": F.col("ts"), "server_id": F.concat(F.lit("server_"), (user % 50).cast("string")), "server_type": F.col("event_type"),
+        "region": F.concat(F.lit("region_"), (user % 5).cast("string")), "cpu_usage": value, "memory_usage": value * 0.7 + user % 13,
+        "disk_io_read_mbps": value * 1.3, "disk_io_write_mbps": value * 0.9, "network_in_mbps": value + user % 7, "network_out_mbps": value + user % 11,
+        "response_time_ms": value * 10, "request_count": F.col("event_id") % 1000, "error_count": user % 4,
+        "status_code_2xx": F.col("event_id") % 900, "status_code_4xx": user % 9, "status_code_5xx": user % 3}
+    return ev.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in BIGDATA.fields])
