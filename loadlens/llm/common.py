@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and continue from the
     files: cuts the lineage, keeps column pruning, survives lost executors."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -48,6 +50,32 @@ def parts_of(df: DataFrame) -> int:
     return max(1, df.rdd.getNumPartitions())
 
 
+MAX_BROADCAST_ROWS = 20_000  # rows (of a few hundred bytes) broadcast at most
+
+
+def join_small(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner", few: bool | None = None,
+               most: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``rows`` with their group's figures.  The groups are counted (or known to be
+    ``few``): up to ``most`` are broadcast, so that no hot group is dealt to one
+    task; more are joined."""
+    few = groups.count() <= most if few is None else few
+    return rows.join(F.broadcast(groups) if few else groups, keys, how)
+
+
+MAX_BROADCAST_KEYS = 1_000_000  # rows of a few numbers broadcast at most
+
+
+def without(rows: DataFrame, gone: DataFrame, on: dict[str, str]) -> DataFrame:
+    """``rows`` that match no row of ``gone`` (column of rows -> column of gone,
+    nulls equal).  ``gone`` is counted: up to a bound it is broadcast, so the
+    rows' texts are not shuffled."""
+    cond = None
+    for a, b in on.items():
+        c = rows[a].eqNullSafe(gone[b])
+        cond = c if cond is None else cond & c
+    return rows.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_KEYS else gone, cond, "left_anti")
+
+
 def labelled(labels: DataFrame, column: str) -> DataFrame:
     """One row per labelled ``doc_id`` with ``y`` 0/1; repeated rows vote, ties
     count as 1, null labels and null ids are left out."""
@@ -56,6 +84,20 @@ def labelled(labels: DataFrame, column: str) -> DataFrame:
             .agg((F.avg(F.col(column).cast("double")) >= 0.5).cast("int").alias("y")))
 
 
+STEP_BYTES = 1 << 22   # text that a worker handles at a time
+
+
+def text_steps(batch, column: int) -> Iterator:
+    """Slices of an Arrow batch with about ``STEP_BYTES`` of text each (a longer
+    text goes alone), so a worker's memory does not follow the batch size."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + STEP_BYTES, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 CHUNK_BYTES = 1 << 22  # longest piece of one text whose words are held at a time
 
 
