@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import checkpointed, fresh, written
+from loadlens.llm.common import checkpointed, fresh, join_small, without, written
 
 LEVELS = ("domain", "lang", "source")
 NULL = "(null)"
@@ -128,7 +128,7 @@ def select_mix(docs: DataFrame, budget: Column, weights: Mapping[str, Mapping[st
     plan = plan.withColumn("whole", F.expr("budget div tokens")).withColumn("part", F.col("budget") % F.col("tokens"))\
         .withColumn("buckets", F.ceil(F.col("docs") / F.lit(bucket_rows)))
     plan = checkpointed(plan.select(*leaf, "whole", "part", "buckets"))
-    e = d.join(plan, leaf)
+    e = join_small(d, plan, leaf)
     full = e.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("whole").cast("int"))))
     last = e.where("part > 0").withColumn("epoch", (F.col("whole") + 1).cast("int"))
     last = last.withColumn("key", order_key(seed, F.col("epoch"), "doc_id"))\
@@ -162,10 +162,12 @@ def share(part: float) -> Column:
 
 def keep_mix(docs: DataFrame, budget_share: float, weights: Mapping[str, Mapping[str, int]] | None = None,
              seed: int = SEED, domains: int = DOMAINS) -> DataFrame:
-    """``docs`` cut to the mix in at most one epoch: all columns, each row once."""
+    """``docs`` cut to the mix in at most one epoch: all columns, each row once.
+    Equal rows (id and text) stay or go together."""
     no = fresh(docs, "mix_no")
-    rows = written(docs.withColumn(no, F.monotonically_increasing_id()), "mix-rows")
-    d = written(rows.select(F.col(no).alias("no"), "doc_id", domain_of("source", domains).alias("domain"), "lang", "source",
+    number = F.xxhash64("doc_id", "text")
+    d = written(docs.select(number.alias("no"), "doc_id", domain_of("source", domains).alias("domain"), "lang", "source",
                             n_tokens("text").alias("n_tokens")), "mix")
-    chosen = select_mix(d, share(budget_share), weights, 1, seed).select(F.col("no").alias(no))
-    return rows.join(chosen, no, "left_semi").drop(no)
+    chosen = checkpointed(select_mix(d, share(budget_share), weights, 1, seed).select("no").distinct())
+    gone = checkpointed(d.select("no").distinct().join(chosen, "no", "left_anti").withColumnRenamed("no", "_no"))
+    return without(docs.withColumn(no, number), gone, {no: "_no"}).drop(no)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import fold, fresh, labelled, written
+from loadlens.llm.common import fold, labelled, written
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
@@ -160,7 +160,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_
 def drop_low_quality(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT,
                      threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows scored under ``threshold``; all columns stay."""
-    x = fresh(docs, "quality_x")
-    rows = written(with_statistics(docs, x), "quality-rows")
-    model = fit(rows.select("doc_id", F.col(x).alias("x")), labels, folds, held_out)
-    return rows.where(score_column(model, x) >= threshold).drop(x)
+    rows = written(with_statistics(docs.select("doc_id", "text"), "x").select("doc_id", "x"), "quality")
+    model = fit(rows, labels, folds, held_out)
+
+    # the statistics again in the same pass, rather than a second copy of all texts
+    @F.pandas_udf("boolean")
+    def passes(texts: pd.Series) -> pd.Series:
+        x = np.array([statistics(t) for t in texts], float).reshape(len(texts), len(STATISTICS))
+        return pd.Series(model.score(x) >= threshold, dtype=bool)
+    return docs.where(passes(F.col("text")))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import checkpointed, fresh, word_chunks, written
+from loadlens.llm.common import checkpointed, fresh, without, word_chunks, written
 from loadlens.llm.components import connected_components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -237,12 +237,22 @@ def simhash_groups(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
 
 
 def keep_one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: the one of least doc_id (null
-    last; among repeated rows of that id, the first read).  All columns stay."""
-    fp, no = fresh(docs, "simhash_fp"), fresh(docs, "simhash_no")
-    rows = written(with_fingerprint(docs, fp, words).withColumn(no, F.monotonically_increasing_id()), "simhash-rows")
-    ids = rows.select("doc_id", F.col(fp).alias("fp"), F.col(no).alias("no"))
-    member = _members(ids, max_bits, MAX_CELL, LEAF)
-    keep = ids.join(member, ids["fp"] == member["_fp"]).groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "no")).alias("k"))
-    return rows.join(keep.select(F.col("k.no").alias(no)), no, "left_semi").drop(fp, no)
+    """``docs`` with one row of each component: the one of least doc_id (null last;
+    of several fingerprints of that id the least; of equal rows one).  All
+    columns stay."""
+    fps = written(with_fingerprint(docs.select("doc_id", "text"), "fp", words).select("doc_id", "fp"), "simhash")
+    member = _members(fps, max_bits, MAX_CELL, LEAF)
+    rows = checkpointed(fps.join(member, fps["fp"] == member["_fp"]).groupBy("root", "doc_id", "fp").agg(F.count(F.lit(1)).alias("n")))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
+    best = rows.groupBy("root").agg(F.min(order).alias("k"))
+    kept = F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("fp") == F.col("k.fp"))
+    rows = checkpointed(rows.join(best, "root").select("doc_id", "fp", "n", kept.alias("kept")))
+    fp = fresh(docs, "simhash_fp")
+    # the fingerprints again, rather than a second copy of all texts
+    left = without(with_fingerprint(docs, fp, words), rows.where("not kept").select("doc_id", F.col("fp").alias("_fp")), {"doc_id": "doc_id", fp: "_fp"})
+    again = rows.where("kept and n > 1").select("doc_id", F.col("fp").alias("_fp"))
+    if not again.take(1):
+        return left.drop(fp)
+    once = without(left, again, {"doc_id": "doc_id", fp: "_fp"})
+    twice = left.join(again, left["doc_id"].eqNullSafe(again["doc_id"]) & (left[fp] == again["_fp"]), "left_semi").dropDuplicates(["doc_id", fp])
+    return once.unionAll(twice).drop(fp)
