@@ -137,3 +137,13 @@ def test_slowest_endpoints_rank_on_the_raw_mean(spark):
     rows = [("/a", 600.001), ("/b", 600.004), ("/c", 600.003), ("/d", 600.002)]
     df = spark.createDataFrame(rows, "endpoint string, response_time_ms double")
     assert [r.endpoint for r in A.slowest_endpoints(df).collect()] == ["/b", "/c", "/d"]
+
+
+def test_approximate_distinct_counts(spark):
+    rows = [("2024-01-01 00:00:00", f"10.0.0.{i % 200}", f"/e{i % 50}", 1.0, 200) for i in range(2000)]
+    df = spark.createDataFrame(rows, "timestamp string, client_ip string, endpoint string, response_time_ms double, response_code int")\
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    r = A.access_log_stats(df, "2024-01-01 01:00:00", 24, approximate=True).first()
+    assert abs(r.unique_ips - 200) <= 30 and abs(r.unique_endpoints - 50) <= 8 and r.total_requests == 2000
+    o = A.log_overview(df, approximate=True).first()
+    assert abs(o.unique_clients - 200) <= 30 and A.log_overview(df).first().unique_clients == 200
