@@ -1,20 +1,27 @@
 """Substring dedup over paragraphs: MinHash banding, exact verification, components.
 
-Paragraphs (lines of at least ``MIN_WORDS`` words) are reduced to lower-case words.
+Paragraphs (lines of at least ``MIN_WORDS`` words, near matches from ``NEAR_WORDS``
+on) are reduced to lower-case words.
 Equal paragraphs collapse by a 128-bit key first, so a passage that a million
 documents share is one row from there on.  The signature's bands put a pair of
 Jaccard similarity 0.8 into a common bucket with probability 0.9998 (16 bands of
 4 rows).
 
 Buckets are never paired out.  First each paragraph of a bucket is compared
-with one representative (another one in each band); the verified links make
-components.  Then only buckets that still hold several components are looked
-at: their smaller components are joined with the others over the rarest
-shingles that any pair of similarity 0.8 must share (prefix filter), within
-the length bound.  Each candidate pair is verified by exact Jaccard similarity
-of its 5-word shingles, so no link between different paragraphs of a bucket
-is lost and a large group of near copies costs one comparison per member and
-band.
+with one representative; the verified links make components.  Then only
+buckets that still hold several components are looked at: their paragraphs
+are joined with those of other components over the rarest shingles that any
+pair of similarity 0.8 must share (prefix filter), within length and positional
+bounds.  Each candidate pair is verified by exact Jaccard similarity of its
+5-word shingles, so no link between different paragraphs of a bucket is lost
+and a large group of near copies costs one comparison per member and band.
+
+A passage that lies inside longer, otherwise different paragraphs has no
+paragraph to match.  Paragraphs of over 50 words therefore also give units of
+``UNIT_WORDS`` words: of any ``UNIT_WORDS`` consecutive ones that with the least
+hash, so two paragraphs that share over 50 consecutive words share a unit,
+wherever the passage lies in each.  Units that repeat in another document mark
+their words; runs of marked words are the passages.
 """
 
 from __future__ import annotations
@@ -30,10 +37,13 @@ from pyspark.sql import functions as F
 from loadlens.llm.common import checkpointed, written
 from loadlens.llm.components import connected_components
 
-MIN_WORDS = 40
+MIN_WORDS = 25          # lines of fewer words are no paragraphs
+NEAR_WORDS = 40         # paragraphs of fewer words only match equal ones
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
 STEP_SHINGLES = 1 << 15
+UNIT_WORDS = 26         # 2 * 26 - 1 = 51 shared words always share a unit
+_BASE = 0x9E3779B97F4A7C15
 
 
 def shingles(words: list[bytes], k: int = SHINGLE_WORDS) -> list[bytes]:
@@ -100,10 +110,44 @@ def paragraphs(text: str | None, min_words: int) -> list[tuple[int, int, int, li
     return out
 
 
-_PARAGRAPHS = "row bigint, doc_id bigint, paragraph int, start int, `end` int, n_words int, key binary, bands array<bigint>, body string"
+def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Line, first word and 64-bit hash of the chosen units of all lines: the
+    run of ``size`` words of least hash among each ``size`` consecutive ones.
+    Runs do not cross lines; lines of under ``2 * size - 1`` words have none."""
+    long = [i for i, w in enumerate(lines) if len(w) >= 2 * size - 1]
+    n = np.array([len(lines[i]) for i in long], np.int64)
+    if not len(n):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for i in long for w in lines[i]), np.uint64, int(n.sum()))
+    run = np.zeros(len(h) - size + 1, np.uint64)
+    for j in range(size):  # a polynomial of the words' hashes, modulo 2^64
+        run = run * np.uint64(_BASE) + h[j:len(h) - size + 1 + j]
+    run ^= run >> np.uint64(31)
+    run *= np.uint64(0xD6E8FEB86659FD93)
+    line = np.repeat(np.arange(len(n)), n)
+    whole = line[:len(run)] == line[size - 1:]
+    run[~whole] = np.iinfo(np.uint64).max
+    least = np.lib.stride_tricks.sliding_window_view(run, size).argmin(1) + np.arange(len(run) - size + 1)
+    chosen = np.unique(least)
+    chosen = chosen[whole[chosen]]
+    starts = np.cumsum(n) - n
+    return np.array(long)[line[chosen]], chosen - starts[line[chosen]], run[chosen]
+
+
+_PARAGRAPHS = ("unit boolean, row bigint, doc_id bigint, paragraph int, start int, `end` int, n_words int, first_word int, "
+               "key binary, bands array<bigint>, body string")
+_NAMES = ["unit", "row", "doc_id", "paragraph", "start", "end", "n_words", "first_word", "key", "bands", "body"]
+
+
+def _cut(min_words: int, near_words: int):
+    """Whole paragraphs, the bands and words of those of ``near_words`` words or
+    more, and units of the longer ones."""
+    def batch(lines, unit, first, size, key, bands, body):
+        ints = list(zip(*lines))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([unit] * len(lines)), pa.array(ints[0], pa.int64()), pa.array(ints[1], pa.int64()), *(pa.array(x, pa.int32()) for x in ints[2:5]),
+             pa.array(size, pa.int32()), pa.array(first, pa.int32()), pa.array(key, pa.binary()), bands, body], names=_NAMES)
 
-
-def _cut(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign = Signatures()
         for b in batches:
@@ -111,110 +155,146 @@ def _cut(min_words: int):
                 part, rows, words = b.slice(s, 500), [], []
                 for row, doc, text in zip(*(part.column(i).to_pylist() for i in range(3))):
                     for number, start, end, w in paragraphs(text, min_words):
-                        rows.append((row, doc, number, start, end, len(w)))
+                        rows.append((row, doc, number, start, end))
                         words.append(w)
                 if not rows:
                     continue
                 bodies = list(map(b" ".join, words))
-                keys = sign.band_keys([shingles(w) for w in words])
-                ints = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ints[0], pa.int64()), pa.array(ints[1], pa.int64()), *(pa.array(x, pa.int32()) for x in ints[2:]),
-                     pa.array([xxhash.xxh3_128_digest(x) for x in bodies], pa.binary()),
-                     pa.ListArray.from_arrays(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32), pa.array(keys.ravel().view(np.int64))),
-                     pa.array([x.decode("utf-8", "replace") for x in bodies])],
-                    names=["row", "doc_id", "paragraph", "start", "end", "n_words", "key", "bands", "body"])
+                near = [len(w) >= near_words for w in words]
+                keys = sign.band_keys([shingles(w) for w, x in zip(words, near) if x])
+                ends = np.cumsum([0, *(keys.shape[1] if x else 0 for x in near)]).astype(np.int32)
+                yield batch(rows, False, [0] * len(rows), list(map(len, words)), [xxhash.xxh3_128_digest(x) for x in bodies],
+                            pa.ListArray.from_arrays(ends, pa.array(keys.ravel().view(np.int64))),
+                            pa.array([w.decode("utf-8", "replace") if x else None for w, x in zip(bodies, near)], pa.string()))
+                line, first, hashes = units(words)
+                if len(line):
+                    yield batch([rows[i] for i in line.tolist()], True, first, [UNIT_WORDS] * len(line), [int(x).to_bytes(8, "big") for x in hashes],
+                                pa.nulls(len(line), pa.list_(pa.int64())), pa.nulls(len(line), pa.string()))
     return run
 
 
-def _bodies(needed: DataFrame, bodies: DataFrame) -> DataFrame:
-    """``(key, body)`` of the needed keys, each once, written."""
-    return written(bodies.join(needed, "key", "left_semi").groupBy("key").agg(F.first("body").alias("body")), "paragraph-bodies")
-
-
 def verify(pairs: DataFrame, bodies: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``pairs(u, v)`` of paragraph keys whose exact Jaccard similarity over
+    """``pairs(u, v)`` of paragraph ids whose exact Jaccard similarity over
     5-word shingles is at least ``similarity``."""
     @F.pandas_udf("boolean")
     def alike(a, b):
         import pandas as pd
-        out = []
-        for x, y in zip(a, b):
-            out.append(jaccard(shingles(x.encode().split()), shingles(y.encode().split())) >= similarity)
-        return pd.Series(out, dtype=bool)
-    needed = checkpointed(pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct())
-    own = _bodies(needed, bodies)
-    x = own.select(F.col("key").alias("u"), F.col("body").alias("a"))
-    y = own.select(F.col("key").alias("v"), F.col("body").alias("b"))
+        return pd.Series([jaccard(shingles(x.encode().split()), shingles(y.encode().split())) >= similarity for x, y in zip(a, b)], dtype=bool)
+    x = bodies.select(F.col("id").alias("u"), F.col("body").alias("a"))
+    y = bodies.select(F.col("id").alias("v"), F.col("body").alias("b"))
     return pairs.join(x, "u").join(y, "v").where(alike("a", "b")).select("u", "v")
 
 
 def _prefixes(members: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
-    """``(key, sh)``: the rarest shingles of each member, as many as a pair of
-    the similarity must share one of."""
+    """``(id, root, size, sh, place)``: the rarest shingles of each member, as many
+    as a pair of the similarity must share one of, and their places in the
+    order from the rarest on."""
     @F.pandas_udf("array<bigint>")
     def hashes(body):
         import pandas as pd
         return pd.Series([np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, s), np.uint64, len(s))).view(np.int64)
                           for s in (shingles(x.encode().split()) for x in body)])
-    own = _bodies(members.select("key").distinct(), bodies).select("key", hashes("body").alias("all"))
-    own = written(own.select("key", F.size("all").alias("size"), F.explode("all").alias("sh")), "paragraph-shingles")
+    own = members.join(bodies, "id").select("id", "root", hashes("body").alias("all"))
+    own = written(own.select("id", "root", F.size("all").alias("size"), F.explode("all").alias("sh")), "paragraph-shingles")
     seen = own.groupBy("sh").agg(F.count(F.lit(1)).alias("seen"))
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("seen", "sh"))  # a paragraph's own shingles
-    return own.join(seen, "sh").withColumn("rank", rank)\
-        .where(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1).select("key", "size", "sh")
-
-
-def paragraph_links(distinct: DataFrame, bodies: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``distinct(key, bands)`` -> components ``(node, root)`` of near-equal paragraphs."""
+    place = F.row_number().over(Window.partitionBy("id").orderBy("seen", "sh"))  # a paragraph's own shingles
+    return own.join(seen, "sh").withColumn("place", place)\
+        .where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1).drop("seen")
+
+
+def _other_pairs(members: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(u, v)`` of members of different components that may reach the
+    similarity: they share a shingle of both prefixes, and its places leave
+    enough shingles after it on both sides (length and positional bounds).
+
+    A place bounds the other side's size, so the join is on shingle and size:
+    members whose rare shingles are their own meet nobody.  The commonest
+    component of a shingle is only joined to, not from."""
+    prefix = written(_prefixes(members, bodies, similarity), "paragraph-prefixes")
+    main = prefix.groupBy("sh", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("sh")\
+        .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1").drop("roots")
+    near = prefix.join(main, "sh")
+    both = (1 + similarity) / similarity
+    least = F.ceil(F.col("size") * similarity - 1e-9).cast("int")
+    most = F.least(F.floor(F.col("size") / similarity + 1e-9), F.floor(both * (F.col("size") - F.col("place") + 1) - F.col("size") + 1e-9)).cast("int")
+    x = near.where((F.col("root") != F.col("main")) & (most >= least))\
+        .select("sh", F.col("id").alias("x"), F.col("root").alias("r"), F.col("size").alias("s"), F.explode(F.sequence(least, most)).alias("size"))
+    y = near.where(most >= least).select("sh", "size", "id", "root", F.floor(both * (F.col("size") - F.col("place") + 1) - F.col("size") + 1e-9).alias("upto"))
+    pairs = x.join(y, ["sh", "size"]).where((F.col("r") != F.col("root")) & (F.col("s") <= F.col("upto")))
+    return pairs.select(F.greatest("id", "x").alias("u"), F.least("id", "x").alias("v")).distinct()
+
+
+def paragraph_links(distinct: DataFrame, bodies_of, similarity: float = SIMILARITY) -> DataFrame:
+    """``distinct(id, bands, copies)`` -> components ``(node, root)`` of near-equal
+    paragraphs.  ``bodies_of(ids)`` gives ``(id, body)`` of a frame of ids."""
     bucket = Window.partitionBy("b")
-    in_bucket = distinct.select("key", F.explode("bands").alias("b")).withColumn("n", F.count(F.lit(1)).over(bucket))\
-        .withColumn("rep", F.min(F.struct(F.xxhash64("b", "key").alias("h"), F.col("key").alias("key"))).over(bucket)["key"])
-    members = written(in_bucket.where("n > 1").select("b", "key", "rep"), "paragraph-buckets")
-    stars = members.where("key <> rep").select(F.greatest("key", "rep").alias("u"), F.least("key", "rep").alias("v")).distinct()
+    # a bucket's representative is its paragraph of most copies; of equals another one in each band
+    best = F.max(F.struct("copies", F.xxhash64("b", "id").alias("h"), "id")).over(bucket)["id"]
+    in_bucket = distinct.select("id", "copies", F.explode("bands").alias("b")).withColumn("n", F.count(F.lit(1)).over(bucket)).withColumn("rep", best)
+    members = written(in_bucket.where("n > 1").select("b", "id", "rep"), "paragraph-buckets")
+    bodies = written(bodies_of(members.select("id").distinct()), "paragraph-bodies", "zstd")
+    stars = members.where("id <> rep").select(F.greatest("id", "rep").alias("u"), F.least("id", "rep").alias("v")).distinct()
     links = checkpointed(verify(stars, bodies, similarity))
     groups = connected_components(links)
-    # buckets with several components: the smaller ones against the rest
-    at = members.select("b", "key").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    per = at.groupBy("b", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = per.groupBy("b").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main")).where("roots > 1").select("b", "main")
-    rest = written(at.join(mixed, "b"), "paragraph-rest")
-    if rest.take(1):
-        prefix = written(_prefixes(rest, bodies, similarity), "paragraph-prefixes")
-        near = rest.join(prefix, "key")
-        x = near.where("root <> main").select("b", "sh", F.col("key").alias("k"), F.col("root").alias("r"), F.col("size").alias("s"))
-        y = near.select("b", "sh", "key", "root", "size")
-        pairs = x.join(y, ["b", "sh"]).where((F.col("r") != F.col("root")) & (F.least("s", "size") >= similarity * F.greatest("s", "size") - 1e-9))
-        pairs = pairs.select(F.greatest("key", "k").alias("u"), F.least("key", "k").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
-        more = checkpointed(verify(pairs, bodies, similarity))
-        if more.take(1):
-            groups = connected_components(links.unionAll(more))
-    return groups
-
-
-def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One row for each paragraph that repeats (equal or near-equal) in another
-    document: ``doc_id, paragraph, start, end`` (line number and character span),
-    ``n_words, class_id`` (hex key of the class), ``copies``, ``documents`` (rows
-    of ``docs`` with the class), ``first_doc`` and ``removed`` (false for the
-    class's first paragraph by doc_id, row and line).
+    # buckets with several components: their paragraphs against those of other components
+    at = members.select("b", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = at.groupBy("b").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("b")
+    rest = checkpointed(at.join(mixed, "b", "left_semi").select("id", "root").distinct())
+    more = checkpointed(verify(_other_pairs(rest, bodies, similarity), bodies, similarity))
+    return connected_components(links.unionAll(more)) if more.take(1) else groups
+
+
+def _passages(units_: DataFrame, taken: DataFrame) -> DataFrame:
+    """Runs of words of a paragraph that lie in units repeated in other rows, for
+    paragraphs that are not ``taken(row, paragraph)``."""
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "paragraph", "first_word")
+    keys = units_.groupBy("key").agg(F.min("row").alias("row0"), F.max("row").alias("row1"), F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"))\
+        .where("row0 <> row1").drop("row0", "row1")
+    keys = written(keys, "paragraph-units")   # so that the join deals out both sides anew and splits a hot unit
+    hits = units_.join(keys, "key").join(taken, ["row", "paragraph"], "left_anti")
+    by = Window.partitionBy("row", "paragraph").orderBy("first_word")   # units of one paragraph
+    ended = F.max(F.col("first_word") + UNIT_WORDS).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    hits = hits.withColumn("run", F.sum(F.when(F.col("first_word") <= ended, 0).otherwise(1)).over(by))
+    runs = hits.groupBy("row", "paragraph", "run").agg(
+        F.first("doc_id").alias("doc_id"), F.first("start").alias("start"), F.first("end").alias("end"), F.min("first_word").alias("first_word"),
+        (F.max("first_word") + UNIT_WORDS - F.min("first_word")).alias("n_words"), F.min(F.hex("key")).alias("class_id"),
+        F.max("copies").alias("copies"), F.min("first").alias("first"))
+    return runs.select("doc_id", "paragraph", "start", "end", "first_word", "n_words", F.concat(F.lit("p"), F.lower("class_id")).alias("class_id"),
+                       "copies", F.col("first.doc_id").alias("first_doc"), (F.col("first.row") != F.col("row")).alias("removed"))
+
+
+def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """One row for each paragraph that repeats (equal or, from ``near_words`` words
+    on, near-equal) in another document, and for each passage inside another
+    paragraph that does:
+    ``doc_id, paragraph, start, end`` (line number and its character span),
+    ``first_word, n_words`` (the repeated words of the line), ``class_id``,
+    ``copies`` of the paragraph or passage, ``first_doc`` and ``removed`` (false
+    for the first one by doc_id, row and line).
 
     Null and empty texts have no paragraphs.  Rows are told apart, so two rows
     with one doc_id are two documents.  Paragraphs that repeat only within one
     document, and documents without a repeated paragraph, have no row.  Only
     doc_id and text are read; an empty table gives an empty result."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    all_ = written(rows.mapInArrow(_cut(min_words), _PARAGRAPHS), "paragraphs")
+    cut = written(rows.mapInArrow(_cut(min_words, near_words), _PARAGRAPHS), "paragraphs", "zstd")
+    every = cut.where("not unit").drop("unit")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "paragraph")
-    distinct = all_.groupBy("key").agg(F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"),
-                                       F.min("row").alias("row0"), F.max("row").alias("row1"))
-    distinct = written(distinct, "paragraph-keys")
-    groups = paragraph_links(distinct.select("key", "bands"), all_.select("key", "body"), similarity)
-    keyed = distinct.drop("bands").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    distinct = every.groupBy("key").agg(F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"),
+                                        F.min("row").alias("row0"), F.max("row").alias("row1"))
+    distinct = written(distinct.withColumn("id", F.monotonically_increasing_id()), "paragraph-keys")
+
+    def bodies_of(ids: DataFrame) -> DataFrame:
+        keys = distinct.select("id", "key").join(ids, "id", "left_semi")
+        return every.select("key", "body").join(keys, "key").groupBy("id").agg(F.first("body").alias("body"))
+    groups = paragraph_links(distinct.select("id", "bands", "copies"), bodies_of, similarity)
+    keyed = distinct.drop("bands").join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     classes = keyed.groupBy("root").agg(F.sum("copies").alias("copies"), F.min("first").alias("first"), F.min("row0").alias("row0"), F.max("row1").alias("row1"))\
         .where("row0 <> row1").drop("row0", "row1")
-    member = checkpointed(keyed.select("key", "root").join(classes, "root"))
-    out = all_.drop("bands", "body").join(member, "key")
-    return out.select("doc_id", "paragraph", "start", "end", "n_words", F.lower(F.hex("root")).alias("class_id"), "copies",
-                      F.col("first.doc_id").alias("first_doc"),
-                      ((F.col("row") != F.col("first.row")) | (F.col("paragraph") != F.col("first.paragraph"))).alias("removed"))
+    member = keyed.select("key", "root").join(classes, "root")
+    found = written(every.drop("bands", "body").join(member, "key"), "paragraph-classes")
+    whole = found.select("doc_id", "paragraph", "start", "end", "first_word", "n_words", F.concat(F.lit("c"), F.col("root").cast("string")).alias("class_id"),
+                         "copies", F.col("first.doc_id").alias("first_doc"),
+                         ((F.col("row") != F.col("first.row")) | (F.col("paragraph") != F.col("first.paragraph"))).alias("removed"))
+    inner = _passages(cut.where("unit").select("key", "row", "doc_id", "paragraph", "start", "end", "first_word"), found.select("row", "paragraph"))
+    return whole.unionByName(inner)

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from loadlens.llm.paragraph_dedup import SIMILARITY, jaccard, paragraph_links, paragraphs, repeated_paragraphs, shingles
+from loadlens.llm.paragraph_dedup import SIMILARITY, UNIT_WORDS, jaccard, paragraph_links, paragraphs, repeated_paragraphs, shingles, units
 from pyspark.sql import functions as F
 
 
@@ -45,7 +45,7 @@ def corpus(seed=1, groups=6, copies=12):
 
 def got_classes(df, rows):
     classes = {}
-    for r in df.collect():
+    for r in df.where("class_id like 'c%'").collect():
         classes.setdefault(r["class_id"], []).append(r)
     for c in classes.values():
         assert sum(not r["removed"] for r in c) == 1 and len(c) == c[0]["copies"]
@@ -60,18 +60,18 @@ def test_classes_are_whole(spark):
     rows = corpus()
     rows += [(len(rows) + i, rows[1][1]) for i in range(30)]  # a large group of exact copies
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    assert got_classes(repeated_paragraphs(df), rows) == plain_classes(rows, 40)
+    assert got_classes(repeated_paragraphs(df, 40), rows) == plain_classes(rows, 40)
 
 
 def test_mixed_buckets_lose_no_link(spark):
     """All paragraphs in one bucket: representatives alone would miss links."""
     rows = corpus(2, groups=4, copies=8)
-    items = [(f"{i:04d}".encode(), b" ".join(p[3]).decode()) for i, r in enumerate(rows) for p in paragraphs(r[1], 40) if p[0] == 1]
-    bodies = spark.createDataFrame(items, "key binary, body string")
-    links = paragraph_links(bodies.select("key", F.array(F.lit(1).cast("bigint")).alias("bands")), bodies).collect()
+    items = [(i, b" ".join(p[3]).decode()) for i, r in enumerate(rows) for p in paragraphs(r[1], 40) if p[0] == 1]
+    bodies = spark.createDataFrame(items, "id bigint, body string")
+    distinct = bodies.select("id", F.array(F.lit(1).cast("bigint")).alias("bands"), F.lit(1).cast("bigint").alias("copies"))
     mine = {}
-    for r in links:
-        mine.setdefault(bytes(r["root"]), set()).add(bytes(r["node"]))
+    for r in paragraph_links(distinct, lambda ids: bodies.join(ids, "id", "left_semi")).collect():
+        mine.setdefault(r["root"], set()).add(r["node"])
     keys = [k for k, _ in items]
     sh = [shingles(b.encode().split()) for _, b in items]
     root = {k: k for k in keys}
@@ -90,6 +90,36 @@ def test_mixed_buckets_lose_no_link(spark):
     assert sorted(map(sorted, mine.values())) == sorted(sorted(c) for c in want.values() if len(c) > 1)
 
 
+def test_units_of_a_shared_passage():
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10 ** 6)}".encode()
+    for n in (51, 60, 200):
+        passage = [word() for _ in range(n)]
+        lines = [[word() for _ in range(rng.randrange(0, 90))] + passage + [word() for _ in range(rng.randrange(0, 90))] for _ in range(6)]
+        line, first, key = units(lines)
+        per = [set(key[line == i].tolist()) for i in range(6)]
+        assert set.intersection(*per)
+        for i, f, k in zip(line.tolist(), first.tolist(), key.tolist()):
+            assert len(lines[i][f:f + UNIT_WORDS]) == UNIT_WORDS
+    assert len(units([[word()] * 50, []])[0]) == 0 and len(set(units([[b"a"] * 500])[2].tolist())) == 1
+
+
+def test_passages_inside_other_paragraphs(spark):
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(10 ** 6)}"
+    some = lambda n: [word() for _ in range(n)]
+    passage, common = some(55), some(18)
+    rows = [(i, " ".join(some(rng.randrange(5, 80)) + passage + some(rng.randrange(30, 200)))) for i in range(8)]
+    rows += [(20 + i, "\n".join([" ".join(common), " ".join(some(120)), " ".join(common)])) for i in range(8)]     # clean
+    rows += [(40, " ".join(passage)), (41, " ".join(some(60) + common + some(60))), (42, " ".join(some(60) + common + some(60)))]
+    got = repeated_paragraphs(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    assert {r["doc_id"] for r in got} == {*range(8), 40}
+    assert sum(not r["removed"] for r in got) == 1 and len({r["class_id"] for r in got}) == 1
+    for r in got:
+        words = dict(rows)[r["doc_id"]].split("\n")[r["paragraph"]].split()
+        assert set(words[r["first_word"]:r["first_word"] + r["n_words"]]) <= set(passage)
+
+
 @pytest.mark.parametrize("min_words", [1, 40])
 def test_edges(edge_docs, no_docs, min_words):
     got = repeated_paragraphs(edge_docs, min_words).collect()
