@@ -84,7 +84,7 @@ def labelled(labels: DataFrame, column: str) -> DataFrame:
             .agg((F.avg(F.col(column).cast("double")) >= 0.5).cast("int").alias("y")))
 
 
-STEP_BYTES = 1 << 22   # text that a worker handles at a time
+STEP_BYTES = 1 << 21   # text that a worker handles at a time
 
 
 def text_steps(batch, column: int) -> Iterator:

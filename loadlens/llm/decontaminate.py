@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.llm.common import fresh
+from loadlens.llm.common import fresh, text_steps
 
 WINDOW = 13
 BLOCK_CHARS = 16_000_000   # characters of benchmark text broadcast at a time
@@ -46,7 +46,6 @@ def words_of(text: str | None) -> list[str]:
 #: Bytes of UTF-8 text: A-Z lower-cased, what separates words as a space.  All
 #: separators are single bytes, so places do not move.
 _BYTES = bytes(i + 32 if 65 <= i <= 90 else i if i >= 0x80 or 48 <= i <= 57 or 97 <= i <= 122 else 32 for i in range(256))
-STEP_ROWS = 4_000   # documents cut into words together
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -64,11 +63,6 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return np.concatenate([[0], ends]), coded.indices.to_numpy(), coded.dictionary
 
 
-def _steps(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for s in range(0, b.num_rows, STEP_ROWS):
-        yield b.slice(s, STEP_ROWS)
-
-
 def _block_items(block: DataFrame) -> list[tuple[str, list[str]]]:
     return [("" if r[0] is None else str(r[0]), words_of(r[1])) for r in block.collect()]
 
@@ -89,7 +83,7 @@ def word_counts(docs: DataFrame, vocabulary: list[str], text: str = "text") -> d
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, n = order.value, np.zeros(len(order.value), np.int64)
         for b in batches:
-            for part in _steps(b):
+            for part in text_steps(b, 0):
                 _, codes, distinct = split_words(part.column(0))
                 place = np.array([at.get(w, -1) for w in distinct.to_pylist()], np.int64)
                 ours = np.flatnonzero(place >= 0)
@@ -179,8 +173,9 @@ def _scan(index, text: str, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = index.value
         for whole in batches:
-            for b in _steps(whole):
-                place, names = b.schema.get_field_index(column), b.schema.names
+            names = whole.schema.names
+            for b in text_steps(whole, names.index(text)):
+                place = b.schema.get_field_index(column)
                 starts, codes, distinct = split_words(b.column(names.index(text)))
                 found = find_windows(starts, codes, distinct, at)
                 rows = [{"n_words": n, "spans": [], "items": []} for n in np.diff(starts).tolist()]

@@ -22,13 +22,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import parts_of
+from loadlens.llm.common import parts_of, text_steps
 from loadlens.session import scratch_dir
 
 END_ID = 2
-STEP_ROWS = 4_000        # rows encoded together
 SAMPLE = 512            # entries between two sampled select positions
-CACHE_PIECES = 400_000  # pieces whose ids a worker remembers (affects time only)
+CACHE_PIECES = 150_000  # pieces whose ids a worker remembers (affects time only)
 
 
 class EliasFano:
@@ -213,12 +212,12 @@ def _write_shards(folder: str, tokenizer: str, end_id: int, wide: bool):
         with fs.open_output_stream(tmp + ".ids") as out:
             for b in batches:
                 encoder = encoder or WordEncoder(tokenizer)
-                for s in range(0, b.num_rows, STEP_ROWS):
-                    part = b.slice(s, STEP_ROWS)
+                for part in text_steps(b, 1):
                     ids, n = encoder.encode(part.column(1), end_id)
                     out.write(ids.astype(kind).tobytes())
                     lengths.append(n)
-                    doc_ids.append(part.column(0))
+                    doc_ids.append(pa.concat_arrays([part.column(0)]).take(pa.array(np.arange(part.num_rows))))  # not the batch with its texts
+                pa.default_memory_pool().release_unused()
         n = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
         known = pa.chunked_array(doc_ids, pa.int64()).drop_null().to_numpy() if doc_ids else np.zeros(0, np.int64)
         least = int(known[0]) if len(known) else 0
