@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow.compute as pc
@@ -84,6 +85,21 @@ def labelled(labels: DataFrame, column: str) -> DataFrame:
             .agg((F.avg(F.col(column).cast("double")) >= 0.5).cast("int").alias("y")))
 
 
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of ``rows`` rows for the actions run inside: with whole texts
+    in them, the default of 10,000 is more than a task needs to hold."""
+    before = spark.conf.get(_ARROW_ROWS)
+    spark.conf.set(_ARROW_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
+
+
 STEP_BYTES = 1 << 21   # text that a worker handles at a time
 
 

@@ -22,10 +22,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import parts_of, text_steps
+from loadlens.llm.common import arrow_rows, parts_of, text_steps
 from loadlens.session import scratch_dir
 
 END_ID = 2
+BATCH_ROWS = 1_000       # rows of an Arrow batch
 SAMPLE = 512            # entries between two sampled select positions
 CACHE_PIECES = 150_000  # pieces whose ids a worker remembers (affects time only)
 
