@@ -1,11 +1,12 @@
 """Substring dedup over paragraphs: MinHash banding, exact verification, components.
 
-Paragraphs (lines of at least ``MIN_WORDS`` words, near matches from ``NEAR_WORDS``
+Paragraphs (lines of at least ``MIN_WORDS`` words, near matches from one shingle
 on) are reduced to lower-case words.
 Equal paragraphs collapse by a 128-bit key first, so a passage that a million
 documents share is one row from there on.  The signature's bands put a pair of
 Jaccard similarity 0.8 into a common bucket with probability 0.9998 (16 bands of
-4 rows).
+4 rows); short paragraphs, whose shingles rarely meet by chance, need 9 bands of
+2 rows for 0.9999.
 
 Buckets are never paired out.  First each paragraph of a bucket is compared
 with one representative; the verified links make components.  Then only
@@ -16,12 +17,17 @@ bounds.  Each candidate pair is verified by exact Jaccard similarity of its
 5-word shingles, so no link between different paragraphs of a bucket is lost
 and a large group of near copies costs one comparison per member and band.
 
-A passage that lies inside longer, otherwise different paragraphs has no
-paragraph to match.  Paragraphs of over 50 words therefore also give units of
-``UNIT_WORDS`` words: of any ``UNIT_WORDS`` consecutive ones that with the least
-hash, so two paragraphs that share over 50 consecutive words share a unit,
-wherever the passage lies in each.  Units that repeat in another document mark
-their words; runs of marked words are the passages.
+A passage that lies inside longer, otherwise different paragraphs, or is broken
+over lines elsewhere, has no paragraph to match.  The word sequence of a whole
+document therefore also gives units of ``UNIT_WORDS`` words: of any
+``UNIT_WORDS`` consecutive ones that with the least hash, so two documents that
+share over 50 consecutive words share a unit, wherever the passage and its line
+breaks lie in each.  Units that repeat in another document mark their words;
+stretches of adjoining units are the passages, and stretches that share a unit
+are linked into classes.  The first place of each unit is kept whole; other words
+go if a unit around them has an earlier place.  Which units are chosen depends on
+the words beside a passage, so a unit that seems to come first beside one with an
+earlier place is looked up there.
 """
 
 from __future__ import annotations
@@ -38,9 +44,11 @@ from loadlens.llm.common import checkpointed, written
 from loadlens.llm.components import connected_components
 
 MIN_WORDS = 25          # lines of fewer words are no paragraphs
-NEAR_WORDS = 40         # paragraphs of fewer words only match equal ones
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
+NEAR_WORDS = SHINGLE_WORDS  # paragraphs of fewer words have no shingle and only match equal ones
 BANDS, ROWS = 16, 4
+SHORT = 35              # paragraphs of at most so many shingles have their own bands
+SHORT_BANDS, SHORT_ROWS = 9, 2
 STEP_SHINGLES = 1 << 15
 UNIT_WORDS = 26         # 2 * 26 - 1 = 51 shared words always share a unit
 _BASE = 0x9E3779B97F4A7C15
@@ -110,20 +118,27 @@ def paragraphs(text: str | None, min_words: int) -> list[tuple[int, int, int, li
     return out
 
 
+def unit_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hash of each run of ``size`` words, from the words' hashes."""
+    run = np.zeros(len(h) - size + 1, np.uint64)
+    for j in range(size):  # a polynomial of the words' hashes, modulo 2^64
+        run = run * np.uint64(_BASE) + h[j:len(h) - size + 1 + j]
+    run ^= run >> np.uint64(31)
+    run *= np.uint64(0xD6E8FEB86659FD93)
+    return run
+
+
 def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Line, first word and 64-bit hash of the chosen units of all lines: the
-    run of ``size`` words of least hash among each ``size`` consecutive ones.
-    Runs do not cross lines; lines of under ``2 * size - 1`` words have none."""
+    """Line, first word and 64-bit hash of the chosen units of all lines (word
+    sequences): the run of ``size`` words of least hash among each ``size``
+    consecutive ones.  Runs do not cross them; those of under ``2 * size - 1``
+    words have none."""
     long = [i for i, w in enumerate(lines) if len(w) >= 2 * size - 1]
     n = np.array([len(lines[i]) for i in long], np.int64)
     if not len(n):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h = np.fromiter((xxhash.xxh3_64_intdigest(w) for i in long for w in lines[i]), np.uint64, int(n.sum()))
-    run = np.zeros(len(h) - size + 1, np.uint64)
-    for j in range(size):  # a polynomial of the words' hashes, modulo 2^64
-        run = run * np.uint64(_BASE) + h[j:len(h) - size + 1 + j]
-    run ^= run >> np.uint64(31)
-    run *= np.uint64(0xD6E8FEB86659FD93)
+    run = unit_hashes(h, size)
     line = np.repeat(np.arange(len(n)), n)
     whole = line[:len(run)] == line[size - 1:]
     run[~whole] = np.iinfo(np.uint64).max
@@ -134,42 +149,68 @@ def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray,
     return np.array(long)[line[chosen]], chosen - starts[line[chosen]], run[chosen]
 
 
-_PARAGRAPHS = ("unit boolean, row bigint, doc_id bigint, paragraph int, start int, `end` int, n_words int, first_word int, "
-               "key binary, bands array<bigint>, body string")
-_NAMES = ["unit", "row", "doc_id", "paragraph", "start", "end", "n_words", "first_word", "key", "bands", "body"]
+_PARAGRAPHS = ("kind int, row bigint, doc_id bigint, paragraph int, start int, `end` int, n_words int, first_word int, "
+               "key binary, bands array<bigint>, body string, lines array<struct<paragraph: int, start: int, `end`: int, at: int, n: int>>, words binary")
+_NAMES = ["kind", "row", "doc_id", "paragraph", "start", "end", "n_words", "first_word", "key", "bands", "body", "lines", "words"]
+_LINES = pa.list_(pa.struct([(x, pa.int32()) for x in ("paragraph", "start", "end", "at", "n")]))
+PARAGRAPH, UNIT, DOCUMENT = 0, 1, 2
+
+
+def _bands(words: list[list[bytes]], sign: Signatures, short: Signatures) -> list[list[int]]:
+    """Band keys of each paragraph: short ones have their own bands, those that a
+    short one may match both kinds."""
+    sets = [list(set(shingles(w))) for w in words]
+    out: list[list[int]] = [[] for _ in sets]
+    for signatures, at in ((short, [i for i, x in enumerate(sets) if len(x) * SIMILARITY <= SHORT]), (sign, [i for i, x in enumerate(sets) if len(x) > SHORT])):
+        for i, key in zip(at, signatures.band_keys([sets[i] for i in at]).view(np.int64).tolist()):
+            out[i] += key
+    return out
 
 
 def _cut(min_words: int, near_words: int):
     """Whole paragraphs, the bands and words of those of ``near_words`` words or
-    more, and units of the longer ones."""
-    def batch(lines, unit, first, size, key, bands, body):
-        ints = list(zip(*lines))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([unit] * len(lines)), pa.array(ints[0], pa.int64()), pa.array(ints[1], pa.int64()), *(pa.array(x, pa.int32()) for x in ints[2:5]),
-             pa.array(size, pa.int32()), pa.array(first, pa.int32()), pa.array(key, pa.binary()), bands, body], names=_NAMES)
+    more, the units of each document, and its lines where it has units."""
+    def batch(kind, n, **given):
+        types = dict(zip(_NAMES, [pa.int32(), pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.binary(), pa.list_(pa.int64()), pa.string(), _LINES, pa.binary()]))
+        return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.int32()), *(pa.array(given[x], t) if x in given else pa.nulls(n, t)
+                                                                              for x, t in types.items() if x != "kind")], names=_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign = Signatures()
+        sign, short = Signatures(), Signatures(SHORT_BANDS, SHORT_ROWS, 6)
         for b in batches:
             for s in range(0, b.num_rows, 500):
-                part, rows, words = b.slice(s, 500), [], []
-                for row, doc, text in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    for number, start, end, w in paragraphs(text, min_words):
-                        rows.append((row, doc, number, start, end))
-                        words.append(w)
-                if not rows:
-                    continue
-                bodies = list(map(b" ".join, words))
-                near = [len(w) >= near_words for w in words]
-                keys = sign.band_keys([shingles(w) for w, x in zip(words, near) if x])
-                ends = np.cumsum([0, *(keys.shape[1] if x else 0 for x in near)]).astype(np.int32)
-                yield batch(rows, False, [0] * len(rows), list(map(len, words)), [xxhash.xxh3_128_digest(x) for x in bodies],
-                            pa.ListArray.from_arrays(ends, pa.array(keys.ravel().view(np.int64))),
-                            pa.array([w.decode("utf-8", "replace") if x else None for w, x in zip(bodies, near)], pa.string()))
-                line, first, hashes = units(words)
-                if len(line):
-                    yield batch([rows[i] for i in line.tolist()], True, first, [UNIT_WORDS] * len(line), [int(x).to_bytes(8, "big") for x in hashes],
-                                pa.nulls(len(line), pa.list_(pa.int64())), pa.nulls(len(line), pa.string()))
+                part, rows, words, whole, maps = b.slice(s, 500), [], [], [], []
+                row_ids, doc_ids = part.column(0).to_pylist(), part.column(1).to_pylist()
+                for row, doc, text in zip(row_ids, doc_ids, part.column(2).to_pylist()):
+                    sequence, lines = [], []
+                    for number, start, end, w in paragraphs(text, 1):
+                        lines.append({"paragraph": number, "start": start, "end": end, "at": len(sequence), "n": len(w)})
+                        sequence += w
+                        if len(w) >= min_words:
+                            rows.append((row, doc, number, start, end))
+                            words.append(w)
+                    whole.append(sequence)
+                    maps.append(lines)
+                if rows:
+                    bodies = list(map(b" ".join, words))
+                    near = [i for i, w in enumerate(words) if len(w) >= near_words]
+                    bands: list[list[int]] = [[] for _ in rows]
+                    for i, keys in zip(near, _bands([words[i] for i in near], sign, short)):
+                        bands[i] = keys
+                    text = [None] * len(rows)
+                    for i in near:
+                        text[i] = bodies[i].decode("utf-8", "replace")
+                    at = dict(zip(("row", "doc_id", "paragraph", "start", "end"), zip(*rows)))
+                    yield batch(PARAGRAPH, len(rows), **at, n_words=list(map(len, words)), first_word=[0] * len(rows),
+                                key=[xxhash.xxh3_128_digest(x) for x in bodies], bands=bands, body=text)
+                doc, first, hashes = units(whole)
+                if len(doc):
+                    at = doc.tolist()
+                    yield batch(UNIT, len(at), row=[row_ids[i] for i in at], doc_id=[doc_ids[i] for i in at], first_word=first,
+                                key=[int(x).to_bytes(8, "big") for x in hashes])
+                    have = sorted(set(at))
+                    yield batch(DOCUMENT, len(have), row=[row_ids[i] for i in have], doc_id=[doc_ids[i] for i in have], lines=[maps[i] for i in have],
+                                words=[b" ".join(whole[i]) for i in have])
     return run
 
 
@@ -244,33 +285,159 @@ def paragraph_links(distinct: DataFrame, bodies_of, similarity: float = SIMILARI
     return connected_components(links.unionAll(more)) if more.take(1) else groups
 
 
-def _passages(units_: DataFrame, taken: DataFrame) -> DataFrame:
-    """Runs of words of a paragraph that lie in units repeated in other rows, for
-    paragraphs that are not ``taken(row, paragraph)``."""
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "paragraph", "first_word")
-    keys = units_.groupBy("key").agg(F.min("row").alias("row0"), F.max("row").alias("row1"), F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"))\
-        .where("row0 <> row1").drop("row0", "row1")
+_STRETCHES = ("row bigint, doc_id bigint, start int, `end` int, hits array<struct<key: binary, first_word: int, alive: boolean>>, "
+              "lines array<struct<paragraph: int, start: int, `end`: int, at: int, n: int>>")
+_RUNS = ("doc_id bigint, paragraph int, start int, `end` int, first_word int, n_words int, class_id string, copies bigint, first_doc bigint, "
+         "removed boolean")
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of repeated units of each document that overlap or touch (chosen
+    units lie at most ``UNIT_WORDS`` apart in a passage).  A unit is alive
+    if none of its words lies in a paragraph that goes as a whole; ``lines`` are
+    those of the stretch that are no repeated paragraphs."""
+    hit = pa.list_(pa.struct([("key", pa.binary()), ("first_word", pa.int32()), ("alive", pa.bool_())]))
+    for b in batches:
+        out = []
+        for d in b.to_pylist():
+            lines, whole = sorted(d["lines"], key=lambda x: x["at"]), {x["paragraph"]: x["removed"] for x in d["whole"]}
+            at = np.array([x["at"] for x in lines])
+            gone = np.cumsum([0, *(whole.get(x["paragraph"], False) for x in lines)])
+            hits = sorted(d["hits"], key=lambda x: x["first_word"])
+            first = np.array([x["first_word"] for x in hits])
+            a, z = np.searchsorted(at, first, "right") - 1, np.searchsorted(at, first + UNIT_WORDS - 1, "right")
+            alive = (gone[z] == gone[a]).tolist()
+            cuts = [0, *(np.flatnonzero(first[1:] > first[:-1] + UNIT_WORDS) + 1).tolist(), len(hits)]
+            for i, j in zip(cuts, cuts[1:]):
+                out.append((d["row"], d["doc_id"], int(first[i]), int(first[j - 1]) + UNIT_WORDS,
+                            [{**h, "alive": x} for h, x in zip(hits[i:j], alive[i:j])],
+                            [x for x in lines[int(a[i]):int(z[j - 1])] if x["paragraph"] not in whole]))
+        if out:
+            cols = list(zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), hit, _LINES))],
+                                             names=["row", "doc_id", "start", "end", "hits", "lines"])
+
+
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places to look up: where a unit whose first place is here would lie beside
+    the earlier place of a unit that overlaps it."""
+    for b in batches:
+        out = set()
+        for d in b.to_pylist():
+            hits = sorted(d["units"], key=lambda u: u["first_word"])
+            at = np.array([u["first_word"] for u in hits])
+            for i, u in enumerate(hits):
+                if u["mine"]:
+                    for j in range(int(np.searchsorted(at, at[i] - UNIT_WORDS, "right")), int(np.searchsorted(at, at[i] + UNIT_WORDS))):
+                        if hits[j]["earlier"]:
+                            place = hits[j]["first"]["first_word"] + int(at[i] - at[j])
+                            if place >= 0:
+                                out.add((u["key"], hits[j]["first"]["row"], place))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.binary(), pa.int64(), pa.int32()))], names=["key", "row", "first_word"])
+
+
+def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units at the asked places of each document, where all their words stay."""
+    for b in batches:
+        for i in range(b.num_rows):
+            d = b.slice(i, 1).to_pylist()[0]
+            gone = {x["paragraph"] for x in d["whole"] if x["removed"]}
+            words = d["words"].split(b" ")
+            spans = [(x["at"], x["at"] + x["n"]) for x in d["lines"] if x["paragraph"] in gone]
+            stays = np.ones(len(words), bool)
+            for x, y in spans:
+                stays[x:y] = False
+            places = [x for x in d["places"] if x + UNIT_WORDS <= len(words) and stays[x:x + UNIT_WORDS].all()]
+            if places:
+                run = unit_hashes(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), UNIT_WORDS)
+                n = len(places)
+                yield pa.RecordBatch.from_arrays([pa.array([int(run[x]).to_bytes(8, "big") for x in places], pa.binary()), pa.array([d["doc_id"]] * n, pa.int64()),
+                                                  pa.array([d["row"]] * n, pa.int64()), pa.array(places, pa.int32())], names=["key", "doc_id", "row", "first_word"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches cut where their words' fate changes and at the ends of lines."""
+    types = (pa.int64(), *[pa.int32()] * 5, pa.string(), pa.int64(), pa.int64(), pa.bool_())
+    for b in batches:
+        out = []
+        for d in b.to_pylist():
+            start = d["start"]
+            held, kept = np.zeros((2, d["end"] - start), bool)
+            for u in d["units"]:
+                at = u["first_word"] - start
+                if u["earlier"]:
+                    held[at:at + UNIT_WORDS] = True
+                elif u["mine"]:     # a place that was looked up may begin before the stretch
+                    kept[max(at, 0):at + UNIT_WORDS] = True
+            held &= ~kept
+            cuts = [0, *(np.flatnonzero(held[1:] != held[:-1]) + 1).tolist(), len(held)]
+            for i, j in zip(cuts, cuts[1:]):
+                removed, source = bool(held[i]), d["doc_id"]
+                if removed:
+                    firsts = [u["first"] for u in d["units"] if u["earlier"] and u["first_word"] - start < j and u["first_word"] - start + UNIT_WORDS > i]
+                    source = min(firsts, key=lambda f: (f["no_id"], f["doc_id"] or 0, f["row"], f["first_word"]))["doc_id"]
+                for x in d["lines"]:
+                    a, z = max(start + i, x["at"]), min(start + j, x["at"] + x["n"])
+                    if a < z:
+                        out.append((d["doc_id"], x["paragraph"], x["start"], x["end"], a - x["at"], z - a, f"p{d['root']}", d["copies"], source, removed))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)],
+                                             names=["doc_id", "paragraph", "start", "end", "first_word", "n_words", "class_id", "copies", "first_doc", "removed"])
+
+
+def _passages(units_: DataFrame, documents: DataFrame, whole: DataFrame) -> DataFrame:
+    """Runs of words that lie in units repeated in other rows, a row for each line,
+    without the lines that are ``whole(row, paragraph, removed)``."""
+    keys = units_.groupBy("key").agg(F.min("row").alias("row0"), F.max("row").alias("row1")).where("row0 <> row1").select("key")
     keys = written(keys, "paragraph-units")   # so that the join deals out both sides anew and splits a hot unit
-    hits = units_.join(keys, "key").join(taken, ["row", "paragraph"], "left_anti")
-    by = Window.partitionBy("row", "paragraph").orderBy("first_word")   # units of one paragraph
-    ended = F.max(F.col("first_word") + UNIT_WORDS).over(by.rowsBetween(Window.unboundedPreceding, -1))
-    hits = hits.withColumn("run", F.sum(F.when(F.col("first_word") <= ended, 0).otherwise(1)).over(by))
-    runs = hits.groupBy("row", "paragraph", "run").agg(
-        F.first("doc_id").alias("doc_id"), F.first("start").alias("start"), F.first("end").alias("end"), F.min("first_word").alias("first_word"),
-        (F.max("first_word") + UNIT_WORDS - F.min("first_word")).alias("n_words"), F.min(F.hex("key")).alias("class_id"),
-        F.max("copies").alias("copies"), F.min("first").alias("first"))
-    return runs.select("doc_id", "paragraph", "start", "end", "first_word", "n_words", F.concat(F.lit("p"), F.lower("class_id")).alias("class_id"),
-                       "copies", F.col("first.doc_id").alias("first_doc"), (F.col("first.row") != F.col("row")).alias("removed"))
+    hits = units_.join(keys, "key").select("row", F.struct("key", "first_word").alias("hit"))
+    taken = whole.select("row", F.struct("paragraph", "removed").alias("whole"))
+    parts = hits.unionByName(documents.drop("words"), True).unionByName(taken, True)
+    per = parts.groupBy("row").agg(F.first("doc_id", True).alias("doc_id"), F.collect_list("hit").alias("hits"), F.first("lines", True).alias("lines"),
+                                   F.collect_list("whole").alias("whole")).where(F.size("hits") > 0)   # a document's own units and lines
+    stretches = written(per.mapInArrow(_stretches, _STRETCHES).withColumn("id", F.monotonically_increasing_id()), "paragraph-stretches", "zstd")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "first_word")
+    each = stretches.select("id", "row", "doc_id", F.explode("hits").alias("h"))\
+        .select("id", "row", "doc_id", F.col("h.key").alias("key"), F.col("h.first_word").alias("first_word"), F.col("h.alive").alias("alive"))
+    firsts = written(each.groupBy("key").agg(F.min("id").alias("id0"), F.min(F.when(F.col("alive"), place)).alias("first")), "paragraph-firsts")
+    each = written(each.join(firsts, "key").select("id", "id0", "key", "first_word", place.alias("place"), "first"), "paragraph-hits", "zstd")
+    groups = connected_components(each.select(F.col("id").alias("u"), F.col("id0").alias("v")))
+    root = groups.select(F.col("node").alias("id"), "root")
+    sized = written(stretches.select("id").join(root, "id", "left").select("id", F.coalesce("root", "id").alias("root")), "paragraph-roots")
+    sized = sized.join(sized.groupBy("root").agg(F.count(F.lit(1)).alias("copies")), "root")
+
+    def of_stretches(hits: DataFrame, *more: str) -> DataFrame:
+        unit = F.struct("first_word", "first", F.coalesce(F.col("first") < F.col("place"), F.lit(False)).alias("earlier"),
+                        F.col("first").eqNullSafe(F.col("place")).alias("mine"), *more)
+        return hits.groupBy("id").agg(F.collect_list(unit).alias("units"))   # a stretch's own units
+    asked = written(of_stretches(each, "key").mapInArrow(_beside, "key binary, row bigint, first_word int").distinct(), "paragraph-asked")
+    asked_of = asked.select("row").distinct()
+    places = asked.select("row", "first_word").distinct().withColumnRenamed("first_word", "place")
+    ask = documents.join(asked_of, "row", "left_semi").unionByName(places, True).unionByName(taken.join(asked_of, "row", "left_semi"), True)
+    ask = ask.groupBy("row").agg(F.first("doc_id", True).alias("doc_id"), F.first("words", True).alias("words"), F.first("lines", True).alias("lines"),
+                                 F.collect_list("place").alias("places"), F.collect_list("whole").alias("whole"))
+    there = ask.mapInArrow(_look, "key binary, doc_id bigint, row bigint, first_word int").join(asked, ["key", "row", "first_word"])
+    better = there.groupBy("key").agg(F.min(place).alias("better")).join(firsts, "key").where(F.col("better") < F.col("first")).select("key", "better")
+    better = checkpointed(better)
+    each = each.join(better, "key", "left").withColumn("first", F.coalesce("better", "first")).select("id", "first_word", "place", "first")
+    found = better.join(stretches.select("id", F.col("row").alias("better_row"), "start", "end"), F.col("better.row") == F.col("better_row"))\
+        .where((F.col("start") < F.col("better.first_word") + UNIT_WORDS) & (F.col("end") > F.col("better.first_word")))
+    each = each.unionByName(found.select("id", F.col("better.first_word").alias("first_word"), F.col("better").alias("place"), F.col("better").alias("first")))
+    lined = stretches.where(F.size("lines") > 0).select("id", "doc_id", "start", "end", "lines")
+    return lined.join(of_stretches(each), "id").join(sized, "id").mapInArrow(_runs, _RUNS)
 
 
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """One row for each paragraph that repeats (equal or, from ``near_words`` words
-    on, near-equal) in another document, and for each passage inside another
-    paragraph that does:
+    on, near-equal) in another document, and for each line's part of a passage
+    that does:
     ``doc_id, paragraph, start, end`` (line number and its character span),
     ``first_word, n_words`` (the repeated words of the line), ``class_id``,
-    ``copies`` of the paragraph or passage, ``first_doc`` and ``removed`` (false
-    for the first one by doc_id, row and line).
+    ``copies`` of the paragraph or passage, ``first_doc`` (of the place that is
+    kept) and ``removed``.  Of a class of paragraphs the first one by doc_id,
+    row and line stays; of each unit of a passage the first place stays whose
+    words are in no removed paragraph.
 
     Null and empty texts have no paragraphs.  Rows are told apart, so two rows
     with one doc_id are two documents.  Paragraphs that repeat only within one
@@ -278,7 +445,7 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
     doc_id and text are read; an empty table gives an empty result."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     cut = written(rows.mapInArrow(_cut(min_words, near_words), _PARAGRAPHS), "paragraphs", "zstd")
-    every = cut.where("not unit").drop("unit")
+    every = cut.where(F.col("kind") == PARAGRAPH).drop("kind", "lines", "words")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "paragraph")
     distinct = every.groupBy("key").agg(F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"),
                                         F.min("row").alias("row0"), F.max("row").alias("row1"))
@@ -296,5 +463,7 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
     whole = found.select("doc_id", "paragraph", "start", "end", "first_word", "n_words", F.concat(F.lit("c"), F.col("root").cast("string")).alias("class_id"),
                          "copies", F.col("first.doc_id").alias("first_doc"),
                          ((F.col("row") != F.col("first.row")) | (F.col("paragraph") != F.col("first.paragraph"))).alias("removed"))
-    inner = _passages(cut.where("unit").select("key", "row", "doc_id", "paragraph", "start", "end", "first_word"), found.select("row", "paragraph"))
+    gone = (F.col("row") != F.col("first.row")) | (F.col("paragraph") != F.col("first.paragraph"))
+    inner = _passages(cut.where(F.col("kind") == UNIT).select("key", "row", "first_word"),
+                      cut.where(F.col("kind") == DOCUMENT).select("row", "doc_id", "lines", "words"), found.select("row", "paragraph", gone.alias("removed")))
     return whole.unionByName(inner)

@@ -27,7 +27,7 @@ def op2_toxicity(spark, sf_dir):
 
 def op3_paragraphs(spark, sf_dir):
     from loadlens.llm.paragraph_dedup import repeated_paragraphs
-    return repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return repeated_paragraphs(table(spark, sf_dir, "documents"), min_words=1)
 
 
 def op4_mixing(spark, sf_dir):

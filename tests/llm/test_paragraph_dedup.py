@@ -131,3 +131,30 @@ def test_edges(edge_docs, no_docs, min_words):
         assert sorted(map(len, by.values())) == [2, 5]  # 'one two three' twice; 'a b c d e f' in five rows
     else:
         assert got == []
+
+
+def words_of(rng, n):
+    return [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+
+
+def test_short_lines_and_broken_passages(spark):
+    rng = random.Random(8)
+    near, passage = words_of(rng, 30), words_of(rng, 80)
+    rows = [(1, "\n".join([" ".join(near), "Same Heading", " ".join(words_of(rng, 30))])), (2, "\n".join([" ".join(near[:29] + ["other"]), "same  heading"])),
+            (3, " ".join(words_of(rng, 40) + passage + words_of(rng, 40)))]
+    wrapped = words_of(rng, 7) + passage + words_of(rng, 9)
+    rows.append((4, "\n".join(" ".join(wrapped[i:i + 12]) for i in range(0, len(wrapped), 12))))
+    got = repeated_paragraphs(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), 1).collect()
+    whole = {}
+    for r in got:
+        if r["class_id"].startswith("c"):
+            whole.setdefault(r["class_id"], set()).add((r["doc_id"], r["paragraph"], r["removed"]))
+    assert sorted(map(sorted, whole.values())) == [[(1, 0, False), (2, 0, True)], [(1, 1, False), (2, 1, True)]]
+    runs = [r for r in got if r["class_id"].startswith("p")]
+    assert {r["doc_id"] for r in runs if r["removed"]} == {4} and len({r["class_id"] for r in runs}) == 1 and {r["copies"] for r in runs} == {2}
+    gone = []
+    for r in sorted((r for r in runs if r["removed"]), key=lambda r: r["paragraph"]):
+        line = dict(rows)[4].split("\n")[r["paragraph"]]
+        assert dict(rows)[4][r["start"]:r["end"]] == line and r["first_doc"] == 3
+        gone += line.split()[r["first_word"]:r["first_word"] + r["n_words"]]
+    assert " ".join(gone) in " ".join(passage) and len(gone) >= 51
