@@ -158,3 +158,36 @@ def test_short_lines_and_broken_passages(spark):
         assert dict(rows)[4][r["start"]:r["end"]] == line and r["first_doc"] == 3
         gone += line.split()[r["first_word"]:r["first_word"] + r["n_words"]]
     assert " ".join(gone) in " ".join(passage) and len(gone) >= 51
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_every_passage_keeps_one_copy(spark, seed):
+    """Staggered excerpts, and a first place inside a paragraph that goes as a near copy."""
+    rng = random.Random(seed)
+    source, near = words_of(rng, 200), words_of(rng, 120)
+    alone = lambda: words_of(rng, rng.randrange(20, 60))
+    cut = lambda a, b: " ".join(alone() + source[a:b] + alone())
+    rows = [(0, cut(0, 100)), (1, cut(0, 200)), (2, cut(40, 200)), (3, " ".join(near[:70] + near[72:])), (4, " ".join(near)),
+            (5, " ".join(alone() + near[44:100] + alone())), (6, " ".join(alone() + near[44:100] + alone()))]
+    for i in range(7, 12):
+        a = rng.randrange(0, 140)
+        rows.append((i, cut(a, a + 60)))
+    got = repeated_paragraphs(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    kept = {i: t.split() for i, t in rows}
+    for r in got:
+        if r["removed"]:
+            for k in range(r["first_word"], r["first_word"] + r["n_words"]):
+                kept[r["doc_id"]][k] = "-"
+    left = {" ".join(w[k:k + UNIT_WORDS]) for w in kept.values() for k in range(len(w) - UNIT_WORDS + 1)}
+    line, first, key = (x.tolist() for x in units([t.encode().split() for _, t in rows]))
+    held = {}
+    for i, k in zip(line, key):
+        held.setdefault(k, set()).add(i)
+    repeated = [(i, f) for i, f, k in zip(line, first, key) if len(held[k]) > 1]
+    assert len(repeated) > 50
+    for i, f in repeated:
+        assert " ".join(rows[i][1].split()[f:f + UNIT_WORDS]) in left
+    runs = [r for r in got if r["class_id"].startswith("p") and r["doc_id"] in (0, 1, 2, *range(7, 12))]
+    assert len({r["class_id"] for r in runs}) == 1 and {r["copies"] for r in runs} == {8}
+    assert any(r["removed"] for r in runs if r["doc_id"] == 1) and any(not r["removed"] for r in runs if r["doc_id"] == 1)
+    assert all(r["removed"] for r in runs if r["doc_id"] == 2)
