@@ -51,31 +51,38 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def dropped(tag: str, attributes: str) -> bool:
-    """An element that is no article text, by its kind, role, class or id."""
+HARD, SOFT = 2, 1
+
+
+def dropped(tag: str, attributes: str) -> int:
+    """An element that is no article text: ``HARD`` by its kind or role, ``SOFT`` by a
+    word of its class or id (a wrapper of the article may have such a word)."""
     if tag in DROP_TAGS:
-        return True
+        return HARD
     if tag in KEEP_TAGS and tag != "article" or not attributes or attributes.isspace():
-        return False
+        return 0
+    found = 0
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name in ("class", "id") and not DROP_WORDS.isdisjoint(w.lower() for w in _WORD.findall(value)):
-            return True
+            found = SOFT
         if name == "role" and value.lower() in DROP_ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true" \
                 or name == "style" and _HIDDEN.search(value):
-            return True
-    return False
+            return HARD
+    return found
 
 
 class Page:
-    """Text runs of a page: level (2 article, 1 main, 0 elsewhere), text, and the
-    hashes of the subtrees around it."""
+    """Text runs of a page: level (2 article, 1 main, 0 elsewhere), text, the
+    hashes of the subtrees around it, the softly dropped elements around its
+    article or main part and inside that, and the number of the outermost
+    softly dropped element inside it."""
 
     def __init__(self, html: str):
-        self.runs: list[tuple[int, str, tuple[int, ...]]] = []
+        self.runs: list[tuple[int, str, tuple[int, ...], int, int, int]] = []
         self.hashes: list[int] = []
-        # open elements: tag, hash so far, dropped, level, path of element numbers
-        self.open: list[list] = [["", xxhash.xxh3_64(), False, 0, ()]]
+        # open elements: tag, hash so far, dropped, level, path of element numbers, number, soft ones outside, inside, first one inside, itself soft
+        self.open: list[list] = [["", xxhash.xxh3_64(), False, 0, (), -1, 0, 0, -1, False]]
         at, n, skip_to = 0, len(html), _TAG.search
         while at < n:
             m = skip_to(html, at)
@@ -106,11 +113,11 @@ class Page:
         text = unescape(raw) if "&" in raw else raw
         if text and (not text.isspace() or self.runs):
             top[1].update(" ".join(text.split()).encode("utf-8", "surrogatepass") + b"\1")
-            self.runs.append((top[3], text, top[4]))
+            self.runs.append((top[3], text, top[4], *top[6:9]))
 
     def _break(self) -> None:
         if self.runs and self.runs[-1][1] != " ":
-            self.runs.append((self.open[-1][3], " ", self.open[-1][4]))
+            self.runs.append((self.open[-1][3], " ", self.open[-1][4], *self.open[-1][6:9]))
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in CLOSES_P:
@@ -123,11 +130,15 @@ class Page:
             return
         top = self.open[-1]
         level = max(top[3], 2 if tag == "article" else 1 if tag == "main" or "role" in attributes and re.search(r"role\s*=\s*[\"']?main\b", attributes) else 0)
-        drop = top[2] or dropped(tag, attributes)
+        own = dropped(tag, attributes)
+        drop, soft = top[2] or own == HARD, own == SOFT
+        outside, inside, first = top[6], top[7] + soft, len(self.hashes) if soft and not top[7] else top[8]
+        if level > top[3]:   # an article or main part: the soft ones are around it
+            outside, inside, first = outside + inside, 0, -1
         path = top[4]
         if not drop and tag not in KEEP_TAGS:
             path = (*path, len(self.hashes))
-        self.open.append([tag, xxhash.xxh3_64(tag.encode("utf-8", "surrogatepass") + b"\0"), drop, level, path, len(self.hashes)])
+        self.open.append([tag, xxhash.xxh3_64(tag.encode("utf-8", "surrogatepass") + b"\0"), drop, level, path, len(self.hashes), outside, inside, first, soft])
         self.hashes.append(0)
 
     def _end_open(self, kinds: set[str], stop: set[str]) -> None:
@@ -151,20 +162,47 @@ class Page:
                 return
 
     def _close(self) -> None:
-        tag, digest, drop, _, _, number = self.open.pop()
+        tag, digest, drop, _, _, number, *_, soft = self.open.pop()
         h = digest.intdigest() - (1 << 63)
         self.hashes[number] = h
         if not self.open[-1][2]:
-            self.open[-1][1].update(h.to_bytes(8, "little", signed=True))
+            self.open[-1][1].update(tag.encode("utf-8", "surrogatepass") + b"\2" if soft else h.to_bytes(8, "little", signed=True))
         if tag in BLOCK and not drop:
             self._break()
 
     def main_runs(self) -> list[tuple[str, tuple[int, ...]]]:
-        """Runs of the articles; without any the main part's; else all."""
+        """Runs of the articles; without any the main part's; else all.
+
+        Softly dropped elements are left out, but not one around the articles
+        or the main part, unless more text lies outside it; nor, on pages
+        without these, one that holds most of the text."""
+        size = [0 if r[1].isspace() else len(r[1]) for r in self.runs]
+        base, lifted = [], []
         for level in (2, 1, 0):
-            if any(r[0] >= level and not r[1].isspace() for r in self.runs):
-                return [(t, tuple(self.hashes[i] for i in path)) for at, t, path in self.runs if at >= level]
-        return []
+            plain = [i for i, r in enumerate(self.runs) if r[0] >= level and not r[3] and not r[4]]
+            if any(size[i] for i in plain):
+                base = plain
+                break
+        else:
+            level = 0
+        if level < 2:
+            for above in range(2, 0, -1):
+                within = [i for i, r in enumerate(self.runs) if r[0] >= above and r[3] and not r[4] and size[i]]
+                if within:
+                    least = min(self.runs[i][3] for i in within)
+                    lifted = [i for i, r in enumerate(self.runs) if r[0] >= above and r[3] == least and not r[4]]
+                    break
+            if sum(size[i] for i in lifted) > sum(size[i] for i in base):
+                base = lifted
+            elif level == 0 and not lifted:
+                held: dict[int, int] = {}
+                for r, n in zip(self.runs, size):
+                    if r[4] == 1:
+                        held[r[5]] = held.get(r[5], 0) + n
+                most = max(held, key=held.get, default=None)
+                if most is not None and 2 * held[most] > sum(size):
+                    base = [i for i, r in enumerate(self.runs) if not r[4] or r[4] == 1 and r[5] == most]
+        return [(self.runs[i][1], tuple(self.hashes[k] for k in self.runs[i][2])) for i in base] if any(size[i] for i in base) else []
 
 
 def _parse():

@@ -50,3 +50,14 @@ def test_whole_table_and_edges(spark):
     assert extract_text(empty).collect() == []
     twice = spark.createDataFrame([(1, "http://a/", CASES[9][0], "t", "h", "r")] * 3, empty.schema)
     assert [r["text"] for r in extract_text(twice).collect()] == [CASES[9][1]] * 3
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<div class='has-sidebar'><article>text</article><div class='sidebar'>s</div></div>", "text"), ("<div id=header-fixed><main>text</main></div>", "text"),
+    ("<article class='social-policy'><p>text</p><div class=comments>c</div></article>", "text"), ("<body><div class='no-sidebar'><p>long text</p><p>more</p></div>x", "long text more x"),
+    ("<main><h1>h</h1><div class='with-comments'><article>the long text</article></div></main>", "the long text"),
+    ("<article>text</article><div class=comments><article class=comment>a longer comment</article></div>", "text"),
+    ("<div class='has-sidebar'><article>text</article><div class=comments><article>a longer comment</article></div></div>", "text"),
+    ("<main>the text<div class=related><article>other</article></div></main>", "the text")])
+def test_wrappers_with_telling_words(page, want):
+    assert text_of(page) == want
