@@ -3,7 +3,7 @@
 Each page is parsed once into its text runs; a run carries the hashes of the
 element subtrees that it lies in.  Parts that are never article text (menus,
 headers, footers, forms, scripts ...) are left out by element, role and class.
-Spark counts in how many pages of a host each subtree hash occurs; runs inside
+Spark counts in how many different pages of a host each subtree hash occurs; runs inside
 a subtree that recurs across most pages of its host are site template and go.
 """
 
@@ -212,7 +212,9 @@ def _parse():
             for s in range(0, b.num_rows, 1000):
                 part = b.slice(s, 1000)
                 runs = [[{"text": t.encode("utf-8", "replace").decode(), "path": list(p)} for t, p in Page(x or "").main_runs()] for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(runs, kind), *part.columns[2:]], names=["row", "runs", *part.schema.names[2:]])
+                page = [xxhash.xxh3_64_intdigest(" ".join("".join(r["text"] for r in x).split())) - (1 << 63) for x in runs]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(runs, kind), pa.array(page, pa.int64()), *part.columns[2:]],
+                                                 names=["row", "runs", "page", *part.schema.names[2:]])
     return run
 
 
@@ -235,14 +237,16 @@ def extract_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least_pages: i
     Pages without an article or main part give all text outside the dropped
     parts.  A subtree is template if it occurs in at least ``share`` of its
     host's pages and in ``least_pages`` pages; pages without a host have no
-    template.  Repeated rows stay and count as pages.  Only page_id, url and
+    template.  Repeated rows stay; pages of one host and the same main text count
+    as one, so copies of an article do not make its own parts a template.  Only page_id, url and
     html are read; an empty table gives an empty result."""
     rows = pages.select(F.monotonically_increasing_id().alias("row"), "html", "page_id", "url", host_of("url").alias("host"))
     id_type, url_type = (dict(pages.dtypes)[c] for c in ("page_id", "url"))
-    parsed = written(rows.mapInArrow(_parse(), f"row bigint, runs array<struct<text: string, path: array<bigint>>>, page_id {id_type}, url {url_type}, host string"), "html-runs")
+    parsed = written(rows.mapInArrow(_parse(), f"row bigint, runs array<struct<text: string, path: array<bigint>>>, page bigint, page_id {id_type}, url {url_type}, host string"), "html-runs")
     known = parsed.where("host is not null")
-    sizes = known.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    seen = known.select("host", F.explode(F.array_distinct(F.flatten("runs.path"))).alias("h")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))\
+    sizes = known.groupBy("host", "page").agg(F.lit(1)).groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    seen = known.select("host", "page", F.explode(F.array_distinct(F.flatten("runs.path"))).alias("h")).groupBy("host", "h", "page").agg(F.lit(1))\
+        .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))\
         .where(F.col("n") >= least_pages)
     template = checkpointed(seen.join(sizes, "host").where(F.col("n") >= share * F.col("pages")).groupBy("host").agg(F.collect_set("h").alias("gone")))
     # a host has at most (subtrees of a page) / share template hashes

@@ -61,3 +61,10 @@ def test_whole_table_and_edges(spark):
     ("<main>the text<div class=related><article>other</article></div></main>", "the text")])
 def test_wrappers_with_telling_words(page, want):
     assert text_of(page) == want
+
+
+def test_copies_of_one_article_stay(spark):
+    pages = [(i, f"http://m.example/?q={i}", f"<div>Subscribe</div><article><h1>T</h1><p>one</p><p>two</p></article><a href='/{i}'>x</a>") for i in range(30)]
+    pages += [(100 + i, f"http://n.example/{i}", f"<div><div>Subscribe</div><p>text {i % 10}</p></div>") for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)).collect()}
+    assert all(got[i] == "T one two" for i in range(30)) and all(got[100 + i] == f"text {i % 10}" for i in range(30))
