@@ -4,7 +4,8 @@ Each page is parsed once into its text runs; a run carries the hashes of the
 element subtrees that it lies in.  Parts that are never article text (menus,
 headers, footers, forms, scripts ...) are left out by element, role and class.
 Spark counts in how many different pages of a host each subtree hash occurs; runs inside
-a subtree that recurs across most pages of its host are site template and go.
+a subtree that recurs across most pages of a small host, or many pages of a large
+one, are site template and go.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from loadlens.llm.common import checkpointed, written
 
 TEMPLATE_SHARE = 0.7        # share of a host's pages that a template subtree occurs in
 TEMPLATE_PAGES = 8          # and at least so many pages
+MANY_PAGES = 20             # a subtree in so many pages is template from a lower share on:
+MANY_SHARE = 0.2            # sections of a site; an article's own lines recur in up to 0.09 of a host's pages in the given tables
 MAX_BROADCAST = 200_000     # template hashes (16 bytes each) broadcast at most
 
 #: HTML's elements without content, with raw text, and of block kind.
@@ -229,15 +232,16 @@ def _join(kept):
     return F.trim(F.regexp_replace(text, r"(?U)[\s\u001c-\u001f]+", " "))
 
 
-def extract_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least_pages: int = TEMPLATE_PAGES) -> DataFrame:
+def extract_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least_pages: int = TEMPLATE_PAGES,
+                 many_pages: int = MANY_PAGES, many_share: float = MANY_SHARE) -> DataFrame:
     """One row per row of ``pages``: ``page_id, url, text, n_chars``.
 
     Null and empty html gives the empty text.  Broken mark-up is read as
     browsers do: open elements end with their parents, a lone ``<`` is text.
     Pages without an article or main part give all text outside the dropped
     parts.  A subtree is template if it occurs in at least ``share`` of its
-    host's pages and in ``least_pages`` pages; pages without a host have no
-    template.  Repeated rows stay; pages of one host and the same main text count
+    host's pages and in ``least_pages`` pages, or in ``many_share`` of them and in
+    ``many_pages`` pages; pages without a host have no template.  Repeated rows stay; pages of one host and the same main text count
     as one, so copies of an article do not make its own parts a template.  Only page_id, url and
     html are read; an empty table gives an empty result."""
     rows = pages.select(F.monotonically_increasing_id().alias("row"), "html", "page_id", "url", host_of("url").alias("host"))
@@ -248,8 +252,9 @@ def extract_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least_pages: i
     seen = known.select("host", "page", F.explode(F.array_distinct(F.flatten("runs.path"))).alias("h")).groupBy("host", "h", "page").agg(F.lit(1))\
         .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))\
         .where(F.col("n") >= least_pages)
-    template = checkpointed(seen.join(sizes, "host").where(F.col("n") >= share * F.col("pages")).groupBy("host").agg(F.collect_set("h").alias("gone")))
-    # a host has at most (subtrees of a page) / share template hashes
+    template = checkpointed(seen.join(sizes, "host").where(
+        (F.col("n") >= share * F.col("pages")) | (F.col("n") >= many_pages) & (F.col("n") >= many_share * F.col("pages"))).groupBy("host").agg(F.collect_set("h").alias("gone")))
+    # a host has at most (subtrees of a page) / (the lower share) template hashes
     total = template.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0]
     marked = parsed.join(F.broadcast(template) if total <= MAX_BROADCAST else template, "host", "left")
     kept = F.when(F.col("gone").isNull(), F.col("runs")).otherwise(F.filter("runs", lambda r: ~F.arrays_overlap(r["path"], F.col("gone"))))

@@ -68,3 +68,9 @@ def test_copies_of_one_article_stay(spark):
     pages += [(100 + i, f"http://n.example/{i}", f"<div><div>Subscribe</div><p>text {i % 10}</p></div>") for i in range(30)]
     got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)).collect()}
     assert all(got[i] == "T one two" for i in range(30)) and all(got[100 + i] == f"text {i % 10}" for i in range(30))
+
+
+def test_templates_of_sections(spark):
+    pages = [(i, f"http://s.example/{i}", f"<div><div>Section {i % 4}</div><p>text {i}</p><p>{'now and then' if i % 8 == 0 else i}</p></div>") for i in range(120)]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)).collect()}
+    assert got == {i: f"text {i} " + ("now and then" if i % 8 == 0 else str(i)) for i in range(120)}
