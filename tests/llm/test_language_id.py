@@ -97,3 +97,20 @@ def test_edges(edge_docs, edge_rows, no_docs, spark):
         assert (r["lang_pred"] == "und") == (not any(c.isalpha() for c in t or "")) and 0 <= r["score"] <= 1
     assert identify(no_docs).collect() == []
     assert {r["lang_pred"] for r in identify(edge_docs.drop("lang").selectExpr("*", "cast(null as string) lang")).collect()} == {"und"}
+
+
+def test_blocks_lose_no_ngram(spark):
+    """Many blocks give the results of one; a language of few rows beside a hot one stays."""
+    rng = np.random.default_rng(3)
+    word = lambda letters: "".join(rng.choice(list(letters), 5))
+    hot = [" ".join(word("abcdefghijklmnopqrst") for _ in range(60)) for _ in range(80)]
+    few = [" ".join(word("uvwxyzßøåñ") for _ in range(8)) for _ in range(8)]
+    rows = [(i, t, "hot") for i, t in enumerate(hot)] + [(100 + i, t, "few") for i, t in enumerate(few)] + [(200, None, "hot"), (201, "", None), (202, "12", None), (None, "uvwxy abc", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    one, many = ({r["doc_id"]: r for r in identify(docs, **k).collect()} for k in ({}, {"max_ngrams": 2000}))
+    assert set(one) == set(many) and {r["lang_pred"] for r in many.values()} == {"hot", "few", "und"}
+    for i, r in one.items():
+        for c in ("held_out", "lang_pred", "rejected"):
+            assert many[i][c] == r[c]
+        assert np.isclose(many[i]["score"], r["score"], atol=1e-4) and np.isclose(many[i]["cross_entropy"], r["cross_entropy"], rtol=1e-4)
+    assert all(many[i]["lang_pred"] == ("hot" if i < 100 else "few") for i in [*range(80), *range(100, 108)])
