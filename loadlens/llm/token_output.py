@@ -243,7 +243,9 @@ def write_token_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     shards = shards or parts_of(rows)
     rows = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    rows.mapInArrow(_write_shards(folder, tokenizer, end_id, vocabulary > 1 << 16), "shard int, path string, docs bigint, ids bigint")        .write.parquet(f"{folder}/manifest")
+    with arrow_rows(spark, BATCH_ROWS):
+        rows.mapInArrow(_write_shards(folder, tokenizer, end_id, vocabulary > 1 << 16), "shard int, path string, docs bigint, ids bigint")\
+            .write.parquet(f"{folder}/manifest")
     manifest = spark.read.parquet(f"{folder}/manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shard
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)).cast("bigint"))

@@ -45,3 +45,22 @@ def test_whole_table(spark, documents):
 def test_edges(edge_docs, edge_rows, no_docs):
     assert result(token_corpus(edge_docs, tokenizer_path(), shards=3)) == brute(edge_rows)
     assert token_corpus(no_docs, tokenizer_path()).collect() == []
+
+
+def test_shards_read_small_batches(spark, tmp_path, monkeypatch):
+    """The shard writer gets at most BATCH_ROWS rows at a time."""
+    import pyarrow as pa
+
+    from loadlens.llm import token_output
+
+    def watch(*_):
+        def run(batches):
+            most = max((b.num_rows for b in batches), default=0)
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([""]), pa.array([most], pa.int64()), pa.array([0], pa.int64())], names=["shard", "path", "docs", "ids"])
+        return run
+    monkeypatch.setattr(token_output, "_write_shards", watch)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.range(3 * token_output.BATCH_ROWS).selectExpr("id doc_id", "'a b' text")
+    rows = token_output.write_token_shards(docs, f"file://{tmp_path}/shards", "", shards=1).collect()
+    assert [r["docs"] for r in rows] == [token_output.BATCH_ROWS]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
