@@ -93,7 +93,10 @@ def leaf_budgets(supply: DataFrame, budget: Column, weights: Mapping[str, Mappin
     """``supply(domain, lang, source, tokens)``, one row for each leaf, -> the
     same with ``budget``.  ``budget``: a column over ``total``, all tokens."""
     weights = weights or {}
-    cap = supply.withColumn("cap", (F.col("tokens") * epochs).cast("decimal(38,0)"))
+    weighed = F.lit(True)   # leaves below a weight of 0 take nothing, so they give their ancestors no room
+    for level in LEVELS:
+        weighed = weighed & (_weight(weights.get(level, {}), level) > 0)
+    cap = supply.withColumn("cap", F.when(weighed, F.col("tokens") * epochs).otherwise(0).cast("decimal(38,0)"))
     root = supply.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("total")).select(F.lit(0).alias("root"), budget.cast("decimal(38,0)").alias("budget"))
     given, at = root, ["root"]
     cap = cap.withColumn("root", F.lit(0))

@@ -5,7 +5,7 @@ import pytest
 from conftest import SF01
 from pyspark.sql import functions as F
 
-from loadlens.llm.mixing import deal, keep_mix, mix_documents, select_mix, share
+from loadlens.llm.mixing import deal, keep_mix, leaf_budgets, mix_documents, select_mix, share
 from oracle_compare import compare, duck
 
 
@@ -67,3 +67,26 @@ def test_query_matches_sql(spark):
     name = next(q for q in entry.queries() if q.startswith("op4_"))
     ok, msg, _ = compare(spark, duck(SF01), name, entry.queries()[name], entry.oracle_sql()[name], SF01)
     assert ok, msg
+
+
+def test_unequal_weights_on_all_levels(spark):
+    """Budgets of leaves against the plain water-filling down the tree; leaves below a weight of 0 leave their share to others."""
+    leaves = {("d1", "en", "a"): 1000, ("d1", "en", "b"): 400, ("d1", "de", "a"): 500, ("d2", "en", "a"): 900, ("d2", "fr", "c"): 800, ("d3", "fr", "a"): 300}
+    weights = {"domain": {"d1": 300}, "lang": {"fr": 0, "de": 50}, "source": {"a": 70, "b": 0}}
+
+    def plain(prefix, budget):
+        if len(prefix) == 3:
+            return {prefix: budget}
+        level = ("domain", "lang", "source")[len(prefix)]
+        room = lambda p: sum(n for leaf, n in leaves.items() if leaf[:len(p)] == p
+                             and all(weights[k].get(v, 100) for k, v in zip(weights, leaf)))
+        below = sorted({leaf[:len(prefix) + 1] for leaf in leaves if leaf[:len(prefix)] == prefix})
+        got = plain_deal([(p, weights[level].get(p[-1], 100), room(p)) for p in below], budget)
+        return {k: v for p in below for k, v in plain(p, got.get(p, 0)).items()}
+    supply = spark.createDataFrame([(*k, n) for k, n in leaves.items()], "domain string, lang string, source string, tokens bigint")
+    for budget in (500, 1500, 2200, 5000):
+        got = {(r["domain"], r["lang"], r["source"]): r["budget"] for r in leaf_budgets(supply, F.lit(budget), weights, 1).collect()}
+        want = plain((), budget)
+        assert sum(got.values()) == min(budget, 1000 + 500 + 900)
+        for k, n in got.items():
+            assert abs(n - want[k]) <= 3
