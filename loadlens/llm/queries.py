@@ -65,5 +65,21 @@ def op10_simhash(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_outliers, op2_toxicity, op3_paragraphs, op4_mixing, op5_decontaminate, op6_html, op7_language, op8_token_ids, op9_quality, op10_simhash)}
+def op11_centroids(spark, sf_dir):
+    from loadlens.llm.walsh import cluster_vectors
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle(spark, sf_dir):
+    from loadlens.llm.merkle import merkle_manifest
+    return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_urls(spark, sf_dir):
+    from loadlens.llm.url_rules import judge_urls, rules_frame
+    return judge_urls(table(spark, sf_dir, "pages"), rules_frame(spark))
+
+
+QUERIES = {f.__name__: f for f in (op1_outliers, op2_toxicity, op3_paragraphs, op4_mixing, op5_decontaminate, op6_html, op7_language, op8_token_ids, op9_quality,
+                                   op10_simhash, op11_centroids, op12_merkle, op13_urls)}
 ORACLE = ORACLE_SQL

@@ -59,4 +59,96 @@ select doc_id, domain, lang, source, n_tokens, epoch from fulls
 union all select doc_id, domain, lang, source, n_tokens, epoch from run where spent < part
 """
 
-ORACLE_SQL = {"op4_mixing": OP4, "op5_decontaminate": OP5}
+# op11: integer vectors, sixteen seeds, three rounds, a last assignment.
+
+
+def _nearest(no: int) -> str:
+    return f"""
+pair{no} as (select row_id, k, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint dist from kept, cent{no}),
+near{no} as (select row_id, arg_min(k, (dist, k)) k, min(dist) dist from pair{no} group by row_id)"""
+
+
+def _moved(no: int) -> str:
+    """Means of round ``no``, rounded down exactly."""
+    return f"""
+sums{no} as (select k, i, sum(v[i])::hugeint s, count(*) n from near{no} join kept using (row_id), range(1, 65) r(i) group by k, i),
+mean{no} as (select k, list(((s - ((s % n) + n) % n) // n)::bigint order by i) c from sums{no} group by k),
+cent{no + 1} as (select k, coalesce(m.c, o.c) c from cent{no} o left join mean{no} m using (k))"""
+
+
+OP11 = f"""
+with raw as (select row_number() over () row_id, vec_id, embedding e from embeddings where len(embedding) = 64),
+kept as (select row_id, vec_id, list_transform(e, lambda x: floor(64 * x::double)::bigint) v from raw
+         where len(list_filter(e, lambda x: x is not null and isfinite(x))) = 64),
+cent0 as (select row_number() over (order by h, v) - 1 k, v c
+          from (select v, sha256('1:' || coalesce(vec_id::varchar, '')) h from kept order by h, v limit 16)),
+{",".join(_nearest(i) + "," + _moved(i) for i in range(3))},{_nearest(3)},
+inert as (select k, sum(dist)::bigint ci from near3 group by k)
+select vec_id, k::int as cluster, dist as distance, ci cluster_inertia, (select sum(dist) from near3)::bigint inertia,
+       sha256(array_to_string(c, ',')) centroid_sha256
+from near3 join kept using (row_id) join inert using (k) join cent3 using (k)
+"""
+
+# op12: levels of runs of eight; a tree that is down to one node stays as it is.
+TREE_LEVELS, LANG_LEVELS = 8, 3
+
+
+def _climb(name: str, key: str, levels: int) -> str:
+    """Node tables ``{name}0..{levels}(key, pos, d, n)`` and, for each level,
+    ``{name}r{i}(key, run, ds, n)`` with the nodes of each run."""
+    out = []
+    for i in range(levels):
+        out.append(f"""
+{name}r{i} as (select {key}, pos // 8 run, list(d order by pos) ds, any_value(n) n from {name}{i} group by {key}, pos // 8),
+{name}{i + 1} as (select {key}, run pos, case when n > 1 then sha256(array_to_string(ds, '')) else ds[1] end d,
+                  count(*) over (partition by {key}) n from {name}r{i})""")
+    return ",".join(out)
+
+
+def _fold(name: str, key: str, levels: int, start: str) -> str:
+    """From ``start(rn, key, pos, d, sib)``: the digest and the siblings above."""
+    out, last = [], start
+    for i in range(levels):
+        out.append(f"""
+{name}f{i} as (select f.rn, f.{key}, f.pos // 8 pos,
+     case when r.n > 1 then sha256(array_to_string(ds[:f.pos % 8], '') || d || array_to_string(ds[f.pos % 8 + 2:], '')) else d end d,
+     sib || case when r.n > 1 then array_to_string(ds[:f.pos % 8], '') || array_to_string(ds[f.pos % 8 + 2:], '') else '' end sib
+     from {last} f join {name}r{i} r on r.{key} = f.{key} and r.run = f.pos // 8)""")
+        last = f"{name}f{i}"
+    return ",".join(out)
+
+
+_PART = "case when {0} is null then '-' else strlen({0}::varchar)::varchar || ':' || {0}::varchar end"
+_HEAD = " || ".join(_PART.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# crc32 bit by bit, over the bits of the bytes of the decimal id
+_BITS = ("flatten(list_transform(string_split(coalesce(doc_id::varchar, ''), ''), "
+         "lambda c: list_transform(range(8), lambda b: ((ord(c)::bigint >> b) & 1)::bigint)))")
+_CRC = (f"xor(list_reduce(list_prepend(4294967295::bigint, {_BITS}), lambda c, b: "
+        "xor(c >> 1, case when xor(c, b) & 1 = 1 then 3988292384::bigint else 0::bigint end)), 4294967295::bigint)")
+
+OP12 = f"""
+with doc as (select row_number() over () rn, doc_id, lang, sha256({_HEAD} || {_PART.format("text")}) leaf,
+       case when {_CRC} % 3 = 0 then sha256({_HEAD} || {_PART.format(_LOWERED)}) end tampered from documents),
+lng as (select lang, row_number() over (order by lang nulls first) - 1 tree from (select distinct lang from documents)),
+item as (select rn, doc_id, leaf, tampered, tree, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 pos,
+         count(*) over (partition by tree) n from doc join lng on doc.lang is not distinct from lng.lang),
+t0 as (select tree, pos, leaf d, n from item),{_climb("t", "tree", TREE_LEVELS)},
+l0 as (select 0 one, tree pos, d, count(*) over () n from t{TREE_LEVELS}),{_climb("l", "one", LANG_LEVELS)},
+start_t as (select rn, tree, pos, coalesce(tampered, leaf) d, '' sib from item),{_fold("t", "tree", TREE_LEVELS, "start_t")},
+start_l as (select rn, 0 one, tree pos, d, sib from tf{TREE_LEVELS - 1}),{_fold("l", "one", LANG_LEVELS, "start_l")}
+select doc_id, leaf, s.d subroot, r.d root, sha256(f.sib) proof_sha256, f.d folded_root, f.d = r.d verified
+from lf{LANG_LEVELS - 1} f join item using (rn) join t{TREE_LEVELS} s on s.tree = item.tree, l{LANG_LEVELS} r
+"""
+
+OP13 = """
+with rules as (select * from (values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) t(rh, rp, rv)),
+rest as (select row_number() over () rn, page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end r from pages),
+cut as (select rn, page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+        regexp_extract(r, '^[^/?#]*([^?#]*)', 1) path from rest),
+hit as (select rn, arg_max(rh || rp, length(rh) + length(rp)) rule, arg_max(rv, length(rh) + length(rp)) rv
+        from cut join rules on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp) group by rn)
+select page_id, host, path, rule, coalesce(rv, 'allow') verdict from cut left join hit using (rn)
+"""
+
+ORACLE_SQL = {"op4_mixing": OP4, "op5_decontaminate": OP5, "op11_centroids": OP11, "op12_merkle": OP12, "op13_urls": OP13}
