@@ -133,7 +133,7 @@ def seeds(vectors: DataFrame, k: int, scale: float, seed: int) -> np.ndarray:
     name = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256)
     v = F.transform("vector", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("double"))
     rows = vectors.select(name.alias("name"), v.alias("v")).orderBy("name", "v").limit(k).collect()     # k rows
-    x = np.array([r["v"] for r in rows], float).reshape(len(rows), -1)
+    x = np.array([r["v"] for r in rows], float).reshape(len(rows), len(rows[0]["v"]) if rows else 0)
     if len(x) and np.abs(x).max() > LIMIT:
         raise ValueError(f"a component of {np.abs(x).max():.0f} after scaling (limit {LIMIT})")
     return x.astype(np.int64)
