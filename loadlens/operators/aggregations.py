@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.functions.numeric import np_round, pearson
-from loadlens.operators.filters import ERROR_RATE_THRESHOLD, RESPONSE_TIME_THRESHOLD, is_error
+from loadlens.operators.filters import ERROR_RATE_THRESHOLD, RESPONSE_TIME_THRESHOLD, is_error, time_range
 from loadlens.operators.ordered import exact_quantiles
 from loadlens.schemas import METRIC_COLUMNS
 from loadlens.session import materialize
@@ -125,7 +125,7 @@ def access_log_stats(logs: DataFrame, as_of, hours: int = 24, approximate: bool
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     end = F.lit(as_of).cast("timestamp_ntz")
     start = end - F.expr(f"INTERVAL {int(hours)} HOURS")
-    w = logs.where(F.col("timestamp").between(start, end))
+    w = logs.where(time_range(logs, start, end))
     agg = w.agg(F.count(F.lit(1)).alias("total_requests"),
                 np_round(F.avg("response_time_ms"), 2).alias("avg_response_time"),
                 F.count_if(is_error()).alias("error_count"),

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadlens.schemas import TRUNCATES, UNIT
+
 # Default alert thresholds of the reference configuration (fixed values).
 CPU_THRESHOLD = 90.0
 MEMORY_THRESHOLD = 85.0
@@ -21,17 +23,43 @@ def _preview(df: DataFrame, preview: int | None, order: Sequence[str]) -> DataFr
     return df.orderBy(*order).limit(preview) if preview else df
 
 
+def partition_columns(df: DataFrame, column: str = "timestamp") -> list[tuple[str, str]]:
+    """Partition columns of a loaded table that truncate ``column``: ``(name, unit)``."""
+    return [(f.name, f.metadata[UNIT]) for f in df.schema.fields if f.metadata.get(TRUNCATES) == column]
+
+
+def truncated(time: Column, unit: str) -> Column:
+    """The date that a partition column of ``unit`` holds for a time."""
+    return F.to_date(F.date_trunc(unit, time))
+
+
+def time_range(df: DataFrame, start: Column | None = None, end: Column | None = None, column: str = "timestamp") -> Column:
+    """``start <= column <= end`` (each if given).  On a loaded table the partition
+    column is bounded too, so files outside the range are not opened."""
+    cond = F.lit(True)
+    parts = partition_columns(df, column)
+    if start is not None:
+        cond = cond & (F.col(column) >= start)
+        for name, unit in parts:
+            cond = cond & (F.col(name) >= truncated(start, unit))
+    if end is not None:
+        cond = cond & (F.col(column) <= end)
+        for name, unit in parts:
+            cond = cond & (F.col(name) <= truncated(end, unit))
+    return cond
+
+
+def _time(value) -> Column | None:
+    return F.lit(value).cast("timestamp_ntz") if value else None
+
+
 def metrics_filter(df: DataFrame, server_id: str | None = None, start=None, end=None,
                    ordered: bool = True) -> DataFrame:
     """Optional server / inclusive time-range filter, ordered by time.
     Unset (or falsy) arguments are not applied."""
-    cond = F.lit(True)
+    cond = time_range(df, _time(start), _time(end))
     if server_id:
         cond = cond & (F.col("server_id") == F.lit(server_id))
-    if start:
-        cond = cond & (F.col("timestamp") >= F.lit(start).cast("timestamp_ntz"))
-    if end:
-        cond = cond & (F.col("timestamp") <= F.lit(end).cast("timestamp_ntz"))
     out = df.where(cond)
     return out.orderBy("timestamp", "server_id") if ordered else out
 
@@ -77,10 +105,9 @@ def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
 
 
 def retention(df: DataFrame, as_of, days: int = 30) -> DataFrame:
-    """Keep the last ``days`` days before ``as_of`` (inclusive); on a table
-    partitioned by date this becomes a partition filter."""
-    lo = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS")
-    return df.where(F.col("timestamp") >= lo)
+    """Keep the last ``days`` days before ``as_of`` (inclusive).  On a loaded table
+    (:func:`loadlens.sources.tables.open_table`) this is a partition filter as well."""
+    return df.where(time_range(df, _time(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")))
 
 
 def validate(df: DataFrame, required_columns: Sequence[str] | None = None,

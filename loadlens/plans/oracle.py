@@ -616,6 +616,29 @@ def _():
     return with_(LOGS) + "SELECT * FROM logs"
 
 
+@oracle("table_filter")
+def _():
+    return ORACLE["metrics_filter"]
+
+
+@oracle("table_retention")
+def _():
+    return with_(LOGS) + """SELECT * FROM logs WHERE "timestamp" >= TIMESTAMP '2024-01-24 00:00:00'"""
+
+
+@oracle("table_log_stats")
+def _():
+    return ORACLE["access_log_stats"]
+
+
+@oracle("error_hours")
+def _():
+    return with_(LOGS) + """, worst AS (SELECT date_trunc('hour', "timestamp") AS h FROM logs WHERE response_code >= 400
+  GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 3)
+SELECT h AS "hour", endpoint, count(*) AS requests, count(CASE WHEN response_code >= 400 THEN 1 END) AS errors
+FROM logs JOIN worst ON date_trunc('hour', "timestamp") = h GROUP BY 1, 2"""
+
+
 @oracle("csv_roundtrip")
 def _():
     return with_(METRICS) + "SELECT * FROM metrics"

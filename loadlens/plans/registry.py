@@ -28,6 +28,7 @@ from loadlens.plans import reports as R
 from loadlens.session import scratch_dir
 from loadlens.sources import readers as S
 from loadlens.sources import sinks as SK
+from loadlens.sources import tables as TB
 from loadlens.streaming import alerts as D
 from loadlens.sources.views import access_log_lines_view, forecast_pairs_view, metrics_ev_from, table, logs_view, metrics_ev_view, metrics_view
 
@@ -163,11 +164,25 @@ def _compact(s, d):
 
 def _loaded(s, df, kind):
     names = SK.create_tables(s, scratch_dir(s, "tables"), suffix=f"_{uuid.uuid4().hex[:12]}")
-    return SK.load_table(df, names[kind], kind)
+    SK.load_table(df, names[kind], kind)
+    return TB.open_table(s, names[kind])
 
 
-query("load_metrics")(lambda s, d: _loaded(s, M(s, d), "server_metrics"))
-query("load_logs")(lambda s, d: _loaded(s, L(s, d), "access_logs"))
+query("load_metrics")(lambda s, d: TB.data_columns(_loaded(s, M(s, d), "server_metrics")))
+query("load_logs")(lambda s, d: TB.data_columns(_loaded(s, L(s, d), "access_logs")))
+query("table_filter")(lambda s, d: TB.data_columns(P.metrics_filter(_loaded(s, M(s, d), "server_metrics"), "server_7", "1995-01-01", "1998-12-31")))
+query("table_retention")(lambda s, d: TB.data_columns(P.retention(_loaded(s, L(s, d), "access_logs"), "2024-01-31 00:00:00", 7)))
+query("table_log_stats")(lambda s, d: A.access_log_stats(_loaded(s, L(s, d), "access_logs"), "2024-01-31 00:00:00", 168))
+
+
+@query("error_hours")
+def _error_hours(s, d):
+    """Requests during the three hours with most failed requests."""
+    logs = _loaded(s, L(s, d), "access_logs")
+    hour = F.date_trunc("hour", "timestamp")
+    worst = logs.where(P.is_error()).groupBy(hour.alias("start")).agg(F.count(F.lit(1)).alias("errors")).orderBy(F.desc("errors"), "start").limit(3)
+    hits = TB.rows_in_windows(logs, worst.select("start", (F.col("start") + F.expr("INTERVAL 1 HOUR")).alias("end")))
+    return hits.groupBy(F.col("start").alias("hour"), "endpoint").agg(F.count(F.lit(1)).alias("requests"), F.count_if(P.is_error()).alias("errors"))
 
 
 @query("csv_roundtrip")

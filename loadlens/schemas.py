@@ -5,6 +5,9 @@ from pyspark.sql import types as T
 # The four metrics every statistic of the reference toolkit looks at.
 METRIC_COLUMNS = ["cpu_usage", "memory_usage", "response_time_ms", "error_rate"]
 
+# Column metadata of a partition column: the time column that it truncates, and to what.
+TRUNCATES, UNIT = "truncates", "unit"
+
 METRICS = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType(), False),
     T.StructField("server_id", T.StringType(), False),

@@ -8,11 +8,14 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from loadlens.operators import aggregations as A
 from loadlens.operators import chunks as U
+from loadlens.operators import filters as P
 from loadlens.plans import reports as R
 from loadlens.sources import readers as S
 from loadlens.sources import sinks as SK
-from loadlens.sources.views import metrics_view
+from loadlens.sources import tables as TB
+from loadlens.sources.views import logs_view, metrics_view
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,13 +74,82 @@ def test_tables_and_idempotent_load(spark, tmp):
     names = SK.create_tables(spark, tmp, suffix="_test")
     m = metrics_view(spark, SF)
     for _ in range(2):     # the second load replaces the first
-        assert SK.load_table(m, names["server_metrics"], "server_metrics").count() == m.count()
-    assert spark.table(names["server_metrics"]).count() == m.count()
+        SK.load_table(m, names["server_metrics"], "server_metrics")
+        assert spark.table(names["server_metrics"]).count() == m.count()
     one = spark.table(names["server_metrics"]).where("month = date'1995-03-01'")
     assert one.count() == m.where("date_trunc('month', timestamp) = timestamp'1995-03-01'").count() > 0
     assert "PartitionFilters: [isnotnull(month" in one._jdf.queryExecution().toString()
 
 
+def scanned(df):
+    """Files that the scans of ``df`` open, and the partition filters of its plan."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        leaves = plan.collectLeaves()
+        counts = [leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()) if leaves.apply(i).metrics().contains("numFiles")]
+        return counts, [x.split("]")[0] for x in plan.toString().split("PartitionFilters: [")[1:]]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_time_filters_read_only_their_partitions(spark, tmp):
+    names = SK.create_tables(spark, tmp, suffix="_pruned")
+    logs = logs_view(spark, SF)
+    SK.load_table(logs, names["access_logs"], "access_logs")
+    table = TB.open_table(spark, names["access_logs"])
+    days = logs.select(F.to_date("timestamp")).distinct().count()
+    files = scanned(table)[0][0]
+    assert days >= 28 and files >= days
+    between = dict(start="2024-01-05 10:00:00", end="2024-01-06 09:00:00", ordered=False)
+    for plain, pruned, most in [(P.retention(logs, "2024-01-31 00:00:00", 7), P.retention(table, "2024-01-31 00:00:00", 7), 8),
+                                (P.metrics_filter(logs, **between), P.metrics_filter(table, **between), 2)]:
+        counts, filters = scanned(pruned)
+        assert 0 < counts[0] <= most * files // days + 1 and "day" in filters[0]
+        out = TB.data_columns(pruned)
+        assert out.count() == plain.count() > 0 and out.exceptAll(plain).count() == 0
+    stats = A.access_log_stats(table, "2024-01-10 00:00:00", 24)
+    assert scanned(stats)[0][0] <= 3 and stats.collect() == A.access_log_stats(logs, "2024-01-10 00:00:00", 24).collect()
+
+
+def test_months_bound_the_metrics_table(spark, tmp):
+    names = SK.create_tables(spark, tmp, suffix="_months")
+    m = metrics_view(spark, SF)
+    SK.load_table(m, names["server_metrics"], "server_metrics")
+    args = dict(server_id="server_7", start="1995-02-10", end="1995-04-03", ordered=False)
+    hit = P.metrics_filter(TB.open_table(spark, names["server_metrics"]), **args)
+    counts, filters = scanned(hit)
+    assert counts[0] <= 4 and "month" in filters[0]
+    assert sorted(TB.data_columns(hit).collect()) == sorted(P.metrics_filter(m, **args).collect())
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    assert "EqualTo(server_id,server_7)" in TB.data_columns(hit).select("*")._jdf.queryExecution().toString()    # the sorted files' row groups
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+@pytest.mark.parametrize("most", [10 ** 6, 0])
+def test_windows_prune_partitions_while_running(spark, tmp, monkeypatch, most):
+    monkeypatch.setattr(TB, "MAX_BROADCAST_WINDOWS", most)
+    names = SK.create_tables(spark, tmp, suffix=f"_windows{most}")
+    logs = logs_view(spark, SF)
+    SK.load_table(logs, names["access_logs"], "access_logs")
+    rows = [("2024-01-03 22:00:00", "2024-01-04 02:00:00", "a"), ("2024-01-03 12:00:00", "2024-01-04 12:00:00", "b"), ("2024-01-20 00:00:00", "2024-01-21 00:00:00", "c"),
+            ("2024-01-09 05:00:00", "2024-01-09 04:00:00", "reversed"), (None, "2024-01-09 04:00:00", "open"), ("2024-01-09 05:00:00", "2024-01-09 05:00:00", "empty")]
+    windows = spark.createDataFrame(rows, "start string, end string, name string")\
+        .select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "name")
+    table = TB.open_table(spark, names["access_logs"])
+    hits = TB.rows_in_windows(table, windows)
+    want = logs.join(windows, (F.col("timestamp") >= F.col("start")) & (F.col("timestamp") < F.col("end")))
+    assert sorted(TB.data_columns(hits).collect(), key=str) == sorted(want.select(*TB.data_columns(hits).columns).collect(), key=str)
+    assert {r["name"] for r in hits.select("name").distinct().collect()} == {"a", "b", "c"}
+    if most:
+        counts, filters = scanned(hits)
+        assert any("dynamicpruning" in f for f in filters) and max(counts) <= 6
+    plain = TB.rows_in_windows(logs, windows)                # a frame without partitions: joined on computed days
+    assert plain.count() == want.count()
+
+
 def test_load_refuses_null_times(spark, tmp):
     names = SK.create_tables(spark, tmp, suffix="_nulls")
     m = metrics_view(spark, SF)
