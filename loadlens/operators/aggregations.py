@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.numeric import np_round, pearson
 from loadlens.operators.filters import ERROR_RATE_THRESHOLD, RESPONSE_TIME_THRESHOLD, is_error, time_range
-from loadlens.operators.ordered import exact_quantiles
+from loadlens.operators.quantiles import exact_quantiles
 from loadlens.schemas import METRIC_COLUMNS
 from loadlens.session import materialize
 
@@ -113,8 +113,8 @@ def describe_response(logs: DataFrame, column: str = "response_time_ms") -> Data
                      np_round(F.avg(column), 4).alias("mean"),
                      np_round(F.stddev_samp(column), 4).alias("std"),
                      F.min(column).alias("min"), F.max(column).alias("max"))
-    q = exact_quantiles(logs, [], column, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-    q = q.select(*[np_round(c, 4).alias(c) for c in ("p25", "p50", "p75")])
+    q = exact_quantiles(logs, [column], [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    q = q.select(*[np_round(f"{column}_{c}", 4).alias(c) for c in ("p25", "p50", "p75")])
     return basic.crossJoin(q)   # one row x one row
 
 

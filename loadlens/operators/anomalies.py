@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.operators.ordered import exact_quantiles
+from loadlens.operators.quantiles import exact_quantiles
 from loadlens.schemas import METRIC_COLUMNS
 
 
@@ -33,14 +33,16 @@ def anomalies_zscore(df: DataFrame, threshold: float = 3.0,
     return df.crossJoin(F.broadcast(stats)).where(hit).select(*df.columns).distinct()
 
 
+def _quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return exact_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"])        # one row
+
+
 def iqr_fences(df: DataFrame, columns: Sequence[str] = METRIC_COLUMNS, k: float = 1.5) -> DataFrame:
-    """Exact (linear) quartiles and Tukey fences per column, long form
-    ``(column, q1, q3, iqr, lower, upper)``; all columns in one pass."""
+    """Exact (linear) quartiles and Tukey fences per column with a value, long form
+    ``(column, q1, q3, iqr, lower, upper)``; all columns share their passes."""
     cols = [c for c in columns if c in df.columns]
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("e"))\
-        .select("e.column", "e.v")
-    q = exact_quantiles(long, ["column"], "v", [0.25, 0.75], ["q1", "q3"])
+    entries = [F.struct(F.lit(c).alias("column"), F.col(f"{c}_q1").alias("q1"), F.col(f"{c}_q3").alias("q3")) for c in cols]
+    q = _quartiles(df, cols).select(F.explode(F.array(*entries)).alias("e")).select("e.*").where(F.col("q1").isNotNull())
     return q.select("column", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))\
         .withColumn("lower", F.col("q1") - F.lit(k) * F.col("iqr"))\
         .withColumn("upper", F.col("q3") + F.lit(k) * F.col("iqr"))
@@ -51,14 +53,13 @@ def anomalies_iqr(df: DataFrame, columns: Sequence[str] = METRIC_COLUMNS, k: flo
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df.limit(0)
-    f = iqr_fences(df, cols, k)
-    wide = f.groupBy().pivot("column", cols).agg(F.first("lower").alias("lo"), F.first("upper").alias("hi"))
-    hit = F.lit(False)
-    for c in cols:
-        lo, hi = F.col(f"`{c}_lo`"), F.col(f"`{c}_hi`")
-        hit = hit | F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False))
-    # ``wide`` is one row with two values per column
-    return df.crossJoin(F.broadcast(wide)).where(hit).select(*df.columns).distinct()
+    bounds, hit = [], F.lit(False)
+    for i, c in enumerate(cols):
+        q1, q3 = F.col(f"{c}_q1"), F.col(f"{c}_q3")
+        bounds += [(q1 - F.lit(k) * (q3 - q1)).alias(f"_lo{i}"), (q3 + F.lit(k) * (q3 - q1)).alias(f"_hi{i}")]
+        hit = hit | F.coalesce((F.col(c) < F.col(f"_lo{i}")) | (F.col(c) > F.col(f"_hi{i}")), F.lit(False))
+    fences = _quartiles(df, cols).select(*bounds)       # one row with two values per column
+    return df.crossJoin(F.broadcast(fences)).where(hit).select(*df.columns).distinct()
 
 
 def detect_anomalies(df: DataFrame, method: str = "zscore", threshold: float = 3.0) -> DataFrame:

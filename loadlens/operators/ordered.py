@@ -94,40 +94,3 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     A partial (map-side) aggregation, so hot values cost one row each."""
     return (df.where(F.col(value).isNotNull())
               .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt")))
-
-
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                    probs: Sequence[float], names: Sequence[str] | None = None,
-                    rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas/NumPy default):
-    position ``h = (n-1)p``; ``x[floor h] + (h - floor h)(x[ceil h] - x[floor h])``.
-    One row per group: ``keys..., n, <names>``.  Only the ranges that hold a
-    wanted position are sorted."""
-    keys = list(keys)
-    names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    t = ranged(materialize(value_counts(df, keys, value)), keys, value, rows_per_range)
-    offsets = _totals(t, keys, "cnt")
-    held = F.lit(False)
-    for p in probs:
-        for place in (F.floor, F.ceil):
-            at = place((F.col("group_n") - 1) * F.lit(float(p)))
-            held = held | ((F.col("_boff") <= at) & (at < F.col("_boff") + F.col("_btot")))
-    offsets = offsets.where(held)
-    c = _cumulated(t, offsets, keys, value, "cnt")
-    lo_hi = []
-    aggs = [F.max("group_n").alias("n")]
-    for p, name in zip(probs, names):
-        h = (F.col("group_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        covers = lambda r: (F.col("cum_before") <= r) & (r < F.col("cum_before") + F.col("cnt"))
-        aggs += [F.max(F.when(covers(lo), F.col(value))).alias(f"_{name}_lo"),
-                 F.max(F.when(covers(hi), F.col(value))).alias(f"_{name}_hi"),
-                 F.max(h - lo).alias(f"_{name}_t")]
-        lo_hi.append(name)
-    g = c.groupBy(*keys).agg(*aggs) if keys else c.groupBy().agg(*aggs)
-    for name in lo_hi:
-        a, b, t = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_t")
-        # NumPy's lerp: a + (b-a)t, computed from the upper end when t >= 0.5
-        g = g.withColumn(name, F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t))
-                         .otherwise(a + (b - a) * t))
-    return g.select(*keys, "n", *lo_hi)

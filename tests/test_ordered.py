@@ -6,7 +6,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from loadlens.operators.ordered import exact_quantiles, value_counts, with_cum_count, with_prev
+from loadlens.operators.ordered import value_counts, with_cum_count, with_prev
+from loadlens.operators.quantiles import exact_quantiles
 
 
 @pytest.fixture(scope="module")
@@ -48,10 +49,58 @@ def test_cum_count_ranks(skewed):
 @pytest.mark.parametrize("probs", [[0.25, 0.5, 0.75], [0.0, 0.1, 1.0]])
 def test_exact_quantiles(skewed, probs):
     pdf, df = skewed
-    q = exact_quantiles(df, ["k"], "v", probs, [f"p{i}" for i in range(len(probs))], rows_per_range=30).toPandas()
+    q = exact_quantiles(df, ["v"], probs, [f"p{i}" for i in range(len(probs))], ["k"], inside_rows=30).toPandas()
+    assert len(q) == pdf.k.nunique()
     for _, row in q.iterrows():
         ref = pdf[pdf.k == row.k]["v"].quantile(probs).to_numpy()
-        assert np.allclose([row[f"p{i}"] for i in range(len(probs))], ref, rtol=0, atol=1e-9)
+        assert np.allclose([row[f"v_p{i}"] for i in range(len(probs))], ref, rtol=0, atol=1e-9)
+
+
+def test_quantiles_of_continuous_ties_and_edges(spark):
+    rng = np.random.default_rng(3)
+    n = 60_000
+    pdf = pd.DataFrame({"a": rng.lognormal(0, 3, n), "b": rng.integers(0, 2, n).astype(float), "c": np.r_[np.full(n // 2, 5.0), rng.normal(0, 1, n - n // 2)],
+                        "d": np.r_[[-np.inf, np.inf], rng.normal(0, 1, n - 2)], "e": np.nan})
+    pdf.loc[::7, "a"] = np.nan
+    df = spark.createDataFrame(pdf).repartition(5).withColumn("f", F.lit(None).cast("double"))
+    probs = [0.0, 0.25, 0.999]
+    for rows in (10 ** 6, 50):                                  # one bracket, and brackets within brackets
+        r = exact_quantiles(df, list("abcdef"), probs, [str(i) for i in range(3)], inside_rows=rows).first()
+        for c in "abcd":
+            want = np.nanquantile(pdf[c], probs) if c != "d" else [-np.inf, *np.quantile(pdf[c], probs[1:])]
+            assert [r[f"{c}_{i}"] for i in range(3)] == pytest.approx(list(want), rel=1e-12)
+        assert (r["a_n"], r["e_n"], r["f_n"], r["e_2"], r["f_2"]) == (pdf["a"].count(), 0, 0, None, None)
+    assert exact_quantiles(df.limit(0), ["a"], [0.5]).collect()[0].asDict() == {"a_n": 0, "a_q50": None}
+    assert exact_quantiles(df.limit(0), ["a"], [0.5], keys=["b"]).collect() == []
+    one = exact_quantiles(spark.createDataFrame([(None, 3.0), ("x", 1.0), (None, 4.0)], "k string, v double"), ["v"], [0.5], keys=["k"]).collect()
+    assert {r["k"]: r["v_q50"] for r in one} == {None: 3.5, "x": 1.0}
+
+
+def test_refuted_brackets_are_opened(spark, monkeypatch):
+    from loadlens.operators import quantiles
+    right = quantiles._bracket
+    monkeypatch.setattr(quantiles, "_bracket", lambda g, n, a, b, lo, hi: (right(g, n, a, b, lo, hi)[1], right(g, n, a, b, lo, hi)[1]))   # too high
+    v = np.random.default_rng(1).normal(0, 1, 5000)
+    df = spark.createDataFrame(pd.DataFrame({"v": v}))
+    assert exact_quantiles(df, ["v"], [0.3]).first()["v_q30"] == pytest.approx(np.quantile(v, 0.3), abs=1e-12)
+
+
+def nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from nodes(plan.children().apply(i))
+
+
+def test_only_the_rows_inside_brackets_leave_their_task(spark):
+    df = spark.range(200_000).select(F.xxhash64("id").cast("double").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = exact_quantiles(df, ["v"], [0.25, 0.5, 0.75])._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        moved = [n.metrics().apply("shuffleRecordsWritten").value() for n in nodes(plan) if n.nodeName() == "Exchange"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert moved and max(moved) < 0.03 * 200_000
 
 
 def test_partitioning_does_not_change_results(skewed, spark):
