@@ -86,3 +86,33 @@ def norm_ppf_col(p: Column) -> Column:
     r = F.sqrt(-F.log(F.least(p, 1 - p)))
     tail = F.when(r <= 5, _ratio(_NEAR, r - 1.6)).otherwise(_ratio(_FAR, r - 5.0))
     return F.when(F.abs(q) <= 0.425, centre).otherwise(F.signum(q) * tail)
+
+
+# Rational approximations of the error function (W. J. Cody,
+# Mathematics of Computation 23, 1969, about 1e-16), constant term first: erf near
+# zero, erfc in the middle, erfc in the tail; numerator and denominator each.
+_ERF_NEAR = ([3209.37758913846947, 377.485237685302021, 113.864154151050156, 3.16112374387056560, 0.185777706184603153],
+             [2844.23683343917062, 1282.61652607737228, 244.024637934444173, 23.6012909523441209, 1.0])
+_ERFC_MIDDLE = ([1230.33935479799725, 2051.07837782607147, 1712.04761263407058, 881.952221241769090, 298.635138197400131,
+                 66.1191906371416295, 8.88314979438837594, 0.564188496988670089, 2.15311535474403846e-8],
+                [1230.33935480374942, 3439.36767414372164, 4362.61909014324716, 3290.79923573345963, 1621.38957456669019,
+                 537.181101862009858, 117.693950891312499, 15.7449261107098347, 1.0])
+_ERFC_TAIL = ([6.58749161529837803e-4, 0.0160837851487422766, 0.125781726111229246, 0.360344899949804439, 0.305326634961232344, 0.0163153871373020978],
+              [0.00233520497626869185, 0.0605183413124413191, 0.527905102951428412, 1.87295284992346725, 2.56852019228982242, 1.0])
+_ROOT_PI = 1.7724538509055160
+
+
+def _log_erfc(y: Column) -> Column:
+    """Logarithm of erfc(y) for y >= 0; no underflow."""
+    yy = y * y
+    near = F.log1p(-y * _ratio(_ERF_NEAR, yy))
+    middle = -yy + F.log(_ratio(_ERFC_MIDDLE, y))
+    inverse = F.lit(1.0) / F.greatest(yy, F.lit(1.0))
+    tail = -yy + F.log((1.0 / _ROOT_PI - inverse * _ratio(_ERFC_TAIL, inverse)) / F.greatest(y, F.lit(1.0)))
+    return F.when(y <= 0.46875, near).when(y <= 4, middle).otherwise(tail)
+
+
+def norm_log_cdf_col(z: Column) -> Column:
+    """Logarithm of the normal distribution function, exact far into both tails."""
+    half = _log_erfc(F.abs(z) / F.lit(2.0 ** 0.5)) - F.lit(0.6931471805599453)
+    return F.when(z <= 0, half).otherwise(F.log1p(-F.exp(half)))

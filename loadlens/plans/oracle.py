@@ -826,6 +826,37 @@ n_p AS (SELECT server_id, CAST(n AS BIGINT) AS n, w, CASE WHEN n <= 5000 THEN {_
   exp(-n / 12 * (sk * sk + ku * ku / 4)) AS jb FROM n_w JOIN n_k USING (server_id))"""
 
 
+def _log_cdf(z: str) -> str:
+    """Logarithm of the normal distribution function: a series in the middle, a
+    continued fraction beyond 4 (the Spark form uses rational approximations)."""
+    def beyond(x: str) -> str:
+        fraction = x
+        for i in range(60, 0, -1):
+            fraction = f"({x} + {i} / {fraction})"
+        return f"(-{x} * {x} / 2 - ln(2 * pi()) / 2 - ln({fraction}))"
+    square = f"greatest({z} * {z}, 1e-300)"
+    series = f"list_sum(list_transform(range(0, 80), lambda k: exp(k * ln({square}) - lgamma(2 * k + 2) + k * ln(2) + lgamma(k + 1))))"
+    return (f"(CASE WHEN {z} < -4 THEN {beyond(f'(-{z})')} WHEN {z} > 4 THEN ln(1 - exp({beyond(z)})) "
+            f"ELSE ln(0.5 + exp(-{z} * {z} / 2) / sqrt(2 * pi()) * {z} * {series}) END)")
+
+
+def anderson_sql(source: str) -> str:
+    """Anderson-Darling of ``source(server_id, v)``, with every rank a row."""
+    p = {"large": "exp(1.2937 - 5.709 * A + 0.0186 * A * A)", "middle": "exp(0.9177 - 4.279 * A - 1.38 * A * A)",
+         "small": "1 - exp(-8.318 + 42.796 * A - 59.938 * A * A)", "least": "1 - exp(-13.436 + 101.14 * A - 223.73 * A * A)"}
+    return f"""a_m AS (SELECT server_id, avg(v) AS mean, stddev_samp(v) AS sd FROM {source} WHERE server_id IS NOT NULL AND v IS NOT NULL GROUP BY 1),
+a_z AS (SELECT server_id, CAST((v - mean) / sd AS DOUBLE) AS z, row_number() OVER (PARTITION BY server_id ORDER BY v) AS i, count(*) OVER (PARTITION BY server_id) AS n
+  FROM {source} JOIN a_m USING (server_id) WHERE v IS NOT NULL),
+a_l AS (SELECT server_id, i, n, {_log_cdf('z')} AS lower, {_log_cdf('(-z)')} AS upper FROM a_z),
+a_s AS (SELECT server_id, n, -n - sum((2 * i - 1) * lower + (2 * (n - i) + 1) * upper) / n AS raw FROM a_l GROUP BY 1, 2),
+a_c AS (SELECT server_id, n, raw * (1 + 0.75 / n + 2.25 / (n * n)) AS A FROM a_s),
+a_p AS (SELECT server_id, n, A, CASE WHEN A >= 13 THEN 0.0 WHEN A >= 0.6 THEN {p['large']} WHEN A > 0.34 THEN {p['middle']}
+  WHEN A > 0.2 THEN {p['small']} ELSE {p['least']} END AS p FROM a_c)"""
+
+
+_ANDERSON = f"SELECT server_id, n, {r('A', 4)} AS statistic, {r('p', 4)} AS p_value, p > 0.05 AS is_normal FROM a_p"
+
+
 _NORMALITY = (f"SELECT server_id, n, {r('w', 4)} AS statistic, {r('p', 4)} AS p_value, p > 0.05 AS is_normal, {r('sk', 4)} AS skewness, "
               f"{r('ku', 4)} AS kurtosis, {r('jb', 4)} AS jb_p_value, CASE WHEN n > 5000 THEN 'n > 5000' END AS reason FROM n_p")
 _EV_VALUES = "ev_v AS (SELECT server_id, cpu_usage AS v FROM metrics_ev)"
@@ -836,19 +867,20 @@ def _():
     return with_(METRICS_EV, _EV_VALUES, normality_sql("ev_v")) + _NORMALITY
 
 
-def _homogeneity(ctes: list[str], source: str, groups: int) -> str:
+def _homogeneity(ctes: list[str], source: str, groups: int, large: bool = False) -> str:
     """Normality rows, ANOVA if all are normal, Kruskal-Wallis; closed forms for
-    an even number of degrees of freedom between groups."""
+    an even number of degrees of freedom between groups.  ``large``: every group
+    has more than 5,000 values and is judged by Anderson-Darling."""
     half = (groups - 1) // 2
     f_tail = "pow(xx, a)" if half == 1 else "pow(xx, a) * (1 + a * (1 - xx))"
     h_tail = "exp(-h / 2)" if half == 1 else "exp(-h / 2) * (1 + h / 2)"
-    base = with_(*ctes, normality_sql(source))
+    base = with_(*ctes, normality_sql(source), *([anderson_sql(source)] if large else []))
     anova = f"""{base}, g AS (SELECT server_id, count(*) AS n, avg(v) AS m, var_samp(v) AS v FROM {source} WHERE v IS NOT NULL GROUP BY 1),
 t AS (SELECT count(*) AS k, sum(n) AS N, sum(n * m) / sum(n) AS gm FROM g),
 f AS (SELECT k, N, (SELECT sum(n * (m - gm) * (m - gm)) FROM g) / (k - 1) / ((SELECT sum((n - 1) * v) FROM g) / (N - k)) AS fs FROM t),
 x AS (SELECT *, (N - k) / ((N - k) + (k - 1) * fs) AS xx, (N - k) / 2.0 AS a FROM f)
 SELECT {r('fs', 4)} AS f_statistic, {r(f_tail, 4)} AS p_value, {f_tail} > 0.05 AS homogeneous FROM x
-WHERE (SELECT coalesce(bool_and(coalesce(p > 0.05, false)), false) FROM n_p)"""
+WHERE (SELECT coalesce(bool_and(coalesce(p > 0.05, false)), false) FROM {"a_p" if large else "n_p"})"""
     kruskal = f"""{with_(*ctes)}, d AS (SELECT server_id, v FROM {source} WHERE server_id IS NOT NULL AND v IS NOT NULL),
 rk AS (SELECT server_id, v, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rnk FROM d),
 g AS (SELECT server_id, sum(rnk) AS R, count(*) AS n FROM rk GROUP BY 1),
@@ -858,6 +890,7 @@ h AS (SELECT (12.0 / (N * (N + 1)) * (SELECT sum(R * R / n) FROM g) - 3 * (N + 1
 SELECT {r('h', 4)} AS h_statistic, {r(h_tail, 4)} AS p_value, {h_tail} > 0.05 AS homogeneous FROM h"""
     return "\nUNION ALL\n".join([
         long_sql(base + _NORMALITY, "normality_test", "server_id", ["statistic", "p_value", "is_normal"]),
+        *([long_sql(base + _ANDERSON, "normality_large", "server_id", ["statistic", "p_value", "is_normal"])] if large else []),
         long_sql(anova, "anova", None, ["f_statistic", "p_value", "homogeneous"]),
         long_sql(kruskal, "kruskal_wallis", None, ["h_statistic", "p_value", "homogeneous"])])
 
@@ -872,3 +905,17 @@ def _():
     monthly = ("monthly AS (SELECT 'group_' || CAST(l_suppkey % 3 AS VARCHAR) AS server_id, avg(l_quantity) AS v "
                "FROM lineitem GROUP BY 1, date_trunc('month', l_shipdate))")
     return _homogeneity([monthly], "monthly", 3)
+
+
+@oracle("anderson_darling")
+def _():
+    return with_(METRICS_EV, _EV_VALUES, anderson_sql("ev_v")) + _ANDERSON
+
+
+_NODES = """nodes AS (SELECT 'node_' || CAST(vec_id % 3 AS VARCHAR) AS server_id, 50 + 100 * CAST(x AS DOUBLE) AS v
+  FROM (SELECT vec_id, unnest(embedding) AS x FROM embeddings))"""
+
+
+@oracle("homogeneity_large")
+def _():
+    return _homogeneity([_NODES], "nodes", 3, large=True)

@@ -145,7 +145,18 @@ def _daily(s, d):
     return li.groupBy(server.alias("server_id"), month.alias("timestamp")).agg(F.avg("l_quantity").alias("cpu_usage"))
 
 
+def _nodes(s, d):
+    """Three servers of many close to normal values each: a vector component is a
+    reading of the vector's server."""
+    server = F.concat(F.lit("node_"), (F.col("vec_id") % 3).cast("string"))
+    return table(s, d, "embeddings").select(server.alias("server_id"), F.explode("embedding").alias("_x"))\
+        .select("server_id", (F.lit(50) + F.lit(100) * F.col("_x").cast("double")).alias("cpu_usage"))
+
+
+query("anderson_darling")(lambda s, d: I.anderson_darling(E(s, d)))
+
 # ---------------------------------------------------------------- composites
+query("homogeneity_large")(lambda s, d: R.homogeneity(_nodes(s, d)))
 query("basic_report")(lambda s, d: R.basic_report(M(s, d)))
 query("advanced_report")(lambda s, d: R.advanced_report(E(s, d)))
 query("advanced_report_sections")(lambda s, d: R.advanced_report(E(s, d), clusters=False))

@@ -75,16 +75,24 @@ def advanced_report(metrics: DataFrame, forecast_hours: int = 6, top: int = 5, c
 
 
 def homogeneity(metrics: DataFrame, column: str = "cpu_usage", key: str = "server_id") -> DataFrame:
-    """Normality per server, ANOVA (only when every server passed the
-    normality test) and Kruskal-Wallis, in long form."""
+    """Normality per server, ANOVA (only when every server passed a normality
+    test) and Kruskal-Wallis, in long form.  Servers with more values than
+    Shapiro-Wilk has a p-value for are judged by Anderson-Darling, in a section of
+    their own."""
     norm = materialize(I.normality_test(metrics, column, key))
     servers = metrics.where(F.col(key).isNotNull()).select(key).distinct()
-    # every server must have a normality row with is_normal = true
-    gate = servers.join(norm.select(key, "is_normal"), key, "left")\
+    beyond = norm.where(F.col("n") > I.SHAPIRO_MAX_N).select(key)
+    large = materialize(I.anderson_darling(metrics.join(beyond, key, "left_semi"), column, key)) if beyond.take(1) else None
+    judged = norm.select(key, "is_normal")
+    if large is not None:
+        judged = judged.join(beyond, key, "left_anti").unionByName(large.select(key, "is_normal"))
+    # every server must have passed
+    gate = servers.join(judged, key, "left")\
         .agg(F.coalesce(F.bool_and(F.coalesce(F.col("is_normal"), F.lit(False))), F.lit(False)).alias("_all"))
     anova = I.anova(metrics, column, key).crossJoin(gate).where(F.col("_all")).drop("_all")
     return _union([
         to_long(norm, "normality_test", key, ["statistic", "p_value", "is_normal"]),
+        *([to_long(large, "normality_large", key, ["statistic", "p_value", "is_normal"])] if large is not None else []),
         to_long(anova, "anova", None, ["f_statistic", "p_value", "homogeneous"]),
         to_long(I.kruskal_wallis(metrics, column, key), "kruskal_wallis", None,
                 ["h_statistic", "p_value", "homogeneous"]),

@@ -115,3 +115,40 @@ def test_cluster_invariants(spark):
     assert out["server_id"].is_unique and out["cluster"].between(0, 2).all()
     means = out.groupby("cluster")["cpu_usage_mean"].mean()
     assert list(means.index) == sorted(means.index)
+
+
+def plain_anderson_darling(v):
+    import math
+    x = sorted(v)
+    n, mean = len(x), sum(x) / len(x)
+    sd = math.sqrt(sum((a - mean) ** 2 for a in x) / (n - 1))
+    lower = [math.log(0.5 * math.erfc(-(a - mean) / sd / math.sqrt(2))) for a in x]
+    upper = [math.log(0.5 * math.erfc((a - mean) / sd / math.sqrt(2))) for a in x]
+    raw = -n - sum((2 * i - 1) * (lower[i - 1] + upper[n - i]) for i in range(1, n + 1)) / n
+    return raw * (1 + 0.75 / n + 2.25 / n ** 2)
+
+
+def test_anderson_darling_by_hand_and_edges(spark):
+    rng = np.random.default_rng(8)
+    groups = {"normal": rng.normal(1e6, 3, 9000), "ties": np.round(rng.normal(0, 2, 6000)), "uniform": rng.uniform(0, 1, 400), "tail": rng.lognormal(0, 2, 300),
+              "constant": np.full(50, 3.0), "few": rng.normal(0, 1, 7), "eight": rng.normal(0, 1, 8)}
+    rows = [(k, float(x)) for k, v in groups.items() for x in v] + [(None, 1.0), ("normal", None), ("normal", float("nan"))]
+    df = spark.createDataFrame(rows, "server_id string, cpu_usage double").repartition(6)
+    out = {r.server_id: r for r in I.anderson_darling(df).collect()}
+    assert set(out) == set(groups) and out["normal"].n == 9000
+    for k in ("normal", "ties", "uniform", "tail", "eight"):
+        assert out[k].statistic == pytest.approx(plain_anderson_darling(groups[k]), abs=2e-4)
+    assert [out[k].is_normal for k in ("normal", "ties", "uniform", "tail", "constant", "few")] == [True, False, False, False, None, None]
+    assert out["constant"].statistic is None and out["tail"].p_value == 0.0
+
+
+def test_large_normal_servers_reach_anova(spark):
+    from loadlens.plans.reports import homogeneity
+    rng = np.random.default_rng(5)
+    rows = [(f"s{i}", float(x)) for i in range(3) for x in rng.normal(50 + i, 5, 10_000)] + [("small", float(x)) for x in rng.normal(50, 5, 100)]
+    df = spark.createDataFrame(rows, "server_id string, cpu_usage double")
+    out = {(r.section, r.subject, r.metric): r.value for r in homogeneity(df).collect()}
+    assert out[("anova", None, "homogeneous")] == 0.0
+    assert out[("normality_large", "s1", "is_normal")] == 1.0 and ("normality_large", "small", "is_normal") not in out
+    skewed = df.unionByName(spark.createDataFrame([("odd", float(x)) for x in rng.exponential(1, 6000)], "server_id string, cpu_usage double"))
+    assert not [r for r in homogeneity(skewed).collect() if r.section == "anova"]
