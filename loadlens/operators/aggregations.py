@@ -289,30 +289,24 @@ def kde_curve(df: DataFrame, column: str = "cpu_usage", key: str = "server_id",
     """Gaussian density per group on ``grid`` points from min to max, with
     Scott's bandwidth ``h = std * n^(-1/5)``.
 
-    Work is O(distinct values x grid): rows are first collapsed to
-    ``(key, value, count)`` (map-side), each distinct value then contributes
-    to the ``grid`` points of its own group (an ``explode`` of a fixed-size
-    sequence, no pairing of data rows) and the contributions are summed with
-    a partial aggregation.  A constant group has no curve."""
-    data = df.where(F.col(key).isNotNull() & F.col(column).isNotNull())
-    st = data.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp(column).alias("_sd"),
-                               F.min(column).alias("_mn"), F.max(column).alias("_mx"))
-    st = st.where((F.col("_mx") > F.col("_mn")) & (F.col("_sd") > 0))\
-        .withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-    vc = data.groupBy(key, column).agg(F.count(F.lit(1)).alias("_c"))
-    g = F.col("_g")
-    x = F.col("_mn") + (F.col("_mx") - F.col("_mn")) * g / F.lit(float(grid - 1))
-    z = (x - F.col(column)) / F.col("_h")
-    contrib = F.col("_c") * F.exp(F.lit(-0.5) * z * z)
-    return (vc.join(st, key)
-              .select(key, column, "_c", "_n", "_h", "_mn", "_mx",
-                      F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_g"))
-              .groupBy(key, "_g")
-              .agg(F.first(x).alias("x"), F.sum(contrib).alias("_s"), F.first("_n").alias("_n"),
-                   F.first("_h").alias("_h"))
-              .select(key, F.col("_g").alias("point"), np_round("x", 6).alias("x"),
-                      np_round(F.col("_s") / (F.col("_n") * F.col("_h") * F.lit((2 * 3.141592653589793) ** 0.5)), 8)
-                      .alias("density")))
+    The curve is a vector of ``grid`` sums: each row adds its kernel to all of them
+    in one partial aggregation, so what leaves a task is one vector per group and
+    no row is expanded or shuffled.  Two scans: the groups' figures (counted and,
+    if few, broadcast), then the sums.  A constant group has no curve."""
+    data = df.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(F.col(key).alias("_key"), F.col(column).cast("double").alias("_v"))
+    st = data.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_v").alias("_sd"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
+    st = materialize(st.where((F.col("_mx") > F.col("_mn")) & (F.col("_sd") > 0))
+                     .select("_key", "_n", "_mn", "_mx", (F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))).alias("_h")))
+    small = st.count() <= MAX_BROADCAST_GROUPS
+    # in bandwidths: the row's place (_u) and the grid's first point and step
+    rows = data.join(F.broadcast(st) if small else st, "_key").select(
+        "_key", ((F.col("_v") - F.col("_mn")) / F.col("_h")).alias("_u"), ((F.col("_mx") - F.col("_mn")) / F.col("_h") / F.lit(float(grid - 1))).alias("_step"))
+    kernels = [F.expr(f"sum(exp(-0.5D * (_step * {g} - _u) * (_step * {g} - _u)))") for g in range(grid)]
+    sums = rows.groupBy("_key").agg(F.array(*kernels).alias("_sums"))
+    x = F.col("_mn") + (F.col("_mx") - F.col("_mn")) * F.col("point") / F.lit(float(grid - 1))
+    norm = F.col("_n") * F.col("_h") * F.lit((2 * 3.141592653589793) ** 0.5)
+    return (st.join(sums, "_key").select("_key", "_n", "_h", "_mn", "_mx", F.posexplode("_sums").alias("point", "_s"))
+              .select(F.col("_key").alias(key), "point", np_round(x, 6).alias("x"), np_round(F.col("_s") / norm, 8).alias("density")))
 
 
 def heavy_endpoints(logs: DataFrame) -> DataFrame:

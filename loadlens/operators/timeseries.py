@@ -20,18 +20,34 @@ from loadlens.operators.ordered import with_prev
 from loadlens.session import materialize
 
 
+STRIDE_HOURS = 4_096        # hours of a gap that one row of the fill stands for
+STRIDES_PER_TASK = 64       # such rows that one task fills
+
+
+def missing_hours(hourly: DataFrame, hour: str = "hour") -> DataFrame:
+    """The hours between the first and the last of ``hourly`` (one row each) that it
+    lacks.
+
+    An hour's successor ends its gap; a gap is cut into strides of ``STRIDE_HOURS``
+    that are dealt to the tasks before they are filled, so neither a long gap nor
+    many short ones end in one task or one array."""
+    gaps = with_prev(hourly.select(hour), [], hour, [hour]).where(F.col("prev_" + hour).isNotNull())
+    length = (F.timestamp_diff("HOUR", F.col("prev_" + hour), F.col(hour)) - 1).cast("bigint")
+    gaps = gaps.select(F.col("prev_" + hour).alias("_before"), length.alias("_n")).where(F.col("_n") > 0)
+    strides = materialize(gaps.select("_before", "_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"), F.lit(STRIDE_HOURS).cast("bigint"))).alias("_lo")))
+    last = F.least(F.col("_lo") + F.lit(STRIDE_HOURS - 1), F.col("_n"))
+    dealt = strides.repartition(strides.count() // STRIDES_PER_TASK + 1, "_before", "_lo")      # a given number: small rows that grow
+    return dealt.select("_before", F.explode(F.sequence(F.col("_lo"), last)).alias("_i"))\
+        .select(F.timestamp_add("HOUR", F.col("_i"), F.col("_before")).alias(hour))
+
+
 def hourly_resample(df: DataFrame, column: str = "cpu_usage", ts: str = "timestamp") -> DataFrame:
     """Mean of ``column`` per clock hour over all servers, with every hour
     between the first and last one present (empty hours -> NULL)."""
-    hourly = (df.where(F.col(ts).isNotNull())
-                .groupBy(F.date_trunc("hour", F.col(ts)).alias("hour"))
-                .agg(F.avg(column).alias("_m")))
-    # the spine has one row per hour of the covered span: bounded by time, not rows
-    spine = (hourly.agg(F.min("hour").alias("_lo"), F.max("hour").alias("_hi"))
-                   .where(F.col("_lo").isNotNull())
-                   .select(F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias("hour")))
-    return (spine.join(hourly, "hour", "left")
-                 .select("hour", np_round("_m", 6).alias(f"{column}_mean")))
+    hourly = materialize(df.where(F.col(ts).isNotNull())
+                         .groupBy(F.date_trunc("hour", F.col(ts)).alias("hour"))
+                         .agg(np_round(F.avg(column), 6).alias(f"{column}_mean")))      # a row per hour with rows
+    return hourly.unionByName(missing_hours(hourly), allowMissingColumns=True)
 
 
 def forecast_load(df: DataFrame, hours: int = 6, window: int = 3, column: str = "cpu_usage",

@@ -147,3 +147,21 @@ def test_approximate_distinct_counts(spark):
     assert abs(r.unique_ips - 200) <= 30 and abs(r.unique_endpoints - 50) <= 8 and r.total_requests == 2000
     o = A.log_overview(df, approximate=True).first()
     assert abs(o.unique_clients - 200) <= 30 and A.log_overview(df).first().unique_clients == 200
+
+
+def test_long_gap_is_filled_by_several_tasks(spark):
+    """One stray date: a gap of 10 million hours, and two short ones."""
+    first = dt.datetime(1000, 1, 1)
+    times = [first, first + dt.timedelta(hours=3), first + dt.timedelta(hours=5, minutes=30), first + dt.timedelta(hours=10_000_005)]
+    df = spark.createDataFrame([(t, 1.0) for t in times], "timestamp timestamp_ntz, cpu_usage double")
+    out = W.hourly_resample(df)
+    r = out.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("hour").alias("hours"), F.count("cpu_usage_mean").alias("filled"), F.max("hour").alias("last"), F.min("hour").alias("first")).first()
+    assert (r.n, r.hours, r.filled, r.first, r.last) == (10_000_006, 10_000_006, 4, first, times[-1])
+    per_task = [r["count"] for r in W.missing_hours(out.where("cpu_usage_mean is not null")).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) >= 3 and max(per_task) < 0.6 * 10_000_002
+
+
+def test_no_gap_to_fill(spark):
+    df = spark.createDataFrame([(T0, 1.0), (T0 + dt.timedelta(hours=1), None)], "timestamp timestamp_ntz, cpu_usage double")
+    assert sorted(W.hourly_resample(df).collect()) == [(T0, 1.0), (T0 + dt.timedelta(hours=1), None)]
+    assert W.hourly_resample(df.limit(1)).count() == 1 and W.hourly_resample(df.limit(0)).count() == 0

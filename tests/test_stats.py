@@ -152,3 +152,27 @@ def test_large_normal_servers_reach_anova(spark):
     assert out[("normality_large", "s1", "is_normal")] == 1.0 and ("normality_large", "small", "is_normal") not in out
     skewed = df.unionByName(spark.createDataFrame([("odd", float(x)) for x in rng.exponential(1, 6000)], "server_id string, cpu_usage double"))
     assert not [r for r in homogeneity(skewed).collect() if r.section == "anova"]
+
+
+def test_density_is_a_vector_of_sums(spark):
+    from loadlens.operators import aggregations as A
+    rng = np.random.default_rng(2)
+    groups = {"hot": rng.normal(5, 2, 4000), "b": np.r_[0.0, 1.0], "ties": np.repeat([1.0, 2.0, 7.0], 50), "constant": np.full(9, 4.0), "one": np.array([1.0])}
+    rows = [(k, float(x)) for k, v in groups.items() for x in v] + [(None, 1.0), ("b", None)]
+    df = spark.createDataFrame(rows, "server_id string, cpu_usage double").repartition(5)
+    curve = A.kde_curve(df, grid=50)
+    out = {}
+    for r in curve.collect():
+        out.setdefault(r.server_id, {})[r.point] = (r.x, r.density)
+    assert set(out) == {"hot", "b", "ties"}
+    for k, points in out.items():
+        v = groups[k]
+        h, x = v.std(ddof=1) * len(v) ** -0.2, np.linspace(v.min(), v.max(), 50)
+        want = np.exp(-0.5 * ((x[:, None] - v) / h) ** 2).sum(1) / (len(v) * h * math.sqrt(2 * math.pi))
+        assert [points[i][0] for i in range(50)] == pytest.approx(list(x), abs=1e-6)
+        assert [points[i][1] for i in range(50)] == pytest.approx(list(want), abs=1e-7)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    plan = A.kde_curve(df)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Generate ") == 1 and plan.index("Generate ") < plan.index("HashAggregate")     # only the finished curves are unfolded
+    assert A.kde_curve(df.limit(0)).collect() == []
