@@ -919,3 +919,16 @@ _NODES = """nodes AS (SELECT 'node_' || CAST(vec_id % 3 AS VARCHAR) AS server_id
 @oracle("homogeneity_large")
 def _():
     return _homogeneity([_NODES], "nodes", 3, large=True)
+
+
+# ---------------------------------------------------------------- checked CSV
+@oracle("csv_logs")
+def _():
+    return with_(LOGS_K) + 'SELECT * EXCLUDE (k) FROM logs_k WHERE k IS NULL OR k NOT IN (0, 1, 2, 3, 4)'
+
+
+@oracle("csv_errors")
+def _():
+    return with_(LOGS_K) + """SELECT CASE k WHEN 0 THEN 'bad response_code' WHEN 1 THEN 'bad timestamp' WHEN 2 THEN 'bad response_size'
+  WHEN 3 THEN 'no timestamp' ELSE 'bad response_code, bad response_time_ms' END AS reason, count(*) AS records, count(*) AS with_file
+FROM logs_k WHERE k IN (0, 1, 2, 3, 4) GROUP BY 1"""

@@ -30,7 +30,8 @@ from loadlens.sources import readers as S
 from loadlens.sources import sinks as SK
 from loadlens.sources import tables as TB
 from loadlens.streaming import alerts as D
-from loadlens.sources.views import access_log_lines_view, forecast_pairs_view, metrics_ev_from, table, logs_view, metrics_ev_view, metrics_view
+from loadlens.schemas import ACCESS_LOGS
+from loadlens.sources.views import access_log_cells_view, access_log_lines_view, forecast_pairs_view, metrics_ev_from, table, logs_view, metrics_ev_view, metrics_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -203,6 +204,17 @@ def _csv_roundtrip(s, d):
     return S.read_metrics_csv(s, path)
 
 
+def _log_cells(s, d):
+    path = scratch_dir(s, "logs-csv")
+    access_log_cells_view(s, d).write.option("header", True).csv(path)
+    return path
+
+
+query("csv_logs")(lambda s, d: S.read_access_logs_csv(s, _log_cells(s, d)))
+query("csv_errors")(lambda s, d: S.read_csv_errors(s, _log_cells(s, d), ACCESS_LOGS).groupBy("reason").agg(
+    F.count(F.lit(1)).alias("records"), F.count_if(F.col("file_path").contains("logs-csv")).alias("with_file")))
+
+
 @query("storage_footprint")
 def _storage_footprint(s, d):
     f = SK.storage_footprint(M(s, d), scratch_dir(s, "footprint"))

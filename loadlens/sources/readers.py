@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,15 +21,64 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
             .option("timestampNTZFormat", _CSV_TS).option("mode", "PERMISSIVE").csv(path))
 
 
+_RECORD, _FILE = "_record", "_file"
+_TIME_CELL = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
+
+
+def _cell(name: str, kind: T.DataType) -> Column:
+    """A CSV cell as its column's type; NULL where it is none."""
+    text = F.col(name)
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        return F.when(text.rlike(_TIME_CELL), text.try_cast(kind))
+    return text.try_cast(kind)
+
+
+def _checked(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """Cells as text with ``_reasons``, the faults of each record (none: empty)."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(_RECORD, T.StringType())])
+    # every column is parsed whatever is selected, or a wrong number of cells would go unseen
+    raw = (spark.read.schema(text).option("header", True).option("nullValue", "").option("columnPruning", False)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD).csv(path)
+           .select("*", F.col("_metadata.file_path").alias(_FILE)))
+    faults = [F.when(F.col(_RECORD).isNotNull(), F.lit("wrong number of cells"))]
+    for f in schema.fields:
+        if not f.nullable:
+            faults.append(F.when(F.col(f.name).isNull(), F.lit(f"no {f.name}")))
+        if not isinstance(f.dataType, T.StringType):
+            faults.append(F.when(F.col(f.name).isNotNull() & _cell(f.name, f.dataType).isNull(), F.lit(f"bad {f.name}")))
+    return raw.withColumn("_reasons", F.array_compact(F.array(*faults)))
+
+
+def read_csv_rows(spark: SparkSession, path: str | list[str], schema: T.StructType, file_column: str | None = None) -> DataFrame:
+    """Typed rows of the records without a fault, NaN cells as NULL; with the file
+    they came from in ``file_column`` if named."""
+    rows = _checked(spark, path, schema).where(F.size("_reasons") == 0)
+    out = [_cell(f.name, f.dataType).alias(f.name) for f in schema.fields]
+    return normalize_nans(rows.select(*out, *([F.col(_FILE).alias(file_column)] if file_column else [])))
+
+
+def read_csv_errors(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """The other records: ``file_path, record, reason``.  A record is rejected if it
+    has too few or too many cells, a cell that is not of its column's type, or no
+    value where the schema needs one; all its faults are named."""
+    rows = _checked(spark, path, schema).where(F.size("_reasons") > 0)
+    record = F.coalesce(F.col(_RECORD), F.to_csv(F.struct(*[F.col(f.name) for f in schema.fields])))
+    return rows.select(F.col(_FILE).alias("file_path"), record.alias("record"), F.concat_ws(", ", "_reasons").alias("reason"))
+
+
 def read_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
     """``server_metrics`` CSV (header; extra columns such as ``id`` are not
-    expected).  NaN cells become NULL."""
-    return normalize_nans(_csv(spark, path, METRICS))
+    expected).  NaN cells become NULL; records with a fault are left to
+    :func:`read_csv_errors`."""
+    return read_csv_rows(spark, path, METRICS)
 
 
 def read_access_logs_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Parsed ``access_logs`` CSV; an empty referer reads back as NULL."""
-    return normalize_nans(_csv(spark, path, ACCESS_LOGS))
+    """Parsed ``access_logs`` CSV; an empty referer reads back as NULL, and records
+    with a fault are left to :func:`read_csv_errors`."""
+    return read_csv_rows(spark, path, ACCESS_LOGS)
 
 
 def read_host_metrics(spark: SparkSession, path: str) -> DataFrame:

@@ -94,6 +94,19 @@ def access_log_lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lg.select(F.when(k == 5, F.lit("")).otherwise(line).alias("value"))
 
 
+def access_log_cells_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``logs`` stand-in as CSV cells (text).  The event's ``k`` property spoils
+    a cell: 0 a code that is no number, 1 a time that is none, 2 a size with a unit,
+    3 no time at all, 4 both a code and a response time that are no numbers."""
+    lg, k = logs_view(spark, sf_dir, with_k=True), F.col("k")
+    cell = {f.name: F.col(f.name).cast("string") for f in lg.schema.fields if f.name != "k"}
+    cell["timestamp"] = F.when(k == 1, F.lit("yesterday")).when(k == 3, F.lit(None)).otherwise(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    cell["response_code"] = F.when(k.isin(0, 4), F.lit("OK")).otherwise(cell["response_code"])
+    cell["response_size"] = F.when(k == 2, F.concat(cell["response_size"], F.lit("B"))).otherwise(cell["response_size"])
+    cell["response_time_ms"] = F.when(k == 4, F.lit("fast")).otherwise(cell["response_time_ms"])
+    return lg.select(*[c.alias(n) for n, c in cell.items()])
+
+
 def metrics_ev_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second metrics stand-in from ``events`` with five large groups
     (``event_type`` as the server) and a long-tailed ``cpu_usage``; used by

@@ -201,3 +201,26 @@ def test_checkpoint_folder_is_required_off_local(spark):
     far = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None))
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(far)
+
+
+def test_csv_records_with_faults_are_set_aside(spark, tmp):
+    from loadlens.schemas import METRICS
+    header = "timestamp,server_id,cpu_usage,memory_usage,disk_io,network_traffic,request_count,error_rate,response_time_ms\n"
+    good = "2024-01-01 09:00:00,web01,45.2,NaN,,1,2,0.5,145.2\n"
+    bad = ["2024-01-01 09:00:00,web01,45.2\n", good.strip() + ",9\n", "2024-02-30 09:00:00,web01,1,1,1,1,1,1,1\n", ",web01,1,1,1,1,1,1,1\n", "2024-01-01 09:00:00,,1,1,1,1,1,1,1\n",
+           "2024-01-01 09:00:00,web01,high,1,1,1,1.5,1,1\n", "2024-01-01,web01,1,1,1,1,1,1,1\n"]
+    for i, lines in enumerate([bad[:3] + [good], [good] + bad[3:], [good]]):
+        with open(os.path.join(tmp, f"m{i}.csv"), "w") as f:
+            f.write(header + "".join(lines))
+    rows = S.read_metrics_csv(spark, tmp)
+    assert rows.count() == 3 and rows.select("server_id").count() == 3
+    first = rows.first()
+    assert first.memory_usage is None and first.disk_io is None and first.request_count == 2
+    errors = S.read_csv_errors(spark, tmp, METRICS)
+    by = sorted((r.reason, os.path.basename(r.file_path)) for r in errors.collect())
+    assert len(by) == 7 == errors.count() and {f for _, f in by} == {"m0.csv", "m1.csv"}
+    reasons = [r for r, _ in by]
+    assert "bad cpu_usage, bad request_count" in reasons and "no timestamp" in reasons and "no server_id" in reasons and reasons.count("bad timestamp") == 2
+    assert sum("wrong number of cells" in r for r in reasons) == 2
+    assert errors.where("record like '%high%'").count() == 1
+    assert S.read_csv_rows(spark, tmp, METRICS, "file").select("file").distinct().count() == 3
