@@ -932,3 +932,21 @@ def _():
     return with_(LOGS_K) + """SELECT CASE k WHEN 0 THEN 'bad response_code' WHEN 1 THEN 'bad timestamp' WHEN 2 THEN 'bad response_size'
   WHEN 3 THEN 'no timestamp' ELSE 'bad response_code, bad response_time_ms' END AS reason, count(*) AS records, count(*) AS with_file
 FROM logs_k WHERE k IN (0, 1, 2, 3, 4) GROUP BY 1"""
+
+
+# ---------------------------------------------------------------- rollups
+_WINDOW = f"""count(*) AS total_requests, {r('avg(response_time_ms)', 2)} AS avg_response_time,
+  count(CASE WHEN response_code >= 400 THEN 1 END) AS error_count,
+  CASE WHEN count(*) > 0 THEN {r('count(CASE WHEN response_code >= 400 THEN 1 END) / count(*) * 100', 2)} ELSE 0.0 END AS error_rate"""
+
+
+@oracle("rollup_log_stats")
+def _():
+    return with_(LOGS) + f"""SELECT {_WINDOW}, true AS ips_near, true AS endpoints_near FROM logs
+WHERE "timestamp" >= TIMESTAMP '2024-01-24' AND "timestamp" < TIMESTAMP '2024-01-31'"""
+
+
+@oracle("trailing_log_stats")
+def _():
+    return with_(LOGS) + f""", hours AS (SELECT DISTINCT date_trunc('hour', "timestamp") AS h FROM logs)
+SELECT h AS "hour", {_WINDOW.replace(r('avg(response_time_ms)', 2) + " AS avg_response_time,", "")} FROM hours JOIN logs ON "timestamp" < h + INTERVAL 1 HOUR AND "timestamp" >= h - INTERVAL 23 HOUR GROUP BY 1"""

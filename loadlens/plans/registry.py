@@ -20,6 +20,7 @@ from loadlens.operators import chunks as U
 from loadlens.operators import clustering as K
 from loadlens.operators import correlate as J
 from loadlens.operators import filters as P
+from loadlens.operators import rollups as RU
 from loadlens.operators import inference as I
 from loadlens.operators import timeseries as W
 from loadlens.functions import logparse as LP
@@ -98,6 +99,25 @@ query("heavy_endpoints")(lambda s, d: A.heavy_endpoints(L(s, d)))
 query("status_class_share")(lambda s, d: A.status_class_share(L(s, d)))
 query("suspicious_clients")(lambda s, d: A.suspicious_clients(L(s, d), min_endpoints=7, min_error_share=0.25))
 
+
+
+def _rollup(s, d):
+    return RU.save_rollup(L(s, d), scratch_dir(s, "rollup"))
+
+
+@query("rollup_log_stats")
+def _rollup_log_stats(s, d):
+    """A week from the stored rollup; the estimates are held against exact counts."""
+    got = RU.rollup_stats(_rollup(s, d), "2024-01-31 00:00:00", 168)
+    week = L(s, d).where((F.col("timestamp") >= F.lit("2024-01-24").cast("timestamp_ntz")) & (F.col("timestamp") < F.lit("2024-01-31").cast("timestamp_ntz")))
+    exact = week.agg(F.count_distinct("client_ip").alias("_ips"), F.count_distinct("endpoint").alias("_endpoints"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.lit(RU.SKETCH_ERROR) * F.col(b)
+    return got.crossJoin(exact).select("total_requests", "avg_response_time", "error_count", "error_rate",       # one row each
+                                       near("unique_ips", "_ips").alias("ips_near"), near("unique_endpoints", "_endpoints").alias("endpoints_near"))
+
+
+query("trailing_log_stats")(lambda s, d: RU.trailing_stats(_rollup(s, d), 24).select("hour", "total_requests", "error_count", "error_rate"))
+
 # ---------------------------------------------------------------- log parsing
 query("parse_access_log")(lambda s, d: LP.parse_access_log(access_log_lines_view(s, d)))
 query("parse_errors")(lambda s, d: LP.parse_errors(access_log_lines_view(s, d))
