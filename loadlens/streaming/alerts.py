@@ -51,15 +51,98 @@ def run_alerts(spark: SparkSession, stream: DataFrame, out: str | None = None,
     return spark.read.parquet(out)
 
 
+_VALUES = ["events", "cpu_usage_mean", "cpu_usage_max"]
+COMPACT_EVERY = 8       # epochs between two merges of the hourly output
+
+
+def _folders(spark: SparkSession, path: str, prefix: str, complete: bool = True) -> list[str]:
+    """Names of the (complete: with ``_SUCCESS``) sub-folders ``prefix...``, in order."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    if not fs.exists(at):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(at) if f.isDirectory() and f.getPath().getName().startswith(prefix)]
+    return sorted(n for n in names if not complete or fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _epoch_of(folder: str) -> int:
+    return int(folder.split("=")[1].split("_")[0])
+
+
+def _recent(spark: SparkSession, out: str, base: str | None, upto: int | None = None) -> DataFrame | None:
+    """The latest values of every window in ``base`` and the epochs after it."""
+    after = _epoch_of(base) if base else -1
+    epochs = [f for f in _folders(spark, out, "epoch=") if after < _epoch_of(f) <= (upto if upto is not None else _epoch_of(f))]
+    parts = [spark.read.parquet(f"{out}/{base}")] if base else []
+    if epochs:
+        parts.append(spark.read.parquet(*[f"{out}/{f}" for f in epochs]))
+    if not parts:
+        return None
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    latest = rows.groupBy("hour", "server_id").agg(F.max_by(F.struct(*_VALUES), "epoch").alias("v"), F.max("epoch").alias("epoch"))
+    return latest.select("hour", "server_id", "v.*", "epoch")
+
+
+def compact_hourly(spark: SparkSession, out: str, upto: int, watermark: str = "2 hours") -> None:
+    """Merge the epochs up to ``upto`` into a new base; windows of days that the
+    watermark has passed move to ``closed/day=...``, which no later merge touches.
+
+    A step that is repeated writes the same again: closed days are whole when first
+    written, and the new base counts from its ``_SUCCESS`` on, named after the last
+    epoch merged and the first day still open.  What the base before it had merged
+    is removed only now, a merge later, so readers that started on it can end."""
+    bases = _folders(spark, out, "base=")
+    bases = [b for b in bases if _epoch_of(b) < upto]
+    before = bases[-1] if bases else None
+    rows = _recent(spark, out, before, upto)
+    if rows is None:
+        return
+    # no row older than the greatest event time less the delay is let in any more
+    bound = rows.agg(F.to_date(F.max("hour") - F.expr(f"INTERVAL {watermark}")).cast("string").alias("d")).first()["d"]
+    if before and bound is not None:
+        bound = max(bound, before.split("_")[1])
+    if bound is None:
+        return
+    day = F.to_date("hour")
+    rows.where(day < F.lit(bound).cast("date")).withColumn("day", day).repartition("day").write.mode("overwrite")\
+        .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{out}/closed")
+    rows.where(day >= F.lit(bound).cast("date")).coalesce(1).write.mode("overwrite").parquet(f"{out}/base={upto:012d}_{bound}")
+    for old in bases[:-1]:
+        _remove(spark, f"{out}/{old}")
+    if before:
+        for f in _folders(spark, out, "epoch="):
+            if _epoch_of(f) <= _epoch_of(before):
+                _remove(spark, f"{out}/{f}")
+
+
+def read_hourly(spark: SparkSession, out: str) -> DataFrame:
+    """Every hourly window as last written: closed days as they are (pruned by day),
+    and the latest epoch of the windows that are still open."""
+    bases = _folders(spark, out, "base=")
+    base = bases[-1] if bases else None
+    recent = _recent(spark, out, base).select("hour", "server_id", *_VALUES)
+    if base is None or not _folders(spark, f"{out}/closed", "day=", complete=False):
+        return recent
+    closed = spark.read.parquet(f"{out}/closed").where(F.col("day") < F.lit(base.split("_")[1]).cast("date"))
+    return closed.select("hour", "server_id", *_VALUES).unionByName(recent)
+
+
 def run_hourly(spark: SparkSession, stream: DataFrame, out: str | None = None,
                checkpoint: str | None = None, mode: str = "update",
-               watermark: str = "2 hours") -> DataFrame:
+               watermark: str = "2 hours", compact_every: int = COMPACT_EVERY) -> DataFrame:
     """Hourly windows per server.
 
-    * ``mode="update"``: each micro-batch appends the windows it changed as its
-      own epoch; the result is the latest epoch of every window, including
-      those still open.  The watermark drops the state of closed windows, and
-      rows that come later than it allows.
+    * ``mode="update"``: each micro-batch writes the windows it changed as its own
+      epoch; the result is the latest epoch of every window, including those still
+      open.  The watermark drops the state of closed windows, and rows that come
+      later than it allows.  Every ``compact_every`` epochs are merged
+      (:func:`compact_hourly`).
     * ``mode="append"``: each window is appended once, when the watermark passes
       its end; windows still open at the end are not in the result.
     """
@@ -75,11 +158,12 @@ def run_hourly(spark: SparkSession, stream: DataFrame, out: str | None = None,
         return spark.read.parquet(out)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        shaped(batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")   # a retried epoch replaces itself
+        rows = shaped(batch).withColumn("epoch", F.lit(epoch).cast("bigint"))
+        rows.write.mode("overwrite").parquet(f"{out}/epoch={epoch:012d}")       # a retried epoch replaces itself
+        if (epoch + 1) % compact_every == 0:
+            compact_hourly(batch.sparkSession, out, epoch, watermark)
 
     q = (hourly_load(stream, watermark).writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    epochs = spark.read.option("basePath", out).parquet(f"{out}/epoch=*")
-    values = ["events", "cpu_usage_mean", "cpu_usage_max"]
-    return epochs.groupBy("hour", "server_id").agg(F.max_by(F.struct(*values), "epoch").alias("v")).select("hour", "server_id", "v.*")
+    return read_hourly(spark, out)

@@ -1,5 +1,7 @@
 """Structured Streaming: alerts and hourly windows against the batch forms."""
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import functions as F
@@ -47,3 +49,32 @@ def test_rows_beyond_the_watermark_are_dropped(spark):
     feed("2024-01-01 20:00:00")
     got = feed("2024-01-01 10:55:00", "2024-01-01 19:30:00")     # ten hours late, half an hour late
     assert got == {"2024-01-01 10:00:00": 2, "2024-01-01 20:00:00": 1, "2024-01-01 19:00:00": 1}
+
+
+def test_fifty_batches_leave_few_folders(spark):
+    folder, out, ckpt = (tempfile.mkdtemp(prefix="loadlens-epochs-") for _ in range(3))
+    events = metrics_ev_view(spark, SF).select("timestamp", "server_id", "cpu_usage").where("timestamp < timestamp_ntz'2024-01-09'")
+    # fifty files in time order, with hours that overlap between neighbours
+    hour = F.timestamp_diff("HOUR", F.lit("2024-01-01").cast("timestamp_ntz"), F.col("timestamp"))
+    shifted = events.withColumn("f", F.least(F.floor((hour + F.pmod(F.hash("timestamp"), F.lit(2))) / 4), F.lit(49)))
+    for i in range(50):
+        shifted.where(F.col("f") == i).drop("f").coalesce(1).write.parquet(f"{folder}/f{i:02d}")
+    src = spark.readStream.schema("timestamp timestamp_ntz, server_id string, cpu_usage double").option("maxFilesPerTrigger", 1)\
+        .option("recursiveFileLookup", "true").parquet(folder)
+    got = D.run_hourly(spark, src, out, ckpt, watermark="12 hours")
+    batch = events.groupBy(F.date_trunc("hour", "timestamp").alias("hour"), "server_id").agg(F.count(F.lit(1)).alias("events"))
+    assert sorted(map(tuple, got.select("hour", "server_id", "events").collect())) == sorted(map(tuple, batch.collect()))
+    names = sorted(os.listdir(out))
+    epochs, bases = [n for n in names if n.startswith("epoch=")], [n for n in names if n.startswith("base=")]
+    assert len(epochs) <= 2 * D.COMPACT_EVERY + 2 and len(bases) <= 2
+    days = {r.day for r in spark.read.parquet(f"{out}/closed").select("day").distinct().collect()}
+    assert len(days) >= 4
+    # merging again, or after a merge that broke off before its base was complete, changes nothing
+    before = sorted(map(tuple, D.read_hourly(spark, out).collect()))
+    last = D._epoch_of(epochs[-1])
+    D.compact_hourly(spark, out, last, "12 hours")
+    shutil.rmtree(f"{out}/{sorted(n for n in os.listdir(out) if n.startswith('base='))[-1]}")
+    assert sorted(map(tuple, D.read_hourly(spark, out).collect())) == before
+    for _ in range(2):
+        D.compact_hourly(spark, out, last, "12 hours")
+        assert sorted(map(tuple, D.read_hourly(spark, out).collect())) == before
