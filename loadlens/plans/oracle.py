@@ -950,3 +950,43 @@ WHERE "timestamp" >= TIMESTAMP '2024-01-24' AND "timestamp" < TIMESTAMP '2024-01
 def _():
     return with_(LOGS) + f""", hours AS (SELECT DISTINCT date_trunc('hour', "timestamp") AS h FROM logs)
 SELECT h AS "hour", {_WINDOW.replace(r('avg(response_time_ms)', 2) + " AS avg_response_time,", "")} FROM hours JOIN logs ON "timestamp" < h + INTERVAL 1 HOUR AND "timestamp" >= h - INTERVAL 23 HOUR GROUP BY 1"""
+
+
+# ---------------------------------------------------------------- k-means
+_FEATURES = ["cpu_usage_mean", "cpu_usage_std", "cpu_usage_max", "memory_usage_mean", "memory_usage_std", "response_time_ms_mean", "response_time_ms_max", "error_rate_mean"]
+_ROUNDS = 25            # more than the test tables need to settle; a settled round repeats itself
+
+
+def cluster_sql(features: str, k: int = 3) -> str:
+    """Farthest-first start and Lloyd steps over ``features(server_id, ...)``, with
+    one chain of tables for each step; integer points as lists."""
+    z = ", ".join(f"coalesce(CAST(floor(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0) * 10000 + 0.5) AS BIGINT), 0)" for c in _FEATURES)
+    dist = lambda a, b: f"list_sum(list_transform(list_zip({a}, {b}), lambda q: (q[1] - q[2]) * (q[1] - q[2])))"
+    out = [f"""f AS MATERIALIZED (SELECT server_id, {", ".join(f"coalesce({c}, 0) AS {c}" for c in _FEATURES)} FROM ({features})),
+pt AS MATERIALIZED (SELECT server_id, [{z}] AS x FROM f),
+s1 AS MATERIALIZED (SELECT 0 AS c, x AS m FROM pt ORDER BY {dist("x", "[0, 0, 0, 0, 0, 0, 0, 0]")} DESC, server_id LIMIT 1)"""]
+    for i in range(2, k + 1):
+        out.append(f"""s{i} AS MATERIALIZED (SELECT c, m FROM s{i - 1} UNION ALL (SELECT {i - 1}, x FROM
+  (SELECT server_id, x, min({dist("x", "m")}) AS d FROM pt, s{i - 1} GROUP BY 1, 2) WHERE d > 0 ORDER BY d DESC, server_id LIMIT 1))""")
+    last = f"s{k}"
+    near = lambda centres: f"SELECT server_id, x, arg_min(c, ({dist('x', 'm')}, c)) AS c FROM pt, {centres} GROUP BY 1, 2"
+    for i in range(_ROUNDS):
+        out.append(f"""a{i} AS MATERIALIZED ({near(last)}),
+m{i} AS MATERIALIZED (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM
+  (SELECT c, i, sum(x[i]) AS s, count(*) AS n FROM a{i}, range(1, 9) r(i) GROUP BY c, i) GROUP BY c),
+c{i} AS MATERIALIZED (SELECT c, coalesce(m{i}.m, o.m) AS m FROM {last} o LEFT JOIN m{i} USING (c))""")
+        last = f"c{i}"
+    out.append(f"""fin AS MATERIALIZED ({near(last)}),
+num AS (SELECT c, CAST(row_number() OVER (ORDER BY avg(cpu_usage_mean), min(server_id)) - 1 AS INTEGER) AS cluster FROM fin JOIN f USING (server_id) GROUP BY c)""")
+    return "WITH " + ",\n".join(out) + "\nSELECT f.*, cluster FROM f JOIN fin USING (server_id) JOIN num USING (c)"
+
+
+@oracle("cluster_servers")
+def _():
+    return cluster_sql(ORACLE["server_features"])
+
+
+@oracle("advanced_report")
+def _():
+    features = ORACLE["server_features"].replace(METRICS, METRICS_EV).replace("FROM metrics WHERE", "FROM metrics_ev WHERE")
+    return ORACLE["advanced_report_sections"] + "\nUNION ALL\n" + long_sql(cluster_sql(features), "clusters", "server_id", ["cluster"])

@@ -117,6 +117,42 @@ def test_cluster_invariants(spark):
     assert list(means.index) == sorted(means.index)
 
 
+def plain_k_means(points, k):
+    """points: id -> integer tuple; farthest-first start, Lloyd steps, floor means."""
+    dist = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    centres, zero = [], tuple([0] * len(next(iter(points.values()))))
+    while len(centres) < k:
+        d, s = min((-min(dist(p, c) for c in centres or [zero]), s) for s, p in points.items())
+        if centres and d == 0:
+            break
+        centres.append(points[s])
+    while True:
+        label = {s: min((dist(p, c), i) for i, c in enumerate(centres))[1] for s, p in points.items()}
+        groups = [[points[s] for s in label if label[s] == i] for i in range(len(centres))]
+        moved = [tuple(sum(x) // len(g) for x in zip(*g)) if g else c for g, c in zip(groups, centres)]
+        if moved == centres:
+            return label
+        centres = moved
+
+
+def test_clusters_are_reproducible(spark):
+    df = metrics_view(spark, "/root/testdata/sf0.01")
+    runs = [{r.server_id: r.cluster for r in K.cluster_servers(d).collect()} for d in (df, df.repartition(7, "timestamp"), df.orderBy(F.desc("cpu_usage")))]
+    assert runs[0] == runs[1] == runs[2] and set(runs[0].values()) == {0, 1, 2}
+    points = {r[0]: tuple(r)[1:] for r in K.standardised(K.server_features(df).na.fill(0.0, subset=K.FEATURES)).collect()}
+    label = plain_k_means(points, 3)
+    assert {frozenset(s for s in label if label[s] == i) for i in range(3)} == {frozenset(s for s in runs[0] if runs[0][s] == i) for i in range(3)}
+
+
+def test_clusters_of_few_and_equal_servers(spark):
+    rows = [(f"s{i}", 5.0 * (i % 2), 1.0, 2.0, 3.0) for i in range(6)]
+    make = lambda r: spark.createDataFrame(r, "server_id string, cpu_usage double, memory_usage double, response_time_ms double, error_rate double")
+    out = {r.server_id: r.cluster for r in K.cluster_servers(make(rows)).collect()}
+    assert out == {f"s{i}": i % 2 for i in range(6)}                     # two different points: two clusters
+    assert [r.cluster for r in K.cluster_servers(make(rows[:1])).collect()] == [0]
+    assert K.cluster_servers(make(rows).limit(0)).count() == 0
+
+
 def plain_anderson_darling(v):
     import math
     x = sorted(v)
