@@ -4,6 +4,8 @@ catalog tables with full-replace loads, storage footprint per format."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,14 +39,40 @@ def folder_bytes(spark: SparkSession, path: str) -> DataFrame:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("bytes"), F.count(F.lit(1)).alias("files"))
 
 
-def compact(spark: SparkSession, src: str, dest: str, target_file_mb: int = 128,
-            compression: str = "snappy") -> DataFrame:
-    """Rewrite a multi-file Parquet dataset as ~``target_file_mb`` files.
-    Every row is kept; the file count comes from the input size.  Input splits
-    are joined to tasks without a shuffle."""
+@contextmanager
+def _packed_reads(spark: SparkSession, size: int) -> Iterator[None]:
+    """Scans whose tasks hold about ``size`` bytes of file each: Spark packs the
+    splits of all files, largest first, and cuts larger files at row groups."""
+    conf = {"spark.sql.files.maxPartitionBytes": f"{size}b", "spark.sql.files.openCostInBytes": "0b", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def compact(spark: SparkSession, src: str, dest: str, target_file_mb: float = 128,
+            compression: str = "snappy", growth: float = 1.0) -> DataFrame:
+    """Rewrite a multi-file Parquet dataset as files of about ``target_file_mb``,
+    by size and without a shuffle.
+
+    The listed bytes are divided evenly over the number of files nearest to the
+    target, and each such share of the input is one task and one file: small files
+    are packed together, a large one is cut between its row groups (one row group
+    stays whole).  ``growth`` is the expected ratio of written to listed bytes, for
+    another codec.  Every row is kept; an empty dataset gives one file without rows."""
     size = folder_bytes(spark, src).first()["bytes"]          # one aggregate row
-    files = max(1, math.ceil(size / (target_file_mb * 1024 * 1024)))
-    write_parquet(spark.read.parquet(src).coalesce(files), dest, compression)
+    files = max(1, round(size * growth / (target_file_mb * 1024 * 1024)))
+    for slack in range(0, 20, 2):           # percent: whole files and row groups leave room in a share
+        with _packed_reads(spark, max(1, math.ceil(size / files * (1 + slack / 100)))):
+            rows = spark.read.parquet(src)
+            if slack < 18 and rows.rdd.getNumPartitions() > files:      # planned only
+                continue
+            write_parquet(rows, dest, compression)
+            break
     return spark.read.parquet(dest)
 
 

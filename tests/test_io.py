@@ -166,6 +166,22 @@ def test_compaction_keeps_every_row(spark, tmp):
     assert out.count() == m.count() and len(out.inputFiles()) == 1
 
 
+def test_compaction_packs_by_size(spark, tmp):
+    """One large file and 400 small ones: every output within a fifth of the target."""
+    src, dest = os.path.join(tmp, "mixed"), os.path.join(tmp, "packed")
+    noise = lambda n, seed: spark.range(n).select("id", F.concat(*[F.sha2(F.concat("id", F.lit(seed + i)), 256) for i in range(8)]).alias("blob"))
+    noise(8_000, 100).coalesce(1).write.option("parquet.block.size", 128 * 1024).parquet(src)              # about 4 MB in many row groups
+    noise(16_000, 900).repartition(400).write.mode("append").parquet(src)
+    listed = SK.folder_bytes(spark, src).first()
+    assert listed.files == 401
+    target = 1.7
+    out = SK.compact(spark, src, dest, target_file_mb=target)
+    sizes = [os.path.getsize(os.path.join(dest, f)) / 2 ** 20 for f in os.listdir(dest) if f.endswith(".parquet")]
+    assert len(sizes) >= 4 and all(0.8 * target <= x <= 1.2 * target for x in sizes), sizes
+    assert out.count() == 24_000 and out.agg(F.sum("id")).first()[0] == sum(range(8_000)) + sum(range(16_000))
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != "0b"
+
+
 def test_report_sink_and_footprint(spark, tmp):
     m = metrics_view(spark, SF)
     R.write_report(R.basic_report(m), os.path.join(tmp, "report"))
