@@ -990,3 +990,30 @@ def _():
 def _():
     features = ORACLE["server_features"].replace(METRICS, METRICS_EV).replace("FROM metrics WHERE", "FROM metrics_ev WHERE")
     return ORACLE["advanced_report_sections"] + "\nUNION ALL\n" + long_sql(cluster_sql(features), "clusters", "server_id", ["cluster"])
+
+
+# ---------------------------------------------------------------- host files
+_HOST_COLUMNS = ["timestamp", "server_id", "cpu_usage", "cpu_user", "cpu_system", "memory_usage", "memory_used_gb", "memory_available_gb", "swap_usage",
+                 "disk_usage", "disk_read_mb", "disk_write_mb", "network_sent_mb", "network_recv_mb", "load_average"]
+
+
+@oracle("host_files")
+def _():
+    own = {"timestamp": "ts", "server_id": "event_type", "cpu_usage": "value", "cpu_user": "value * 0.75", "cpu_system": "value * 0.25",
+           "memory_usage": "CAST(user_id % 100 AS DOUBLE)", "swap_usage": "CASE WHEN event_type IN ('click', 'view') THEN CAST(user_id % 3 AS DOUBLE) END",
+           "load_average": "value / 8"}
+    cols = ", ".join(f'{own.get(c, "CAST(user_id % 11 AS DOUBLE)")} AS "{c}"' for c in _HOST_COLUMNS)
+    return f"SELECT {cols}, CASE WHEN event_type IN ('click', 'view') THEN 'a' ELSE 'b' END AS layout, true AS dated FROM events"
+
+
+@oracle("host_layouts")
+def _():
+    other = ["agent", *[c for c in reversed(_HOST_COLUMNS) if c != "swap_usage"]]
+    return (f"SELECT '{','.join(_HOST_COLUMNS)}' AS columns, '' AS missing, '' AS unknown UNION ALL "
+            f"SELECT '{','.join(other)}', 'swap_usage', 'agent'")
+
+
+@oracle("hybrid_files")
+def _():
+    return """SELECT 'host' AS source, count(*) AS "rows", count(event_type) AS servers, 0 AS endpoints, count(*) AS with_file FROM events
+UNION ALL SELECT 'access_logs', count(*), 0, count(*), count(*) FROM events"""

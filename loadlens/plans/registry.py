@@ -31,8 +31,8 @@ from loadlens.sources import readers as S
 from loadlens.sources import sinks as SK
 from loadlens.sources import tables as TB
 from loadlens.streaming import alerts as D
-from loadlens.schemas import ACCESS_LOGS
-from loadlens.sources.views import access_log_cells_view, access_log_lines_view, forecast_pairs_view, metrics_ev_from, table, logs_view, metrics_ev_view, metrics_view
+from loadlens.schemas import ACCESS_LOGS, HOST_METRICS
+from loadlens.sources.views import access_log_cells_view, access_log_lines_view, forecast_pairs_view, host_metrics_view, metrics_ev_from, table, logs_view, metrics_ev_view, metrics_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -235,6 +235,36 @@ query("csv_errors")(lambda s, d: S.read_csv_errors(s, _log_cells(s, d), ACCESS_L
     F.count(F.lit(1)).alias("records"), F.count_if(F.col("file_path").contains("logs-csv")).alias("with_file")))
 
 
+def _host_files(s, d):
+    """Host files of two layouts below one folder: the agent's own, and another with
+    other names and order, a column more and one less."""
+    path, rows = scratch_dir(s, "host"), host_metrics_view(s, d)
+    SK.write_csv(rows.where(F.col("server_id").isin("click", "view")), f"{path}/a")
+    other = rows.where(~F.col("server_id").isin("click", "view")).drop("swap_usage").withColumnsRenamed({"server_id": "Host", "cpu_usage": "cpu"})
+    SK.write_csv(other.select(F.lit("2.1").alias("agent"), *reversed(other.columns)), f"{path}/b")
+    return f"{path}/*"
+
+
+@query("host_files")
+def _read_host_files(s, d):
+    rows = S.read_host_metrics(s, _host_files(s, d))
+    layout = F.regexp_extract("source_file", "/([ab])/[^/]*$", 1)
+    return rows.withColumn("layout", layout).withColumn("dated", F.col("file_time").isNotNull()).drop("source_file", "file_time")
+
+
+query("host_layouts")(lambda s, d: S.file_layouts(s, _host_files(s, d), HOST_METRICS, S.HOST_ALIASES).select(
+    F.concat_ws(",", "columns").alias("columns"), F.concat_ws(",", "missing").alias("missing"), F.concat_ws(",", "unknown").alias("unknown")).distinct())
+
+
+@query("hybrid_files")
+def _hybrid_files(s, d):
+    logs = scratch_dir(s, "hybrid")
+    SK.write_csv(L(s, d), logs)
+    rows = S.union_files(s, {"host": (_host_files(s, d), HOST_METRICS, S.HOST_ALIASES), "access_logs": (logs, ACCESS_LOGS)})
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count("server_id").alias("servers"), F.count("endpoint").alias("endpoints"),
+                                      F.count("source_file").alias("with_file"))
+
+
 @query("storage_footprint")
 def _storage_footprint(s, d):
     f = SK.storage_footprint(M(s, d), scratch_dir(s, "footprint"))

@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 from loadlens.functions.logparse import parse_access_log, parse_errors
 from loadlens.functions.numeric import normalize_nans
 from loadlens.schemas import ACCESS_LOGS, HOST_METRICS, METRICS
+from loadlens.session import materialize
 
+#: Names that host agents also use, in lower case.
+HOST_ALIASES = {"host": "server_id", "hostname": "server_id", "time": "timestamp", "cpu": "cpu_usage", "memory": "memory_usage", "load1": "load_average"}
 _CSV_TS = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
@@ -22,6 +25,7 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 _RECORD, _FILE = "_record", "_file"
+MAX_BROADCAST_FILES = 20_000        # files (a path and a header each) broadcast at most
 _TIME_CELL = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
 
 
@@ -82,10 +86,82 @@ def read_access_logs_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_host_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Host-agent files (``real_metrics_<server>_<ts>.csv``), with the file
-    each row came from."""
-    rows = _csv(spark, path, HOST_METRICS).select("*", F.col("_metadata.file_path").alias("source_file"))
-    return normalize_nans(rows)
+    """Host-agent files (``real_metrics_<server>_<ts>.csv``) of any column order,
+    with the file each row came from and its time."""
+    return read_files(spark, path, HOST_METRICS, HOST_ALIASES)
+
+
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    m = "_metadata."
+    return spark.read.text(path).select("value", F.col(m + "file_path").alias(_FILE), F.col(m + "file_modification_time").alias("_time"),
+                                        F.col(m + "file_block_start").alias("_start"))
+
+
+def _headers(lines: DataFrame, aliases: Mapping[str, str] | None) -> DataFrame:
+    """Per file its first line and the column names in it, renamed by ``aliases``
+    (written: a row per file)."""
+    first = lines.where(F.col("_start") == 0).withColumn("_no", F.monotonically_increasing_id())\
+        .groupBy(_FILE).agg(F.min_by("value", "_no").alias("_header"), F.max("_time").alias("_time"))
+    names = F.transform(F.split("_header", ","), lambda c: F.lower(F.trim(F.regexp_replace(c, '^\ufeff|"', ""))))
+    if aliases:
+        pairs = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
+        names = F.transform(names, lambda c: F.coalesce(F.element_at(pairs, c), c))
+    return materialize(first.select(_FILE, "_header", "_time", names.alias("_names")))
+
+
+def file_layouts(spark: SparkSession, path: str | list[str], schema: T.StructType, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Per file ``source_file, file_time, columns``, and the schema's columns that it
+    lacks (``missing``) and its columns that the schema lacks (``unknown``)."""
+    want = F.array(*[F.lit(f.name) for f in schema.fields])
+    return _headers(_lines(spark, path), aliases).select(
+        F.col(_FILE).alias("source_file"), F.col("_time").alias("file_time"), F.col("_names").alias("columns"),
+        F.array_except(want, F.col("_names")).alias("missing"), F.array_except("_names", want).alias("unknown"))
+
+
+def _by_layout(spark: SparkSession, path: str | list[str], schema: T.StructType, aliases: Mapping[str, str] | None) -> DataFrame:
+    """Cells of all files as text in the schema's columns, whatever their own order,
+    with ``_reasons`` as in :func:`_checked`.  One row per file is joined to the lines,
+    broadcast if they are counted few."""
+    lines = _lines(spark, path)
+    headers = _headers(lines, aliases)
+    stats = headers.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.max(F.size("_names")), F.lit(1)).alias("cells")).first()
+    small = headers.drop("_time")
+    cells = ", ".join(f"c{i} string" for i in range(stats["cells"] + 1))        # one more, to see a record that is too long
+    rows = lines.join(F.broadcast(small) if stats["files"] <= MAX_BROADCAST_FILES else small, _FILE)\
+        .where((F.col("value") != F.col("_header")) & (F.trim("value") != ""))
+    rows = rows.select("value", _FILE, "_time", "_names", F.from_csv("value", cells).alias("_c"))
+    values = F.array(*[F.nullif(F.col(f"_c.c{i}"), F.lit("")) for i in range(stats["cells"] + 1)])
+    rows = rows.select("value", _FILE, "_time", F.inline(F.array(F.struct(F.col("_names").alias("_names"), values.alias("_v")))))
+    at = lambda name: F.array_position("_names", name)
+    out = [F.when(at(f.name) > 0, F.get("_v", (at(f.name) - 1).cast("int"))).alias(f.name) for f in schema.fields]
+    beyond = F.exists(F.slice("_v", F.size("_names") + 1, F.lit(stats["cells"] + 1)), lambda c: c.isNotNull())
+    rows = rows.select("value", _FILE, "_time", beyond.alias("_long"), *out)
+    faults = [F.when(F.col("_long"), F.lit("wrong number of cells"))]
+    for f in schema.fields:
+        if not f.nullable:
+            faults.append(F.when(F.col(f.name).isNull(), F.lit(f"no {f.name}")))
+        if not isinstance(f.dataType, T.StringType):
+            faults.append(F.when(F.col(f.name).isNotNull() & _cell(f.name, f.dataType).isNull(), F.lit(f"bad {f.name}")))
+    return rows.withColumn("_reasons", F.array_compact(F.array(*faults)))
+
+
+def read_files(spark: SparkSession, path: str | list[str], schema: T.StructType, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Typed rows of CSV files of drifting layouts below a glob or list of globs.
+
+    Each file's header says where its columns are: their order does not matter, a
+    missing column is NULL, an unknown one is left out (:func:`file_layouts` names
+    both), ``aliases`` maps other names (lower case) to the schema's.  A repeated
+    header line is no record.  ``source_file`` and ``file_time`` tell where and when a
+    row's file was written; faulty records are left to :func:`read_file_errors`."""
+    rows = _by_layout(spark, path, schema, aliases).where(F.size("_reasons") == 0)
+    return normalize_nans(rows.select(*[_cell(f.name, f.dataType).alias(f.name) for f in schema.fields],
+                                      F.col(_FILE).alias("source_file"), F.col("_time").alias("file_time")))
+
+
+def read_file_errors(spark: SparkSession, path: str | list[str], schema: T.StructType, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """The records that :func:`read_files` leaves out: ``file_path, record, reason``."""
+    rows = _by_layout(spark, path, schema, aliases).where(F.size("_reasons") > 0)
+    return rows.select(F.col(_FILE).alias("file_path"), F.col("value").alias("record"), F.concat_ws(", ", "_reasons").alias("reason"))
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -129,6 +205,12 @@ def union_sources(frames: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def union_files(spark: SparkSession, sources: Mapping[str, tuple]) -> DataFrame:
+    """One dataset from files: ``sources`` maps a label to ``(globs, schema)`` or
+    ``(globs, schema, aliases)``; every row keeps its source, file and file time."""
+    return union_sources({name: read_files(spark, *spec) for name, spec in sources.items()})
+
+
 def source_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per source of a multi-source dataset (one aggregation)."""
     return union_sources({k: v.select(F.lit(1).alias("_one")) for k, v in frames.items()})\

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.schemas import BIGDATA
+from loadlens.schemas import BIGDATA, HOST_METRICS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,6 +107,14 @@ def access_log_cells_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lg.select(*[c.alias(n) for n, c in cell.items()])
 
 
+def host_metrics_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host-agent metrics from ``events``, in the ``HOST_METRICS`` columns."""
+    ev, value, user = table(spark, sf_dir, "events"), F.col("value"), F.col("user_id")
+    cols = {"timestamp": F.col("ts"), "server_id": F.col("event_type"), "cpu_usage": value, "cpu_user": value * 0.75, "cpu_system": value * 0.25,
+            "memory_usage": (user % 100).cast("double"), "swap_usage": (user % 3).cast("double"), "load_average": value / 8}
+    return ev.select(*[(cols.get(f.name, (user % 11).cast("double"))).cast(f.dataType).alias(f.name) for f in HOST_METRICS.fields])
+
+
 def metrics_ev_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second metrics stand-in from ``events`` with five large groups
     (``event_type`` as the server) and a long-tailed ``cpu_usage``; used by

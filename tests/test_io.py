@@ -70,6 +70,27 @@ def test_host_metrics_files(spark, tmp):
     assert df.count() == 2 and df.select("source_file").distinct().count() == 2
 
 
+def test_drifting_host_files(spark, tmp):
+    from loadlens.schemas import HOST_METRICS
+    files = {"real_metrics_a_1.csv": "timestamp,server_id,cpu_usage\n2024-01-01 00:00:00,a,1.5\n2024-01-01 00:01:00,a,NaN\n",
+             "real_metrics_b_1.csv": "\ufeffCPU, Host ,extra,Time\n2,b,x,2024-01-01 00:00:00\nCPU, Host ,extra,Time\n3,\"b,2\",,2024-01-01 00:00:01.5\n\n",
+             "real_metrics_c_1.csv": "timestamp,server_id,cpu_usage\nnever,c,1\n2024-01-01 00:00:00,c,1,7\n2024-01-01 00:00:00,c,high\n",
+             "real_metrics_d_1.csv": "", "real_metrics_e_1.csv": "timestamp,server_id\n", "other.csv": "a,b\n1,2\n"}
+    for name, text in files.items():
+        with open(os.path.join(tmp, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    path = os.path.join(tmp, "real_metrics_*.csv")
+    rows = S.read_host_metrics(spark, path)
+    got = sorted((r.server_id, r.cpu_usage, os.path.basename(r.source_file), str(r.timestamp)) for r in rows.na.fill(-1.0).collect())
+    assert got == [("a", -1.0, "real_metrics_a_1.csv", "2024-01-01 00:01:00"), ("a", 1.5, "real_metrics_a_1.csv", "2024-01-01 00:00:00"),
+                   ("b", 2.0, "real_metrics_b_1.csv", "2024-01-01 00:00:00"), ("b,2", 3.0, "real_metrics_b_1.csv", "2024-01-01 00:00:01.500000")]
+    assert rows.where("file_time is null or swap_usage is not null").count() == 0 and rows.columns[:15] == HOST_METRICS.fieldNames()
+    errors = sorted(r.reason for r in S.read_file_errors(spark, path, HOST_METRICS, S.HOST_ALIASES).collect())
+    assert errors == ["bad cpu_usage", "bad timestamp", "wrong number of cells"]
+    layouts = {os.path.basename(r.source_file): (len(r.missing), r.unknown) for r in S.file_layouts(spark, path, HOST_METRICS, S.HOST_ALIASES).collect()}
+    assert layouts == {"real_metrics_a_1.csv": (12, []), "real_metrics_b_1.csv": (12, ["extra"]), "real_metrics_c_1.csv": (12, []), "real_metrics_e_1.csv": (13, [])}
+
+
 def test_tables_and_idempotent_load(spark, tmp):
     names = SK.create_tables(spark, tmp, suffix="_test")
     m = metrics_view(spark, SF)
