@@ -1017,3 +1017,27 @@ def _():
 def _():
     return """SELECT 'host' AS source, count(*) AS "rows", count(event_type) AS servers, 0 AS endpoints, count(*) AS with_file FROM events
 UNION ALL SELECT 'access_logs', count(*), 0, count(*), count(*) FROM events"""
+
+
+# ---------------------------------------------------------------- formats and layouts
+@oracle("parse_common")
+def _():
+    return with_(LOGS_K) + """SELECT date_trunc('second', "timestamp") AS "timestamp", client_ip, request_method, endpoint, response_code,
+  CASE WHEN k = 2 THEN 0 ELSE response_size END AS response_size, CAST(NULL AS DOUBLE) AS response_time_ms, CAST(NULL AS VARCHAR) AS referer,
+  CAST(NULL AS VARCHAR) AS user_agent, CASE WHEN k = 0 THEN 'alice' END AS remote_user FROM logs_k WHERE k IS NULL OR k NOT IN (1, 5)"""
+
+
+@oracle("parse_common_errors")
+def _():
+    return with_(LOGS_K) + "SELECT 'bad_timestamp' AS reason, count(*) AS lines FROM logs_k WHERE k = 1 HAVING count(*) > 0"
+
+
+@oracle("load_formats")
+def _():
+    cols = '"timestamp", server_id, cpu_usage, request_count'
+    return with_(METRICS) + f"SELECT 'parquet' AS source, {cols} FROM metrics UNION ALL SELECT 'csv', {cols} FROM metrics"
+
+
+@oracle("report_sink")
+def _():
+    return ORACLE["basic_report"]

@@ -31,7 +31,7 @@ from loadlens.sources import readers as S
 from loadlens.sources import sinks as SK
 from loadlens.sources import tables as TB
 from loadlens.streaming import alerts as D
-from loadlens.schemas import ACCESS_LOGS, HOST_METRICS
+from loadlens.schemas import ACCESS_LOGS, HOST_METRICS, METRICS
 from loadlens.sources.views import access_log_cells_view, access_log_lines_view, forecast_pairs_view, host_metrics_view, metrics_ev_from, table, logs_view, metrics_ev_view, metrics_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,10 @@ query("parse_errors")(lambda s, d: LP.parse_errors(access_log_lines_view(s, d))
                       .groupBy("reason").agg(F.count(F.lit(1)).alias("lines")))
 query("parse_nginx_rt")(lambda s, d: LP.parse_access_log(access_log_lines_view(s, d), "nginx_rt"))
 
+query("parse_common")(lambda s, d: LP.parse_access_log(access_log_lines_view(s, d), "common"))
+query("parse_common_errors")(lambda s, d: LP.parse_errors(access_log_lines_view(s, d), "common").groupBy("reason").agg(F.count(F.lit(1)).alias("lines")))
+
+
 def _log_files(s, d):
     path = scratch_dir(s, "access-log")
     access_log_lines_view(s, d).write.text(path)
@@ -245,6 +249,23 @@ def _host_files(s, d):
     return f"{path}/*"
 
 
+@query("load_formats")
+def _load_formats(s, d):
+    """The same rows written in two formats and read by their suffix."""
+    path = scratch_dir(s, "formats")
+    SK.write_parquet(M(s, d), f"{path}/metrics.parquet")
+    SK.write_csv(M(s, d), f"{path}/metrics.csv")
+    return S.union_sources({"parquet": S.load(s, f"{path}/metrics.parquet"), "csv": S.load(s, f"{path}/metrics.csv", schema=METRICS)}).select(
+        "source", "timestamp", "server_id", "cpu_usage", "request_count")
+
+
+@query("report_sink")
+def _report_sink(s, d):
+    path = scratch_dir(s, "report")
+    R.write_report(R.basic_report(M(s, d)), path)
+    return R.read_report(s, path)
+
+
 @query("host_files")
 def _read_host_files(s, d):
     rows = S.read_host_metrics(s, _host_files(s, d))

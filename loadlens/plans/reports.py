@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.operators import aggregations as A
@@ -124,3 +124,9 @@ def write_report(report: DataFrame, path: str, fmt: str = "json") -> None:
     """Persist a long-form report (JSON lines or CSV with header)."""
     w = report.select(*[f.name for f in REPORT.fields]).write.mode("overwrite")
     (w.json(path) if fmt == "json" else w.option("header", True).csv(path))
+
+
+def read_report(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """A report written by :func:`write_report`."""
+    reader = spark.read.schema(REPORT)
+    return reader.json(path) if fmt == "json" else reader.option("header", True).csv(path)
