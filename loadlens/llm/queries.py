@@ -35,6 +35,13 @@ def op4_mixing(spark, sf_dir):
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def mixing_weighted(spark, sf_dir):
+    """The mix with unequal target weights on all three levels."""
+    from loadlens.llm.mixing import mix_documents
+    from loadlens.llm.sql import MIX_WEIGHTS
+    return mix_documents(table(spark, sf_dir, "documents"), weights=MIX_WEIGHTS)
+
+
 def op5_decontaminate(spark, sf_dir):
     from loadlens.llm.decontaminate import contamination_report
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -81,5 +88,5 @@ def op13_urls(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_outliers, op2_toxicity, op3_paragraphs, op4_mixing, op5_decontaminate, op6_html, op7_language, op8_token_ids, op9_quality,
-                                   op10_simhash, op11_centroids, op12_merkle, op13_urls)}
+                                   op10_simhash, op11_centroids, op12_merkle, op13_urls, mixing_weighted)}
 ORACLE = ORACLE_SQL

@@ -59,6 +59,33 @@ select doc_id, domain, lang, source, n_tokens, epoch from fulls
 union all select doc_id, domain, lang, source, n_tokens, epoch from run where spent < part
 """
 
+# The same tree with unequal weights on every level; a name that is not listed weighs 100.
+MIX_WEIGHTS = {"domain": {"domain0": 400, "domain2": 50}, "lang": {"en": 200, "fr": 25}, "source": {"src1": 500, "src4": 20, "src6": 250}}
+
+
+def _deal_weighted(level: str, parents: list[str], above: str) -> str:
+    keys = ", ".join(["root", *parents])
+    weight = " ".join(f"when '{name}' then {w}" for name, w in MIX_WEIGHTS[level].items())
+    by = f"partition by {keys} order by ratio, {level}"
+    earlier = f"over ({by} rows between unbounded preceding and 1 preceding)"
+    return f"""
+{level}_n as (select {keys}, {level}, (case {level} {weight} else 100 end)::hugeint w, sum(cap)::hugeint cap, any_value(a.budget)::hugeint budget
+              from leaf join {above} a using ({keys}) group by {keys}, {level}),
+{level}_r as (select *, cap * 1000000 // w ratio from {level}_n),
+{level}_f as (select *, cap * (sum(w) over (partition by {keys}) - coalesce(sum(w) {earlier}, 0))
+                     <= greatest(budget - coalesce(sum(cap) {earlier}, 0), 0) * w as is_full from {level}_r),
+{level}_g as (select *, case when is_full then cap else
+                greatest(budget - sum(case when is_full then cap else 0 end) over (partition by {keys}), 0) * w
+                // (sum(case when is_full then 0 else w end) over (partition by {keys})) end::hugeint got from {level}_f),
+{level}_l as (select *, least(budget, sum(cap) over (partition by {keys})) - sum(got) over (partition by {keys}) loss,
+                sum(case when got < cap then 1 else 0 end) over ({by} rows between unbounded preceding and current row) turn from {level}_g),
+{level}_b as (select {keys}, {level}, got + case when got < cap and turn <= loss then 1 else 0 end as budget from {level}_l)"""
+
+
+MIXING_WEIGHTED = OP4
+for _level, _parents, _above in (("domain", [], "top"), ("lang", ["domain"], "domain_b"), ("source", ["domain", "lang"], "lang_b")):
+    MIXING_WEIGHTED = MIXING_WEIGHTED.replace(_deal(_level, _parents, _above), _deal_weighted(_level, _parents, _above))
+
 # op11: integer vectors, sixteen seeds, three rounds, a last assignment.
 
 
@@ -151,4 +178,4 @@ hit as (select rn, arg_max(rh || rp, length(rh) + length(rp)) rule, arg_max(rv,
 select page_id, host, path, rule, coalesce(rv, 'allow') verdict from cut left join hit using (rn)
 """
 
-ORACLE_SQL = {"op4_mixing": OP4, "op5_decontaminate": OP5, "op11_centroids": OP11, "op12_merkle": OP12, "op13_urls": OP13}
+ORACLE_SQL = {"op4_mixing": OP4, "mixing_weighted": MIXING_WEIGHTED, "op5_decontaminate": OP5, "op11_centroids": OP11, "op12_merkle": OP12, "op13_urls": OP13}

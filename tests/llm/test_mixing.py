@@ -90,3 +90,12 @@ def test_unequal_weights_on_all_levels(spark):
         assert sum(got.values()) == min(budget, 1000 + 500 + 900)
         for k, n in got.items():
             assert abs(n - want[k]) <= 3
+
+
+def test_weighted_query_matches_sql(spark):
+    ok, msg, _ = compare(spark, duck(SF01), "mixing_weighted", entry.queries()["mixing_weighted"], entry.oracle_sql()["mixing_weighted"], SF01)
+    assert ok, msg
+    con = duck(SF01)
+    tokens = lambda name: dict(con.sql(f"select domain, sum(n_tokens) from ({entry.oracle_sql()[name]}) group by 1").fetchall())
+    equal, weighted = tokens("op4_mixing"), tokens("mixing_weighted")
+    assert weighted["domain0"] > 1.2 * equal["domain0"] and weighted["domain2"] < 0.8 * equal["domain2"]      # the weights take effect
