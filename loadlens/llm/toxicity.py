@@ -27,7 +27,6 @@ from loadlens.llm.common import fold, labelled, written
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 MAX_TRAIN = 20_000       # labelled rows that the model is fitted on
-MAX_LEXICON = 5_000      # lexicon entries
 MIN_DOCS, MIN_SHARE = 5, 0.02  # toxic documents that an entry occurs in: number and share
 MIN_ODDS = 50.0          # times more often in toxic documents
 BEGINNINGS = (4, 5)      # lengths of word beginnings
@@ -62,7 +61,7 @@ def terms(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in BEGINNINGS if len(word) > n)]
 
 
-def learn_lexicon(rows: DataFrame, max_lexicon: int = MAX_LEXICON, min_docs: int = MIN_DOCS, min_odds: float = MIN_ODDS) -> dict[str, float]:
+def learn_lexicon(rows: DataFrame, min_docs: int = MIN_DOCS, min_odds: float = MIN_ODDS) -> dict[str, float]:
     """``rows(text, y)`` -> entry: log odds.  Documents with each entry are
     counted by class in Spark; entries in under ``min_docs`` or ``MIN_SHARE`` of the
     toxic documents (words of one group of copies) or under ``min_odds`` odds
@@ -82,7 +81,7 @@ def learn_lexicon(rows: DataFrame, max_lexicon: int = MAX_LEXICON, min_docs: int
         F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("n1"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("n0"))
     odds = ((F.col("n1") + 0.5) / (n1 + 1)) / ((F.col("n0") + 0.5) / (n0 + 1))
     top = per.where(F.col("n1") >= max(min_docs, MIN_SHARE * n1)).select("term", "n1", odds.alias("odds")).where(F.col("odds") >= min_odds)\
-        .orderBy(F.desc("odds"), "term").limit(max_lexicon).collect()
+        .orderBy(F.desc("odds"), "term").collect()      # in MIN_SHARE of the documents each: at most 50 times a document's terms
     docs = {r["term"]: r["n1"] for r in top}
     # a beginning that one longer entry accounts for would only add chance hits
     spare = {short for term, n in docs.items() for k in range(min(BEGINNINGS), len(term.rstrip("*")))
