@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import checkpointed, written
+from loadlens.llm.common import checkpointed, text_steps, written
 from loadlens.llm.components import connected_components
 
 MIN_WORDS = 25          # lines of fewer words are no paragraphs
@@ -50,6 +50,9 @@ BANDS, ROWS = 16, 4
 SHORT = 35              # paragraphs of at most so many shingles have their own bands
 SHORT_BANDS, SHORT_ROWS = 9, 2
 STEP_SHINGLES = 1 << 15
+STEP_LINES = 1 << 14    # lines whose signatures are held at a time
+MAX_WORDS_HELD = 1 << 18  # hashed words that a task remembers
+FILTER_BITS = 1 << 26   # bits of the table that tells which keys may be wanted (8 MB, broadcast)
 UNIT_WORDS = 26         # 2 * 26 - 1 = 51 shared words always share a unit
 _BASE = 0x9E3779B97F4A7C15
 
@@ -80,33 +83,35 @@ class Signatures:
             out[:, j] = np.minimum.reduceat(x ^ (x >> np.uint64(29)), starts)
         return out
 
-    def band_keys(self, texts: list[list[bytes]]) -> np.ndarray:
-        """One 64-bit key for each text and band."""
-        least = np.full((len(texts), len(self.a)), np.iinfo(np.uint64).max, np.uint64)
-        at, part, size = [], [], 0
-
-        def flush():
-            starts = np.concatenate([[0], np.cumsum([len(h) for h in part])[:-1]])
-            got = self._least(np.concatenate(part), starts)
-            np.minimum.at(least, np.array(at), got)
-        for i, s in enumerate(texts):
-            h = np.fromiter(map(xxhash.xxh3_64_intdigest, s), np.uint64, len(s))
-            for k in range(0, len(h), STEP_SHINGLES):
-                at.append(i)
-                part.append(h[k:k + STEP_SHINGLES])
-                size += len(part[-1])
-                if size >= STEP_SHINGLES:
-                    flush()
-                    at, part, size = [], [], 0
-        if part:
-            flush()
-        key = np.zeros((len(texts), self.bands), np.uint64)
+    def band_keys(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """One 64-bit key for each text and band; ``hashes`` are the texts'
+        shingles one after another, ``counts`` of them each."""
+        least = np.full((len(counts), len(self.a)), np.iinfo(np.uint64).max, np.uint64)
+        text = np.repeat(np.arange(len(counts)), counts)
+        for k in range(0, len(hashes), STEP_SHINGLES):
+            at = text[k:k + STEP_SHINGLES]
+            starts = np.flatnonzero(np.diff(at, prepend=-1))
+            least[at[starts]] = np.minimum(least[at[starts]], self._least(hashes[k:k + STEP_SHINGLES], starts))
+        key = np.zeros((len(counts), self.bands), np.uint64)
         for r in range(self.rows):
             key = (key ^ least[:, r::self.rows]) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(32)
         return (key + np.arange(self.bands, dtype=np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, each computed once."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MAX_WORDS_HELD:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
 def paragraphs(text: str | None, min_words: int) -> list[tuple[int, int, int, list[bytes]]]:
     """(number, start, end, words) of the lines of at least ``min_words`` words."""
     out, at = [], 0
@@ -128,7 +133,7 @@ def unit_hashes(h: np.ndarray, size: int) -> np.ndarray:
     return run
 
 
-def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def units(lines: list[list[bytes]], size: int = UNIT_WORDS, hashes: WordHashes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Line, first word and 64-bit hash of the chosen units of all lines (word
     sequences): the run of ``size`` words of least hash among each ``size``
     consecutive ones.  Runs do not cross them; those of under ``2 * size - 1``
@@ -137,7 +142,8 @@ def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray,
     n = np.array([len(lines[i]) for i in long], np.int64)
     if not len(n):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for i in long for w in lines[i]), np.uint64, int(n.sum()))
+    hashes = WordHashes() if hashes is None else hashes
+    h = np.concatenate([hashes.of(lines[i]) for i in long])
     run = unit_hashes(h, size)
     line = np.repeat(np.arange(len(n)), n)
     whole = line[:len(run)] == line[size - 1:]
@@ -149,71 +155,131 @@ def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray,
     return np.array(long)[line[chosen]], chosen - starts[line[chosen]], run[chosen]
 
 
-_PARAGRAPHS = ("kind int, row bigint, doc_id bigint, paragraph int, start int, `end` int, n_words int, first_word int, "
-               "key binary, bands array<bigint>, body string, lines array<struct<paragraph: int, start: int, `end`: int, at: int, n: int>>, words binary")
-_NAMES = ["kind", "row", "doc_id", "paragraph", "start", "end", "n_words", "first_word", "key", "bands", "body", "lines", "words"]
+_PLACES = ("kind int, row bigint, doc_id bigint, paragraph int, start int, `end` int, n_words int, first_word int, key binary, unit bigint, "
+           "lines array<struct<paragraph: int, start: int, `end`: int, at: int, n: int>>")
 _LINES = pa.list_(pa.struct([(x, pa.int32()) for x in ("paragraph", "start", "end", "at", "n")]))
+_TYPES = {"kind": pa.int32(), "row": pa.int64(), "doc_id": pa.int64(), "paragraph": pa.int32(), "start": pa.int32(), "end": pa.int32(), "n_words": pa.int32(),
+          "first_word": pa.int32(), "key": pa.binary(), "unit": pa.int64(), "lines": _LINES}
 PARAGRAPH, UNIT, DOCUMENT = 0, 1, 2
 
 
-def _bands(words: list[list[bytes]], sign: Signatures, short: Signatures) -> list[list[int]]:
-    """Band keys of each paragraph: short ones have their own bands, those that a
-    short one may match both kinds."""
-    sets = [list(set(shingles(w))) for w in words]
-    out: list[list[int]] = [[] for _ in sets]
-    for signatures, at in ((short, [i for i, x in enumerate(sets) if len(x) * SIMILARITY <= SHORT]), (sign, [i for i, x in enumerate(sets) if len(x) > SHORT])):
-        for i, key in zip(at, signatures.band_keys([sets[i] for i in at]).view(np.int64).tolist()):
-            out[i] += key
-    return out
-
+def _batch(kind: int, n: int, **given) -> pa.RecordBatch:
+    columns = {x: pa.nulls(n, t) if x not in given else given[x].cast(t) if isinstance(given[x], pa.Array) else pa.array(given[x], t)
+               for x, t in _TYPES.items() if x != "kind"}
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), *columns.values()], names=list(_TYPES))
 
-def _cut(min_words: int, near_words: int):
-    """Whole paragraphs, the bands and words of those of ``near_words`` words or
-    more, the units of each document, and its lines where it has units."""
-    def batch(kind, n, **given):
-        types = dict(zip(_NAMES, [pa.int32(), pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.binary(), pa.list_(pa.int64()), pa.string(), _LINES, pa.binary()]))
-        return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.int32()), *(pa.array(given[x], t) if x in given else pa.nulls(n, t)
-                                                                              for x, t in types.items() if x != "kind")], names=_NAMES)
 
+def _cut(min_words: int):
+    """Places and keys of whole paragraphs, the units of each document, and its
+    lines and key where it has units; no words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign, short = Signatures(), Signatures(SHORT_BANDS, SHORT_ROWS, 6)
+        hashes = WordHashes()
         for b in batches:
-            for s in range(0, b.num_rows, 500):
-                part, rows, words, whole, maps = b.slice(s, 500), [], [], [], []
-                row_ids, doc_ids = part.column(0).to_pylist(), part.column(1).to_pylist()
-                for row, doc, text in zip(row_ids, doc_ids, part.column(2).to_pylist()):
+            for part in text_steps(b, 2):
+                rows, keys, whole, maps = [], [], [], []
+                row_ids, doc_ids = part.column(0), part.column(1)
+                for i, text in enumerate(part.column(2).to_pylist()):
                     sequence, lines = [], []
                     for number, start, end, w in paragraphs(text, 1):
                         lines.append({"paragraph": number, "start": start, "end": end, "at": len(sequence), "n": len(w)})
                         sequence += w
                         if len(w) >= min_words:
-                            rows.append((row, doc, number, start, end))
-                            words.append(w)
+                            rows.append((i, number, start, end, len(w)))
+                            keys.append(xxhash.xxh3_128_digest(b" ".join(w)))
                     whole.append(sequence)
                     maps.append(lines)
                 if rows:
-                    bodies = list(map(b" ".join, words))
-                    near = [i for i, w in enumerate(words) if len(w) >= near_words]
-                    bands: list[list[int]] = [[] for _ in rows]
-                    for i, keys in zip(near, _bands([words[i] for i in near], sign, short)):
-                        bands[i] = keys
-                    text = [None] * len(rows)
-                    for i in near:
-                        text[i] = bodies[i].decode("utf-8", "replace")
-                    at = dict(zip(("row", "doc_id", "paragraph", "start", "end"), zip(*rows)))
-                    yield batch(PARAGRAPH, len(rows), **at, n_words=list(map(len, words)), first_word=[0] * len(rows),
-                                key=[xxhash.xxh3_128_digest(x) for x in bodies], bands=bands, body=text)
-                doc, first, hashes = units(whole)
+                    at, *places = zip(*rows)
+                    at = pa.array(at)
+                    yield _batch(PARAGRAPH, len(rows), row=row_ids.take(at), doc_id=doc_ids.take(at), key=keys,
+                                 **dict(zip(("paragraph", "start", "end", "n_words"), places)))
+                doc, first, unit = units(whole, UNIT_WORDS, hashes)
                 if len(doc):
-                    at = doc.tolist()
-                    yield batch(UNIT, len(at), row=[row_ids[i] for i in at], doc_id=[doc_ids[i] for i in at], first_word=first,
-                                key=[int(x).to_bytes(8, "big") for x in hashes])
-                    have = sorted(set(at))
-                    yield batch(DOCUMENT, len(have), row=[row_ids[i] for i in have], doc_id=[doc_ids[i] for i in have], lines=[maps[i] for i in have],
-                                words=[b" ".join(whole[i]) for i in have])
+                    at = pa.array(doc)
+                    yield _batch(UNIT, len(doc), row=row_ids.take(at), doc_id=doc_ids.take(at), first_word=first.astype(np.int32), unit=unit.view(np.int64))
+                    have = np.unique(doc)
+                    at = pa.array(have)
+                    yield _batch(DOCUMENT, len(have), row=row_ids.take(at), doc_id=doc_ids.take(at), lines=[maps[i] for i in have],
+                                 key=[xxhash.xxh3_128_digest(b" ".join(whole[i])) for i in have])
     return run
 
 
+def _near_lines(text: str | None, least: int) -> list[list[bytes]]:
+    return [w for *_, w in paragraphs(text, least)]
+
+
+def line_bands(words: list[list[bytes]], sign: Signatures, short: Signatures, hashes: WordHashes) -> list[np.ndarray]:
+    """Band keys of each line of ``SHINGLE_WORDS`` words or more: short ones have
+    their own bands, those that a short one may match both kinds."""
+    n = np.array(list(map(len, words)), np.int64)
+    run = unit_hashes(hashes.of([w for line in words for w in line]), SHINGLE_WORDS)
+    line = np.repeat(np.arange(len(n)), n)
+    inside = line[:len(run)] == line[SHINGLE_WORDS - 1:]
+    run, line, count = run[inside], line[:len(inside)][inside], n - (SHINGLE_WORDS - 1)
+    size, end = count.copy(), np.cumsum(count)
+    for i in np.flatnonzero(count > SHORT):     # different shingles
+        size[i] = len(np.unique(run[end[i] - count[i]:end[i]]))
+    out = [np.zeros(0, np.int64)] * len(n)
+    for signatures, take in ((short, size * SIMILARITY <= SHORT), (sign, size > SHORT)):
+        at = np.flatnonzero(take)
+        if len(at):
+            for i, keys in zip(at, signatures.band_keys(run[take[line]], count[at]).view(np.int64)):
+                out[i] = np.concatenate([out[i], keys])
+    return out
+
+
+def _bands(least: int):
+    """``key, bands`` of each line of at least ``least`` words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sign, short, hashes = Signatures(), Signatures(SHORT_BANDS, SHORT_ROWS, 6), WordHashes()
+        for b in batches:
+            for part in text_steps(b, 0):
+                lines = [w for text in part.column(0).to_pylist() for w in _near_lines(text, least)]
+                lines = list({xxhash.xxh3_128_digest(b" ".join(w)): w for w in lines}.items())
+                for s in range(0, len(lines), STEP_LINES):
+                    keys, words = zip(*lines[s:s + STEP_LINES])
+                    bands = line_bands(list(words), sign, short, hashes)
+                    ends = np.concatenate([[0], np.cumsum(list(map(len, bands)))]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bands)))],
+                                                     names=["key", "bands"])
+    return run
+
+
+def _bodies(least: int):
+    """``key, body`` of each line of at least ``least`` words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in text_steps(b, 0):
+                bodies = list({b" ".join(w) for text in part.column(0).to_pylist() for w in _near_lines(text, least)})
+                if bodies:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(map(xxhash.xxh3_128_digest, bodies)), pa.binary()), pa.array(bodies, pa.binary()).cast(pa.string())],
+                                                     names=["key", "body"])
+    return run
+
+
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, words`` of each document that may have units."""
+    for b in batches:
+        for part in text_steps(b, 0):
+            split = ((x or "").encode("utf-8", "surrogatepass").lower().split() for x in part.column(0).to_pylist())
+            words = [b" ".join(w) for w in split if len(w) >= 2 * UNIT_WORDS - 1]
+            if words:
+                yield pa.RecordBatch.from_arrays([pa.array(list(map(xxhash.xxh3_128_digest, words)), pa.binary()), pa.array(words, pa.binary())], names=["key", "words"])
+
+
+def maybe_in(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is in no row of ``keys``: a
+    table of ``FILTER_BITS`` bits, in rows of 4 KB, has the bit of each key's hash
+    set.  It only thins out what the exact join after it exchanges."""
+    slot = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    table = keys.select(slot.alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket"))\
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    at = F.bitmap_bit_position(slot).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    named = rows.withColumn("_bucket", F.bitmap_bucket_number(slot))
+    return named.join(F.broadcast(table), "_bucket").where(byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0).select(*rows.columns)
+
+
 def verify(pairs: DataFrame, bodies: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``pairs(u, v)`` of paragraph ids whose exact Jaccard similarity over
     5-word shingles is at least ``similarity``."""
@@ -285,7 +351,7 @@ def paragraph_links(distinct: DataFrame, bodies_of, similarity: float = SIMILARI
     return connected_components(links.unionAll(more)) if more.take(1) else groups
 
 
-_STRETCHES = ("row bigint, doc_id bigint, start int, `end` int, hits array<struct<key: binary, first_word: int, alive: boolean>>, "
+_STRETCHES = ("row bigint, doc_id bigint, start int, `end` int, hits array<struct<key: bigint, first_word: int, alive: boolean>>, "
               "lines array<struct<paragraph: int, start: int, `end`: int, at: int, n: int>>")
 _RUNS = ("doc_id bigint, paragraph int, start int, `end` int, first_word int, n_words int, class_id string, copies bigint, first_doc bigint, "
          "removed boolean")
@@ -296,7 +362,7 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     units lie at most ``UNIT_WORDS`` apart in a passage).  A unit is alive
     if none of its words lies in a paragraph that goes as a whole; ``lines`` are
     those of the stretch that are no repeated paragraphs."""
-    hit = pa.list_(pa.struct([("key", pa.binary()), ("first_word", pa.int32()), ("alive", pa.bool_())]))
+    hit = pa.list_(pa.struct([("key", pa.int64()), ("first_word", pa.int32()), ("alive", pa.bool_())]))
     for b in batches:
         out = []
         for d in b.to_pylist():
@@ -334,7 +400,7 @@ def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             if place >= 0:
                                 out.add((u["key"], hits[j]["first"]["row"], place))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.binary(), pa.int64(), pa.int32()))], names=["key", "row", "first_word"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32()))], names=["key", "row", "first_word"])
 
 
 def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,7 +418,7 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if places:
                 run = unit_hashes(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), UNIT_WORDS)
                 n = len(places)
-                yield pa.RecordBatch.from_arrays([pa.array([int(run[x]).to_bytes(8, "big") for x in places], pa.binary()), pa.array([d["doc_id"]] * n, pa.int64()),
+                yield pa.RecordBatch.from_arrays([pa.array(run[places].view(np.int64)), pa.array([d["doc_id"]] * n, pa.int64()),
                                                   pa.array([d["row"]] * n, pa.int64()), pa.array(places, pa.int32())], names=["key", "doc_id", "row", "first_word"])
 
 
@@ -386,14 +452,15 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["doc_id", "paragraph", "start", "end", "first_word", "n_words", "class_id", "copies", "first_doc", "removed"])
 
 
-def _passages(units_: DataFrame, documents: DataFrame, whole: DataFrame) -> DataFrame:
+def _passages(units_: DataFrame, documents: DataFrame, whole: DataFrame, texts: DataFrame) -> DataFrame:
     """Runs of words that lie in units repeated in other rows, a row for each line,
-    without the lines that are ``whole(row, paragraph, removed)``."""
+    without the lines that are ``whole(row, paragraph, removed)``.  The words of
+    the documents that are looked up come from ``texts`` again."""
     keys = units_.groupBy("key").agg(F.min("row").alias("row0"), F.max("row").alias("row1")).where("row0 <> row1").select("key")
     keys = written(keys, "paragraph-units")   # so that the join deals out both sides anew and splits a hot unit
     hits = units_.join(keys, "key").select("row", F.struct("key", "first_word").alias("hit"))
     taken = whole.select("row", F.struct("paragraph", "removed").alias("whole"))
-    parts = hits.unionByName(documents.drop("words"), True).unionByName(taken, True)
+    parts = hits.unionByName(documents.drop("key"), True).unionByName(taken, True)
     per = parts.groupBy("row").agg(F.first("doc_id", True).alias("doc_id"), F.collect_list("hit").alias("hits"), F.first("lines", True).alias("lines"),
                                    F.collect_list("whole").alias("whole")).where(F.size("hits") > 0)   # a document's own units and lines
     stretches = written(per.mapInArrow(_stretches, _STRETCHES).withColumn("id", F.monotonically_increasing_id()), "paragraph-stretches", "zstd")
@@ -411,13 +478,16 @@ def _passages(units_: DataFrame, documents: DataFrame, whole: DataFrame) -> Data
         unit = F.struct("first_word", "first", F.coalesce(F.col("first") < F.col("place"), F.lit(False)).alias("earlier"),
                         F.col("first").eqNullSafe(F.col("place")).alias("mine"), *more)
         return hits.groupBy("id").agg(F.collect_list(unit).alias("units"))   # a stretch's own units
-    asked = written(of_stretches(each, "key").mapInArrow(_beside, "key binary, row bigint, first_word int").distinct(), "paragraph-asked")
+    asked = written(of_stretches(each, "key").mapInArrow(_beside, "key bigint, row bigint, first_word int").distinct(), "paragraph-asked")
     asked_of = asked.select("row").distinct()
     places = asked.select("row", "first_word").distinct().withColumnRenamed("first_word", "place")
-    ask = documents.join(asked_of, "row", "left_semi").unionByName(places, True).unionByName(taken.join(asked_of, "row", "left_semi"), True)
+    asked_docs = written(documents.join(asked_of, "row", "left_semi"), "paragraph-asked-documents", "zstd")
+    said = maybe_in(texts.mapInArrow(_sequences, "key binary, words binary"), asked_docs, "key").groupBy("key").agg(F.first("words").alias("words"))
+    ask = asked_docs.drop("key").unionByName(places, True).unionByName(taken.join(asked_of, "row", "left_semi"), True)\
+        .unionByName(asked_docs.select("row", "key").join(said, "key").select("row", "words"), True)
     ask = ask.groupBy("row").agg(F.first("doc_id", True).alias("doc_id"), F.first("words", True).alias("words"), F.first("lines", True).alias("lines"),
                                  F.collect_list("place").alias("places"), F.collect_list("whole").alias("whole"))
-    there = ask.mapInArrow(_look, "key binary, doc_id bigint, row bigint, first_word int").join(asked, ["key", "row", "first_word"])
+    there = ask.mapInArrow(_look, "key bigint, doc_id bigint, row bigint, first_word int").join(asked, ["key", "row", "first_word"])
     better = there.groupBy("key").agg(F.min(place).alias("better")).join(firsts, "key").where(F.col("better") < F.col("first")).select("key", "better")
     better = checkpointed(better)
     each = each.join(better, "key", "left").withColumn("first", F.coalesce("better", "first")).select("id", "first_word", "place", "first")
@@ -444,26 +514,29 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
     document, and documents without a repeated paragraph, have no row.  Only
     doc_id and text are read; an empty table gives an empty result."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    cut = written(rows.mapInArrow(_cut(min_words, near_words), _PARAGRAPHS), "paragraphs", "zstd")
-    every = cut.where(F.col("kind") == PARAGRAPH).drop("kind", "lines", "words")
+    texts, least = docs.select("text"), max(min_words, near_words, SHINGLE_WORDS)
+    cut = written(rows.mapInArrow(_cut(min_words), _PLACES), "paragraphs", "zstd")
+    every = cut.where(F.col("kind") == PARAGRAPH).select("row", "doc_id", "paragraph", "start", "end", "n_words", "key")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "paragraph")
-    distinct = every.groupBy("key").agg(F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"),
-                                        F.min("row").alias("row0"), F.max("row").alias("row1"))
-    distinct = written(distinct.withColumn("id", F.monotonically_increasing_id()), "paragraph-keys")
+    distinct = every.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"), F.min("row").alias("row0"), F.max("row").alias("row1"))
+    distinct = written(distinct.withColumn("id", F.monotonically_increasing_id()), "paragraph-keys", "zstd")
+    # bands of the texts again, so that neither copies nor the written tables carry them
+    banded = texts.mapInArrow(_bands(least), "key binary, bands array<bigint>").groupBy("key").agg(F.first("bands").alias("bands"))\
+        .join(distinct.select("key", "id", "copies"), "key")
 
     def bodies_of(ids: DataFrame) -> DataFrame:
-        keys = distinct.select("id", "key").join(ids, "id", "left_semi")
-        return every.select("key", "body").join(keys, "key").groupBy("id").agg(F.first("body").alias("body"))
-    groups = paragraph_links(distinct.select("id", "bands", "copies"), bodies_of, similarity)
-    keyed = distinct.drop("bands").join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        keys = written(distinct.select("id", "key").join(ids, "id", "left_semi"), "paragraph-wanted")
+        lines = maybe_in(texts.mapInArrow(_bodies(least), "key binary, body string"), keys, "key")
+        return lines.join(keys, "key").groupBy("id").agg(F.first("body").alias("body"))
+    groups = paragraph_links(banded.select("id", "bands", "copies"), bodies_of, similarity)
+    keyed = distinct.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     classes = keyed.groupBy("root").agg(F.sum("copies").alias("copies"), F.min("first").alias("first"), F.min("row0").alias("row0"), F.max("row1").alias("row1"))\
         .where("row0 <> row1").drop("row0", "row1")
     member = keyed.select("key", "root").join(classes, "root")
-    found = written(every.drop("bands", "body").join(member, "key"), "paragraph-classes")
-    whole = found.select("doc_id", "paragraph", "start", "end", "first_word", "n_words", F.concat(F.lit("c"), F.col("root").cast("string")).alias("class_id"),
-                         "copies", F.col("first.doc_id").alias("first_doc"),
-                         ((F.col("row") != F.col("first.row")) | (F.col("paragraph") != F.col("first.paragraph"))).alias("removed"))
+    found = written(every.join(member, "key"), "paragraph-classes", "zstd")
     gone = (F.col("row") != F.col("first.row")) | (F.col("paragraph") != F.col("first.paragraph"))
-    inner = _passages(cut.where(F.col("kind") == UNIT).select("key", "row", "first_word"),
-                      cut.where(F.col("kind") == DOCUMENT).select("row", "doc_id", "lines", "words"), found.select("row", "paragraph", gone.alias("removed")))
+    whole = found.select("doc_id", "paragraph", "start", "end", F.lit(0).alias("first_word"), "n_words", F.concat(F.lit("c"), F.col("root").cast("string")).alias("class_id"),
+                         "copies", F.col("first.doc_id").alias("first_doc"), gone.alias("removed"))
+    inner = _passages(cut.where(F.col("kind") == UNIT).select(F.col("unit").alias("key"), "row", "first_word"),
+                      cut.where(F.col("kind") == DOCUMENT).select("row", "doc_id", "lines", "key"), found.select("row", "paragraph", gone.alias("removed")), texts)
     return whole.unionByName(inner)
