@@ -32,7 +32,7 @@ earlier place is looked up there.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +51,6 @@ SHORT = 35              # paragraphs of at most so many shingles have their own
 SHORT_BANDS, SHORT_ROWS = 9, 2
 STEP_SHINGLES = 1 << 15
 STEP_LINES = 1 << 14    # lines whose signatures are held at a time
-MAX_WORDS_HELD = 1 << 18  # hashed words that a task remembers
 FILTER_BITS = 1 << 26   # bits of the table that tells which keys may be wanted (8 MB, broadcast)
 UNIT_WORDS = 26         # 2 * 26 - 1 = 51 shared words always share a unit
 _BASE = 0x9E3779B97F4A7C15
@@ -99,17 +98,8 @@ class Signatures:
         return (key + np.arange(self.bands, dtype=np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, each computed once."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MAX_WORDS_HELD:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def paragraphs(text: str | None, min_words: int) -> list[tuple[int, int, int, list[bytes]]]:
@@ -133,7 +123,7 @@ def unit_hashes(h: np.ndarray, size: int) -> np.ndarray:
     return run
 
 
-def units(lines: list[list[bytes]], size: int = UNIT_WORDS, hashes: WordHashes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Line, first word and 64-bit hash of the chosen units of all lines (word
     sequences): the run of ``size`` words of least hash among each ``size``
     consecutive ones.  Runs do not cross them; those of under ``2 * size - 1``
@@ -142,8 +132,7 @@ def units(lines: list[list[bytes]], size: int = UNIT_WORDS, hashes: WordHashes |
     n = np.array([len(lines[i]) for i in long], np.int64)
     if not len(n):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashes = WordHashes() if hashes is None else hashes
-    h = np.concatenate([hashes.of(lines[i]) for i in long])
+    h = word_hashes([w for i in long for w in lines[i]])
     run = unit_hashes(h, size)
     line = np.repeat(np.arange(len(n)), n)
     whole = line[:len(run)] == line[size - 1:]
@@ -173,7 +162,6 @@ def _cut(min_words: int):
     """Places and keys of whole paragraphs, the units of each document, and its
     lines and key where it has units; no words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in batches:
             for part in text_steps(b, 2):
                 rows, keys, whole, maps = [], [], [], []
@@ -193,7 +181,7 @@ def _cut(min_words: int):
                     at = pa.array(at)
                     yield _batch(PARAGRAPH, len(rows), row=row_ids.take(at), doc_id=doc_ids.take(at), key=keys,
                                  **dict(zip(("paragraph", "start", "end", "n_words"), places)))
-                doc, first, unit = units(whole, UNIT_WORDS, hashes)
+                doc, first, unit = units(whole)
                 if len(doc):
                     at = pa.array(doc)
                     yield _batch(UNIT, len(doc), row=row_ids.take(at), doc_id=doc_ids.take(at), first_word=first.astype(np.int32), unit=unit.view(np.int64))
@@ -208,39 +196,42 @@ def _near_lines(text: str | None, least: int) -> list[list[bytes]]:
     return [w for *_, w in paragraphs(text, least)]
 
 
-def line_bands(words: list[list[bytes]], sign: Signatures, short: Signatures, hashes: WordHashes) -> list[np.ndarray]:
-    """Band keys of each line of ``SHINGLE_WORDS`` words or more: short ones have
-    their own bands, those that a short one may match both kinds."""
+def line_bands(words: Sequence[list[bytes]], sign: Signatures, short: Signatures) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of all lines, of ``SHINGLE_WORDS`` words or more each, and where
+    those of each line end: short ones have their own bands, those that a short one
+    may match both kinds."""
     n = np.array(list(map(len, words)), np.int64)
-    run = unit_hashes(hashes.of([w for line in words for w in line]), SHINGLE_WORDS)
+    run = unit_hashes(word_hashes([w for line in words for w in line]), SHINGLE_WORDS)
     line = np.repeat(np.arange(len(n)), n)
     inside = line[:len(run)] == line[SHINGLE_WORDS - 1:]
     run, line, count = run[inside], line[:len(inside)][inside], n - (SHINGLE_WORDS - 1)
     size, end = count.copy(), np.cumsum(count)
     for i in np.flatnonzero(count > SHORT):     # different shingles
-        size[i] = len(np.unique(run[end[i] - count[i]:end[i]]))
-    out = [np.zeros(0, np.int64)] * len(n)
-    for signatures, take in ((short, size * SIMILARITY <= SHORT), (sign, size > SHORT)):
-        at = np.flatnonzero(take)
-        if len(at):
-            for i, keys in zip(at, signatures.band_keys(run[take[line]], count[at]).view(np.int64)):
-                out[i] = np.concatenate([out[i], keys])
-    return out
+        own = np.sort(run[end[i] - count[i]:end[i]])
+        size[i] = 1 + np.count_nonzero(own[1:] != own[:-1])
+    few, many = size * SIMILARITY <= SHORT, size > SHORT
+    width = few * short.bands + many * sign.bands
+    ends = np.concatenate([[0], np.cumsum(width)])
+    keys = np.zeros(ends[-1], np.uint64)
+    for signatures, take, skip in ((short, few, 0 * width), (sign, many, few * short.bands)):
+        if take.any():
+            at = (ends[:-1] + skip)[take][:, None] + np.arange(signatures.bands)
+            keys[at] = signatures.band_keys(run[take[line]], count[take])
+    return keys.view(np.int64), ends
 
 
 def _bands(least: int):
     """``key, bands`` of each line of at least ``least`` words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign, short, hashes = Signatures(), Signatures(SHORT_BANDS, SHORT_ROWS, 6), WordHashes()
+        sign, short = Signatures(), Signatures(SHORT_BANDS, SHORT_ROWS, 6)
         for b in batches:
             for part in text_steps(b, 0):
                 lines = [w for text in part.column(0).to_pylist() for w in _near_lines(text, least)]
                 lines = list({xxhash.xxh3_128_digest(b" ".join(w)): w for w in lines}.items())
                 for s in range(0, len(lines), STEP_LINES):
                     keys, words = zip(*lines[s:s + STEP_LINES])
-                    bands = line_bands(list(words), sign, short, hashes)
-                    ends = np.concatenate([[0], np.cumsum(list(map(len, bands)))]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bands)))],
+                    bands, ends = line_bands(words, sign, short)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(bands))],
                                                      names=["key", "bands"])
     return run
 
@@ -416,7 +407,7 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 stays[x:y] = False
             places = [x for x in d["places"] if x + UNIT_WORDS <= len(words) and stays[x:x + UNIT_WORDS].all()]
             if places:
-                run = unit_hashes(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), UNIT_WORDS)
+                run = unit_hashes(word_hashes(words), UNIT_WORDS)
                 n = len(places)
                 yield pa.RecordBatch.from_arrays([pa.array(run[places].view(np.int64)), pa.array([d["doc_id"]] * n, pa.int64()),
                                                   pa.array([d["row"]] * n, pa.int64()), pa.array(places, pa.int32())], names=["key", "doc_id", "row", "first_word"])
