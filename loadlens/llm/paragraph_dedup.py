@@ -126,7 +126,7 @@ def unit_hashes(h: np.ndarray, size: int) -> np.ndarray:
 def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Line, first word and 64-bit hash of the chosen units of all lines (word
     sequences): the run of ``size`` words of least hash among each ``size``
-    consecutive ones.  Runs do not cross them; those of under ``2 * size - 1``
+    consecutive ones, fewer at the ends of a line.  Runs do not cross them; those of under ``2 * size - 1``
     words have none."""
     long = [i for i, w in enumerate(lines) if len(w) >= 2 * size - 1]
     n = np.array([len(lines[i]) for i in long], np.int64)
@@ -137,8 +137,12 @@ def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray,
     line = np.repeat(np.arange(len(n)), n)
     whole = line[:len(run)] == line[size - 1:]
     run[~whole] = np.iinfo(np.uint64).max
-    least = np.lib.stride_tricks.sliding_window_view(run, size).argmin(1) + np.arange(len(run) - size + 1)
+    # runs that cross lines part them by size - 1 places; as many at both ends give the first and last line the same windows
+    edge = np.full(size - 1, np.iinfo(np.uint64).max)
+    padded = np.concatenate([edge, run, edge])
+    least = np.lib.stride_tricks.sliding_window_view(padded, size).argmin(1) + np.arange(len(run) + size - 1) - (size - 1)
     chosen = np.unique(least)
+    chosen = chosen[(chosen >= 0) & (chosen < len(run))]
     chosen = chosen[whole[chosen]]
     starts = np.cumsum(n) - n
     return np.array(long)[line[chosen]], chosen - starts[line[chosen]], run[chosen]

@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from loadlens.llm.paragraph_dedup import SIMILARITY, UNIT_WORDS, jaccard, paragraph_links, paragraphs, repeated_paragraphs, shingles, units
+from loadlens.llm.paragraph_dedup import (SHORT_BANDS, SHORT_ROWS, SIMILARITY, UNIT_WORDS, Signatures, jaccard, line_bands, maybe_in, paragraph_links, paragraphs,
+                                          repeated_paragraphs, shingles, units)
 from pyspark.sql import functions as F
 
 
@@ -104,6 +105,38 @@ def test_units_of_a_shared_passage():
     assert len(units([[word()] * 50, []])[0]) == 0 and len(set(units([[b"a"] * 500])[2].tolist())) == 1
 
 
+def test_units_do_not_depend_on_the_lines_beside():
+    rng = random.Random(7)
+    lines = [[f"w{rng.randrange(10 ** 6)}".encode() for _ in range(n)] for n in (51, 80, 20, 300, 52)]
+    line, first, key = units(lines)
+    for i, words in enumerate(lines):
+        _, alone, own = units([words])
+        assert first[line == i].tolist() == alone.tolist() and key[line == i].tolist() == own.tolist()
+
+
+@pytest.mark.parametrize("size", [5, 9, 35, 36, 40, 60, 400])
+def test_bands_of_near_lines_meet(size):
+    """Lines whose shingles agree to 0.8 or more share a band, also across the border of short and long ones."""
+    rng = random.Random(size)
+    sign, short = Signatures(), Signatures(SHORT_BANDS, SHORT_ROWS, 6)
+    lines = []
+    for _ in range(100):
+        words = [f"w{rng.randrange(10 ** 6)}".encode() for _ in range(size)]
+        lines += [words, words[:size - max(0, (size - 4) // 6)], words]
+    keys, ends = line_bands(lines, sign, short)
+    per = [set(keys[a:z].tolist()) for a, z in zip(ends, ends[1:])]
+    pairs = [(i, i + 1) for i in range(0, 300, 3) if jaccard(shingles(lines[i]), shingles(lines[i + 1])) >= SIMILARITY]
+    assert len(pairs) == 100 and sum(bool(per[i] & per[j]) for i, j in pairs) >= 99
+    assert all(per[i] == per[i + 2] for i in range(0, 300, 3)) and not per[0] & per[3]
+
+
+def test_bit_table_loses_no_key(spark):
+    rows = spark.range(5000).select(F.col("id").cast("string").cast("binary").alias("key"), "id")
+    few = rows.where("id % 50 = 0")
+    got = [r["id"] for r in maybe_in(rows, few, "key").collect()]
+    assert set(got) >= set(range(0, 5000, 50)) and len(got) < 120 and maybe_in(rows, few.limit(0), "key").collect() == []
+
+
 def test_passages_inside_other_paragraphs(spark):
     rng = random.Random(6)
     word = lambda: f"w{rng.randrange(10 ** 6)}"
