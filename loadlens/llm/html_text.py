@@ -55,6 +55,8 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 HARD, SOFT = 2, 1
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+OF_ARTICLE = "header"       # dropped as the header of an article: its headings stay
 
 
 def dropped(tag: str, attributes: str) -> int:
@@ -135,6 +137,10 @@ class Page:
         level = max(top[3], 2 if tag == "article" else 1 if tag == "main" or "role" in attributes and re.search(r"role\s*=\s*[\"']?main\b", attributes) else 0)
         own = dropped(tag, attributes)
         drop, soft = top[2] or own == HARD, own == SOFT
+        if tag == "header" and top[3] == 2 and not top[2] and dropped("div", attributes) != HARD:
+            drop = OF_ARTICLE
+        elif top[2] == OF_ARTICLE:
+            drop = own == HARD or tag not in HEADINGS and OF_ARTICLE
         outside, inside, first = top[6], top[7] + soft, len(self.hashes) if soft and not top[7] else top[8]
         if level > top[3]:   # an article or main part: the soft ones are around it
             outside, inside, first = outside + inside, 0, -1
@@ -168,7 +174,7 @@ class Page:
         tag, digest, drop, _, _, number, *_, soft = self.open.pop()
         h = digest.intdigest() - (1 << 63)
         self.hashes[number] = h
-        if not self.open[-1][2]:
+        if self.open[-1][2] is not True:
             self.open[-1][1].update(tag.encode("utf-8", "surrogatepass") + b"\2" if soft else h.to_bytes(8, "little", signed=True))
         if tag in BLOCK and not drop:
             self._break()
@@ -239,7 +245,7 @@ def extract_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least_pages: i
     Null and empty html gives the empty text.  Broken mark-up is read as
     browsers do: open elements end with their parents, a lone ``<`` is text.
     Pages without an article or main part give all text outside the dropped
-    parts.  A subtree is template if it occurs in at least ``share`` of its
+    parts.  Of a ``header`` inside an article the headings stay.  A subtree is template if it occurs in at least ``share`` of its
     host's pages and in ``least_pages`` pages, or in ``many_share`` of them and in
     ``many_pages`` pages; pages without a host have no template.  Repeated rows stay; pages of one host and the same main text count
     as one, so copies of an article do not make its own parts a template.  Only page_id, url and

@@ -58,7 +58,9 @@ def test_whole_table_and_edges(spark):
     ("<main><h1>h</h1><div class='with-comments'><article>the long text</article></div></main>", "the long text"),
     ("<article>text</article><div class=comments><article class=comment>a longer comment</article></div>", "text"),
     ("<div class='has-sidebar'><article>text</article><div class=comments><article>a longer comment</article></div></div>", "text"),
-    ("<main>the text<div class=related><article>other</article></div></main>", "the text")])
+    ("<main>the text<div class=related><article>other</article></div></main>", "the text"),
+    ("<header><h1>Site</h1></header><article><header class=entry-header><p>by A</p><h1>The <b>title</b></h1><nav><h2>menu</h2></nav></header><p>text</p></article>", "The title text"),
+    ("<article><header hidden><h1>no</h1></header><header><div><h2>yes</h2>no</div></header> text</article>", "yes text")])
 def test_wrappers_with_telling_words(page, want):
     assert text_of(page) == want
 
@@ -74,3 +76,9 @@ def test_templates_of_sections(spark):
     pages = [(i, f"http://s.example/{i}", f"<div><div>Section {i % 4}</div><p>text {i}</p><p>{'now and then' if i % 8 == 0 else i}</p></div>") for i in range(120)]
     got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)).collect()}
     assert got == {i: f"text {i} " + ("now and then" if i % 8 == 0 else str(i)) for i in range(120)}
+
+
+def test_titles_in_headers_are_no_template(spark):
+    pages = [(i, f"http://t.example/{i}", f"<article><div><header><h1>Title {i}</h1><p>by A</p></header></div><p>text {i}</p></article>") for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)).collect()}
+    assert got == {i: f"Title {i} text {i}" for i in range(30)}
