@@ -85,19 +85,25 @@ def labelled(labels: DataFrame, column: str) -> DataFrame:
             .agg((F.avg(F.col(column).cast("double")) >= 0.5).cast("int").alias("y")))
 
 
-_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_ARROW_ROWS, _ARROW_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 1 << 22  # bytes of an Arrow batch with whole texts (a longer text goes alone)
 
 
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of ``rows`` rows for the actions run inside: with whole texts
-    in them, the default of 10,000 is more than a task needs to hold."""
-    before = spark.conf.get(_ARROW_ROWS)
-    spark.conf.set(_ARROW_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    """Arrow batches of ``rows`` rows and ``BATCH_BYTES`` for the actions run inside:
+    with whole texts in them, the default of 10,000 rows is more than a task needs
+    to hold, and long texts make a batch of few rows large."""
+    most = {_ARROW_ROWS: rows, _ARROW_BYTES: BATCH_BYTES}
+    before = {k: spark.conf.get(k) for k in most}
+    for k, n in most.items():
+        now = before[k].lower().removesuffix("b")
+        spark.conf.set(k, str(min(n, int(now)) if now.isdigit() and int(now) > 0 else n))
     try:
         yield
     finally:
-        spark.conf.set(_ARROW_ROWS, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 STEP_BYTES = 1 << 21   # text that a worker handles at a time

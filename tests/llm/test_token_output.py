@@ -3,9 +3,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from loadlens.llm.common import BATCH_BYTES, arrow_rows
 from loadlens.llm.queries import tokenizer_path
 from loadlens.llm.token_output import SAMPLE, EliasFano, token_corpus
 
@@ -64,3 +67,18 @@ def test_shards_read_small_batches(spark, tmp_path, monkeypatch):
     rows = token_output.write_token_shards(docs, f"file://{tmp_path}/shards", "", shards=1).collect()
     assert [r["docs"] for r in rows] == [token_output.BATCH_ROWS]
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    """Long texts do not make a batch of many rows large, and the settings come back."""
+    texts = spark.range(60).select("id", F.repeat(F.lit("word "), 40_000).alias("text")).coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "bytes"])
+    names = [f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes")]
+    before = [spark.conf.get(x) for x in names]
+    with arrow_rows(spark, 1_000):
+        got = texts.mapInArrow(sizes, "rows bigint, bytes bigint").collect()
+    assert sum(r["rows"] for r in got) == 60 and max(r["bytes"] for r in got) < 2 * BATCH_BYTES
+    assert [spark.conf.get(x) for x in names] == before
