@@ -104,12 +104,13 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 def paragraphs(text: str | None, min_words: int) -> list[tuple[int, int, int, list[bytes]]]:
     """(number, start, end, words) of the lines of at least ``min_words`` words."""
-    out, at = [], 0
-    for i, line in enumerate((text or "").split("\n")):
-        words = line.encode("utf-8", "surrogatepass").lower().split()
-        if len(words) >= max(1, min_words):
-            out.append((i, at, at + len(line), words))
-        at += len(line) + 1
+    out, at, least = [], 0, max(1, min_words)
+    text = text or ""
+    for i, (line, raw) in enumerate(zip(text.split("\n"), text.encode("utf-8", "surrogatepass").lower().split(b"\n"))):
+        words, n = raw.split(), len(line)
+        if len(words) >= least:
+            out.append((i, at, at + n, words))
+        at += n + 1
     return out
 
 
@@ -168,30 +169,34 @@ def _cut(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in text_steps(b, 2):
-                rows, keys, whole, maps = [], [], [], []
+                lines, keys, whole, ends = [], [], [], [0]
                 row_ids, doc_ids = part.column(0), part.column(1)
                 for i, text in enumerate(part.column(2).to_pylist()):
-                    sequence, lines = [], []
+                    sequence = []
                     for number, start, end, w in paragraphs(text, 1):
-                        lines.append({"paragraph": number, "start": start, "end": end, "at": len(sequence), "n": len(w)})
+                        n = len(w)
+                        lines.append((i, number, start, end, len(sequence), n))
                         sequence += w
-                        if len(w) >= min_words:
-                            rows.append((i, number, start, end, len(w)))
+                        if n >= min_words:
                             keys.append(xxhash.xxh3_128_digest(b" ".join(w)))
                     whole.append(sequence)
-                    maps.append(lines)
-                if rows:
-                    at, *places = zip(*rows)
-                    at = pa.array(at)
-                    yield _batch(PARAGRAPH, len(rows), row=row_ids.take(at), doc_id=doc_ids.take(at), key=keys,
-                                 **dict(zip(("paragraph", "start", "end", "n_words"), places)))
+                    ends.append(len(lines))
+                if lines:
+                    i, *columns = np.array(lines, np.int64).T
+                    taken = columns[-1] >= min_words
+                    at = pa.array(i[taken])
+                    paragraph, start, end, sequence_at, n = (pa.array(x.astype(np.int32)) for x in columns)
+                    if keys:
+                        yield _batch(PARAGRAPH, len(keys), row=row_ids.take(at), doc_id=doc_ids.take(at), key=keys,
+                                     **{x: y.filter(pa.array(taken)) for x, y in (("paragraph", paragraph), ("start", start), ("end", end), ("n_words", n))})
+                    maps = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([paragraph, start, end, sequence_at, n], fields=list(_LINES.value_type)))
                 doc, first, unit = units(whole)
                 if len(doc):
                     at = pa.array(doc)
                     yield _batch(UNIT, len(doc), row=row_ids.take(at), doc_id=doc_ids.take(at), first_word=first.astype(np.int32), unit=unit.view(np.int64))
                     have = np.unique(doc)
                     at = pa.array(have)
-                    yield _batch(DOCUMENT, len(have), row=row_ids.take(at), doc_id=doc_ids.take(at), lines=[maps[i] for i in have],
+                    yield _batch(DOCUMENT, len(have), row=row_ids.take(at), doc_id=doc_ids.take(at), lines=maps.take(at),
                                  key=[xxhash.xxh3_128_digest(b" ".join(whole[i])) for i in have])
     return run
 
@@ -493,6 +498,12 @@ def _passages(units_: DataFrame, documents: DataFrame, whole: DataFrame, texts:
     return lined.join(of_stretches(each), "id").join(sized, "id").mapInArrow(_runs, _RUNS)
 
 
+def distinct_keys(every: DataFrame) -> DataFrame:
+    """One row for each key of ``every(key, row)``: its copies, first and last row.
+    Plain numbers only, so that the aggregation hashes and does not sort all lines."""
+    return every.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row0"), F.max("row").alias("row1"))
+
+
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """One row for each paragraph that repeats (equal or, from ``near_words`` words
     on, near-equal) in another document, and for each line's part of a passage
@@ -512,9 +523,8 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
     texts, least = docs.select("text"), max(min_words, near_words, SHINGLE_WORDS)
     cut = written(rows.mapInArrow(_cut(min_words), _PLACES), "paragraphs", "zstd")
     every = cut.where(F.col("kind") == PARAGRAPH).select("row", "doc_id", "paragraph", "start", "end", "n_words", "key")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "paragraph")
-    distinct = every.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"), F.min("row").alias("row0"), F.max("row").alias("row1"))
-    distinct = written(distinct.withColumn("id", F.monotonically_increasing_id()), "paragraph-keys", "zstd")
+    # numbered in the order of their keys, so that the numbers do not follow the order in which rows arrive
+    distinct = written(distinct_keys(every).sortWithinPartitions("key").withColumn("id", F.monotonically_increasing_id()), "paragraph-keys", "zstd")
     # bands of the texts again, so that neither copies nor the written tables carry them
     banded = texts.mapInArrow(_bands(least), "key binary, bands array<bigint>").groupBy("key").agg(F.first("bands").alias("bands"))\
         .join(distinct.select("key", "id", "copies"), "key")
@@ -525,10 +535,13 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
         return lines.join(keys, "key").groupBy("id").agg(F.first("body").alias("body"))
     groups = paragraph_links(banded.select("id", "bands", "copies"), bodies_of, similarity)
     keyed = distinct.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    classes = keyed.groupBy("root").agg(F.sum("copies").alias("copies"), F.min("first").alias("first"), F.min("row0").alias("row0"), F.max("row1").alias("row1"))\
+    classes = keyed.groupBy("root").agg(F.sum("copies").alias("copies"), F.min("row0").alias("row0"), F.max("row1").alias("row1"))\
         .where("row0 <> row1").drop("row0", "row1")
     member = keyed.select("key", "root").join(classes, "root")
-    found = written(every.join(member, "key"), "paragraph-classes", "zstd")
+    found = written(every.join(member, "key").drop("key"), "paragraph-members", "zstd")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "paragraph")
+    first = written(found.groupBy("root").agg(F.min(place).alias("first")), "paragraph-first")    # so that a large class is split in the join
+    found = written(found.join(first, "root"), "paragraph-classes", "zstd")
     gone = (F.col("row") != F.col("first.row")) | (F.col("paragraph") != F.col("first.paragraph"))
     whole = found.select("doc_id", "paragraph", "start", "end", F.lit(0).alias("first_word"), "n_words", F.concat(F.lit("c"), F.col("root").cast("string")).alias("class_id"),
                          "copies", F.col("first.doc_id").alias("first_doc"), gone.alias("removed"))

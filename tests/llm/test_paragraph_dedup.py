@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from loadlens.llm.paragraph_dedup import (SHORT_BANDS, SHORT_ROWS, SIMILARITY, UNIT_WORDS, Signatures, jaccard, line_bands, maybe_in, paragraph_links, paragraphs,
+from loadlens.llm.paragraph_dedup import (SHORT_BANDS, SHORT_ROWS, SIMILARITY, UNIT_WORDS, Signatures, distinct_keys, jaccard, line_bands, maybe_in, paragraph_links, paragraphs,
                                           repeated_paragraphs, shingles, units)
 from pyspark.sql import functions as F
 
@@ -224,3 +224,11 @@ def test_every_passage_keeps_one_copy(spark, seed):
     assert len({r["class_id"] for r in runs}) == 1 and {r["copies"] for r in runs} == {8}
     assert any(r["removed"] for r in runs if r["doc_id"] == 1) and any(not r["removed"] for r in runs if r["doc_id"] == 1)
     assert all(r["removed"] for r in runs if r["doc_id"] == 2)
+
+
+def test_keys_of_all_lines_are_not_sorted(spark):
+    rows = [(bytes([k]), i) for i, k in enumerate((1, 2, 1, 3, 1, 2))]
+    got = distinct_keys(spark.createDataFrame(rows, "key binary, row bigint"))
+    assert sorted((bytes(r["key"]), r["copies"], r["row0"], r["row1"]) for r in got.collect()) == [(b"\x01", 3, 0, 4), (b"\x02", 2, 1, 5), (b"\x03", 1, 3, 3)]
+    plan = got._jdf.queryExecution().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
