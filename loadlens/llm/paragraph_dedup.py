@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import checkpointed, text_steps, written
+from loadlens.llm.common import arrow_rows, checkpointed, row_steps, text_steps, written
 from loadlens.llm.components import connected_components
 
 MIN_WORDS = 25          # lines of fewer words are no paragraphs
@@ -51,6 +51,7 @@ SHORT = 35              # paragraphs of at most so many shingles have their own
 SHORT_BANDS, SHORT_ROWS = 9, 2
 STEP_SHINGLES = 1 << 15
 STEP_LINES = 1 << 14    # lines whose signatures are held at a time
+BATCH_ROWS = 1_000      # rows with whole texts or lists of places in an Arrow batch
 FILTER_BITS = 1 << 26   # bits of the table that tells which keys may be wanted (8 MB, broadcast)
 UNIT_WORDS = 26         # 2 * 26 - 1 = 51 shared words always share a unit
 _BASE = 0x9E3779B97F4A7C15
@@ -363,9 +364,9 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if none of its words lies in a paragraph that goes as a whole; ``lines`` are
     those of the stretch that are no repeated paragraphs."""
     hit = pa.list_(pa.struct([("key", pa.int64()), ("first_word", pa.int32()), ("alive", pa.bool_())]))
-    for b in batches:
+    for rows in row_steps(batches):
         out = []
-        for d in b.to_pylist():
+        for d in rows:
             lines, whole = sorted(d["lines"], key=lambda x: x["at"]), {x["paragraph"]: x["removed"] for x in d["whole"]}
             at = np.array([x["at"] for x in lines])
             gone = np.cumsum([0, *(whole.get(x["paragraph"], False) for x in lines)])
@@ -387,9 +388,9 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places to look up: where a unit whose first place is here would lie beside
     the earlier place of a unit that overlaps it."""
-    for b in batches:
+    for rows in row_steps(batches):
         out = set()
-        for d in b.to_pylist():
+        for d in rows:
             hits = sorted(d["units"], key=lambda u: u["first_word"])
             at = np.array([u["first_word"] for u in hits])
             for i, u in enumerate(hits):
@@ -425,9 +426,9 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches cut where their words' fate changes and at the ends of lines."""
     types = (pa.int64(), *[pa.int32()] * 5, pa.string(), pa.int64(), pa.int64(), pa.bool_())
-    for b in batches:
+    for rows in row_steps(batches):
         out = []
-        for d in b.to_pylist():
+        for d in rows:
             start = d["start"]
             held, kept = np.zeros((2, d["end"] - start), bool)
             for u in d["units"]:
@@ -519,6 +520,12 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
     with one doc_id are two documents.  Paragraphs that repeat only within one
     document, and documents without a repeated paragraph, have no row.  Only
     doc_id and text are read; an empty table gives an empty result."""
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _repeated(docs, min_words, near_words, similarity)
+
+
+def _repeated(docs: DataFrame, min_words: int, near_words: int, similarity: float) -> DataFrame:
+    """The result, all its Python passes written already: the callers' batches are not bounded."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     texts, least = docs.select("text"), max(min_words, near_words, SHINGLE_WORDS)
     cut = written(rows.mapInArrow(_cut(min_words), _PLACES), "paragraphs", "zstd")
@@ -547,4 +554,4 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
                          "copies", F.col("first.doc_id").alias("first_doc"), gone.alias("removed"))
     inner = _passages(cut.where(F.col("kind") == UNIT).select(F.col("unit").alias("key"), "row", "first_word"),
                       cut.where(F.col("kind") == DOCUMENT).select("row", "doc_id", "lines", "key"), found.select("row", "paragraph", gone.alias("removed")), texts)
-    return whole.unionByName(inner)
+    return whole.unionByName(written(inner, "paragraph-runs", "zstd"))

@@ -2,8 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
+from loadlens.llm import paragraph_dedup
+from loadlens.llm.common import STEP_ROWS
 from loadlens.llm.paragraph_dedup import (SHORT_BANDS, SHORT_ROWS, SIMILARITY, UNIT_WORDS, Signatures, distinct_keys, jaccard, line_bands, maybe_in, paragraph_links, paragraphs,
                                           repeated_paragraphs, shingles, units)
 from pyspark.sql import functions as F
@@ -232,3 +235,31 @@ def test_keys_of_all_lines_are_not_sorted(spark):
     assert sorted((bytes(r["key"]), r["copies"], r["row0"], r["row1"]) for r in got.collect()) == [(b"\x01", 3, 0, 4), (b"\x02", 2, 1, 5), (b"\x03", 1, 3, 3)]
     plan = got._jdf.queryExecution().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_workers_hold_few_documents():
+    """A batch of many documents is handled a few at a time, with the same stretches."""
+    n = 5 * STEP_ROWS // 2
+    lines = [{"paragraph": 0, "start": 0, "end": 300, "at": 0, "n": 60}]
+    docs = [{"row": i, "doc_id": i, "hits": [{"key": i, "first_word": 3}, {"key": 7, "first_word": 9}], "lines": lines, "whole": []} for i in range(n)]
+    hit = pa.list_(pa.struct([("key", pa.int64()), ("first_word", pa.int32())]))
+    whole = pa.list_(pa.struct([("paragraph", pa.int32()), ("removed", pa.bool_())]))
+    batch = pa.RecordBatch.from_pylist(docs, pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("hits", hit), ("lines", paragraph_dedup._LINES), ("whole", whole)]))
+    out = list(paragraph_dedup._stretches(iter([batch])))
+    assert [b.num_rows for b in out] == [STEP_ROWS, STEP_ROWS, n - 2 * STEP_ROWS]
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [(r["row"], r["start"], r["end"], len(r["hits"]), r["lines"]) for r in rows] == [(i, 3, 9 + UNIT_WORDS, 2, lines) for i in range(n)]
+
+
+def test_python_passes_get_small_batches(spark, monkeypatch):
+    """Every pass runs with bounded Arrow batches, and the settings come back."""
+    names = [f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes")]
+    before, seen = [spark.conf.get(x) for x in names], []
+
+    def noted(f):
+        return lambda *a: (seen.append(int(spark.conf.get(names[0]))), f(*a))[1]
+    for name in ("written", "checkpointed"):
+        monkeypatch.setattr(paragraph_dedup, name, noted(getattr(paragraph_dedup, name)))
+    got = repeated_paragraphs(spark.createDataFrame([(i, f"{i} " + " ".join(f"w{j}" for j in range(70))) for i in range(4)], "doc_id bigint, text string"), 1)
+    assert "MapInArrow" not in got._jdf.queryExecution().executedPlan().toString() and got.count() == 4
+    assert set(seen) == {paragraph_dedup.BATCH_ROWS} and [spark.conf.get(x) for x in names] == before
