@@ -123,14 +123,6 @@ def text_steps(batch, column: int) -> Iterator:
 STEP_ROWS = 200        # rows of nested lists that a worker holds as Python objects at a time
 
 
-def row_steps(batches: Iterator, rows: int = STEP_ROWS) -> Iterator[list[dict]]:
-    """Arrow batches as Python rows, ``rows`` of them at a time, so a worker's
-    memory does not follow the batch size."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows).to_pylist()
-
-
 CHUNK_BYTES = 1 << 22  # longest piece of one text whose words are held at a time
 
 

@@ -36,11 +36,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import arrow_rows, checkpointed, row_steps, text_steps, written
+from loadlens.llm.common import STEP_ROWS, arrow_rows, checkpointed, text_steps, written
 from loadlens.llm.components import connected_components
 
 MIN_WORDS = 25          # lines of fewer words are no paragraphs
@@ -77,26 +78,29 @@ class Signatures:
         self.b = rng.integers(0, 2 ** 63, bands * rows, dtype=np.uint64)
 
     def _least(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        out = np.empty((len(starts), len(self.a)), np.uint64)
+        out, x = np.empty((len(self.a), len(starts)), np.uint64), np.empty_like(hashes)
         for j, (a, b) in enumerate(zip(self.a, self.b)):
-            x = hashes * a + b
-            out[:, j] = np.minimum.reduceat(x ^ (x >> np.uint64(29)), starts)
+            np.multiply(hashes, a, out=x)
+            np.add(x, b, out=x)
+            np.minimum.reduceat(x, starts, out=out[j])
         return out
 
     def band_keys(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """One 64-bit key for each text and band; ``hashes`` are the texts'
         shingles one after another, ``counts`` of them each."""
-        least = np.full((len(counts), len(self.a)), np.iinfo(np.uint64).max, np.uint64)
+        least = np.full((len(self.a), len(counts)), np.iinfo(np.uint64).max, np.uint64)
         text = np.repeat(np.arange(len(counts)), counts)
         for k in range(0, len(hashes), STEP_SHINGLES):
             at = text[k:k + STEP_SHINGLES]
             starts = np.flatnonzero(np.diff(at, prepend=-1))
-            least[at[starts]] = np.minimum(least[at[starts]], self._least(hashes[k:k + STEP_SHINGLES], starts))
-        key = np.zeros((len(counts), self.bands), np.uint64)
+            texts = slice(at[0], at[-1] + 1)    # every text has a shingle
+            np.minimum(least[:, texts], self._least(hashes[k:k + STEP_SHINGLES], starts), out=least[:, texts])
+        least ^= least >> np.uint64(29)
+        key = np.zeros((self.bands, len(counts)), np.uint64)
         for r in range(self.rows):
-            key = (key ^ least[:, r::self.rows]) * np.uint64(0x9E3779B97F4A7C15)
+            key = (key ^ least[r::self.rows]) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(32)
-        return (key + np.arange(self.bands, dtype=np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+        return (key.T + np.arange(self.bands, dtype=np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -119,12 +123,24 @@ def unit_hashes(h: np.ndarray, size: int) -> np.ndarray:
     """64-bit hash of each run of ``size`` words, from the words' hashes."""
     run = np.zeros(len(h) - size + 1, np.uint64)
     for j in range(size):  # a polynomial of the words' hashes, modulo 2^64
-        run = run * np.uint64(_BASE) + h[j:len(h) - size + 1 + j]
+        run *= np.uint64(_BASE)
+        run += h[j:len(h) - size + 1 + j]
     run ^= run >> np.uint64(31)
     run *= np.uint64(0xD6E8FEB86659FD93)
     return run
 
 
+def least_places(values: np.ndarray, size: int) -> np.ndarray:
+    """Place of the least of each ``size`` consecutive values, the first of equal
+    ones, from those of windows half as long; places never fall."""
+    least, at, width = values, np.arange(len(values)), 1
+    while width < size:
+        step = min(width, size - width)
+        later = least[step:] < least[:-step]
+        least, at, width = np.minimum(least[step:], least[:-step]), np.where(later, at[step:], at[:-step]), width + step
+    return at
+
+
 def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Line, first word and 64-bit hash of the chosen units of all lines (word
     sequences): the run of ``size`` words of least hash among each ``size``
@@ -142,8 +158,8 @@ def units(lines: list[list[bytes]], size: int = UNIT_WORDS) -> tuple[np.ndarray,
     # runs that cross lines part them by size - 1 places; as many at both ends give the first and last line the same windows
     edge = np.full(size - 1, np.iinfo(np.uint64).max)
     padded = np.concatenate([edge, run, edge])
-    least = np.lib.stride_tricks.sliding_window_view(padded, size).argmin(1) + np.arange(len(run) + size - 1) - (size - 1)
-    chosen = np.unique(least)
+    least = least_places(padded, size) - (size - 1)
+    chosen = least[np.diff(least, prepend=-size) != 0]
     chosen = chosen[(chosen >= 0) & (chosen < len(run))]
     chosen = chosen[whole[chosen]]
     starts = np.cumsum(n) - n
@@ -202,8 +218,9 @@ def _cut(min_words: int):
     return run
 
 
-def _near_lines(text: str | None, least: int) -> list[list[bytes]]:
-    return [w for *_, w in paragraphs(text, least)]
+def _near_lines(text: bytes | None, least: int) -> list[list[bytes]]:
+    """Words of the lines of at least ``least`` words, as of ``paragraphs`` but without their places."""
+    return [w for w in map(bytes.split, (text or b"").lower().split(b"\n")) if len(w) >= least]
 
 
 def line_bands(words: Sequence[list[bytes]], sign: Signatures, short: Signatures) -> tuple[np.ndarray, np.ndarray]:
@@ -236,7 +253,7 @@ def _bands(least: int):
         sign, short = Signatures(), Signatures(SHORT_BANDS, SHORT_ROWS, 6)
         for b in batches:
             for part in text_steps(b, 0):
-                lines = [w for text in part.column(0).to_pylist() for w in _near_lines(text, least)]
+                lines = [w for text in part.column(0).cast(pa.binary()).to_pylist() for w in _near_lines(text, least)]
                 lines = list({xxhash.xxh3_128_digest(b" ".join(w)): w for w in lines}.items())
                 for s in range(0, len(lines), STEP_LINES):
                     keys, words = zip(*lines[s:s + STEP_LINES])
@@ -251,7 +268,7 @@ def _bodies(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in text_steps(b, 0):
-                bodies = list({b" ".join(w) for text in part.column(0).to_pylist() for w in _near_lines(text, least)})
+                bodies = list({b" ".join(w) for text in part.column(0).cast(pa.binary()).to_pylist() for w in _near_lines(text, least)})
                 if bodies:
                     yield pa.RecordBatch.from_arrays([pa.array(list(map(xxhash.xxh3_128_digest, bodies)), pa.binary()), pa.array(bodies, pa.binary()).cast(pa.string())],
                                                      names=["key", "body"])
@@ -262,7 +279,7 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``key, words`` of each document that may have units."""
     for b in batches:
         for part in text_steps(b, 0):
-            split = ((x or "").encode("utf-8", "surrogatepass").lower().split() for x in part.column(0).to_pylist())
+            split = ((x or b"").lower().split() for x in part.column(0).cast(pa.binary()).to_pylist())
             words = [b" ".join(w) for w in split if len(w) >= 2 * UNIT_WORDS - 1]
             if words:
                 yield pa.RecordBatch.from_arrays([pa.array(list(map(xxhash.xxh3_128_digest, words)), pa.binary()), pa.array(words, pa.binary())], names=["key", "words"])
@@ -358,50 +375,84 @@ _RUNS = ("doc_id bigint, paragraph int, start int, `end` int, first_word int, n_
          "removed boolean")
 
 
+_LINE_FIELDS = [x.name for x in _LINES.value_type]
+
+
+def _elements(lists: pa.ListArray, *fields: str) -> list[np.ndarray]:
+    """Row of each struct of a column of lists and its fields, none of them null, as columns."""
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    structs = lists.flatten()
+    return [np.repeat(np.arange(len(n)), n), *(structs.field(x).to_numpy(zero_copy_only=False) for x in fields)]
+
+
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each range ``lo`` to ``hi`` and all its places."""
+    n = hi - lo
+    of = np.repeat(np.arange(len(n)), n)
+    return of, np.arange(len(of)) - (np.cumsum(n) - n - lo)[of]
+
+
+def _place(row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Row and place in it (an int) as one ordered number."""
+    return (row.astype(np.int64) << 32) + at
+
+
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches of repeated units of each document that overlap or touch (chosen
     units lie at most ``UNIT_WORDS`` apart in a passage).  A unit is alive
     if none of its words lies in a paragraph that goes as a whole; ``lines`` are
     those of the stretch that are no repeated paragraphs."""
-    hit = pa.list_(pa.struct([("key", pa.int64()), ("first_word", pa.int32()), ("alive", pa.bool_())]))
-    for rows in row_steps(batches):
-        out = []
-        for d in rows:
-            lines, whole = sorted(d["lines"], key=lambda x: x["at"]), {x["paragraph"]: x["removed"] for x in d["whole"]}
-            at = np.array([x["at"] for x in lines])
-            gone = np.cumsum([0, *(whole.get(x["paragraph"], False) for x in lines)])
-            hits = sorted(d["hits"], key=lambda x: x["first_word"])
-            first = np.array([x["first_word"] for x in hits])
-            a, z = np.searchsorted(at, first, "right") - 1, np.searchsorted(at, first + UNIT_WORDS - 1, "right")
-            alive = (gone[z] == gone[a]).tolist()
-            cuts = [0, *(np.flatnonzero(first[1:] > first[:-1] + UNIT_WORDS) + 1).tolist(), len(hits)]
-            for i, j in zip(cuts, cuts[1:]):
-                out.append((d["row"], d["doc_id"], int(first[i]), int(first[j - 1]) + UNIT_WORDS,
-                            [{**h, "alive": x} for h, x in zip(hits[i:j], alive[i:j])],
-                            [x for x in lines[int(a[i]):int(z[j - 1])] if x["paragraph"] not in whole]))
-        if out:
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), hit, _LINES))],
-                                             names=["row", "doc_id", "start", "end", "hits", "lines"])
+    for b in batches:
+        for s in range(0, b.num_rows, STEP_ROWS):
+            part = b.slice(s, STEP_ROWS)
+            (doc, key, first), (owner, *line), (of, taken, removed) = (_elements(part[x], *f) for x, f in (
+                ("hits", ("key", "first_word")), ("lines", _LINE_FIELDS), ("whole", ("paragraph", "removed"))))
+            if not len(doc):
+                continue
+            order = np.lexsort((first, doc))
+            key, first = key[order], first[order]
+            order = np.lexsort((line[_LINE_FIELDS.index("at")], owner))
+            line = {x: y[order] for x, y in zip(_LINE_FIELDS, line)}
+            in_whole, gone = (np.isin(_place(owner, line["paragraph"]), _place(of[x], taken[x])) for x in (slice(None), removed.astype(bool)))
+            gone = np.cumsum([0, *gone])
+            at = _place(owner, line["at"])
+            a, z = np.searchsorted(at, _place(doc, first), "right") - 1, np.searchsorted(at, _place(doc, first + UNIT_WORDS - 1), "right")
+            cuts = np.flatnonzero(np.diff(doc, prepend=-1) | (np.diff(first, prepend=first[0]) > UNIT_WORDS))
+            ends = np.append(cuts[1:], len(doc))
+            stretch, own = _ranges(a[cuts], z[ends - 1])
+            own, stretch = own[~in_whole[own]], stretch[~in_whole[own]]
+            hits = pa.StructArray.from_arrays([pa.array(key), pa.array(first, pa.int32()), pa.array(gone[z] == gone[a])], ["key", "first_word", "alive"])
+            lines = pa.StructArray.from_arrays([pa.array(line[x][own], pa.int32()) for x in _LINE_FIELDS], fields=list(_LINES.value_type))
+            at = pa.array(doc[cuts])
+            yield pa.RecordBatch.from_arrays(
+                [part["row"].take(at), part["doc_id"].take(at), pa.array(first[cuts], pa.int32()), pa.array(first[ends - 1] + UNIT_WORDS, pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(np.append(cuts, len(doc)), pa.int32()), hits),
+                 pa.ListArray.from_arrays(pa.array(np.searchsorted(stretch, np.arange(len(cuts) + 1)), pa.int32()), lines)],
+                names=["row", "doc_id", "start", "end", "hits", "lines"])
 
 
 def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places to look up: where a unit whose first place is here would lie beside
     the earlier place of a unit that overlaps it."""
-    for rows in row_steps(batches):
-        out = set()
-        for d in rows:
-            hits = sorted(d["units"], key=lambda u: u["first_word"])
-            at = np.array([u["first_word"] for u in hits])
-            for i, u in enumerate(hits):
-                if u["mine"]:
-                    for j in range(int(np.searchsorted(at, at[i] - UNIT_WORDS, "right")), int(np.searchsorted(at, at[i] + UNIT_WORDS))):
-                        if hits[j]["earlier"]:
-                            place = hits[j]["first"]["first_word"] + int(at[i] - at[j])
-                            if place >= 0:
-                                out.add((u["key"], hits[j]["first"]["row"], place))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32()))], names=["key", "row", "first_word"])
+    for b in batches:
+        for s in range(0, b.num_rows, STEP_ROWS):
+            units_ = b.slice(s, STEP_ROWS)["units"]
+            row, key, first_word, earlier, mine = _elements(units_, "key", "first_word", "earlier", "mine")
+            place = units_.flatten().field("first")     # null where no place of the unit stays
+            of, at = (pc.fill_null(place.field(x), 0).to_numpy(zero_copy_only=False) for x in ("row", "first_word"))
+            order = np.lexsort((first_word, row))
+            row, key, first_word, earlier, mine, of, at = (x[order] for x in (row, key, first_word, earlier, mine, of, at))
+            own, ask = _place(row, first_word), np.flatnonzero(mine)
+            lo, hi = np.searchsorted(own, own[ask] - UNIT_WORDS, "right"), np.searchsorted(own, own[ask] + UNIT_WORDS)
+            each, beside = _ranges(lo, hi)
+            i, j = ask[each][earlier[beside]], beside[earlier[beside]]
+            to = at[j] + first_word[i] - first_word[j]
+            i, j, to = i[to >= 0], j[to >= 0], to[to >= 0]
+            order = np.lexsort((to, of[j], key[i]))
+            found = np.stack([key[i], of[j], to])[:, order]
+            new = np.concatenate([[True] * (len(order) > 0), (found[:, 1:] != found[:, :-1]).any(0)]).astype(bool)
+            if len(order):
+                yield pa.RecordBatch.from_arrays([pa.array(x[new], t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.int32()))], names=["key", "row", "first_word"])
 
 
 def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,40 +468,61 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 stays[x:y] = False
             places = [x for x in d["places"] if x + UNIT_WORDS <= len(words) and stays[x:x + UNIT_WORDS].all()]
             if places:
-                run = unit_hashes(word_hashes(words), UNIT_WORDS)
                 n = len(places)
-                yield pa.RecordBatch.from_arrays([pa.array(run[places].view(np.int64)), pa.array([d["doc_id"]] * n, pa.int64()),
+                asked, at = np.unique(np.add.outer(places, np.arange(UNIT_WORDS)), return_inverse=True)     # words of other places are not hashed
+                run = unit_hashes(word_hashes([words[x] for x in asked.tolist()])[at.ravel()], UNIT_WORDS)[::UNIT_WORDS]
+                yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array([d["doc_id"]] * n, pa.int64()),
                                                   pa.array([d["row"]] * n, pa.int64()), pa.array(places, pa.int32())], names=["key", "doc_id", "row", "first_word"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches cut where their words' fate changes and at the ends of lines."""
-    types = (pa.int64(), *[pa.int32()] * 5, pa.string(), pa.int64(), pa.int64(), pa.bool_())
-    for rows in row_steps(batches):
-        out = []
-        for d in rows:
-            start = d["start"]
-            held, kept = np.zeros((2, d["end"] - start), bool)
-            for u in d["units"]:
-                at = u["first_word"] - start
-                if u["earlier"]:
-                    held[at:at + UNIT_WORDS] = True
-                elif u["mine"]:     # a place that was looked up may begin before the stretch
-                    kept[max(at, 0):at + UNIT_WORDS] = True
-            held &= ~kept
-            cuts = [0, *(np.flatnonzero(held[1:] != held[:-1]) + 1).tolist(), len(held)]
-            for i, j in zip(cuts, cuts[1:]):
-                removed, source = bool(held[i]), d["doc_id"]
-                if removed:
-                    firsts = [u["first"] for u in d["units"] if u["earlier"] and u["first_word"] - start < j and u["first_word"] - start + UNIT_WORDS > i]
-                    source = min(firsts, key=lambda f: (f["no_id"], f["doc_id"] or 0, f["row"], f["first_word"]))["doc_id"]
-                for x in d["lines"]:
-                    a, z = max(start + i, x["at"]), min(start + j, x["at"] + x["n"])
-                    if a < z:
-                        out.append((d["doc_id"], x["paragraph"], x["start"], x["end"], a - x["at"], z - a, f"p{d['root']}", d["copies"], source, removed))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)],
-                                             names=["doc_id", "paragraph", "start", "end", "first_word", "n_words", "class_id", "copies", "first_doc", "removed"])
+    for b in batches:
+        for s in range(0, b.num_rows, STEP_ROWS):
+            part = b.slice(s, STEP_ROWS)
+            start, n = part["start"].to_numpy().astype(np.int64), (part["end"].to_numpy() - part["start"].to_numpy()).astype(np.int64)
+            base, total = np.cumsum(n) - n, int(n.sum())
+            row, at, earlier, mine = _elements(part["units"], "first_word", "earlier", "mine")
+            at = at - start[row]
+
+            def marked(taken: np.ndarray) -> np.ndarray:    # a place that was looked up may begin before the stretch
+                of, x = row[taken], at[taken]
+                return np.cumsum(np.bincount(base[of] + np.maximum(x, 0), minlength=total + 1)
+                                 - np.bincount(base[of] + np.minimum(x + UNIT_WORDS, n[of]), minlength=total + 1))[:-1] > 0
+            held = marked(earlier.astype(bool)) & ~marked(mine.astype(bool))
+            new = np.zeros(total, bool)
+            new[base] = True
+            new[1:] |= held[1:] != held[:-1]
+            cuts = np.flatnonzero(new)
+            owner, removed = np.searchsorted(base, cuts, "right") - 1, held[cuts]
+            i, j = cuts - base[owner], np.append(cuts[1:], total) - base[owner]
+            # the source of a removed run: the first of the earlier places of its units
+            places = part["units"].flatten().field("first").filter(pa.array(earlier))
+            key = [pc.fill_null(places.field(x), 0).to_numpy(zero_copy_only=False) for x in ("first_word", "row", "doc_id")]
+            ranked = np.lexsort((*key, places.field("no_id").to_numpy(zero_copy_only=False).astype(bool)))
+            rank = np.empty(len(ranked), np.int64)
+            rank[ranked] = np.arange(len(ranked))
+            own = _place(row[earlier], at[earlier])
+            order = np.argsort(own)
+            lo, hi = np.searchsorted(own[order], _place(owner, i - UNIT_WORDS), "right"), np.searchsorted(own[order], _place(owner, j))
+            run, unit = _ranges(lo, np.where(removed, hi, lo))
+            least = np.full(len(cuts), len(ranked))
+            np.minimum.at(least, run, rank[order[unit]])
+            source = owner.copy()
+            source[removed] = len(n) + ranked[least[removed]]
+            source = pa.concat_arrays([part["doc_id"], places.field("doc_id")]).take(pa.array(source))
+            # lines of each run
+            of, *line = _elements(part["lines"], *_LINE_FIELDS)
+            order = np.lexsort((line[_LINE_FIELDS.index("at")], of))
+            of, line = of[order], {x: y[order].astype(np.int64) for x, y in zip(_LINE_FIELDS, line)}
+            a, z, ends = start[owner] + i, start[owner] + j, line["at"] + line["n"]
+            run, x = _ranges(np.searchsorted(_place(of, ends), _place(owner, a), "right"), np.searchsorted(_place(of, line["at"]), _place(owner, z)))
+            a, z = np.maximum(a[run], line["at"][x]), np.minimum(z[run], ends[x])
+            each = pa.array(owner[run])
+            yield pa.RecordBatch.from_arrays(
+                [part["doc_id"].take(each), *(pa.array(y, pa.int32()) for y in (line["paragraph"][x], line["start"][x], line["end"][x], a - line["at"][x], z - a)),
+                 pc.binary_join_element_wise("p", part["root"].cast(pa.string()), "").take(each), part["copies"].take(each), source.take(pa.array(run)), pa.array(removed[run])],
+                names=["doc_id", "paragraph", "start", "end", "first_word", "n_words", "class_id", "copies", "first_doc", "removed"])
 
 
 def _passages(units_: DataFrame, documents: DataFrame, whole: DataFrame, texts: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -263,3 +264,58 @@ def test_python_passes_get_small_batches(spark, monkeypatch):
     got = repeated_paragraphs(spark.createDataFrame([(i, f"{i} " + " ".join(f"w{j}" for j in range(70))) for i in range(4)], "doc_id bigint, text string"), 1)
     assert "MapInArrow" not in got._jdf.queryExecution().executedPlan().toString() and got.count() == 4
     assert set(seen) == {paragraph_dedup.BATCH_ROWS} and [spark.conf.get(x) for x in names] == before
+
+
+def test_least_of_each_window():
+    """Every window's least place, the first of equal ones, as by a look at all its values."""
+    rng = random.Random(11)
+    for size in (1, 2, 5, UNIT_WORDS):
+        values = [rng.randrange(40) for _ in range(300)]
+        got = paragraph_dedup.least_places(np.array(values, np.uint64), size).tolist()
+        assert got == [min(range(i, i + size), key=lambda k: (values[k], k)) for i in range(300 - size + 1)] == sorted(got)
+
+
+def test_only_asked_words_are_hashed(monkeypatch):
+    words = [f"w{i}".encode() for i in range(5000)]
+    seen, hashed = [], paragraph_dedup.word_hashes
+    want = paragraph_dedup.unit_hashes(hashed(words), UNIT_WORDS).view(np.int64)
+    monkeypatch.setattr(paragraph_dedup, "word_hashes", lambda w: (seen.append(len(w)), hashed(w))[1])
+    lines = [{"paragraph": p, "start": 0, "end": 0, "at": 2500 * p, "n": 2500} for p in (0, 1)]
+    doc = {"row": 3, "doc_id": None, "words": b" ".join(words), "lines": lines, "places": [7, 20, 2490, 3000, 4990], "whole": [{"paragraph": 1, "removed": True}]}
+    types = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("words", pa.binary()), ("lines", paragraph_dedup._LINES), ("places", pa.list_(pa.int32())),
+                       ("whole", pa.list_(pa.struct([("paragraph", pa.int32()), ("removed", pa.bool_())])))])
+    got = [r for b in paragraph_dedup._look(iter([pa.RecordBatch.from_pylist([doc], types)])) for r in b.to_pylist()]
+    assert got == [{"key": int(want[x]), "doc_id": None, "row": 3, "first_word": x} for x in (7, 20)] and sum(seen) == 13 + UNIT_WORDS
+
+
+_FIRST = pa.struct([("no_id", pa.bool_()), ("doc_id", pa.int64()), ("row", pa.int64()), ("first_word", pa.int32())])
+
+
+def unit(first_word, first, earlier=False, mine=False, key=1):
+    return {"key": key, "first_word": first_word, "first": first and dict(zip(("no_id", "doc_id", "row", "first_word"), first)), "earlier": earlier, "mine": mine}
+
+
+_UNITS = pa.list_(pa.struct([("key", pa.int64()), ("first_word", pa.int32()), ("first", _FIRST), ("earlier", pa.bool_()), ("mine", pa.bool_())]))
+
+
+def test_places_beside_are_asked_once():
+    row = 1 << 55 | 1   # not a number that a float holds
+    units_ = [unit(40, (False, 1, row, 140), earlier=True), unit(50, (False, 9, 8, 50), mine=True, key=5), unit(60, (False, 1, row, 160), earlier=True),
+              unit(76, (False, 1, row, 500), earlier=True), unit(55, None, key=6), unit(30, (False, 1, row, 5), earlier=True), unit(25, (False, 1, 2, 0), earlier=True)]
+    batch = pa.RecordBatch.from_pylist([{"id": 0, "units": units_}, {"id": 1, "units": [unit(50, (False, 2, 3, 0), earlier=True)]}, {"id": 2, "units": []}],
+                                       pa.schema([("id", pa.int64()), ("units", _UNITS)]))
+    got = [tuple(r.values()) for b in paragraph_dedup._beside(iter([batch])) for r in b.to_pylist()]
+    assert sorted(got) == [(5, 2, 25), (5, row, 25), (5, row, 150)]
+
+
+def test_runs_of_several_stretches():
+    lines = [{"paragraph": 2, "start": 5, "end": 90, "at": 90, "n": 40}, {"paragraph": 4, "start": 95, "end": 300, "at": 140, "n": 60}]
+    stretches = [
+        {"doc_id": None, "start": 100, "end": 170, "root": 7, "copies": 3, "lines": lines,
+         "units": [unit(110, (True, None, 1, 0), earlier=True), unit(105, (False, 4, 2, 0), earlier=True), unit(90, (True, None, 5, 90), mine=True), unit(150, None)]},
+        {"doc_id": 6, "start": 0, "end": 26, "root": 8, "copies": 2, "lines": [dict(lines[0], at=0, n=30)], "units": [unit(0, (True, None, 1, 0), earlier=True)]}]
+    types = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("root", pa.int64()), ("copies", pa.int64()), ("lines", paragraph_dedup._LINES),
+                       ("units", _UNITS)])
+    got = [tuple(r.values()) for b in paragraph_dedup._runs(iter([pa.RecordBatch.from_pylist(stretches, types)])) for r in b.to_pylist()]
+    assert got == [(None, 2, 5, 90, 10, 16, "p7", 3, None, False), (None, 2, 5, 90, 26, 14, "p7", 3, 4, True), (None, 4, 95, 300, 0, 30, "p7", 3, None, False),
+                   (6, 2, 5, 90, 0, 26, "p8", 2, None, True)]
