@@ -72,6 +72,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/loadlens-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a written folder in whichever store it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialize(df):
     """Write ``df`` once to the shared checkpoint folder and continue from the
     files (reliable checkpoint: cuts the lineage, survives executor loss).

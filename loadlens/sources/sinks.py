@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.schemas import ACCESS_LOGS, METRICS
+from loadlens.session import remove_folder
 
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -32,11 +33,15 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, length)`` of the data files below ``path``, from the listing
+    alone: no file is opened."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+
+
 def folder_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """Total size and number of the data files below ``path`` (one row), from
-    the listing alone: no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("bytes"), F.count(F.lit(1)).alias("files"))
+    """Total size and number of the data files below ``path`` (one row)."""
+    return _listed(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("bytes"), F.count(F.lit(1)).alias("files"))
 
 
 @contextmanager
@@ -122,26 +127,55 @@ def load_table(df: DataFrame, name: str, kind: str) -> None:
     out.hint("rebalance", part).sortWithinPartitions(part, LOOKUP[kind], "timestamp").write.mode("overwrite").insertInto(name)
 
 
+SHARES = 8                          # parts at most in which the first copy is written in the other formats
+SHARE_BYTES = 32 * 1024 * 1024      # of the first copy in a part at least
+
+
+def _shares(spark: SparkSession, path: str) -> list[list[str]]:
+    """The data files below ``path`` in groups of about equal bytes (whole files)."""
+    files = _listed(spark, path).orderBy("path").collect()          # one row per file
+    size = sum(f.length for f in files)
+    n, groups, before = min(SHARES, max(1, size // SHARE_BYTES)), {}, 0
+    for f in files:
+        groups.setdefault(before * n // max(1, size), []).append(f.path)
+        before += f.length
+    return list(groups.values())
+
+
 def storage_footprint(df: DataFrame, base: str) -> DataFrame:
     """Write ``df`` as CSV, Parquet-snappy, Parquet-gzip and JSON and report
     ``(format, rows, bytes, size_mb, ratio)``: rows read back, and the CSV size
     over this size.  The source is read once; the other formats are written
-    from the first Parquet copy."""
+    from the first Parquet copy.
+
+    All rows are written and read back in every format, but the copies do not lie
+    side by side: the text ones are many times the input.  The first copy is gone
+    through share by share, and what a share takes in one format is weighed, read
+    back and removed before the next is written.  No copy is left at the end."""
     spark = df.sparkSession
     at = lambda name: f"{base.rstrip('/')}/{name}"
     write_parquet(df, at("parquet_snappy"), "snappy")
-    copy = spark.read.parquet(at("parquet_snappy"))
-    write_parquet(copy, at("parquet_gzip"), "gzip")
-    write_csv(copy, at("csv"))
-    write_json(copy, at("json"))
-    readers = {"csv": spark.read.schema(copy.schema).option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP).csv,
-               "parquet_snappy": spark.read.parquet, "parquet_gzip": spark.read.parquet, "json": spark.read.schema(copy.schema).json}
-    sizes = None
-    for name, read in readers.items():
-        rows = read(at(name)).agg(F.count(F.lit(1)).alias("rows"))
-        s = rows.crossJoin(folder_bytes(spark, at(name)).select("bytes")).select(F.lit(name).alias("format"), "rows", "bytes")  # one row each
-        sizes = s if sizes is None else sizes.unionByName(s)
-    csv = sizes.where(F.col("format") == "csv").select(F.col("bytes").alias("_csv"))
-    return sizes.crossJoin(csv).select(
+    schema = spark.read.parquet(at("parquet_snappy")).schema
+    formats = {"csv": (write_csv, spark.read.schema(schema).option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP).csv),
+               "parquet_snappy": (None, spark.read.parquet),
+               "parquet_gzip": (lambda part, path: write_parquet(part, path, "gzip"), spark.read.parquet),
+               "json": (write_json, spark.read.schema(schema).json)}
+    found = {name: [0, 0] for name in formats}
+
+    def weigh(name):
+        rows = formats[name][1](at(name)).agg(F.count(F.lit(1)).alias("rows"))
+        s = rows.crossJoin(folder_bytes(spark, at(name)).select("bytes")).first()       # one row each
+        found[name] = [found[name][0] + s["rows"], found[name][1] + s["bytes"]]
+        remove_folder(spark, at(name))
+
+    for share in _shares(spark, at("parquet_snappy")):
+        part = spark.read.schema(schema).parquet(*share)
+        for name, (write, _) in formats.items():
+            if write:
+                write(part, at(name))
+                weigh(name)
+    weigh("parquet_snappy")
+    sizes = spark.createDataFrame([(name, *v) for name, v in found.items()], "format string, rows bigint, bytes bigint")
+    return sizes.select(
         "format", "rows", "bytes", F.round(F.col("bytes") / (1024 * 1024), 2).alias("size_mb"),
-        F.when(F.col("bytes") > 0, F.round(F.col("_csv") / F.col("bytes"), 2)).otherwise(F.lit(0.0)).alias("ratio"))
+        F.when(F.col("bytes") > 0, F.round(F.lit(found["csv"][1]) / F.col("bytes"), 2)).otherwise(F.lit(0.0)).alias("ratio"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.numeric import np_round
 from loadlens.operators.filters import CPU_THRESHOLD, ERROR_RATE_THRESHOLD, RESPONSE_TIME_THRESHOLD
-from loadlens.session import scratch_dir
+from loadlens.session import remove_folder, scratch_dir
 
 
 def alert_rows(metrics: DataFrame, cpu: float = CPU_THRESHOLD, error_rate: float = ERROR_RATE_THRESHOLD,
@@ -66,11 +66,6 @@ def _folders(spark: SparkSession, path: str, prefix: str, complete: bool = True)
     return sorted(n for n in names if not complete or fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def _epoch_of(folder: str) -> int:
     return int(folder.split("=")[1].split("_")[0])
 
@@ -114,11 +109,11 @@ def compact_hourly(spark: SparkSession, out: str, upto: int, watermark: str = "2
         .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{out}/closed")
     rows.where(day >= F.lit(bound).cast("date")).coalesce(1).write.mode("overwrite").parquet(f"{out}/base={upto:012d}_{bound}")
     for old in bases[:-1]:
-        _remove(spark, f"{out}/{old}")
+        remove_folder(spark, f"{out}/{old}")
     if before:
         for f in _folders(spark, out, "epoch="):
             if _epoch_of(f) <= _epoch_of(before):
-                _remove(spark, f"{out}/{f}")
+                remove_folder(spark, f"{out}/{f}")
 
 
 def read_hourly(spark: SparkSession, out: str) -> DataFrame:

@@ -211,6 +211,39 @@ def test_report_sink_and_footprint(spark, tmp):
     assert fp["csv"].ratio == 1.0 and fp["parquet_snappy"].bytes < fp["csv"].bytes
 
 
+def test_footprint_copies_do_not_lie_side_by_side(spark, tmp, monkeypatch):
+    from collections import Counter
+    rows = spark.range(0, 24_000, 1, 40).select(       # ids that come twice or are null, cells that need quotes
+        F.when(F.col("id") % 50 > 0, F.col("id") % 16_000).alias("id"), F.sin("id").alias("cpu_usage"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit('a "b", '), F.col("id") % 7)).alias("server_id"))
+    base, held, written, ids = os.path.join(tmp, "foot print"), [], Counter(), {}
+
+    def weight(path):
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.startswith("part-"))
+
+    def watched(write):
+        def run(df, path, *args, **options):
+            write(df, path, *args, **options)
+            name = os.path.basename(path)
+            held.append(weight(base))
+            written[name] += weight(path)
+            ids.setdefault(name, Counter()).update(r.id for r in df.select("id").collect())
+        return run
+
+    monkeypatch.setattr(SK, "SHARE_BYTES", 1, raising=False)
+    for name in ("write_csv", "write_json", "write_parquet"):
+        monkeypatch.setattr(SK, name, watched(getattr(SK, name)))
+    found = {r.format: r for r in SK.storage_footprint(rows, base).collect()}
+    assert max(held) < 0.5 * sum(written.values()) and weight(base) == 0
+    every = Counter(r.id for r in rows.collect())
+    assert set(found) == set(ids) == {"csv", "json", "parquet_gzip", "parquet_snappy"}
+    for name, r in found.items():                       # all rows in every format, each once; all bytes weighed
+        assert ids[name] == every and r.rows == 24_000 and r.bytes == written[name], name
+        assert r.size_mb == pytest.approx(r.bytes / 2 ** 20, abs=0.006) and r.ratio == pytest.approx(written["csv"] / r.bytes, abs=0.006)
+    none = {r.format: r for r in SK.storage_footprint(rows.where("cpu_usage > 2"), base).collect()}
+    assert len(none) == 4 and all(r.rows == 0 for r in none.values()) and none["json"].ratio == 0.0
+
+
 def test_chunks(spark):
     m = metrics_view(spark, SF)
     s = U.chunk_summary(m).first()
